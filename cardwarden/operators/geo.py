@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,6 +11,9 @@ from cardwarden.operators import slices, timeline, travel_fold
 from cardwarden.operators.slices import DEFAULT_POLICY, SLICE, SlicePolicy
 from cardwarden.session import use_checkpoint_dir
 
+# The fold travels with the plan; executors need no installed package.
+cloudpickle.register_pickle_by_value(travel_fold)
+
 ALERT_TYPE = "impossible_travel"
 ACTOR = "geo"
 
@@ -86,6 +90,7 @@ def _with_metrics(judged: DataFrame, max_kmh: float) -> DataFrame:
         F.when(hit, expr.travel_risk(ratio)).otherwise(0).cast("decimal(4,2)").alias("risk_score"),
         F.when(hit, expr.travel_severity(ratio)).otherwise("NONE").alias("severity"),
         hit.alias("violation"),
+        F.col("late") if "late" in judged.columns else F.lit(False).alias("late"),
     )
 
 
@@ -225,6 +230,23 @@ def _settle_entry_points(
             return entries
 
 
+VERDICT_SCHEMA = f"{_points_schema('_ref')}, violation boolean, late boolean"
+
+
+def folded_metrics(folded: DataFrame, max_kmh: float) -> DataFrame:
+    """Metrics of rows the fold has judged."""
+    ts_type = folded.schema["transaction_timestamp"].dataType
+    judged = folded.select(
+        *_KEPT,
+        F.col("_ref_id").alias("prev_transaction_id"),
+        F.timestamp_micros("_ref_at").cast(ts_type).alias("prev_timestamp"),
+        F.col("_ref_lat").cast("decimal(10,8)").alias("prev_latitude"),
+        F.col("_ref_lon").cast("decimal(11,8)").alias("prev_longitude"),
+        "violation", "late",
+    )
+    return _with_metrics(judged, max_kmh)
+
+
 def judge_velocity_declining(
     txns: DataFrame,
     max_kmh: float = 900,
@@ -236,7 +258,7 @@ def judge_velocity_declining(
 
     Payments this rule declines never become a reference point. last_accepted
     gives the point (user_id, _in_at, _in_id, _in_lat, _in_lon) customers start
-    with.
+    with; payments not after it are marked late.
     """
     points = _points(txns, ignored)
     hot = slices.hot_keys(points, ["user_id"], "_at", policy)
@@ -272,17 +294,8 @@ def judge_velocity_declining(
     rows = rows.select(*columns)
     run = travel_fold.judge_batches(keys, _speed_limit(max_kmh), _KEPT)
     kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in txns.select(*_KEPT).schema)
-    folded = _ordered(rows, keys).mapInArrow(run, f"{kept}, {_points_schema('_ref')}, violation boolean")
-    ts_type = txns.schema["transaction_timestamp"].dataType
-    judged = folded.select(
-        *_KEPT,
-        F.col("_ref_id").alias("prev_transaction_id"),
-        F.timestamp_micros("_ref_at").cast(ts_type).alias("prev_timestamp"),
-        F.col("_ref_lat").cast("decimal(10,8)").alias("prev_latitude"),
-        F.col("_ref_lon").cast("decimal(11,8)").alias("prev_longitude"),
-        "violation",
-    )
-    return _with_metrics(judged, max_kmh)
+    folded = _ordered(rows, keys).mapInArrow(run, f"{kept}, {VERDICT_SCHEMA}")
+    return folded_metrics(folded, max_kmh)
 
 
 def geo_velocity_declining(txns: DataFrame, max_kmh: float = 900, **options) -> DataFrame:
@@ -293,7 +306,7 @@ def geo_velocity_declining(txns: DataFrame, max_kmh: float = 900, **options) ->
 def last_accepted_points(judged: DataFrame, ignored=("declined", "reversed")) -> DataFrame:
     """Each customer's last accepted point, to start the next run with."""
     accepted = judged.filter(
-        ~F.col("violation") & ~F.col("transaction_status").isin(list(ignored))
+        ~F.col("violation") & ~F.col("late") & ~F.col("transaction_status").isin(list(ignored))
     )
     point = F.struct(
         expr.micros("transaction_timestamp").alias("at"),
@@ -356,6 +369,7 @@ def geo_audit(judged: DataFrame, as_of=None, new_status: str = "declined",
     reason = expr.label(
         [
             (hit, F.concat(message(judged), F.lit(", severity "), F.col("severity"))),
+            (F.col("late"), "Not judged: arrived late"),
             (F.col("prev_transaction_id").isNull(), "No violation: no prior point"),
         ],
         "No violation: within limit",

@@ -10,8 +10,8 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import NamedTuple
 
-import numpy as np
 import pyarrow as pa
 
 from cardwarden.functions.expr import EARTH_RADIUS_KM
@@ -41,6 +41,12 @@ def too_fast(a: Point, b: Point, max_speed_4: int) -> bool:
     return speed_4 > max_speed_4
 
 
+class Verdict(NamedTuple):
+    reference: Point | None
+    violation: bool
+    late: bool
+
+
 @dataclass
 class Track:
     """Last accepted points of one customer: before, and at, the latest time."""
@@ -48,15 +54,19 @@ class Track:
     reference: Point | None = None
     latest: Point | None = None
 
-    def step(self, row: Point, eligible: bool, max_speed_4: int) -> tuple[Point | None, bool]:
-        """Judge one row, in time then id order; returns its reference and the verdict."""
+    def step(self, row: Point, eligible: bool, max_speed_4: int) -> Verdict:
+        """Judge one row. A row not after the known points comes late and is not judged."""
         if self.latest is not None and row[0] > self.latest[0]:
             self.reference, self.latest = self.latest, None
+        if self.latest is not None and row[0] < self.latest[0]:
+            return Verdict(None, False, True)
         reference = self.reference
+        if reference is not None and row[0] <= reference[0]:
+            return Verdict(None, False, True)
         violation = reference is not None and too_fast(reference, row, max_speed_4)
         if eligible and not violation:
             self.latest = row
-        return reference, violation
+        return Verdict(reference, violation, False)
 
     @property
     def last(self) -> Point | None:
@@ -79,41 +89,41 @@ def _values(batch: pa.RecordBatch, name: str) -> list:
 
 
 def _walk(batches: Iterator[pa.RecordBatch], keys: list[str], max_speed_4: int):
-    """Yield (batch, track changes, references, verdicts); rows come sorted per key."""
+    """Yield (batch, finished tracks, verdicts); rows come sorted per key."""
     current, track = None, Track()
     for batch in batches:
         rows = list(zip(*[_values(batch, n) for n in ("_at", "_id", "_lat", "_lon")]))
         owners = list(zip(*[_values(batch, k) for k in keys]))
         starts = list(zip(*[_values(batch, f"_in_{f}") for f in POINT_FIELDS]))
         eligible = _values(batch, "_eligible")
-        finished, references, verdicts = [], [], []
+        finished, verdicts = [], []
         for owner, row, ok, start in zip(owners, rows, eligible, starts):
             if owner != current:
                 if current is not None:
                     finished.append((current, track.last))
                 current = owner
                 track = Track(reference=None if start[0] is None else start)
-            reference, violation = track.step(row, ok, max_speed_4)
-            references.append(reference)
-            verdicts.append(violation)
-        yield batch, finished, references, verdicts
+            verdicts.append(track.step(row, ok, max_speed_4))
+        yield batch, finished, verdicts
     if current is not None:
-        yield None, [(current, track.last)], [], []
+        yield None, [(current, track.last)], []
 
 
 def judge_batches(keys: list[str], max_speed_4: int, payload: list[str]):
     """mapInArrow function: every row with its reference point and verdict."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, _, references, verdicts in _walk(batches, keys, max_speed_4):
+        for batch, _, verdicts in _walk(batches, keys, max_speed_4):
             if batch is None:
                 continue
             kept = [batch.column(batch.schema.get_field_index(n)) for n in payload]
-            names = [*payload, *[f"_ref_{f}" for f in POINT_FIELDS], "violation"]
-            yield pa.RecordBatch.from_arrays(
-                [*kept, *_point_arrays(references), pa.array(np.asarray(verdicts, dtype=bool))],
-                names=names,
-            )
+            judged = [
+                *_point_arrays([v.reference for v in verdicts]),
+                pa.array([v.violation for v in verdicts], type=pa.bool_()),
+                pa.array([v.late for v in verdicts], type=pa.bool_()),
+            ]
+            names = [*payload, *[f"_ref_{f}" for f in POINT_FIELDS], "violation", "late"]
+            yield pa.RecordBatch.from_arrays([*kept, *judged], names=names)
 
     return run
 
@@ -122,7 +132,7 @@ def last_points(keys: list[str], max_speed_4: int):
     """mapInArrow function: the last accepted point of every key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, finished, _, _ in _walk(batches, keys, max_speed_4):
+        for _, finished, _ in _walk(batches, keys, max_speed_4):
             if finished:
                 owners, points = zip(*finished)
                 key_arrays = [pa.array([o[i] for o in owners], type=pa.int64()) for i in range(len(keys))]

@@ -34,7 +34,7 @@ def ingest(df: DataFrame, table: str) -> DataFrame:
 
 def number_rows(
     df: DataFrame,
-    order: str,
+    order: str | Column,
     ties: Sequence[str] = (),
     offset: int | Column = 0,
     out: str = "row_id",
@@ -47,6 +47,8 @@ def number_rows(
     and there are at most about 4 * rows / rows_per_slice of them. Null order
     values come first.
     """
+    df = df.withColumn("_order", expr.col(order))
+    order = "_order"
     stats = df.agg(
         F.struct(
             F.min(order).alias("lo"),
@@ -68,7 +70,7 @@ def number_rows(
         sliced.withColumn("_place", place)
         .join(shifts, "_part")
         .withColumn(out, start + F.col("_before") + F.col("_place"))
-        .drop("_part", "_place", "_before")
+        .drop("_part", "_place", "_before", "_order")
     )
 
 
@@ -77,7 +79,8 @@ def fill_defaults(
     table: str,
     as_of=None,
     id_offset: int | Column | None = None,
-    id_order: str | None = None,
+    id_order: str | Column | None = None,
+    id_ties: Sequence[str] = (),
 ) -> DataFrame:
     """Declared defaults for missing values, then ids for rows without one."""
     declared = TABLES[table]
@@ -92,7 +95,7 @@ def fill_defaults(
     )
     if id_offset is None:
         return filled
-    numbered = number_rows(filled, id_order, offset=id_offset, out="_id")
+    numbered = number_rows(filled, id_order, id_ties, offset=id_offset, out="_id")
     key = declared.key
     return numbered.withColumn(
         key, F.coalesce(F.col(key), F.col("_id").cast(kinds[key]))
