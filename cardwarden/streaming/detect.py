@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,6 +37,13 @@ class Detection:
     audit: DataFrame
 
 
+Stage = Callable[[DataFrame, str], DataFrame]
+
+
+def _unstaged(df: DataFrame, name: str) -> DataFrame:
+    return df
+
+
 def detect_batch(
     batch: DataFrame,
     merchants: DataFrame,
@@ -45,18 +53,28 @@ def detect_batch(
     as_of=None,
     batch_id: str | None = None,
     policy: SlicePolicy = DEFAULT_POLICY,
+    stage: Stage = _unstaged,
 ) -> Detection:
     """Gate, travel rule, structuring rule, category rule, in this order.
 
     Payments the travel rule declines no longer count as completed in the
-    structuring rule.
+    structuring rule. Results with several consumers go through stage, which
+    may store them and return the stored table.
     """
     accepted, rejected = merchant.block_batch(batch, merchants, batch_id)
-    geo_judged = geo.judge_velocity_declining(accepted, last_accepted=last_accepted, policy=policy)
+    rejected = stage(rejected, "rejected")
+    geo_judged = stage(
+        geo.judge_velocity_declining(accepted, last_accepted=last_accepted, policy=policy),
+        "geo_judged",
+    )
     violations = geo_judged.filter("violation")
     declined = violations.select("transaction_id", F.lit(True).alias("geo_violation"))
+    # The category rule goes by the status a payment arrived with.
+    counts = (F.col("transaction_status") != "reversed") & expr.is_high_risk_mcc("merchant_mcc")
     rows = accepted.join(declined, "transaction_id", "left").withColumns(
         {
+            "arrived_status": F.col("transaction_status"),
+            "mcc_flagged": counts,
             "geo_violation": F.coalesce("geo_violation", F.lit(False)),
             "transaction_status": F.when(F.col("geo_violation"), F.lit("declined")).otherwise(
                 F.col("transaction_status")
@@ -64,15 +82,11 @@ def detect_batch(
         }
     )
     past = rows.limit(0) if history is None else history
-    structured = structuring.structuring_on_insert(past, rows, as_of)
-    flagged = merchant.flag_high_risk_mcc(accepted, merchants)
-    counts = (F.col("transaction_status") != "reversed") & expr.is_high_risk_mcc("merchant_mcc")
-    judged = structured.select(
-        *batch.columns,
-        "geo_violation",
-        F.col("violation").alias("structuring_violation"),
-        counts.alias("mcc_flagged"),
+    structured = stage(structuring.structuring_on_insert(past, rows, as_of), "transactions")
+    arrived = structured.withColumn("transaction_status", F.col("arrived_status")).select(
+        *batch.columns
     )
+    flagged = merchant.flag_high_risk_mcc(arrived, merchants)
     hits = (
         geo.geo_hits(violations)
         .unionByName(structuring.structuring_hits(structured))
@@ -85,7 +99,7 @@ def detect_batch(
         .unionByName(merchant.blocked_audit(rejected, merchants, as_of))
     )
     return Detection(
-        judged=judged,
+        judged=structured.withColumnRenamed("violation", "structuring_violation"),
         rejected=rejected,
         geo_judged=geo_judged,
         alerts=alert_ops.upsert_open_alerts(alerts, hits, POLICIES, as_of),
@@ -112,10 +126,16 @@ class DetectionStore:
     def _folder(self, table: str, batch: int) -> str:
         return f"{self.path}/{table}/batch={batch}"
 
-    def write(self, df: DataFrame, table: str, batch: int, partition_by: list[str] | None = None):
-        df.write.mode("overwrite").partitionBy(*(partition_by or [])).parquet(
-            self._folder(table, batch)
-        )
+    def write(self, df: DataFrame, table: str, batch: int) -> None:
+        writer = df.write.mode("overwrite")
+        if table == "transactions":
+            writer = df.withColumn("day", F.to_date(_TS)).write.mode("overwrite").partitionBy("day")
+        writer.parquet(self._folder(table, batch))
+
+    def stage(self, df: DataFrame, table: str, batch: int) -> DataFrame:
+        """Store a result and go on from the stored table; an empty one keeps its columns."""
+        self.write(df, table, batch)
+        return self.spark.read.schema(df.schema).parquet(self._folder(table, batch)).select(*df.columns)
 
     def read(self, table: str, batch: int) -> DataFrame:
         return self.spark.read.parquet(self._folder(table, batch))
@@ -175,12 +195,8 @@ def run_batch(
             batch, merchants, open_before,
             history=None if as_of is None else store.history(batch_no, as_of),
             last_accepted=before, as_of=as_of, batch_id=statement_id,
+            stage=lambda df, name: store.stage(df, name, batch_no),
         )
-        # The fold and the verdicts feed several outputs: store them first, read them back.
-        store.write(found.geo_judged, "geo_judged", batch_no)
-        judged = found.judged.withColumn("day", F.to_date(_TS))
-        store.write(judged, "transactions", batch_no, ["day"])
-        store.write(found.rejected, "rejected", batch_no)
         store.write(found.notes, "notes", batch_no)
         store.write(found.audit, "audit", batch_no)
         opened = found.alerts.opened.drop("alert_id").unionByName(
@@ -190,18 +206,12 @@ def run_batch(
             opened, "user_id", ["alert_type"], offset=(batch_no + 1) * store.ID_BLOCK, out="alert_id"
         )
         alerts = found.alerts.kept.unionByName(numbered, allowMissingColumns=True)
-        store.write(alerts.select(*_stored_alert_columns(alerts)), "alerts", batch_no)
-        store.write_last_accepted(
-            geo.last_accepted_points(store.read("geo_judged", batch_no)), before, batch_no
-        )
+        store.write(alerts.drop("hits"), "alerts", batch_no)
+        store.write_last_accepted(geo.last_accepted_points(found.geo_judged), before, batch_no)
     finally:
         batch.unpersist()
 
 
-def _stored_alert_columns(alerts: DataFrame) -> list[str]:
-    return [c for c in alerts.columns if c != "hits"]
-
-
 def start_detection(
     payments: DataFrame,
     store: DetectionStore,

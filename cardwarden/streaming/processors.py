@@ -12,7 +12,7 @@ from cardwarden.operators.travel_fold import POINT_FIELDS, Track
 
 def _in_order(rows: Iterator[pd.DataFrame], row_id: str) -> pd.DataFrame:
     """One key's rows of a micro-batch in time then id order."""
-    return pd.concat(list(rows), ignore_index=True).sort_values(["_at", row_id], kind="stable")
+    return pd.concat(list(rows), ignore_index=True).sort_values(["at", row_id], kind="stable")
 
 
 class TravelProcessor(StatefulProcessor):
@@ -37,9 +37,9 @@ class TravelProcessor(StatefulProcessor):
         return Track(point(stored[:4]), point(stored[4:]))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        ordered = _in_order(rows, "_id")
+        ordered = _in_order(rows, "id")
         track = self._track()
-        walk = zip(ordered["_at"], ordered["_id"], ordered["_lat"], ordered["_lon"], ordered["_eligible"])
+        walk = zip(*[ordered[c] for c in (*POINT_FIELDS, "eligible")])
         verdicts = [
             track.step((int(at), int(i), float(lat), float(lon)), bool(ok), self.max_speed_4)
             for at, i, lat, lon, ok in walk
@@ -48,9 +48,8 @@ class TravelProcessor(StatefulProcessor):
         self.points.update((*(track.reference or nothing), *(track.latest or nothing)))
         out = ordered[self.payload].copy()
         for place, field in enumerate(POINT_FIELDS):
-            kind = "Int64" if place < 2 else "float64"
             values = [None if v.reference is None else v.reference[place] for v in verdicts]
-            out[f"_ref_{field}"] = pd.array(values, dtype="Int64") if kind == "Int64" else values
+            out[f"_ref_{field}"] = pd.array(values, dtype="Int64" if place < 2 else "Float64")
         out["violation"] = [v.violation for v in verdicts]
         out["late"] = [v.late for v in verdicts]
         yield out
@@ -76,7 +75,7 @@ class LoginProcessor(StatefulProcessor):
         failures, locked, login_at, login_ip = state
         out = []
         for at, log_id, failed, ip in zip(
-            ordered["_at"], ordered["log_id"], ordered["_failed"], ordered["ip_address"]
+            ordered["at"], ordered["log_id"], ordered["failed"], ordered["ip_address"]
         ):
             if failed:
                 failures += 1

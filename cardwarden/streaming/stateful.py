@@ -25,7 +25,9 @@ def geo_velocity_stream(
 
     Payments older than the customer's known points come out marked late.
     """
+    # Names without a leading underscore: the processor gets rows as named tuples.
     points = geo._points(payments, ignored)
+    points = points.toDF(*[c.lstrip("_") for c in points.columns])
     kept = ", ".join(
         f"{f.name} {f.dataType.simpleString()}" for f in payments.select(*geo._KEPT).schema
     )
@@ -51,8 +53,8 @@ def login_state_stream(
     ).select(
         F.col("auth_id").cast("bigint").alias("auth_id"),
         F.col("log_id").cast("bigint").alias("log_id"),
-        expr.micros(ts).alias("_at"),
-        login._failure().alias("_failed"),
+        expr.micros(ts).alias("at"),
+        login._failure().alias("failed"),
         "ip_address",
     )
     counted = events.groupBy("auth_id").transformWithStateInPandas(
