@@ -143,12 +143,6 @@ def distinct_count(column: Column | str, approx: bool = False) -> Column:
     return F.approx_count_distinct(col(column)) if approx else F.count_distinct(col(column))
 
 
-def text_list(column: Column | str, sep: str = ", ") -> Column:
-    """Texts of a group in order, unknown ones left out."""
-    text = col(column)
-    return F.array_join(F.array_sort(F.collect_list(text)), sep)
-
-
 def seeded_mod(key: Column | str, n: int, seed: int = 0) -> Column:
     """A repeatable pseudo-random number in 0..n-1."""
     return F.pmod(F.xxhash64(col(key), F.lit(seed)), F.lit(n))

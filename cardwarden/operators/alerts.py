@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardwarden.functions import expr
+from cardwarden.operators import joins
+from cardwarden.session import stored
 
 KEY = ["user_id", "alert_type"]
 
@@ -69,13 +71,18 @@ def upsert_open_alerts(
     hits: DataFrame,
     policy: UpsertPolicy | Mapping[str, UpsertPolicy],
     as_of=None,
+    checkpoint: bool = False,
 ) -> Upsert:
     """Refresh every open alert of a hit user and type, open one where there is none.
 
     Hits count in transaction_id order; a refreshed alert takes the last hit's
     values, not the highest. A mapping gives each alert type its own policy.
+    The grouped hits feed both results; checkpoint=True stores them, one row
+    per user and type, so that costly hits are found only once.
     """
     grouped = group_hits(hits)
+    if checkpoint:
+        grouped = stored(grouped)
     columns = {f.name: f.dataType for f in alerts.schema}
 
     def refreshes(name):
@@ -131,16 +138,31 @@ def note_rows(hits: DataFrame, as_of=None) -> DataFrame:
     )
 
 
-def render_notes(chosen: DataFrame, notes: DataFrame) -> DataFrame:
-    """Chosen alerts with their notes joined into one text, in payment order."""
+def render_notes(chosen: DataFrame, notes: DataFrame, max_notes: int = 10_000) -> DataFrame:
+    """Chosen alerts with their notes joined into one text, in payment order.
+
+    An alert with more than max_notes notes continues on further rows, one per
+    range of max_notes payment ids, numbered by part.
+    """
     wanted = notes.join(chosen.select(*KEY).distinct(), KEY, "left_semi")
+    sizes = wanted.groupBy(*KEY).agg(F.count(F.lit(1)).alias("_notes"))
+    part = F.when(F.col("_notes") <= max_notes, 0).otherwise(
+        F.floor(F.col("transaction_id") / max_notes)
+    )
     entry = F.struct(
         "transaction_id",
         F.concat(F.lit("--- "), expr.fmt_ts("noted_at"), F.lit(" ---\r\n"),
                  F.coalesce("note", F.lit(""))).alias("text"),
     )
-    texts = wanted.groupBy(*KEY).agg(F.array_sort(F.collect_list(entry)).alias("_entries"))
+    texts = (
+        wanted.join(sizes, KEY)
+        .groupBy(*KEY, part.cast("bigint").alias("part"))
+        .agg(F.array_sort(F.collect_list(entry)).alias("_entries"))
+    )
     joined = F.array_join(F.col("_entries.text"), "\r\n")
-    return chosen.join(texts, KEY, "left").withColumn(
-        "investigation_notes", F.coalesce(joined, F.lit(""))
+    return joins.left_many(chosen, texts, KEY).withColumns(
+        {
+            "part": F.coalesce("part", F.lit(0)),
+            "investigation_notes": F.coalesce(joined, F.lit("")),
+        }
     ).drop("_entries")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from cardwarden.functions import expr
 from cardwarden.operators import slices, timeline, travel_fold
 from cardwarden.operators.slices import DEFAULT_POLICY, SLICE, SlicePolicy
-from cardwarden.session import use_checkpoint_dir
+from cardwarden.session import stored
 
 # The fold travels with the plan; executors need no installed package.
 cloudpickle.register_pickle_by_value(travel_fold)
@@ -176,8 +176,6 @@ def _settle_entry_points(
     slices of a customer are right after k rounds, so the rounds end; as folds
     soon meet the same accepted point whatever they began with, few are needed.
     """
-    spark = hot_points.sparkSession
-    use_checkpoint_dir(spark)
     keys = ["user_id", SLICE]
     at_point = F.struct("_at", "_id", "_lat", "_lon")
     latest = hot_points.groupBy(*keys).agg(
@@ -188,13 +186,13 @@ def _settle_entry_points(
         guess = guess.join(entry, "user_id", "left")
     else:
         guess = guess.select("*", *_in_columns(None))
-    entries = guess.select(
+    entries = stored(guess.select(
         *keys,
         *[
             F.coalesce(F.col(f"_guess._{f}"), F.col(f"_in_{f}")).alias(f"_in_{f}")
             for f in travel_fold.POINT_FIELDS
         ],
-    ).checkpoint()
+    ))
     exits = None
     todo = entries
     exit_cols = [f"_out_{f}" for f in travel_fold.POINT_FIELDS]
@@ -208,20 +206,20 @@ def _settle_entry_points(
         )
         renewed = _ordered(rows, keys).mapInArrow(run, schema)
         if exits is None:
-            exits = renewed.checkpoint()
+            exits = stored(renewed)
         else:
-            exits = exits.join(todo, keys, "left_anti").unionByName(renewed).checkpoint()
+            exits = stored(exits.join(todo, keys, "left_anti").unionByName(renewed))
         # A slice begins with what the slice before it ended with.
         given = {f: F.col(f"_in_{f}") for f in travel_fold.POINT_FIELDS}
         first = F.row_number().over(earlier) == 1
-        chained = entries.join(exits, keys).select(
+        chained = stored(entries.join(exits, keys).select(
             *keys,
             *[
                 F.when(first, given[f]).otherwise(F.lag(f"_out_{f}").over(earlier)).alias(f"_new_{f}")
                 for f in travel_fold.POINT_FIELDS
             ],
             *entry_cols,
-        ).checkpoint()
+        ))
         wrong = ~F.col("_new_id").eqNullSafe(F.col("_in_id"))
         renewed_entry = [F.col(f"_new_{f}").alias(f"_in_{f}") for f in travel_fold.POINT_FIELDS]
         todo = chained.filter(wrong).select(*keys, *renewed_entry)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardwarden.functions import expr
-from cardwarden.operators import joins, timeline
+from cardwarden.operators import joins, textlists, timeline
 from cardwarden.operators.slices import DEFAULT_POLICY, SlicePolicy
 
 MAX_FAILURES = 5
@@ -155,27 +155,13 @@ def ip_counts(log: DataFrame) -> DataFrame:
 
 
 def _by_employee(log: DataFrame, count_as: str, last_as: str, ips_as: str) -> DataFrame:
-    """Summary per employee with the text of all addresses, in order, repeats kept.
-
-    Rows are counted per address before the shuffle; a task sees one row per
-    distinct address of an employee and writes repeats out from their count.
-    """
-    part = F.when(
-        F.col("ip_address").isNotNull(),
-        F.struct(
-            F.col("ip_address").alias("ip"),
-            F.array_join(F.array_repeat("ip_address", F.col("n").cast("int")), ", ").alias("text"),
-        ),
-    )
-    grouped = ip_counts(log).groupBy("employee_id").agg(
-        F.sum("n").alias(count_as),
-        F.max("last_event").alias(last_as),
-        F.array_sort(F.collect_list(part)).alias("_parts"),
-    )
-    text = F.when(F.size("_parts") > 0, F.array_join("_parts.text", ", "))
-    return grouped.select("employee_id", count_as, last_as, text.alias(ips_as)).orderBy(
-        F.desc(count_as), "employee_id"
-    )
+    """Summary per employee with the text of all addresses, in order, repeats kept."""
+    totals = {
+        count_as: (F.count(F.lit(1)), F.sum(count_as)),
+        last_as: (F.max(_TS), F.max(last_as)),
+    }
+    listed = textlists.text_lists(log, ["employee_id"], "ip_address", ips_as, totals)
+    return listed.orderBy(F.desc(count_as), "employee_id")
 
 
 def lockout_summary(log: DataFrame) -> DataFrame:

@@ -10,9 +10,10 @@ from pyspark.sql import types as T
 
 from cardwarden.functions import expr, register_sql_functions
 from cardwarden.operators import (
-    alerts, changes, geo, joins, login, merchant, quality, structuring, timeline,
+    alerts, changes, geo, joins, login, merchant, quality, structuring, textlists, timeline,
 )
 from cardwarden.plans import reports
+from cardwarden.session import stored
 from cardwarden.sources import adapters, tables
 from cardwarden.sources.adapters import AS_OF
 from cardwarden.streaming import detect
@@ -105,9 +106,11 @@ def _(t):
     hits = structuring.structuring_hits(
         structuring.structuring_trailing(t["transactions"]).withColumn("max_card_id", F.col("card_id"))
     )
-    done = alerts.upsert_open_alerts(t["alerts"], hits, alerts.STRUCTURING, AS_OF)
+    done = alerts.upsert_open_alerts(t["alerts"], hits, alerts.STRUCTURING, AS_OF, checkpoint=True)
     top = t["alerts"].agg(F.max("alert_id")).scalar()
-    numbered = tables.number_rows(done.opened.drop("alert_id"), "user_id", offset=top, out="alert_id")
+    numbered = tables.number_rows(
+        done.opened.drop("alert_id"), "user_id", offset=top, out="alert_id"
+    )
     return done.kept.unionByName(numbered).select(*_ALERT_OUT)
 
 
@@ -281,7 +284,7 @@ def _(t):
 
 @query("ag6_text_list")
 def _(t):
-    return t["cards"].groupBy("user_id").agg(expr.text_list("card_type").alias("card_types"))
+    return textlists.text_lists(t["cards"], ["user_id"], "card_type", "card_types")
 
 
 @query("ag8_global_aggregate")
@@ -487,7 +490,7 @@ def _(t):
 @query("r1_7_geo_alerts")
 def _(t):
     hits = geo.geo_hits(geo.geo_velocity_declining(t["transactions"]))
-    done = alerts.upsert_open_alerts(t["alerts"], hits, alerts.GEO_DECLINING, AS_OF)
+    done = alerts.upsert_open_alerts(t["alerts"], hits, alerts.GEO_DECLINING, AS_OF, checkpoint=True)
     return done.snapshot().select(*_ALERT_OUT)
 
 
@@ -636,8 +639,13 @@ def _(t):
 
 @query("r9_detect_all")
 def _(t):
+    def keep_verdicts(df, name):
+        """The travel verdicts feed the status and the totals; find them once."""
+        return stored(df) if name == "geo_judged" else df
+
     result = detect.detect_batch(
-        t["transactions"], t["merchants"], t["alerts"], as_of=AS_OF, batch_id="batch_id"
+        t["transactions"], t["merchants"], t["alerts"], as_of=AS_OF, batch_id="batch_id",
+        stage=keep_verdicts,
     )
     return result.judged.select(
         "transaction_id", "transaction_status", "geo_violation", "structuring_violation", "mcc_flagged"

@@ -53,15 +53,15 @@ def merchants_by_risk(tables: Tables) -> DataFrame:
     )
 
 
-def _named_payments(tables: Tables) -> DataFrame:
+def _with_parties(payments: DataFrame, tables: Tables) -> DataFrame:
     names = tables["merchants"].select("merchant_id", "merchant_name")
-    return tables["transactions"].join(_names(tables), "user_id").join(names, "merchant_id")
+    return payments.join(_names(tables), "user_id").join(names, "merchant_id")
 
 
 def transactions_with_parties(tables: Tables) -> DataFrame:
     """A4"""
     return joins.select_cols(
-        _named_payments(tables).orderBy(F.desc(_TS), F.desc("transaction_id")),
+        _with_parties(tables["transactions"], tables).orderBy(F.desc(_TS), F.desc("transaction_id")),
         ["transaction_id", "user_name", "merchant_name", "transaction_amount", "currency_code",
          _TS, "ip_address", "latitude", "longitude", "transaction_status", "device_id"],
     )
@@ -109,7 +109,8 @@ def transaction_board(tables: Tables) -> DataFrame:
     alerts = tables["alerts"].filter(F.col("transaction_id").isNotNull()).select(
         "transaction_id", "alert_id", "alert_type", "risk_score", "alert_status"
     )
-    board = joins.left_many(_named_payments(tables), alerts, "transaction_id")
+    alerted = joins.left_many(tables["transactions"], alerts, "transaction_id")
+    board = _with_parties(alerted, tables)
     return joins.select_cols(
         board.orderBy(F.desc(_TS), F.desc("transaction_id"), "alert_id"),
         ["transaction_id", "user_name", "merchant_name", "transaction_amount",

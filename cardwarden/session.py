@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that change results or plans; a cluster sets the rest.
 REQUIRED_CONF = {
@@ -54,3 +55,14 @@ def use_checkpoint_dir(spark: SparkSession) -> str:
         shared = tempfile.mkdtemp(prefix="cardwarden-checkpoint-")
     spark.sparkContext.setCheckpointDir(shared)
     return shared
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write a result to the checkpoint folder and go on from the written table.
+
+    Cuts the lineage and survives lost executors; unlike a checkpointed RDD the
+    table is columnar and its size is known to the planner.
+    """
+    path = f"{use_checkpoint_dir(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cardwarden.functions import expr
+from cardwarden.session import stored
 from cardwarden.sources.schemas import NOW, TABLES
 
 
@@ -39,14 +40,18 @@ def number_rows(
     offset: int | Column = 0,
     out: str = "row_id",
     rows_per_slice: int = 2_000_000,
+    checkpoint: bool = False,
 ) -> DataFrame:
     """Consecutive ids offset+1.. in the order of a numeric column, without one global sort task.
 
     Rows are numbered inside equal-width slices of the order column and shifted
     by the row counts of the slices before; only those counts meet in one task,
     and there are at most about 4 * rows / rows_per_slice of them. Null order
-    values come first.
+    values come first. The rows are evaluated three times; checkpoint=True
+    stores them first, for rows that are costly to compute.
     """
+    if checkpoint:
+        df = stored(df)
     df = df.withColumn("_order", expr.col(order))
     order = "_order"
     stats = df.agg(

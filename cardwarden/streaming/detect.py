@@ -203,7 +203,8 @@ def run_batch(
             found.blocked_alerts, allowMissingColumns=True
         )
         numbered = tables.number_rows(
-            opened, "user_id", ["alert_type"], offset=(batch_no + 1) * store.ID_BLOCK, out="alert_id"
+            opened, "user_id", ["alert_type"], offset=(batch_no + 1) * store.ID_BLOCK,
+            out="alert_id", checkpoint=True,
         )
         alerts = found.alerts.kept.unionByName(numbered, allowMissingColumns=True)
         store.write(alerts.drop("hits"), "alerts", batch_no)
