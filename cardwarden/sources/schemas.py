@@ -6,19 +6,11 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
 
-_TYPES = {
-    "int": T.IntegerType(),
-    "long": T.LongType(),
-    "bool": T.BooleanType(),
-    "date": T.DateType(),
-    "timestamp": T.TimestampType(),
-    "money": T.DecimalType(15, 2),
-    "limit": T.DecimalType(10, 2),
-    "risk3": T.DecimalType(3, 2),
-    "risk4": T.DecimalType(4, 2),
-    "lat": T.DecimalType(10, 8),
-    "lon": T.DecimalType(11, 8),
-}
+INT, LONG, BOOL, TEXT = T.IntegerType(), T.LongType(), T.BooleanType(), T.StringType()
+DATE, TIMESTAMP = T.DateType(), T.TimestampType()
+MONEY, LIMIT = T.DecimalType(15, 2), T.DecimalType(10, 2)
+SHARE, SCORE = T.DecimalType(3, 2), T.DecimalType(4, 2)
+LATITUDE, LONGITUDE = T.DecimalType(10, 8), T.DecimalType(11, 8)
 
 NOW = object()
 
@@ -40,21 +32,17 @@ class Table:
         return [f.name for f in self.schema if not f.nullable]
 
 
-def _table(columns: str, key: str, **rules) -> Table:
-    """Columns as 'name:type', type being text(n) or a short name; '!' marks required."""
-    fields, lengths = [], {}
-    for item in columns.split():
-        name, kind = item.split(":")
-        required = kind.endswith("!")
-        kind = kind.rstrip("!")
-        if kind.startswith("text"):
-            if "(" in kind:
-                lengths[name] = int(kind[5:-1])
-            data_type = T.StringType()
-        else:
-            data_type = _TYPES[kind]
-        fields.append(T.StructField(name, data_type, not required))
-    return Table(T.StructType(fields), key, lengths=lengths, **rules)
+def _field(name: str, kind: T.DataType, required: bool = False) -> T.StructField:
+    return T.StructField(name, kind, not required)
+
+
+def _table(*fields: T.StructField, key: str, **rules) -> Table:
+    """A table whose length limits are read off its VARCHAR columns, stored as strings."""
+    lengths = {f.name: f.dataType.length for f in fields if isinstance(f.dataType, T.VarcharType)}
+    schema = T.StructType(
+        [T.StructField(f.name, TEXT if f.name in lengths else f.dataType, f.nullable) for f in fields]
+    )
+    return Table(schema, key, lengths=lengths, **rules)
 
 
 def _one_of(column: str, values: tuple[str, ...]) -> str:
@@ -84,9 +72,16 @@ MFA_OUTCOME = ("passed", "failed", "skipped")
 
 TABLES: dict[str, Table] = {
     "users": _table(
-        "user_id:int! first_name:text(100) last_name:text(100) email:text(150)! phone:text(20) "
-        "account_created_at:timestamp! account_status:text(20)! risk_profile:text(20)! "
-        "country_iso_code:text(2) registration_ip_address:text(45)",
+        _field("user_id", INT, required=True),
+        _field("first_name", T.VarcharType(100)),
+        _field("last_name", T.VarcharType(100)),
+        _field("email", T.VarcharType(150), required=True),
+        _field("phone", T.VarcharType(20)),
+        _field("account_created_at", TIMESTAMP, required=True),
+        _field("account_status", T.VarcharType(20), required=True),
+        _field("risk_profile", T.VarcharType(20), required=True),
+        _field("country_iso_code", T.VarcharType(2)),
+        _field("registration_ip_address", T.VarcharType(45)),
         key="user_id",
         unique=(("email",),),
         defaults={"account_created_at": NOW, "account_status": "active", "risk_profile": "low"},
@@ -96,9 +91,17 @@ TABLES: dict[str, Table] = {
         },
     ),
     "cards": _table(
-        "card_id:int! user_id:int! card_type:text(20)! card_number_hash:text(256)! "
-        "last_four_digits:text(4) expiry_date:date card_status:text(20)! issued_date:timestamp! "
-        "reported_lost_at:timestamp daily_limit:limit monthly_limit:limit",
+        _field("card_id", INT, required=True),
+        _field("user_id", INT, required=True),
+        _field("card_type", T.VarcharType(20), required=True),
+        _field("card_number_hash", T.VarcharType(256), required=True),
+        _field("last_four_digits", T.VarcharType(4)),
+        _field("expiry_date", DATE),
+        _field("card_status", T.VarcharType(20), required=True),
+        _field("issued_date", TIMESTAMP, required=True),
+        _field("reported_lost_at", TIMESTAMP),
+        _field("daily_limit", LIMIT),
+        _field("monthly_limit", LIMIT),
         key="card_id",
         unique=(("card_number_hash",),),
         parents={"user_id": ("users", "cascade")},
@@ -109,9 +112,15 @@ TABLES: dict[str, Table] = {
         },
     ),
     "merchants": _table(
-        "merchant_id:int! merchant_name:text(255)! merchant_category_code:text(10) "
-        "mcc_description:text(255) country_iso_code:text(2) risk_score:risk3! "
-        "is_blacklisted:bool! fraud_report_count:int! created_at:timestamp!",
+        _field("merchant_id", INT, required=True),
+        _field("merchant_name", T.VarcharType(255), required=True),
+        _field("merchant_category_code", T.VarcharType(10)),
+        _field("mcc_description", T.VarcharType(255)),
+        _field("country_iso_code", T.VarcharType(2)),
+        _field("risk_score", SHARE, required=True),
+        _field("is_blacklisted", BOOL, required=True),
+        _field("fraud_report_count", INT, required=True),
+        _field("created_at", TIMESTAMP, required=True),
         key="merchant_id",
         defaults={
             "risk_score": 0, "is_blacklisted": False, "fraud_report_count": 0, "created_at": NOW,
@@ -119,11 +128,22 @@ TABLES: dict[str, Table] = {
         checks={"merchant_risk": "risk_score BETWEEN 0 AND 1"},
     ),
     "transactions": _table(
-        "transaction_id:long! card_id:int! merchant_id:int! user_id:int! "
-        "transaction_amount:money! currency_code:text(3)! transaction_timestamp:timestamp! "
-        "merchant_country:text(2) customer_country:text(2) merchant_mcc:text(10) "
-        "transaction_status:text(20)! is_online:bool device_id:text(255) ip_address:text(45) "
-        "latitude:lat longitude:lon",
+        _field("transaction_id", LONG, required=True),
+        _field("card_id", INT, required=True),
+        _field("merchant_id", INT, required=True),
+        _field("user_id", INT, required=True),
+        _field("transaction_amount", MONEY, required=True),
+        _field("currency_code", T.VarcharType(3), required=True),
+        _field("transaction_timestamp", TIMESTAMP, required=True),
+        _field("merchant_country", T.VarcharType(2)),
+        _field("customer_country", T.VarcharType(2)),
+        _field("merchant_mcc", T.VarcharType(10)),
+        _field("transaction_status", T.VarcharType(20), required=True),
+        _field("is_online", BOOL),
+        _field("device_id", T.VarcharType(255)),
+        _field("ip_address", T.VarcharType(45)),
+        _field("latitude", LATITUDE),
+        _field("longitude", LONGITUDE),
         key="transaction_id",
         parents={
             "card_id": ("cards", "restrict"),
@@ -139,9 +159,17 @@ TABLES: dict[str, Table] = {
         },
     ),
     "alerts": _table(
-        "alert_id:long! transaction_id:long card_id:int! user_id:int! alert_type:text(100)! "
-        "risk_score:risk4 alert_message:text alert_status:text(30)! investigation_notes:text "
-        "created_at:timestamp! resolved_at:timestamp",
+        _field("alert_id", LONG, required=True),
+        _field("transaction_id", LONG),
+        _field("card_id", INT, required=True),
+        _field("user_id", INT, required=True),
+        _field("alert_type", T.VarcharType(100), required=True),
+        _field("risk_score", SCORE),
+        _field("alert_message", TEXT),
+        _field("alert_status", T.VarcharType(30), required=True),
+        _field("investigation_notes", TEXT),
+        _field("created_at", TIMESTAMP, required=True),
+        _field("resolved_at", TIMESTAMP),
         key="alert_id",
         parents={
             "transaction_id": ("transactions", "restrict"),
@@ -155,34 +183,63 @@ TABLES: dict[str, Table] = {
         },
     ),
     "transaction_audit_log": _table(
-        "audit_id:long! transaction_id:long previous_status:text(50) new_status:text(50) "
-        "changed_by:text(255) changed_at:timestamp! change_reason:text",
+        _field("audit_id", LONG, required=True),
+        _field("transaction_id", LONG),
+        _field("previous_status", T.VarcharType(50)),
+        _field("new_status", T.VarcharType(50)),
+        _field("changed_by", T.VarcharType(255)),
+        _field("changed_at", TIMESTAMP, required=True),
+        _field("change_reason", TEXT),
         key="audit_id",
         parents={"transaction_id": ("transactions", "restrict")},
         defaults={"changed_at": NOW},
     ),
     "user_known_locations": _table(
-        "location_id:int! user_id:int! city:text(100) country_iso_code:text(2) latitude:lat "
-        "longitude:lon last_transaction_at:timestamp frequency_count:int!",
+        _field("location_id", INT, required=True),
+        _field("user_id", INT, required=True),
+        _field("city", T.VarcharType(100)),
+        _field("country_iso_code", T.VarcharType(2)),
+        _field("latitude", LATITUDE),
+        _field("longitude", LONGITUDE),
+        _field("last_transaction_at", TIMESTAMP),
+        _field("frequency_count", INT, required=True),
         key="location_id",
         unique=(("user_id", "city", "country_iso_code"),),
         parents={"user_id": ("users", "cascade")},
         defaults={"frequency_count": 1},
     ),
     "user_devices": _table(
-        "device_id:text(255)! user_id:int! device_type:text(50) device_name:text(255) "
-        "os_type:text(50) first_seen:timestamp! last_seen:timestamp is_trusted:bool!",
+        _field("device_id", T.VarcharType(255), required=True),
+        _field("user_id", INT, required=True),
+        _field("device_type", T.VarcharType(50)),
+        _field("device_name", T.VarcharType(255)),
+        _field("os_type", T.VarcharType(50)),
+        _field("first_seen", TIMESTAMP, required=True),
+        _field("last_seen", TIMESTAMP),
+        _field("is_trusted", BOOL, required=True),
         key="device_id",
         parents={"user_id": ("users", "cascade")},
         defaults={"first_seen": NOW, "is_trusted": False},
         checks={"device_type": _one_of("device_type", DEVICE_TYPE)},
     ),
     "authentication": _table(
-        "auth_id:int! employee_id:text(50)! username:text(100)! role:text(50)! is_active:bool! "
-        "email:text(150) phone:text(20) mfa_enabled:bool! last_login_at:timestamp "
-        "last_login_ip:text(45) failed_attempts:int! locked_until:timestamp "
-        "password_changed_at:timestamp must_change_password:bool! created_at:timestamp! "
-        "updated_at:timestamp deactivated_at:timestamp",
+        _field("auth_id", INT, required=True),
+        _field("employee_id", T.VarcharType(50), required=True),
+        _field("username", T.VarcharType(100), required=True),
+        _field("role", T.VarcharType(50), required=True),
+        _field("is_active", BOOL, required=True),
+        _field("email", T.VarcharType(150)),
+        _field("phone", T.VarcharType(20)),
+        _field("mfa_enabled", BOOL, required=True),
+        _field("last_login_at", TIMESTAMP),
+        _field("last_login_ip", T.VarcharType(45)),
+        _field("failed_attempts", INT, required=True),
+        _field("locked_until", TIMESTAMP),
+        _field("password_changed_at", TIMESTAMP),
+        _field("must_change_password", BOOL, required=True),
+        _field("created_at", TIMESTAMP, required=True),
+        _field("updated_at", TIMESTAMP),
+        _field("deactivated_at", TIMESTAMP),
         key="auth_id",
         unique=(("employee_id",), ("username",), ("email",)),
         defaults={
@@ -196,11 +253,23 @@ TABLES: dict[str, Table] = {
         },
     ),
     "authentication_audit_log": _table(
-        "log_id:long! auth_id:int employee_id:text(50) username_attempted:text(100)! "
-        "event_type:text(50)! login_status:text(20)! failure_reason:text(100) "
-        "session_expires_at:timestamp ip_address:text(45) user_agent:text(500) "
-        "device_fingerprint:text(256) geo_country:text(2) geo_city:text(100) mfa_used:bool! "
-        "mfa_outcome:text(20) event_timestamp:timestamp! notes:text",
+        _field("log_id", LONG, required=True),
+        _field("auth_id", INT),
+        _field("employee_id", T.VarcharType(50)),
+        _field("username_attempted", T.VarcharType(100), required=True),
+        _field("event_type", T.VarcharType(50), required=True),
+        _field("login_status", T.VarcharType(20), required=True),
+        _field("failure_reason", T.VarcharType(100)),
+        _field("session_expires_at", TIMESTAMP),
+        _field("ip_address", T.VarcharType(45)),
+        _field("user_agent", T.VarcharType(500)),
+        _field("device_fingerprint", T.VarcharType(256)),
+        _field("geo_country", T.VarcharType(2)),
+        _field("geo_city", T.VarcharType(100)),
+        _field("mfa_used", BOOL, required=True),
+        _field("mfa_outcome", T.VarcharType(20)),
+        _field("event_timestamp", TIMESTAMP, required=True),
+        _field("notes", TEXT),
         key="log_id",
         parents={"auth_id": ("authentication", "set_null")},
         defaults={"mfa_used": False, "event_timestamp": NOW},

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from cardwarden.functions import expr
@@ -22,6 +23,7 @@ POLICIES = {
 }
 
 _TS = "transaction_timestamp"
+_PARTITIONS = (T.StructField("batch", T.IntegerType()), T.StructField("day", T.DateType()))
 
 
 @dataclass
@@ -140,19 +142,22 @@ class DetectionStore:
     def read(self, table: str, batch: int) -> DataFrame:
         return self.spark.read.parquet(self._folder(table, batch))
 
-    def read_all(self, table: str, before: int | None = None) -> DataFrame:
-        df = self.spark.read.option("basePath", f"{self.path}/{table}").parquet(f"{self.path}/{table}")
-        return df if before is None else df.filter(F.col("batch") < before)
+    def read_all(self, table: str, schema: T.StructType | None = None) -> DataFrame:
+        """All batches of a table; a schema is needed where no batch may have left rows."""
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+        return reader.parquet(f"{self.path}/{table}")
 
     def open_alerts(self, batch: int, initial: DataFrame) -> DataFrame:
         before = initial if batch == 0 else self.read("alerts", batch - 1)
         return before.filter("alert_status = 'open'")
 
-    def history(self, batch: int, as_of, hours: int = 48) -> DataFrame | None:
+    def history(self, batch: int, payments: T.StructType, as_of, hours: int = 48) -> DataFrame | None:
         """Earlier accepted payments of the days the look-back touches."""
         if batch == 0:
             return None
-        return tables.since_days(self.read_all("transactions", batch), as_of, hours)
+        schema = T.StructType([*payments, *_PARTITIONS])
+        earlier = self.read_all("transactions", schema).filter(F.col("batch") < batch)
+        return tables.since_days(earlier, as_of, hours)
 
     def last_accepted(self, batch: int) -> DataFrame | None:
         if batch == 0:
@@ -193,7 +198,7 @@ def run_batch(
         open_before = store.open_alerts(batch_no, initial_alerts)
         found = detect_batch(
             batch, merchants, open_before,
-            history=None if as_of is None else store.history(batch_no, as_of),
+            history=None if as_of is None else store.history(batch_no, batch.schema, as_of),
             last_accepted=before, as_of=as_of, batch_id=statement_id,
             stage=lambda df, name: store.stage(df, name, batch_no),
         )
