@@ -12,6 +12,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 
 from cardwarden.functions.expr import EARTH_RADIUS_KM
@@ -73,57 +74,131 @@ class Track:
         return self.latest or self.reference
 
 
-_POINT_TYPES = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
 POINT_FIELDS = ("at", "id", "lat", "lon")
+_POINT_TYPES = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
 
 
-def _point_arrays(points: list[Point | None]) -> list[pa.Array]:
-    return [
-        pa.array([None if p is None else p[i] for p in points], type=kind)
-        for i, kind in enumerate(_POINT_TYPES)
-    ]
+def _too_fast_all(a: list[np.ndarray], b: list[np.ndarray], max_speed_4: int) -> np.ndarray:
+    """too_fast for whole columns."""
+    phi1, phi2 = np.radians(a[2]), np.radians(b[2])
+    h = (
+        np.sin((phi2 - phi1) / 2) ** 2
+        + np.cos(phi1) * np.cos(phi2) * np.sin(np.radians(b[3] - a[3]) / 2) ** 2
+    )
+    km = 2 * EARTH_RADIUS_KM * np.arctan2(np.sqrt(h), np.sqrt(np.maximum(0.0, 1 - h)))
+    km_4 = np.floor(km * 10_000 + 0.5).astype(np.int64)
+    seconds = np.maximum(1, b[0] // 1_000_000 - a[0] // 1_000_000)
+    hours_6 = (2 * seconds * 1_000_000 + 3600) // 7200
+    return (2 * km_4 * 1_000_000 + hours_6) // (2 * hours_6) > max_speed_4
 
 
-def _values(batch: pa.RecordBatch, name: str) -> list:
-    return batch.column(batch.schema.get_field_index(name)).to_pylist()
+class _Batch:
+    """Rows of one Arrow batch, judged as if every eligible row were accepted.
+
+    That guess holds up to an eligible row it finds violating, and again from
+    the next accepted row on; settle() walks the rows in between one by one.
+    """
+
+    def __init__(self, batch: pa.RecordBatch, keys: list[str], max_speed_4: int):
+        def column(name):
+            return batch.column(batch.schema.get_field_index(name))
+
+        self.limit = max_speed_4
+        self.points = [column(f"_{f}").to_numpy(zero_copy_only=False) for f in POINT_FIELDS]
+        self.eligible = column("_eligible").to_numpy(zero_copy_only=False).astype(bool)
+        self.keys = [column(k).to_numpy(zero_copy_only=False) for k in keys]
+        self.entries = [column(f"_in_{f}") for f in POINT_FIELDS]
+        at, index = self.points[0], np.arange(batch.num_rows)
+        new_owner = np.ones(len(at), dtype=bool)
+        new_owner[1:] = np.any([k[1:] != k[:-1] for k in self.keys], axis=0)
+        self.new_time = new_owner.copy()
+        self.new_time[1:] |= at[1:] != at[:-1]
+        self.starts = np.flatnonzero(new_owner)
+        owner_start = np.maximum.accumulate(np.where(new_owner, index, 0))
+        self.time_start = np.maximum.accumulate(np.where(self.new_time, index, 0))
+        last_eligible = np.maximum.accumulate(np.where(self.eligible, index, -1))
+        # The latest eligible row of the owner at a strictly earlier time.
+        before = np.where(self.time_start > 0, last_eligible[self.time_start - 1], -1)
+        self.before = np.where(before >= owner_start, before, -1)
+        known = self.before >= 0
+        self.references = [np.where(known, c[self.before], 0) for c in self.points]
+        self.known = known
+        self.violation = known & _too_fast_all(self.references, self.points, max_speed_4)
+        self.late = np.zeros(len(at), dtype=bool)
+        self.trouble = np.flatnonzero(self.violation & self.eligible)
+
+    def owner(self, row: int) -> tuple:
+        return tuple(k[row].item() for k in self.keys)
+
+    def point(self, row: int) -> Point | None:
+        return tuple(c[row].item() for c in self.points) if row >= 0 else None
+
+    def entry(self, row: int) -> Point | None:
+        values = tuple(c[row].as_py() for c in self.entries)
+        return None if values[0] is None else values
+
+    def _step(self, track: Track, row: int) -> None:
+        verdict = track.step(self.point(row), bool(self.eligible[row]), self.limit)
+        self.known[row] = verdict.reference is not None
+        for column, value in zip(self.references, verdict.reference or (0, 0, 0.0, 0.0)):
+            column[row] = value
+        self.violation[row], self.late[row] = verdict.violation, verdict.late
+
+    def settle(self, start: int, stop: int, track: Track) -> Track:
+        """Correct one owner's rows, given the track before them; returns the track after."""
+        row, trusted = start, track.last is None
+        while row < stop:
+            if trusted:
+                place = np.searchsorted(self.trouble, row)
+                found = self.trouble[place] if place < len(self.trouble) else stop
+                row = int(self.time_start[min(found, stop - 1)])
+                track = Track(self.point(int(self.before[row])))
+                trusted = False
+            self._step(track, row)
+            row += 1
+            if row < stop and self.new_time[row]:
+                before, last = int(self.before[row]), track.last
+                trusted = before >= 0 and last is not None and last[1] == self.points[1][before]
+        return track
+
+    def judged(self) -> list[pa.Array]:
+        references = [
+            pa.array(c, type=kind, mask=~self.known)
+            for c, kind in zip(self.references, _POINT_TYPES)
+        ]
+        return [*references, pa.array(self.violation), pa.array(self.late)]
 
 
 def _walk(batches: Iterator[pa.RecordBatch], keys: list[str], max_speed_4: int):
-    """Yield (batch, finished tracks, verdicts); rows come sorted per key."""
+    """Yield (batch, its verdicts, tracks that ended); rows come sorted per key."""
     current, track = None, Track()
     for batch in batches:
-        rows = list(zip(*[_values(batch, n) for n in ("_at", "_id", "_lat", "_lon")]))
-        owners = list(zip(*[_values(batch, k) for k in keys]))
-        starts = list(zip(*[_values(batch, f"_in_{f}") for f in POINT_FIELDS]))
-        eligible = _values(batch, "_eligible")
-        finished, verdicts = [], []
-        for owner, row, ok, start in zip(owners, rows, eligible, starts):
+        if batch.num_rows == 0:
+            continue
+        rows, finished = _Batch(batch, keys, max_speed_4), []
+        stops = [*rows.starts[1:].tolist(), batch.num_rows]
+        for start, stop in zip(rows.starts.tolist(), stops):
+            owner = rows.owner(start)
             if owner != current:
                 if current is not None:
                     finished.append((current, track.last))
-                current = owner
-                track = Track(reference=None if start[0] is None else start)
-            verdicts.append(track.step(row, ok, max_speed_4))
-        yield batch, finished, verdicts
+                current, track = owner, Track(rows.entry(start))
+            track = rows.settle(start, stop, track)
+        yield batch, rows, finished
     if current is not None:
-        yield None, [(current, track.last)], []
+        yield None, None, [(current, track.last)]
 
 
 def judge_batches(keys: list[str], max_speed_4: int, payload: list[str]):
     """mapInArrow function: every row with its reference point and verdict."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, _, verdicts in _walk(batches, keys, max_speed_4):
+        for batch, rows, _ in _walk(batches, keys, max_speed_4):
             if batch is None:
                 continue
             kept = [batch.column(batch.schema.get_field_index(n)) for n in payload]
-            judged = [
-                *_point_arrays([v.reference for v in verdicts]),
-                pa.array([v.violation for v in verdicts], type=pa.bool_()),
-                pa.array([v.late for v in verdicts], type=pa.bool_()),
-            ]
             names = [*payload, *[f"_ref_{f}" for f in POINT_FIELDS], "violation", "late"]
-            yield pa.RecordBatch.from_arrays([*kept, *judged], names=names)
+            yield pa.RecordBatch.from_arrays([*kept, *rows.judged()], names=names)
 
     return run
 
@@ -132,13 +207,17 @@ def last_points(keys: list[str], max_speed_4: int):
     """mapInArrow function: the last accepted point of every key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, finished, _ in _walk(batches, keys, max_speed_4):
-            if finished:
-                owners, points = zip(*finished)
-                key_arrays = [pa.array([o[i] for o in owners], type=pa.int64()) for i in range(len(keys))]
-                yield pa.RecordBatch.from_arrays(
-                    [*key_arrays, *_point_arrays(list(points))],
-                    names=[*keys, *[f"_out_{f}" for f in POINT_FIELDS]],
-                )
+        for _, _, finished in _walk(batches, keys, max_speed_4):
+            if not finished:
+                continue
+            owners, points = zip(*finished)
+            key_arrays = [pa.array([o[i] for o in owners], type=pa.int64()) for i in range(len(keys))]
+            point_arrays = [
+                pa.array([None if p is None else p[i] for p in points], type=kind)
+                for i, kind in enumerate(_POINT_TYPES)
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [*key_arrays, *point_arrays], names=[*keys, *[f"_out_{f}" for f in POINT_FIELDS]]
+            )
 
     return run
