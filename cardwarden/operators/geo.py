@@ -165,67 +165,65 @@ def _points_schema(prefix: str) -> str:
     return f"{prefix}_at bigint, {prefix}_id bigint, {prefix}_lat double, {prefix}_lon double"
 
 
-def _settle_entry_points(
+def _likely_entry_points(
     hot_points: DataFrame, entry: DataFrame | None, max_kmh: float
 ) -> DataFrame:
-    """The accepted point with which each slice of a hot customer begins.
-
-    Slices are folded side by side from a guess, the last payment before the
-    slice that could have been accepted. A slice whose true entry point turns
-    out different is folded again, until entries and exits agree. The first k
-    slices of a customer are right after k rounds, so the rounds end; as folds
-    soon meet the same accepted point whatever they began with, few are needed.
-    """
+    """For each slice the last earlier payment that fits the one before it."""
     keys = ["user_id", SLICE]
     at_point = F.struct("_at", "_id", "_lat", "_lon")
-    latest = hot_points.groupBy(*keys).agg(
-        F.max(F.when(F.col("_eligible"), at_point)).alias("_latest")
+    previous = F.lag(at_point).over(Window.partitionBy(*keys).orderBy("_at", "_id"))
+    km = expr.planar_km("_before._lat", "_before._lon", "_lat", "_lon")
+    hours = F.greatest(F.col("_at") - F.col("_before._at"), F.lit(1_000_000)) / 3_600_000_000
+    accepted = hot_points.filter("_eligible").withColumn("_before", previous)
+    latest = accepted.groupBy(*keys).agg(
+        F.coalesce(F.max(F.when(km / hours <= max_kmh, at_point)), F.max(at_point)).alias("_latest")
     )
-    guess = slices.carry(latest, ["user_id"], {"_guess": F.max("_latest")})
+    every = hot_points.select(*keys).distinct().join(latest, keys, "left")
+    guess = slices.carry(every, ["user_id"], {"_guess": F.max("_latest")})
     if entry is not None:
         guess = guess.join(entry, "user_id", "left")
     else:
         guess = guess.select("*", *_in_columns(None))
-    entries = stored(guess.select(
+    return guess.select(
         *keys,
         *[
             F.coalesce(F.col(f"_guess._{f}"), F.col(f"_in_{f}")).alias(f"_in_{f}")
             for f in travel_fold.POINT_FIELDS
         ],
-    ))
-    exits = None
-    todo = entries
-    exit_cols = [f"_out_{f}" for f in travel_fold.POINT_FIELDS]
+    )
+
+
+def _settle_entry_points(
+    hot_points: DataFrame, entry: DataFrame | None, max_kmh: float
+) -> DataFrame:
+    """The accepted point with which each slice of a hot customer begins.
+
+    Slices are folded side by side from a likely entry point. Following the
+    slices from entry to exit then shows which folds are missing; they are run,
+    and so on until none is missing. At least the first missing fold of a
+    customer is the right one, so the rounds end; with good guesses there are
+    few. Only slices with a missing fold are read again.
+    """
+    keys = ["user_id", SLICE]
     entry_cols = [f"_in_{f}" for f in travel_fold.POINT_FIELDS]
     run = travel_fold.last_points(keys, _speed_limit(max_kmh))
-    schema = f"user_id bigint, {SLICE} bigint, {_points_schema('_out')}"
-    earlier = Window.partitionBy("user_id").orderBy(SLICE)
+    out_schema = f"user_id bigint, {SLICE} bigint, {_points_schema('_out')}"
+    follow = travel_fold.chain(("user_id", SLICE))
+    chain_schema = f"user_id bigint, {SLICE} bigint, _missing boolean, {_points_schema('_in')}"
+    todo = stored(_likely_entry_points(hot_points, entry, max_kmh))
+    folds, number = None, 0
     while True:
         rows = hot_points.join(todo, keys).select(
             *keys, "_at", "_id", "_lat", "_lon", "_eligible", *entry_cols
         )
-        renewed = _ordered(rows, keys).mapInArrow(run, schema)
-        if exits is None:
-            exits = stored(renewed)
-        else:
-            exits = stored(exits.join(todo, keys, "left_anti").unionByName(renewed))
-        # A slice begins with what the slice before it ended with.
-        given = {f: F.col(f"_in_{f}") for f in travel_fold.POINT_FIELDS}
-        first = F.row_number().over(earlier) == 1
-        chained = stored(entries.join(exits, keys).select(
-            *keys,
-            *[
-                F.when(first, given[f]).otherwise(F.lag(f"_out_{f}").over(earlier)).alias(f"_new_{f}")
-                for f in travel_fold.POINT_FIELDS
-            ],
-            *entry_cols,
-        ))
-        wrong = ~F.col("_new_id").eqNullSafe(F.col("_in_id"))
-        renewed_entry = [F.col(f"_new_{f}").alias(f"_in_{f}") for f in travel_fold.POINT_FIELDS]
-        todo = chained.filter(wrong).select(*keys, *renewed_entry)
-        entries = chained.select(*keys, *renewed_entry)
+        ends = _ordered(rows, keys).mapInArrow(run, out_schema)
+        renewed = stored(ends.join(todo, keys).withColumn("_round", F.lit(number)))
+        folds = renewed if folds is None else folds.unionByName(renewed)
+        chained = stored(folds.groupBy("user_id").applyInArrow(follow, chain_schema))
+        todo = chained.filter("_missing").select(*keys, *entry_cols)
         if todo.isEmpty():
-            return entries
+            return chained.select(*keys, *entry_cols)
+        number += 1
 
 
 VERDICT_SCHEMA = f"{_points_schema('_ref')}, violation boolean, late boolean"
@@ -268,11 +266,13 @@ def judge_velocity_declining(
             rows = points.join(last_accepted, "user_id", "left")
     else:
         keys = ["user_id", SLICE]
-        marked = slices.mark_slices(points, hot, ["user_id"], "_at")
-        settled = _settle_entry_points(
-            slices.hot_only(marked).withColumn("user_id", F.col("user_id").cast("bigint")),
-            last_accepted, max_kmh,
+        # Small by its bound; stored so that it is not counted again in every round.
+        marked = slices.mark_slices(points, stored(hot), ["user_id"], "_at")
+        narrow = slices.hot_only(marked).select(
+            F.col("user_id").cast("bigint").alias("user_id"),
+            SLICE, "_at", "_id", "_lat", "_lon", "_eligible",
         )
+        settled = _settle_entry_points(stored(narrow), last_accepted, max_kmh)
         rows = slices.attach_carry(marked, settled, ["user_id"])
         if last_accepted is not None:
             cold = slices._LO

@@ -221,3 +221,41 @@ def last_points(keys: list[str], max_speed_4: int):
             )
 
     return run
+
+
+def chain(keys: tuple[str, str]):
+    """applyInArrow function: follow a customer's slices from entry to exit.
+
+    Input are the folds run so far, one row per slice and entry point. Output is
+    one row per slice with its entry point, and whether that fold is still to be
+    run. Behind a missing fold the walk goes on from the entry the next slice
+    was first run with, so that all missing folds of a customer run together.
+    """
+    user, piece = keys
+
+    def run(folds: pa.Table) -> pa.Table:
+        rows = sorted(folds.to_pylist(), key=lambda r: (r[piece], r["_round"]))
+        exits, first_entry = {}, {}
+        for row in rows:
+            entry, out = (tuple(row[f"{p}_{f}"] for f in POINT_FIELDS) for p in ("_in", "_out"))
+            exits[row[piece], entry[1]] = out
+            first_entry.setdefault(row[piece], entry)
+        pieces = sorted(first_entry)
+        entry, result = first_entry[pieces[0]], []
+        for place, number in enumerate(pieces):
+            known = (number, entry[1]) in exits
+            result.append(
+                {user: rows[0][user], piece: number, "_missing": not known}
+                | {f"_in_{f}": v for f, v in zip(POINT_FIELDS, entry)}
+            )
+            if known:
+                entry = exits[number, entry[1]]
+            elif place + 1 < len(pieces):
+                entry = first_entry[pieces[place + 1]]
+        schema = pa.schema(
+            [(user, pa.int64()), (piece, pa.int64()), ("_missing", pa.bool_())]
+            + [(f"_in_{f}", kind) for f, kind in zip(POINT_FIELDS, _POINT_TYPES)]
+        )
+        return pa.Table.from_pylist(result, schema=schema)
+
+    return run
