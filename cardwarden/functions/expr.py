@@ -145,7 +145,8 @@ def distinct_count(column: Column | str, approx: bool = False) -> Column:
 
 def seeded_mod(key: Column | str, n: int, seed: int = 0) -> Column:
     """A repeatable pseudo-random number in 0..n-1."""
-    return F.pmod(F.xxhash64(col(key), F.lit(seed)), F.lit(n))
+    digest = F.md5(F.concat_ws(":", col(key).cast("string"), F.lit(str(seed))))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % n
 
 
 # --- geography ------------------------------------------------------------

@@ -9,6 +9,7 @@ from cardwarden.functions import expr
 from cardwarden.operators import alerts as alert_ops
 from cardwarden.operators import joins, timeline
 from cardwarden.operators.slices import DEFAULT_POLICY, SlicePolicy
+from cardwarden.session import stored
 
 ALERT_TYPE = "structuring_aml"
 ACTOR = "structuring"
@@ -193,11 +194,8 @@ def detect_structuring(
     txns: DataFrame, users: DataFrame, alerts: DataFrame, as_of=None, raise_alerts: bool = True,
     **options,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Report, new alerts and summary from one evaluation of the report.
-
-    The report is kept for its consumers; call unpersist on it when done.
-    """
-    report = structuring_report(txns, users, as_of, **options).persist()
+    """Report, new alerts and summary from one evaluation of the report, which is stored."""
+    report = stored(structuring_report(txns, users, as_of, **options))
     raised = structuring_new_alerts(report, alerts)
     if not raise_alerts:
         raised = raised.limit(0)

@@ -13,10 +13,10 @@ from cardwarden.operators import (
     alerts, changes, geo, joins, login, merchant, quality, structuring, textlists, timeline,
 )
 from cardwarden.plans import reports
-from cardwarden.session import stored
+from cardwarden.session import new_folder, stored
 from cardwarden.sources import adapters, tables
 from cardwarden.sources.adapters import AS_OF
-from cardwarden.streaming import detect
+from cardwarden.streaming import detect, stateful
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -469,6 +469,12 @@ def _(t):
     return geo.geo_velocity_declining(t["transactions"]).select(*_GEO_OUT)
 
 
+@raw_query("r1_4_geo_velocity_stream")
+def _(spark, folder):
+    judged = stateful.geo_velocity_stream(adapters.stream(spark, folder, "transactions"))
+    return stateful.run_available(judged).filter("violation").select(*_GEO_OUT)
+
+
 @query("r1_5_evidence_rows")
 def _(t):
     rows = geo.evidence_rows(geo.geo_velocity(t["transactions"]), t["transactions"])
@@ -637,6 +643,11 @@ def _(t):
     return merchant.merchant_risk_profile(t["merchants"], t["transactions"], t["alerts"], fanout_safe=True)
 
 
+_DETECTED = [
+    "transaction_id", "transaction_status", "geo_violation", "structuring_violation", "mcc_flagged"
+]
+
+
 @query("r9_detect_all")
 def _(t):
     def keep_verdicts(df, name):
@@ -647,9 +658,20 @@ def _(t):
         t["transactions"], t["merchants"], t["alerts"], as_of=AS_OF, batch_id="batch_id",
         stage=keep_verdicts,
     )
-    return result.judged.select(
-        "transaction_id", "transaction_status", "geo_violation", "structuring_violation", "mcc_flagged"
-    )
+    return result.judged.select(*_DETECTED)
+
+
+@raw_query("st1_detect_stream")
+def _(spark, folder):
+    t = adapters.tables(spark, folder)
+    payments = adapters.stream(spark, folder, "transactions")
+    place = new_folder(spark, "detect")
+    store = detect.DetectionStore(spark, f"{place}/results")
+    detect.start_detection(
+        payments, store, t["merchants"], t["alerts"], f"{place}/state", statement_id="batch_id"
+    ).awaitTermination()
+    judged = store.read_all("transactions").withColumnRenamed("violation", "structuring_violation")
+    return judged.select(*_DETECTED)
 
 
 # --- login security -------------------------------------------------------
@@ -665,6 +687,15 @@ def _(t):
     return login.lockout_events(t["login_log"])
 
 
+@raw_query("l3_login_state_stream")
+def _(spark, folder):
+    counted = stateful.login_state_stream(adapters.stream(spark, folder, "login_log"))
+    locks = stateful.run_available(counted).filter(
+        (F.col("failed_attempts") >= login.MAX_FAILURES) & F.col("locked_until").isNotNull()
+    )
+    return locks.select("log_id", "auth_id", "event_timestamp", "failed_attempts", "locked_until")
+
+
 @query("l4_touch")
 def _(t):
     return changes.touch(

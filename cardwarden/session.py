@@ -43,6 +43,12 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8) -> SparkSession:
     return spark
 
 
+def configure_streams(spark: SparkSession) -> SparkSession:
+    """Keyed streams keep their state in RocksDB."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    return configure(spark)
+
+
 def use_checkpoint_dir(spark: SparkSession) -> str:
     """Folder for cut lineage: the cluster's shared one, or a private one in local mode."""
     current = spark.sparkContext.getCheckpointDir()
@@ -57,12 +63,17 @@ def use_checkpoint_dir(spark: SparkSession) -> str:
     return shared
 
 
+def new_folder(spark: SparkSession, purpose: str) -> str:
+    """A fresh place in the checkpoint folder."""
+    return f"{use_checkpoint_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Write a result to the checkpoint folder and go on from the written table.
 
     Cuts the lineage and survives lost executors; unlike a checkpointed RDD the
     table is columnar and its size is known to the planner.
     """
-    path = f"{use_checkpoint_dir(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    path = new_folder(df.sparkSession, "stored")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -10,7 +10,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from cardwarden.session import configure
-from cardwarden.sources.tables import scan
+from cardwarden.sources.tables import scan, scan_stream
 
 # Fixed value: the clock of all time-relative queries over the adapted tables.
 AS_OF = "2024-01-31 00:00:00"
@@ -128,6 +128,17 @@ SOURCES = {
 }
 
 
+def adapt(spark: SparkSession, name: str, source: DataFrame) -> DataFrame:
+    """One adapted table over its source, which may be a stream."""
+    table = SOURCES[name]
+    return spark.sql(SQL[name].replace(f"FROM {table}", f"FROM {{{table}}}"), **{table: source})
+
+
+def stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """One adapted table as a stream."""
+    return adapt(configure(spark), name, scan_stream(spark, folder, SOURCES[name]))
+
+
 class AdaptedTables(Mapping):
     """The adapted tables of one folder, opened when first asked for."""
 
@@ -137,11 +148,8 @@ class AdaptedTables(Mapping):
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._opened:
-            source = SOURCES[name]
-            text = SQL[name].replace(f"FROM {source}", f"FROM {{{source}}}")
-            self._opened[name] = self._spark.sql(
-                text, **{source: scan(self._spark, self._folder, source)}
-            )
+            source = scan(self._spark, self._folder, SOURCES[name])
+            self._opened[name] = adapt(self._spark, name, source)
         return self._opened[name]
 
     def __iter__(self):

@@ -22,6 +22,15 @@ def scan(spark: SparkSession, folder: str, table: str, fmt: str = "parquet") ->
     return reader.load(f"{folder}/{table}.{fmt}")
 
 
+def scan_stream(spark: SparkSession, folder: str, table: str, files_per_batch: int | None = None) -> DataFrame:
+    """The parquet files of one table of a folder as a stream."""
+    schema = spark.read.parquet(f"{folder}/{table}.parquet").schema
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{table}*.parquet")
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(folder)
+
+
 def ingest(df: DataFrame, table: str) -> DataFrame:
     """Bring rows to the table's columns and types; absent columns become null."""
     present = set(df.columns)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cardwarden.functions import expr
 from cardwarden.operators import geo, login
+from cardwarden.session import configure_streams, new_folder
 from cardwarden.streaming import processors
 
 cloudpickle.register_pickle_by_value(processors)
@@ -76,3 +77,13 @@ def login_state_stream(
         moment("locked_until").alias("locked_until"),
         moment("last_login_at").alias("last_login_at"), "last_login_ip",
     )
+
+
+def run_available(stream: DataFrame) -> DataFrame:
+    """Run a stream over what its source holds now and return the rows it wrote."""
+    spark = configure_streams(stream.sparkSession)
+    folder = new_folder(spark, "stream")
+    writer = stream.writeStream.format("parquet").option("path", f"{folder}/rows")
+    query = writer.option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
+    query.awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{folder}/rows")

@@ -275,11 +275,38 @@ LOGIN_COUNTED = """SELECT *, sum(f) OVER (PARTITION BY auth_id, epoch ORDER BY e
    CASE WHEN event_type = 'login_success' AND login_status = 'success' THEN 1 ELSE 0 END AS s
   FROM login_log WHERE auth_id IS NOT NULL) a WHERE f + s = 1) b"""
 
+LOCKOUTS = """SELECT log_id, auth_id, event_timestamp, CAST(fails AS INT) AS failed_attempts,
+ event_timestamp + INTERVAL 30 MINUTE AS locked_until FROM counted WHERE f = 1 AND fails >= 5"""
 
 HOME = """SELECT t.transaction_id, l.latitude AS hlat, l.longitude AS hlon, t.latitude AS lat, t.longitude AS lon
  FROM transactions t JOIN locations l ON l.user_id = t.user_id WHERE t.latitude IS NOT NULL"""
 
 
+def detected(clock: str) -> str:
+    """All rules over the payments of unblocked batches."""
+    unblocked = "batch_id NOT IN (SELECT batch_id FROM blocked)"
+    steps = walk_steps("accepted")
+    steps.pop("located")
+    return sql(
+        f"""SELECT j.transaction_id, j.st AS transaction_status, j.geo AS geo_violation,
+        coalesce(w.n >= 2 AND w.total >= 10000, FALSE) AS structuring_violation, j.mcc AS mcc_flagged
+        FROM judged j LEFT JOIN (SELECT user_id, count(*) AS n, sum(transaction_amount) AS total
+          FROM judged WHERE st = 'completed' AND transaction_amount < 10000
+          AND transaction_timestamp BETWEEN {clock} - INTERVAL 48 HOUR AND {clock} GROUP BY user_id) w
+        ON w.user_id = j.user_id""",
+        blocked=BLOCKED,
+        located=LOCATED,
+        accepted=f"""SELECT * FROM located WHERE id IN
+          (SELECT transaction_id FROM transactions WHERE {unblocked})""",
+        **steps,
+        judged=f"""SELECT t.transaction_id, t.user_id, t.transaction_amount, t.transaction_timestamp,
+          CASE WHEN m.id IS NULL THEN t.transaction_status ELSE 'declined' END AS st, m.id IS NOT NULL AS geo,
+          t.transaction_status <> 'reversed' AND t.merchant_mcc IN ({HIGH_RISK}) AS mcc
+          FROM transactions t LEFT JOIN (SELECT id FROM measured WHERE speed > 900) m ON m.id = t.transaction_id
+          WHERE {unblocked}""",
+    )
+
+
 def oracle() -> dict[str, str]:
     return {
         "src1_scan": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders",
@@ -433,6 +460,10 @@ def oracle() -> dict[str, str]:
             strftime(transaction_timestamp, '%Y-%m-%d %H:%M:%S') AS at_text,
             coalesce(ip_address, 'N/A') || chr(13) || chr(10) || merchant_mcc AS two_lines FROM transactions"""
         ),
+        "f11_seeded_mod": sql(
+            """SELECT auth_id, CAST('0x' || substr(md5(auth_id || ':5'), 1, 8) AS BIGINT) % 72 AS hours_ago
+            FROM authentication"""
+        ),
         "u1_haversine_km": sql(
             f"SELECT transaction_id, CAST(round({km('hlat', 'hlon', 'lat', 'lon')}, 2) AS DECIMAL(12,2)) AS km FROM home",
             home=HOME,
@@ -481,6 +512,7 @@ def oracle() -> dict[str, str]:
         ),
         "r1_2_geo_velocity": sql(GEO_SELECT, **GEO_STEPS),
         "r1_3_geo_velocity_declining": sql(GEO_SELECT, **walk_steps()),
+        "r1_4_geo_velocity_stream": sql(GEO_SELECT, **walk_steps()),
         "r1_5_evidence_rows": sql(
             """SELECT t.transaction_id AS original_transaction_id, t.user_id, t.card_id, t.transaction_amount,
             'reversed' AS transaction_status, t.transaction_timestamp FROM transactions t
@@ -632,24 +664,9 @@ def oracle() -> dict[str, str]:
             LEFT JOIN (SELECT transaction_id, count(DISTINCT alert_id) AS n FROM alerts GROUP BY transaction_id) a
               ON a.transaction_id = t.transaction_id GROUP BY ALL"""
         ),
-        "r9_detect_all": sql(
-            f"""SELECT a.transaction_id, a.st AS transaction_status, a.geo AS geo_violation,
-            coalesce(w.n >= 2 AND w.total >= 10000, FALSE) AS structuring_violation, a.mcc AS mcc_flagged
-            FROM accepted_judged a LEFT JOIN (SELECT user_id, count(*) AS n, sum(transaction_amount) AS total
-              FROM accepted_judged WHERE st = 'completed' AND transaction_amount < 10000
-              AND transaction_timestamp BETWEEN {AS_OF} - INTERVAL 48 HOUR AND {AS_OF} GROUP BY user_id) w
-            ON w.user_id = a.user_id""",
-            blocked=BLOCKED,
-            located=LOCATED,
-            located_accepted="""SELECT * FROM located WHERE id NOT IN (SELECT transaction_id FROM transactions
-              WHERE batch_id IN (SELECT batch_id FROM blocked))""",
-            **{k: v for k, v in walk_steps("located_accepted").items() if k != "located"},
-            accepted_judged=f"""SELECT t.transaction_id, t.user_id, t.transaction_amount, t.transaction_timestamp,
-              CASE WHEN m.id IS NULL THEN t.transaction_status ELSE 'declined' END AS st, m.id IS NOT NULL AS geo,
-              t.transaction_status <> 'reversed' AND t.merchant_mcc IN ({HIGH_RISK}) AS mcc
-              FROM transactions t LEFT JOIN (SELECT id FROM measured WHERE speed > 900) m ON m.id = t.transaction_id
-              WHERE t.batch_id NOT IN (SELECT batch_id FROM blocked)""",
-        ),
+        "r9_detect_all": detected(AS_OF),
+        # A stream goes by the latest payment it has seen.
+        "st1_detect_stream": detected("(SELECT max(transaction_timestamp) FROM transactions)"),
         "l1_login_state": sql(
             f"""SELECT auth_id, failed_attempts, locked_until, coalesce(locked_until > {AS_OF}, FALSE) AS is_locked,
             last_login_at, last_login_ip FROM (
@@ -661,11 +678,8 @@ def oracle() -> dict[str, str]:
               FROM counted GROUP BY auth_id) x""",
             counted=LOGIN_COUNTED,
         ),
-        "l2_lockout_events": sql(
-            """SELECT log_id, auth_id, event_timestamp, CAST(fails AS INT) AS failed_attempts,
-            event_timestamp + INTERVAL 30 MINUTE AS locked_until FROM counted WHERE f = 1 AND fails >= 5""",
-            counted=LOGIN_COUNTED,
-        ),
+        "l2_lockout_events": sql(LOCKOUTS, counted=LOGIN_COUNTED),
+        "l3_login_state_stream": sql(LOCKOUTS, counted=LOGIN_COUNTED),
         "l4_touch": sql(
             f"""SELECT auth_id, CASE WHEN auth_id IN (SELECT auth_id FROM counted WHERE f = 1 AND fails >= 5)
             THEN {AS_OF} END AS updated_at FROM authentication""",

@@ -102,7 +102,6 @@ def test_report_consumers(seed):
     (total,) = summary.collect()
     assert (total.total_suspects_detected, total.new_alerts_raised) == (1, 1)
     assert total.analysis_window_end - total.analysis_window_start == timedelta(hours=48)
-    report.unpersist()
     _, none, summary = structuring.detect_structuring(
         seed["transactions"], seed["users"], seed["alerts"], s.T, raise_alerts=False
     )
