@@ -156,7 +156,9 @@ def render_notes(chosen: DataFrame, notes: DataFrame, max_notes: int = 10_000) -
     )
     texts = (
         wanted.join(sizes, KEY)
-        .groupBy(*KEY, part.cast("bigint").alias("part"))
+        .withColumn("part", part.cast("bigint"))
+        .repartition(*KEY, "part")
+        .groupBy(*KEY, "part")
         .agg(F.array_sort(F.collect_list(entry)).alias("_entries"))
     )
     joined = F.array_join(F.col("_entries.text"), "\r\n")

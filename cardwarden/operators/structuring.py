@@ -229,11 +229,14 @@ def structuring_on_insert(
     min_count: int = 2,
     window_hours: int = 48,
 ) -> DataFrame:
-    """Judge every arriving row against its user's window after the whole batch landed."""
+    """Judge every arriving row against its user's window after the whole batch landed.
+
+    Windows are totalled before anything is joined by user, so that a busy user
+    reaches the join as one row.
+    """
     landed = history.select(*_JUDGED).unionByName(batch.select(*_JUDGED))
     eligible = _below(_in_window(landed, as_of, window_hours), threshold)
-    touched = batch.select("user_id").distinct()
-    windows = eligible.join(touched, "user_id", "left_semi").groupBy("user_id").agg(
+    windows = eligible.groupBy("user_id").agg(
         F.count("transaction_id").alias("txn_count"),
         F.sum("transaction_amount").cast(_TOTAL).alias("aggregate_total"),
         F.max("card_id").alias("max_card_id"),

@@ -44,9 +44,12 @@ def text_lists(
     entry = F.when(
         F.col("_text").isNotNull(), F.struct(F.col("_text"), repeated.alias("_repeated"))
     )
+    # The shuffle by part keeps the join free to split a frequent group.
     joined = (
         rows.join(groups, _same(rows, groups, keys))
-        .groupBy(*keys, *totals, part.alias("_part"))
+        .withColumn("_part", part)
+        .repartition(*keys, "_part")
+        .groupBy(*keys, *totals, "_part")
         .agg(F.array_sort(F.collect_list(entry)).alias("_entries"))
     )
     texts = F.when(F.size("_entries") > 0, F.array_join("_entries._repeated", sep))

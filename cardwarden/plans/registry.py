@@ -95,6 +95,18 @@ def _(t):
     return filled.select("transaction_id", "card_id", "currency_code", "transaction_status", _TS)
 
 
+@raw_query("snk1_append")
+def _(spark, folder):
+    t = adapters.tables(spark, folder)
+    place = new_folder(spark, "alerts")
+    report = structuring.structuring_report(t["transactions"], t["users"], AS_OF)
+    rejected = merchant.block_batch(t["transactions"], t["merchants"])[1]
+    kept = ["card_id", "user_id", "alert_type", "risk_score", "alert_status"]
+    tables.append(structuring.structuring_new_alerts(report, t["alerts"]).select(*kept), place)
+    tables.append(merchant.blocked_alerts(rejected, t["merchants"], AS_OF).select(*kept), place)
+    return spark.read.parquet(place)
+
+
 _ALERT_OUT = [
     "alert_id", "transaction_id", "card_id", "user_id", "alert_type", "risk_score",
     "alert_status", "created_at", "hits",

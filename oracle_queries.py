@@ -321,6 +321,12 @@ def oracle() -> dict[str, str]:
             CASE WHEN transaction_id % 10 = 0 THEN 'completed' ELSE transaction_status END AS transaction_status,
             transaction_timestamp FROM transactions"""
         ),
+        "snk1_append": sql(
+            """SELECT card_id, user_id, alert_type, risk_score, alert_status FROM raised
+            UNION ALL SELECT card_id, user_id, 'blacklisted_merchant', CAST(m.risk_score AS DECIMAL(4,2)), 'open'
+            FROM transactions t JOIN merchants m ON m.merchant_id = t.merchant_id WHERE is_blacklisted = 1""",
+            report=REPORT, raised=RAISED,
+        ),
         "snk2_upsert_open_alerts": sql(
             SNAPSHOT, judged=TRAILING,
             hits=STRUCTURING_HITS.replace("CARD", "card_id").replace("TOTAL", "total").replace("N / 100", "n / 100"),
