@@ -93,7 +93,7 @@ def upsert_open_alerts(
     closed = alerts.filter(~F.coalesce(_is_open(), F.lit(False))).withColumn(
         "hits", F.lit(None).cast("bigint")
     )
-    matched = alerts.filter(_is_open()).join(grouped, KEY, "left")
+    matched = joins.lookup(alerts.filter(_is_open()), grouped, KEY)
     hit = F.col("hits").isNotNull()
     refreshed = matched.select(
         *[
@@ -144,8 +144,8 @@ def render_notes(chosen: DataFrame, notes: DataFrame, max_notes: int = 10_000) -
     An alert with more than max_notes notes continues on further rows, one per
     range of max_notes payment ids, numbered by part.
     """
-    wanted = notes.join(chosen.select(*KEY).distinct(), KEY, "left_semi")
-    sizes = wanted.groupBy(*KEY).agg(F.count(F.lit(1)).alias("_notes"))
+    sizes = notes.groupBy(*KEY).agg(F.count(F.lit(1)).alias("_notes"))
+    wanted = sizes.join(chosen.select(*KEY).distinct(), KEY, "left_semi")
     part = F.when(F.col("_notes") <= max_notes, 0).otherwise(
         F.floor(F.col("transaction_id") / max_notes)
     )
@@ -155,9 +155,9 @@ def render_notes(chosen: DataFrame, notes: DataFrame, max_notes: int = 10_000) -
                  F.coalesce("note", F.lit(""))).alias("text"),
     )
     texts = (
-        wanted.join(sizes, KEY)
+        joins.lookup(notes, wanted, KEY)
+        .filter(F.col("_notes").isNotNull())
         .withColumn("part", part.cast("bigint"))
-        .repartition(*KEY, "part")
         .groupBy(*KEY, "part")
         .agg(F.array_sort(F.collect_list(entry)).alias("_entries"))
     )

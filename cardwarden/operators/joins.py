@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardwarden.functions import expr
+from cardwarden.operators.slices import DEFAULT_POLICY, SlicePolicy
 
 
 def select_cols(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -16,19 +19,85 @@ def select_cols(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(*[c for c in cols if c in present])
 
 
-def left_many(left: DataFrame, right: DataFrame, keys: str | Sequence[str]) -> DataFrame:
+def left_many(
+    left: DataFrame,
+    right: DataFrame,
+    keys: str | Sequence[str],
+    policy: SlicePolicy = DEFAULT_POLICY,
+) -> DataFrame:
     """Left join to a side that may repeat a key very often.
 
-    An outer join cannot split a frequent key of its right side; an inner join
-    can. So matches come from an inner join, and rows without a match from an
-    anti join against the distinct keys.
+    An outer join cannot split a frequent key of its right side. So matches come
+    from an inner join in which the right rows of a frequent key are spread over
+    salts and the left rows repeated for each salt, and rows without a match
+    come from an anti join with the distinct keys. N right rows hold at most
+    N / rows_per_slice frequent keys, the only rows that are broadcast. Right
+    rows should differ in some column, as equal rows share a salt.
     """
     on = [keys] if isinstance(keys, str) else list(keys)
-    matched = left.join(right, on)
-    unmatched = left.join(right.select(*on).distinct(), on, "left_anti")
+    counts = right.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    frequent = F.broadcast(
+        counts.filter(F.col("_n") > policy.rows_per_slice).select(
+            *on, F.ceil(F.col("_n") * policy.oversample / policy.rows_per_slice).alias("_salts")
+        )
+    )
+    salts = F.coalesce("_salts", F.lit(1))
+    repeated = (
+        left.join(frequent, on, "left")
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1)))
+        .drop("_salts")
+    )
+    spread = (
+        right.join(frequent, on, "left")
+        .withColumn("_salt", F.pmod(F.xxhash64(*right.columns), salts))
+        .drop("_salts")
+    )
+    matched = repeated.join(spread, [*on, "_salt"]).drop("_salt")
+    unmatched = left.join(counts.select(*on), on, "left_anti")
     return matched.unionByName(unmatched, allowMissingColumns=True)
 
 
+def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Column]:
+    """The right side with renamed keys, and the condition under which keys agree, nulls included."""
+    renamed = right.withColumnsRenamed({k: f"_{k}" for k in keys})
+    return renamed, reduce(and_, [left[k].eqNullSafe(renamed[f"_{k}"]) for k in keys])
+
+
+def _join_same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    renamed, condition = _same_keys(left, right, keys)
+    return left.join(renamed, condition, "left").drop(*[f"_{k}" for k in keys])
+
+
+def lookup(
+    rows: DataFrame,
+    table: DataFrame,
+    keys: str | Sequence[str],
+    policy: SlicePolicy = DEFAULT_POLICY,
+) -> DataFrame:
+    """Left join to a computed table with one row per key; missing keys agree.
+
+    Skew handling at run time needs plain shuffles below the join, which an
+    aggregated side lacks. So rows of a frequent key are spread over salts here,
+    and the key's one row is repeated for each; the table of frequent keys has
+    the bound given for left_many.
+    """
+    on = [keys] if isinstance(keys, str) else list(keys)
+    salts = F.ceil(F.col("_n") * policy.oversample / policy.rows_per_slice)
+    frequent = F.broadcast(
+        rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_n") > policy.rows_per_slice)
+        .select(*on, salts.alias("_salts"))
+    )
+    used = F.coalesce("_salts", F.lit(1))
+    spread = _join_same(rows, frequent, on).withColumn(
+        "_salt", F.pmod(F.xxhash64(*rows.columns), used)
+    ).drop("_salts")
+    repeated = _join_same(table, frequent, on).withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), used - 1))
+    ).drop("_salts")
+    return _join_same(spread, repeated, [*on, "_salt"]).drop("_salt")
+
+
 def optional_eq(df: DataFrame, column: str, value=None) -> DataFrame:
     """Filter by a value, or keep all rows when none is given."""
     return df if value is None else df.filter(F.col(column) == value)

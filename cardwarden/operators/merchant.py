@@ -64,8 +64,8 @@ def gate(
 
     mode 'batch' rejects every row of a batch holding a blacklisted merchant,
     mode 'row' only the offending rows. Batches are marked through the distinct
-    ids of offending ones, so a batch is never gathered; without a batch id all
-    rows are one batch.
+    ids of offending ones, so a batch is never gathered. Rows whose batch id is
+    missing form one batch; without a batch id column all rows do.
     """
     if mode == "row":
         bad = merchants.filter(_blacklisted()).select("merchant_id", F.lit(True).alias("_bad"))
@@ -79,7 +79,7 @@ def gate(
     if batch_id is None:
         return batch.withColumn("rejected", found.agg(F.count(F.lit(1)) > 0).scalar())
     blocked = found.select(batch_id).distinct().withColumn("_bad", F.lit(True))
-    return batch.join(blocked, batch_id, "left").select(
+    return joins.lookup(batch, blocked, batch_id).select(
         *batch.columns, F.col("_bad").isNotNull().alias("rejected")
     )
 

@@ -241,7 +241,7 @@ def structuring_on_insert(
         F.sum("transaction_amount").cast(_TOTAL).alias("aggregate_total"),
         F.max("card_id").alias("max_card_id"),
     )
-    return _judged(batch.join(windows, "user_id", "left"), threshold, min_count)
+    return _judged(joins.lookup(batch, windows, "user_id"), threshold, min_count)
 
 
 def structuring_trailing(
@@ -289,7 +289,7 @@ def structuring_audit(
         .select("user_id").distinct().withColumn("_open", F.lit(True))
     )
     opens = firsts.join(known, "user_id", "left")
-    rows = judged.join(opens, "user_id", "left")
+    rows = joins.lookup(judged, opens, "user_id")
     existing = F.col("_open").isNotNull() | (F.col("transaction_id") > F.col("_first"))
     outcome = expr.label(
         [(~hit, "No violation"), (existing, "Existing alert updated")], "New alert raised"

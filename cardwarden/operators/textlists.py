@@ -2,15 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    """Equality of keys in which a missing key equals a missing key."""
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[f"_{k}"]) for k in keys])
+from cardwarden.operators import joins
 
 
 def text_lists(
@@ -35,7 +30,7 @@ def text_lists(
     )
     groups = per_text.groupBy(*keys).agg(
         F.count(text).alias("_texts"), *[last.alias(name) for name, (_, last) in totals.items()]
-    ).withColumnsRenamed({k: f"_{k}" for k in keys})
+    )
     rows = per_text.drop(*totals).withColumnRenamed(text, "_text")
     part = F.when(F.col("_texts") <= max_texts, 0).otherwise(
         F.pmod(F.xxhash64("_text"), F.ceil(F.col("_texts") / max_texts))
@@ -44,11 +39,9 @@ def text_lists(
     entry = F.when(
         F.col("_text").isNotNull(), F.struct(F.col("_text"), repeated.alias("_repeated"))
     )
-    # The shuffle by part keeps the join free to split a frequent group.
     joined = (
-        rows.join(groups, _same(rows, groups, keys))
+        joins.lookup(rows, groups, keys)
         .withColumn("_part", part)
-        .repartition(*keys, "_part")
         .groupBy(*keys, *totals, "_part")
         .agg(F.array_sort(F.collect_list(entry)).alias("_entries"))
     )

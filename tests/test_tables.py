@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 import seed as s
 from cardwarden.operators import changes, joins, quality
+from cardwarden.operators.slices import SlicePolicy
 from cardwarden.plans import reports
 from cardwarden.sources import tables
 from cardwarden.sources.schemas import TABLES
@@ -109,14 +110,24 @@ def test_every_table_rule_parses(spark):
         assert quality.null_violations(empty, table.required, table.key).isEmpty()
 
 
-def test_left_many_equals_left_join(spark):
-    left = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k int, v string")
-    right = spark.createDataFrame([(1, 5)] * 4 + [(3, 6), (None, 7)], "k int, w int")
+@pytest.mark.parametrize("policy", [SlicePolicy(), SlicePolicy(2, 3)])
+def test_left_many_equals_left_join(spark, policy):
+    left = spark.createDataFrame([(1, "a"), (1, "z"), (2, "b"), (3, "d"), (None, "c")], "k int, v string")
+    right = spark.createDataFrame([(1, i) for i in range(40)] + [(3, 6), (4, 1), (None, 7)], "k int, w int")
     want = left.join(right, "k", "left")
-    got = joins.left_many(left, right, "k").select(want.columns)
+    got = joins.left_many(left, right, "k", policy).select(want.columns)
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 
 
+@pytest.mark.parametrize("policy", [SlicePolicy(), SlicePolicy(3, 2)])
+def test_lookup_equals_null_safe_left_join(spark, policy):
+    rows = spark.createDataFrame([(i % 3 or None, i) for i in range(30)] + [(9, 99)], "k int, v int")
+    table = spark.createDataFrame([(1, "a"), (None, "n"), (5, "x")], "k int, w string")
+    got = sorted((r.v, r.w) for r in joins.lookup(rows, table, "k", policy).collect())
+    names = {1: "a", None: "n"}
+    assert got == [(i, names.get(i % 3 or None)) for i in range(30)] + [(99, None)]
+
+
 def test_sort_orders(spark):
     users = spark.createDataFrame([(1, "low"), (2, "high"), (3, "medium")], "user_id int, risk_profile string")
     assert [r.user_id for r in joins.order_by_risk(users).collect()] == [3, 1, 2]
