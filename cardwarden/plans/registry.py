@@ -662,15 +662,15 @@ _DETECTED = [
 
 @query("r9_detect_all")
 def _(t):
-    def keep_verdicts(df, name):
-        """The travel verdicts feed the status and the totals; find them once."""
-        return stored(df) if name == "geo_judged" else df
+    def keep(df, name):
+        """Accepted payments and travel verdicts are read several times; find them once."""
+        return stored(df) if name in ("accepted", "geo_judged") else df
 
     result = detect.detect_batch(
         t["transactions"], t["merchants"], t["alerts"], as_of=AS_OF, batch_id="batch_id",
-        stage=keep_verdicts,
+        stage=keep,
     )
-    return result.judged.select(*_DETECTED)
+    return result.judged.withColumnRenamed("violation", "structuring_violation").select(*_DETECTED)
 
 
 @raw_query("st1_detect_stream")

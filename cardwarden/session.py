@@ -33,6 +33,7 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8) -> SparkSession:
         .appName("cardwarden")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,15 +29,48 @@ _PARTITIONS = (T.StructField("batch", T.IntegerType()), T.StructField("day", T.D
 
 @dataclass
 class Detection:
-    """What one batch leads to."""
+    """What one batch leads to; alerts, notes and audit rows are planned when asked for."""
 
     judged: DataFrame  # accepted payments, final status and verdict of every rule
     rejected: DataFrame  # payments of blocked batches
     geo_judged: DataFrame
-    alerts: alert_ops.Upsert
-    blocked_alerts: DataFrame
-    notes: DataFrame
-    audit: DataFrame
+    arrived: DataFrame  # accepted payments with the status they came with
+    merchants: DataFrame
+    open_alerts: DataFrame
+    as_of: object
+
+    @cached_property
+    def mcc_judged(self) -> DataFrame:
+        return merchant.flag_high_risk_mcc(self.arrived, self.merchants)
+
+    @cached_property
+    def hits(self) -> DataFrame:
+        return (
+            geo.geo_hits(self.geo_judged.filter("violation"))
+            .unionByName(structuring.structuring_hits(self.judged))
+            .unionByName(merchant.mcc_hits(self.mcc_judged))
+        )
+
+    @cached_property
+    def alerts(self) -> alert_ops.Upsert:
+        return alert_ops.upsert_open_alerts(self.open_alerts, self.hits, POLICIES, self.as_of)
+
+    @cached_property
+    def blocked_alerts(self) -> DataFrame:
+        return merchant.blocked_alerts(self.rejected, self.merchants, self.as_of)
+
+    @cached_property
+    def notes(self) -> DataFrame:
+        return alert_ops.note_rows(self.hits, self.as_of)
+
+    @cached_property
+    def audit(self) -> DataFrame:
+        return (
+            geo.geo_audit(self.geo_judged, self.as_of)
+            .unionByName(structuring.structuring_audit(self.judged, self.open_alerts, self.as_of))
+            .unionByName(merchant.mcc_audit(self.mcc_judged, self.as_of))
+            .unionByName(merchant.blocked_audit(self.rejected, self.merchants, self.as_of))
+        )
 
 
 Stage = Callable[[DataFrame, str], DataFrame]
@@ -64,7 +98,7 @@ def detect_batch(
     may store them and return the stored table.
     """
     accepted, rejected = merchant.block_batch(batch, merchants, batch_id)
-    rejected = stage(rejected, "rejected")
+    accepted, rejected = stage(accepted, "accepted"), stage(rejected, "rejected")
     geo_judged = stage(
         geo.judge_velocity_declining(accepted, last_accepted=last_accepted, policy=policy),
         "geo_judged",
@@ -88,27 +122,7 @@ def detect_batch(
     arrived = structured.withColumn("transaction_status", F.col("arrived_status")).select(
         *batch.columns
     )
-    flagged = merchant.flag_high_risk_mcc(arrived, merchants)
-    hits = (
-        geo.geo_hits(violations)
-        .unionByName(structuring.structuring_hits(structured))
-        .unionByName(merchant.mcc_hits(flagged))
-    )
-    audit = (
-        geo.geo_audit(geo_judged, as_of)
-        .unionByName(structuring.structuring_audit(structured, alerts, as_of))
-        .unionByName(merchant.mcc_audit(flagged, as_of))
-        .unionByName(merchant.blocked_audit(rejected, merchants, as_of))
-    )
-    return Detection(
-        judged=structured.withColumnRenamed("violation", "structuring_violation"),
-        rejected=rejected,
-        geo_judged=geo_judged,
-        alerts=alert_ops.upsert_open_alerts(alerts, hits, POLICIES, as_of),
-        blocked_alerts=merchant.blocked_alerts(rejected, merchants, as_of),
-        notes=alert_ops.note_rows(hits, as_of),
-        audit=audit,
-    )
+    return Detection(structured, rejected, geo_judged, arrived, merchants, alerts, as_of)
 
 
 class DetectionStore:
