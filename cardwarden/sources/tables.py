@@ -121,10 +121,14 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     df.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
-def store_by_day(txns: DataFrame, path: str, mode: str = "append") -> None:
-    """Store payments by day, so look-back filters read only the days they need."""
-    day = F.to_date("transaction_timestamp")
-    txns.withColumn("day", day).write.mode(mode).partitionBy("day").parquet(path)
+def write_by_day(txns: DataFrame, path: str, mode: str = "append") -> None:
+    """Store payments by day, so look-back filters read only the days they need.
+
+    Rows are rebalanced by day before the write: few files per day, and a large
+    day still goes to several tasks.
+    """
+    dated = txns.withColumn("day", F.to_date("transaction_timestamp"))
+    dated.hint("rebalance", "day").write.mode(mode).partitionBy("day").parquet(path)
 
 
 def since_days(stored: DataFrame, as_of, hours: int) -> DataFrame:

@@ -143,10 +143,10 @@ class DetectionStore:
         return f"{self.path}/{table}/batch={batch}"
 
     def write(self, df: DataFrame, table: str, batch: int) -> None:
-        writer = df.write.mode("overwrite")
         if table == "transactions":
-            writer = df.withColumn("day", F.to_date(_TS)).write.mode("overwrite").partitionBy("day")
-        writer.parquet(self._folder(table, batch))
+            tables.write_by_day(df, self._folder(table, batch), mode="overwrite")
+        else:
+            df.write.mode("overwrite").parquet(self._folder(table, batch))
 
     def stage(self, df: DataFrame, table: str, batch: int) -> DataFrame:
         """Store a result and go on from the stored table; an empty one keeps its columns."""

@@ -161,3 +161,14 @@ def test_seeded_mod_is_repeatable(spark):
 def test_normalized_risk(spark):
     assert value(spark, expr.normalized_risk(dec("9.80", "decimal(4,2)"))) == D("0.98")
     assert value(spark, expr.normalized_risk(dec("0.98", "decimal(4,2)"))) == D("0.98")
+
+
+def test_clock_and_group_expressions(spark):
+    assert value(spark, expr.now_utc(datetime(2026, 4, 1))) == datetime(2026, 4, 1)
+    assert value(spark, expr.now_utc()) is not None
+    frame = spark.range(100).select((F.col("id") % 10).alias("k"), F.lit(None).cast("int").alias("none"))
+    row = frame.agg(
+        expr.distinct_count("k").alias("exact"), expr.distinct_count("k", approx=True).alias("about"),
+        expr.sum0("none").alias("nothing"), expr.count_if(F.col("k") > 7).alias("high"),
+    ).first()
+    assert (row.exact, row.about, row.nothing, row.high) == (10, 10, 0, 20)

@@ -49,8 +49,8 @@ def test_formats_round_trip(spark, tmp_path):
 def test_append_and_day_pruning(spark, tmp_path):
     path = f"{tmp_path}/txns"
     rows = s.payments(spark, *[s.payment(i, 1, 1, 1, 10, -1440 * i) for i in range(6)])
-    tables.store_by_day(rows, path)
-    tables.store_by_day(s.payments(spark, s.payment(9, 1, 1, 1, 10, 0)), path)
+    tables.write_by_day(rows, path)
+    tables.write_by_day(s.payments(spark, s.payment(9, 1, 1, 1, 10, 0)), path)
     stored = spark.read.parquet(path)
     assert stored.count() == 7
     recent = tables.since_days(stored, s.T, 48)
