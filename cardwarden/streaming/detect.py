@@ -166,13 +166,34 @@ class DetectionStore:
         return before.filter("alert_status = 'open'")
 
     def history(self, batch: int, payments: T.StructType, as_of, hours: int = 48) -> DataFrame | None:
-        """Earlier accepted payments of the days the look-back touches."""
-        if batch == 0:
+        """Earlier accepted payments of the days the look-back touches.
+
+        The spans table tells which batches reach into the look-back, so only
+        their folders are listed; their number, not their rows, comes to the driver.
+        """
+        if batch == 0 or as_of is None:
+            return None
+        start = expr.shift(expr.instant(as_of), -hours, "hour")
+        reaching = self.read("spans", batch - 1).filter(
+            (F.col("last_at") >= start) & (F.col("first_at") <= expr.instant(as_of))
+        )
+        folders = [self._folder("transactions", r.batch_no) for r in reaching.select("batch_no").collect()]
+        if not folders:
             return None
-        schema = T.StructType([*payments, *_PARTITIONS])
-        earlier = self.read_all("transactions", schema).filter(F.col("batch") < batch)
+        reader = self.spark.read.schema(T.StructType([*payments, *_PARTITIONS]))
+        earlier = reader.option("basePath", f"{self.path}/transactions").parquet(*folders)
         return tables.since_days(earlier, as_of, hours)
 
+    def write_span(self, judged: DataFrame, batch: int) -> None:
+        """Add the batch's first and last payment time to the spans of all batches so far."""
+        at = F.col(_TS).cast("timestamp")
+        span = judged.agg(F.min(at).alias("first_at"), F.max(at).alias("last_at")).select(
+            F.lit(batch).alias("batch_no"), "first_at", "last_at"
+        )
+        if batch:
+            span = self.read("spans", batch - 1).unionByName(span)
+        self.write(span.coalesce(1), "spans", batch)
+
     def last_accepted(self, batch: int) -> DataFrame | None:
         if batch == 0:
             return None
@@ -212,10 +233,11 @@ def run_batch(
         open_before = store.open_alerts(batch_no, initial_alerts)
         found = detect_batch(
             batch, merchants, open_before,
-            history=None if as_of is None else store.history(batch_no, batch.schema, as_of),
+            history=store.history(batch_no, batch.schema, as_of),
             last_accepted=before, as_of=as_of, batch_id=statement_id,
             stage=lambda df, name: store.stage(df, name, batch_no),
         )
+        store.write_span(found.judged, batch_no)
         store.write(found.notes, "notes", batch_no)
         store.write(found.audit, "audit", batch_no)
         opened = found.alerts.opened.drop("alert_id").unionByName(
