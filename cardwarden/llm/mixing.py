@@ -4,9 +4,10 @@ Words are the tokens. Sources get target amounts (weights, with a ceiling of a
 number of passes over a source). The targets are cut into blocks of equal size
 and the blocks are given out by highest quotients t / (2 k + 1): first to the
 sources, then within each source to its shards. A shard lays its documents out
-in a seeded order, cuts them into blocks and takes its quota: whole passes
-first, then a run of blocks from a seeded block on, around the end. What a
-document gives is the overlap of its words with the taken blocks.
+in a seeded order, cuts them into blocks of equal size (that size up to rounding, so that
+no part of a block is left over) and takes its quota: whole passes first, then a
+run of blocks from a seeded block on, around the end. What a document gives is
+the overlap of its words with the taken blocks.
 
 Bounds: the table of sources has a row per source and one window over it; a
 source has at most `most_shards` shards, and its shards meet in one window. A
@@ -117,7 +118,7 @@ def mix(
     shard_words: int = 200_000,
     most_shards: int = 1024,
     most_block: int = 1024,
-    blocks_per_source: int = 64,
+    blocks_per_source: int = 256,
     keep_text: bool = True,
 ) -> DataFrame:
     """The documents with size, source_size, target and taken.
@@ -168,25 +169,28 @@ def mix(
     )
     laid = Window.partitionBy("__source", "__shard").orderBy("__hash", "__size", "doc_id")
     there = split.withColumn("__stop", F.sum("__size").over(laid.rowsBetween(Window.unboundedPreceding, 0)))
-    n_blocks = F.ceil(F.col("__words") / F.col("block"))
+    n_blocks = F.greatest(F.lit(1).cast("long"), F.round(F.col("__words") / F.col("block")).cast("long"))
     seats = F.least(F.col("seats"), most_passes * n_blocks)
     first = F.pmod(F.xxhash64(F.lit(seed + 2), F.col("__source"), F.col("__shard")), n_blocks)
     there = (
         there.withColumn("__start", F.col("__stop") - F.col("__size"))
+        .withColumn("__blocks", n_blocks)
+        .withColumn("__first", first)
         .withColumn("__passes", F.floor(seats / n_blocks))
-        .withColumn("__rest", seats - F.floor(seats / n_blocks) * n_blocks)
-        .withColumn("__from", first * F.col("block"))
-        .withColumn("__to", (first + F.col("__rest")) * F.col("block"))
-        .withColumn("__turn", n_blocks * F.col("block"))
+        .withColumn("__rest", seats % n_blocks)
     )
 
+    def edge(number: Column) -> Column:
+        """The word at which a block of the shard begins."""
+        return F.floor(number.cast("decimal(19,0)") * F.col("__words") / F.col("__blocks")).cast("long")
+
     def overlap(low: Column, high: Column) -> Column:
         return F.greatest(F.lit(0), F.least(F.col("__stop"), high) - F.greatest(F.col("__start"), low))
 
-    around = F.greatest(F.lit(0), F.col("__to") - F.col("__turn"))
-    taken = F.col("__passes") * F.col("__size") + overlap(F.col("__from"), F.least("__to", "__turn")) + overlap(
-        F.lit(0), around
-    )
+    last = F.col("__first") + F.col("__rest")
+    ahead = overlap(edge(F.col("__first")), edge(F.least(last, F.col("__blocks"))))
+    around = overlap(F.lit(0), edge(F.greatest(F.lit(0), last - F.col("__blocks"))))
+    taken = F.col("__passes") * F.col("__size") + ahead + around
     return there.select(
         *own,
         F.col("__size").alias("size"),
