@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from cardwarden.llm.common import table
+from cardwarden.llm.decontaminate import OP4_SQL, op4_decontaminate
 from cardwarden.llm.mixing import op10_mixing
 from cardwarden.llm.secrets import OP1_SQL, op1_secret_scan
 
 QUERIES = {
     "op1_secret_scan": lambda spark, d: op1_secret_scan(table(spark, d, "documents")),
+    "op4_decontaminate": lambda spark, d: op4_decontaminate(table(spark, d, "documents"), table(spark, d, "benchmark")),
     "op10_mixing": lambda spark, d: op10_mixing(table(spark, d, "documents")),
 }
 
 ORACLE = {
     "op1_secret_scan": OP1_SQL,
+    "op4_decontaminate": OP4_SQL,
 }
