@@ -9,6 +9,7 @@ from cardwarden.llm.mixing import op10_mixing
 from cardwarden.llm.quality import op5_quality
 from cardwarden.llm.secrets import OP1_SQL, op1_secret_scan
 from cardwarden.llm.toxicity import op8_toxicity
+from cardwarden.llm.warc import OP9_SQL, op9_warc
 
 QUERIES = {
     "op1_secret_scan": lambda spark, d: op1_secret_scan(table(spark, d, "documents")),
@@ -16,10 +17,12 @@ QUERIES = {
     "op5_quality": lambda spark, d: op5_quality(table(spark, d, "documents"), table(spark, d, "labels")),
     "op7_near_duplicates": lambda spark, d: op7_near_duplicates(table(spark, d, "documents")),
     "op8_toxicity": lambda spark, d: op8_toxicity(table(spark, d, "documents"), table(spark, d, "labels")),
+    "op9_warc": lambda spark, d: op9_warc(table(spark, d, "pages")),
     "op10_mixing": lambda spark, d: op10_mixing(table(spark, d, "documents")),
 }
 
 ORACLE = {
     "op1_secret_scan": OP1_SQL,
     "op4_decontaminate": OP4_SQL,
+    "op9_warc": OP9_SQL,
 }
