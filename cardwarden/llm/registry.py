@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from cardwarden.llm.common import table
 from cardwarden.llm.decontaminate import OP4_SQL, op4_decontaminate
+from cardwarden.llm.html_extract import op3_html_extract
 from cardwarden.llm.minhash import op7_near_duplicates
 from cardwarden.llm.mixing import op10_mixing
 from cardwarden.llm.quality import op5_quality
@@ -13,6 +14,7 @@ from cardwarden.llm.warc import OP9_SQL, op9_warc
 
 QUERIES = {
     "op1_secret_scan": lambda spark, d: op1_secret_scan(table(spark, d, "documents")),
+    "op3_html_extract": lambda spark, d: op3_html_extract(table(spark, d, "pages")),
     "op4_decontaminate": lambda spark, d: op4_decontaminate(table(spark, d, "documents"), table(spark, d, "benchmark")),
     "op5_quality": lambda spark, d: op5_quality(table(spark, d, "documents"), table(spark, d, "labels")),
     "op7_near_duplicates": lambda spark, d: op7_near_duplicates(table(spark, d, "documents")),
