@@ -9,11 +9,13 @@ from cardwarden.llm.minhash import op7_near_duplicates
 from cardwarden.llm.mixing import op10_mixing
 from cardwarden.llm.quality import op5_quality
 from cardwarden.llm.secrets import OP1_SQL, op1_secret_scan
+from cardwarden.llm.topk import OP2_SQL, op2_topk_search
 from cardwarden.llm.toxicity import op8_toxicity
 from cardwarden.llm.warc import OP9_SQL, op9_warc
 
 QUERIES = {
     "op1_secret_scan": lambda spark, d: op1_secret_scan(table(spark, d, "documents")),
+    "op2_topk_search": lambda spark, d: op2_topk_search(table(spark, d, "embeddings")),
     "op3_html_extract": lambda spark, d: op3_html_extract(table(spark, d, "pages")),
     "op4_decontaminate": lambda spark, d: op4_decontaminate(table(spark, d, "documents"), table(spark, d, "benchmark")),
     "op5_quality": lambda spark, d: op5_quality(table(spark, d, "documents"), table(spark, d, "labels")),
@@ -25,6 +27,7 @@ QUERIES = {
 
 ORACLE = {
     "op1_secret_scan": OP1_SQL,
+    "op2_topk_search": OP2_SQL,
     "op4_decontaminate": OP4_SQL,
     "op9_warc": OP9_SQL,
 }
