@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cardwarden.session import stored
+
 DOC_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -41,3 +43,17 @@ def labelled_sample(
         .agg(F.min(F.struct("text", "n_chars")).alias("d"))
         .select("doc_id", F.col("d.text").alias("text"), F.col("d.n_chars").alias("n_chars"), "y", "turn")
     )
+
+
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """`stored`, and the shuffle files of the job that wrote the table are given back at once."""
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP)
+    conf.set(CLEANUP, "true")
+    try:
+        return stored(df)
+    finally:
+        conf.set(CLEANUP, before)

@@ -9,6 +9,7 @@ from cardwarden.llm.minhash import op7_near_duplicates
 from cardwarden.llm.mixing import op10_mixing
 from cardwarden.llm.quality import op5_quality
 from cardwarden.llm.secrets import OP1_SQL, op1_secret_scan
+from cardwarden.llm.suffix import op6_suffix_dedup
 from cardwarden.llm.topk import OP2_SQL, op2_topk_search
 from cardwarden.llm.toxicity import op8_toxicity
 from cardwarden.llm.warc import OP9_SQL, op9_warc
@@ -19,6 +20,7 @@ QUERIES = {
     "op3_html_extract": lambda spark, d: op3_html_extract(table(spark, d, "pages")),
     "op4_decontaminate": lambda spark, d: op4_decontaminate(table(spark, d, "documents"), table(spark, d, "benchmark")),
     "op5_quality": lambda spark, d: op5_quality(table(spark, d, "documents"), table(spark, d, "labels")),
+    "op6_suffix_dedup": lambda spark, d: op6_suffix_dedup(table(spark, d, "documents")),
     "op7_near_duplicates": lambda spark, d: op7_near_duplicates(table(spark, d, "documents")),
     "op8_toxicity": lambda spark, d: op8_toxicity(table(spark, d, "documents"), table(spark, d, "labels")),
     "op9_warc": lambda spark, d: op9_warc(table(spark, d, "pages")),
