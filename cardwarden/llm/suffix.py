@@ -43,7 +43,7 @@ from cardwarden.llm.common import settled
 LENGTH = 50
 GRAM = 16
 PART_BYTES = 16 << 20
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 SHARDS = 4
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93], np.uint64)
 _FAR = np.iinfo(np.int64).max
@@ -287,12 +287,17 @@ def _decisions(segments: DataFrame, parts: int, length: int, chunk: int, shards:
         digests: list[bytes] = []
         strings: list[bytes] = []
         docs: list[int] = []
+        alone: list[tuple] = []
         held = 0
 
         def flush() -> pa.RecordBatch:
             return runs(digests, least_documents(strings, np.array(docs), length, shards))
 
         for group in groups.values():
+            if len(group) == 1:  # equal segments only: one interval
+                (digest, (segment, doc)), = group.items()
+                alone.append((digest, len(segment) - length + 1, doc))
+                continue
             for digest, (segment, doc) in group.items():
                 digests.append(digest), strings.append(segment), docs.append(doc)
                 held += len(segment) + 1
@@ -301,6 +306,8 @@ def _decisions(segments: DataFrame, parts: int, length: int, chunk: int, shards:
                 digests, strings, docs, held = [], [], [], 0
         if strings:
             yield flush()
+        columns = [[a[0] for a in alone], [0] * len(alone), [a[1] for a in alone], [a[2] for a in alone]]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, schema.types)], schema=schema)
 
     dealt = segments.repartition(parts, "anchor").select("anchor", "segment", "digest", "doc")
     return dealt.mapInArrow(decide, "digest binary, start long, windows long, least long")
