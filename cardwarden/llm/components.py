@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardwarden.session import stored
+from cardwarden.llm.common import settled
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -17,7 +17,7 @@ def components(links: DataFrame) -> DataFrame:
     shuffle and each round is written to the shared folder, so a node with very
     many links is never gathered and the plan does not grow.
     """
-    pairs = stored(
+    pairs = settled(
         links.filter("a != b")
         .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
         .distinct()
@@ -33,7 +33,7 @@ def components(links: DataFrame) -> DataFrame:
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = stored(large.distinct())
+        large = settled(large.distinct())
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        pairs = stored(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        pairs = settled(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())

@@ -37,8 +37,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cardwarden.llm.common import settled
 from cardwarden.llm.components import components
-from cardwarden.session import stored
 
 
 @dataclass(frozen=True)
@@ -214,7 +214,8 @@ def confirmed_links(members: DataFrame, docs: DataFrame, key: str, text: str, po
                 names=["id", "cluster", "chunks", "chunk", "hashes", "signature"],
             )
 
-    met = placed.join(texts, "id").select("id", "cluster", "chunks", "chunk", "digest", "text")
+    # Members grow with the documents: the same join at every size, never a broadcast of one side.
+    met = placed.join(texts.hint("merge"), "id").select("id", "cluster", "chunks", "chunk", "digest", "text")
     sets = met.mapInArrow(
         sets_of, f"id {kind}, cluster {kind}, chunks int, chunk int, hashes binary, signature binary"
     )
@@ -266,8 +267,8 @@ def near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", policy: MinHashPolicy = MinHashPolicy()
 ) -> DataFrame:
     """Rows (id, n_shingles, component_id), one per row of `docs`; ids are integers."""
-    marked = stored(signatures(docs.withColumn(key, F.col(key).cast("long")), key, text, policy))
-    classes = stored(
+    marked = settled(signatures(docs.withColumn(key, F.col(key).cast("long")), key, text, policy))
+    classes = settled(
         marked.filter("digest IS NOT NULL AND id IS NOT NULL")
         .groupBy("digest")
         .agg(F.min("id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"))
@@ -276,7 +277,7 @@ def near_duplicates(
     hubs = banded.groupBy("band").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     met = banded.join(hubs, "band").filter("id != a").select("a", F.col("id").alias("b"))
     clusters = components(met)
-    members = stored(
+    members = settled(
         classes.join(clusters, F.col("id") == F.col("node")).select(
             "id", F.col("component").alias("cluster"), "n_shingles", "digest"
         )

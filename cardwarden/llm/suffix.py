@@ -262,7 +262,7 @@ def _segments(docs: DataFrame, shared: DataFrame, length: int) -> DataFrame:
             )
 
     lists = shared.groupBy(F.col("doc").alias("of")).agg(F.collect_list("anchors").alias("lists"))
-    met = docs.join(lists, F.col("doc") == F.col("of")).select("doc", "mark", "text", "lists")
+    met = docs.hint("merge").join(lists, F.col("doc") == F.col("of")).select("doc", "mark", "text", "lists")
     return met.mapInArrow(cut, "anchor long, segment binary, digest binary, doc long, mark long, at long")
 
 
@@ -370,7 +370,7 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", **
             )
 
     told = runs.select(F.col("doc").alias("__doc"), F.col("mark").alias("__mark"), "runs")
-    whole = docs.select(key, text).join(
+    whole = docs.select(key, text).hint("merge").join(
         told, (F.col(key).cast("long") == F.col("__doc")) & (F.xxhash64(text) == F.col("__mark")), "left"
     )
     return whole.select(key, text, "runs").mapInArrow(
