@@ -3,10 +3,12 @@
 import pytest
 
 import compare
+import oracle_queries
 import __spark_entry__ as entry
+from cardwarden.plans import registry
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = registry.QUERIES, oracle_queries.oracle()
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +18,7 @@ def con():
 
 def test_every_oracle_has_a_query():
     assert set(ORACLE) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
