@@ -9,8 +9,11 @@ document with a smaller id.
    text and go no further. Anchors of a batch are combined before they travel, so
    an anchor found in very many documents is one row per batch.
 2. The windows that share an anchor in a row form a segment. Equal segments are
-   combined with their smallest document per batch, and meet by anchor.
-3. In a task, segments are dealt into shards; each shard's suffixes are sorted
+   combined, with their smallest document, before any text travels; each
+   different one meets the others of its anchor once, and is cut to the part
+   that some other of them may repeat, by comparing what stands around the
+   anchor. Equal parts are one string again.
+3. In a task, strings are dealt into shards; each shard's suffixes are sorted
    once, which gives its transform. The transforms are merged without sorting
    suffixes again: from an order by zero characters, each round of refinement
    reads the merged transform, sorts it stably by character and so obtains the
@@ -53,19 +56,26 @@ def _utf8(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
 
-def runs_of_windows(raw: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(anchor, first window, number of windows) of the runs of windows with one anchor."""
+def _gram_hashes(raw: bytes) -> np.ndarray:
+    """Hash of the 16 bytes at every place."""
     n = len(raw)
-    if n < length:
-        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+    if n < GRAM:
+        return np.empty(0, np.uint64)
     words = np.ndarray((n - 7,), "<u8", raw, 0, (1,))
     gram = words[: n - GRAM + 1] * _ODD[0]
     gram ^= gram >> np.uint64(29)
     gram += words[8 : n - GRAM + 9] * _ODD[1]
     gram ^= gram >> np.uint64(32)
     gram *= _ODD[2]
-    gram ^= gram >> np.uint64(29)
-    least, width, wanted = gram, 1, length - GRAM + 1
+    return gram ^ (gram >> np.uint64(29))
+
+
+def runs_of_windows(raw: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(anchor, first window, number of windows) of the runs of windows with one anchor."""
+    n = len(raw)
+    if n < length:
+        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+    least, width, wanted = _gram_hashes(raw), 1, length - GRAM + 1
     while 2 * width <= wanted:
         least = np.minimum(least[:-width], least[width:])
         width *= 2
@@ -205,18 +215,16 @@ def _shared_anchors(docs: DataFrame, parts: int, length: int) -> DataFrame:
     return asked.repartition(parts, "part").mapInArrow(answer, "doc long, anchors binary")
 
 
-def _segments(docs: DataFrame, shared: DataFrame, length: int) -> DataFrame:
-    """Rows (anchor, segment, doc, mark, at): segment with its batch's smallest document, or an occurrence.
+def _occurrences(docs: DataFrame, shared: DataFrame, length: int) -> DataFrame:
+    """Rows (digest, anchor, windows, doc, mark, at): every segment with a shared anchor, without its text.
 
-    A row with a segment carries the text to the decision; a row with a place
-    (`at`, the first byte in document `doc` with text hash `mark`) awaits it.
-    `digest` is in both.
+    `at` is its first byte in document `doc`, whose text has the hash `mark`.
     """
     schema = pa.schema(
         [
-            ("anchor", pa.int64()),
-            ("segment", pa.binary()),
             ("digest", pa.binary()),
+            ("anchor", pa.int64()),
+            ("windows", pa.int64()),
             ("doc", pa.int64()),
             ("mark", pa.int64()),
             ("at", pa.int64()),
@@ -225,91 +233,181 @@ def _segments(docs: DataFrame, shared: DataFrame, length: int) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            least: dict[bytes, tuple[int, int, bytes]] = {}
-            rows: list[list] = [[], [], [], []]
+            digests: list[bytes] = []
+            parts: list[list[np.ndarray]] = [[np.empty(0, np.int64)] for _ in range(5)]
             for doc, mark, text, lists in zip(*(batch.column(i) for i in range(4))):
-                raw, doc, mark = _utf8(text.as_py()), doc.as_py(), mark.as_py()
+                raw = _utf8(text.as_py())
                 anchor, first, windows = runs_of_windows(raw, length)
-                hot = np.frombuffer(b"".join(lists.as_py()), np.uint64)
-                on = np.flatnonzero(np.isin(anchor, hot))
-                for a, f, w in zip(anchor[on].view(np.int64).tolist(), first[on].tolist(), windows[on].tolist()):
-                    piece = raw[f : f + w + length - 1]
-                    digest = xxhash.xxh3_128_digest(piece)
-                    known = least.get(digest)
-                    if known is None or doc < known[1]:
-                        least[digest] = (a, doc, piece)
-                    rows[0].append(digest), rows[1].append(doc), rows[2].append(mark), rows[3].append(f)
-            n = len(rows[0])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.nulls(n, pa.int64()),
-                    pa.nulls(n, pa.binary()),
-                    *(pa.array(r, t) for r, t in zip(rows, schema.types[2:])),
-                ],
-                schema=schema,
-            )
-            told = list(least.items())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([x[0] for _, x in told], pa.int64()),
-                    pa.array([x[2] for _, x in told], pa.binary()),
-                    pa.array([d for d, _ in told], pa.binary()),
-                    pa.array([x[1] for _, x in told], pa.int64()),
-                    pa.nulls(len(told), pa.int64()),
-                    pa.nulls(len(told), pa.int64()),
-                ],
-                schema=schema,
-            )
+                on = np.isin(anchor, np.frombuffer(b"".join(lists.as_py()), np.uint64))
+                first, windows = first[on], windows[on]
+                stops = (first + windows + (length - 1)).tolist()
+                digests += [xxhash.xxh3_128_digest(raw[a:b]) for a, b in zip(first.tolist(), stops)]
+                own = np.full((2, len(first)), [[doc.as_py()], [mark.as_py()]], np.int64)
+                for column, values in zip(parts, (anchor[on].view(np.int64), windows, own[0], own[1], first)):
+                    column.append(values)
+            columns = [pa.array(digests, pa.binary()), *(pa.array(np.concatenate(c)) for c in parts)]
+            yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     lists = shared.groupBy(F.col("doc").alias("of")).agg(F.collect_list("anchors").alias("lists"))
     met = docs.hint("merge").join(lists, F.col("doc") == F.col("of")).select("doc", "mark", "text", "lists")
-    return met.mapInArrow(cut, "anchor long, segment binary, digest binary, doc long, mark long, at long")
+    return met.mapInArrow(cut, "digest binary, anchor long, windows long, doc long, mark long, at long")
+
+
+def _distinct_segments(docs: DataFrame, occurrences: DataFrame, length: int) -> DataFrame:
+    """Rows (anchor, digest, doc, many, segment): each different segment once, from its smallest document.
+
+    Equal segments are combined before any text travels; `many` tells whether
+    other documents hold it too.
+    """
+    first = F.min(F.struct("doc", "mark", "at", "windows", "anchor")).alias("f")
+    carriers = settled(
+        occurrences.groupBy("digest").agg(first, F.max("doc").alias("last")).select(
+            "digest", "f.*", (F.col("last") > F.col("f.doc")).alias("many")
+        )
+    )
+    wanted = carriers.groupBy(F.col("doc").alias("of"), F.col("mark").alias("of_mark")).agg(
+        F.collect_list(F.struct("at", "windows", "anchor", "many", "digest")).alias("wanted")
+    )
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc, text, told in zip(*(batch.column(i) for i in range(3))):
+                raw, own = _utf8(text.as_py()), told.values
+                at, windows, anchor, many, digest = (own.field(i) for i in range(5))
+                pieces = [raw[a : a + w + length - 1] for a, w in zip(at.to_pylist(), windows.to_pylist())]
+                docs_of = pa.array(np.full(len(pieces), doc.as_py(), np.int64))
+                yield pa.RecordBatch.from_arrays(
+                    [anchor, digest, docs_of, many, pa.array(pieces, pa.binary())],
+                    names=["anchor", "digest", "doc", "many", "segment"],
+                )
+
+    # Repeated rows of a document carry the same segments; one row is enough.
+    texts = docs.dropDuplicates(["doc", "mark"])
+    met = texts.hint("merge").join(
+        wanted, (F.col("doc") == F.col("of")) & (F.col("mark") == F.col("of_mark"))
+    ).select("doc", "text", "wanted")
+    return met.mapInArrow(cut, "anchor long, digest binary, doc long, many boolean, segment binary")
+
+
+def shared_parts(segments: list[bytes], anchors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(start, stop) of the part of each segment that some other segment of its anchor may repeat.
+
+    Segments of an anchor are aligned at the anchor's string. What a segment has
+    in common with its neighbours in the order of the text behind the anchor, and
+    of the text before it read backwards, is the most it has in common with any.
+    """
+    sizes = np.array([len(s) for s in segments])
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    text = np.frombuffer(b"".join(segments), np.uint8)
+    owner = np.repeat(np.arange(len(segments)), sizes)
+    grams = _gram_hashes(text.tobytes())
+    inside = np.arange(len(grams)) + GRAM <= ends[owner[: len(grams)]]
+    found = np.flatnonzero(inside & (grams.view(np.int64) == anchors[owner[: len(grams)]]))
+    times = np.bincount(owner[found], minlength=len(segments))
+    place = np.zeros(len(segments), np.int64)
+    place[owner[found][::-1]] = found[::-1]
+    left, right = place - starts, ends - place - GRAM
+    widest = max(1, int(max(left.max(), right.max()))) if (times == 1).all() else 64
+    once = (times == 1) & (left <= widest) & (right <= widest)
+
+    def common(step: int, first: np.ndarray, room: np.ndarray) -> np.ndarray:
+        width = -(-widest // 8) * 8
+        reach = np.arange(width)
+        at = np.clip(first[:, None] + step * reach, 0, len(text) - 1)
+        rows = np.where(reach < np.minimum(room, width)[:, None], text[at], 0).astype(np.uint8)
+        words = rows.view(">u8")
+        order = np.lexsort([*(words[:, i] for i in range(width // 8 - 1, -1, -1)), anchors])
+        same = rows[order[1:]] == rows[order[:-1]]
+        length = np.where(same.all(1), width, same.argmin(1))
+        length = np.minimum(length, np.minimum(room[order[1:]], room[order[:-1]]))
+        length = np.where(anchors[order[1:]] == anchors[order[:-1]], length, 0)
+        most = np.zeros(len(segments), np.int64)
+        np.maximum.at(most, order[1:], length)
+        np.maximum.at(most, order[:-1], length)
+        return most
+
+    # A segment with its anchor twice could be aligned in other ways; it and its whole group stay as they are.
+    loose = np.isin(anchors, anchors[~once])
+    start = np.where(loose, 0, left - common(-1, place - 1, left))
+    stop = np.where(loose, sizes, left + GRAM + common(1, place + GRAM, right))
+    return start, stop
+
+
+def decide_group(
+    segments: list[bytes], anchors: np.ndarray, docs: np.ndarray, length: int, chunk: int, shards: int
+) -> list[tuple[int, np.ndarray]]:
+    """(first window, smallest document of it and the following ones) for the segments' shared parts.
+
+    Windows outside these parts have their own segment's document. Equal parts
+    are one string; an anchor with one string needs no merge.
+    """
+    start, stop = shared_parts(segments, anchors)
+    least: dict[int, dict[bytes, int]] = {}
+    parts: list[bytes | None] = []
+    for segment, anchor, doc, a, b in zip(segments, anchors.tolist(), docs.tolist(), start.tolist(), stop.tolist()):
+        part = segment[a:b] if b - a >= length else None
+        parts.append(part)
+        if part is not None:
+            own = least.setdefault(anchor, {})
+            own[part] = min(own.get(part, doc), doc)
+    found: dict[int, dict[bytes, np.ndarray]] = {}
+    strings: list[tuple[int, bytes]] = []
+    held = 0
+
+    def flush() -> None:
+        named = np.array([least[a][p] for a, p in strings])
+        for (a, p), result in zip(strings, least_documents([p for _, p in strings], named, length, shards)):
+            found.setdefault(a, {})[p] = result
+        strings.clear()
+
+    for anchor, own in least.items():
+        if len(own) == 1:
+            (part, doc), = own.items()
+            found[anchor] = {part: np.full(len(part) - length + 1, doc)}
+            continue
+        strings += [(anchor, part) for part in own]
+        held += sum(len(part) + 1 for part in own)
+        if held >= chunk:
+            flush()
+            held = 0
+    if strings:
+        flush()
+    nothing = np.empty(0, np.int64)
+    return [
+        (a, nothing if part is None else found[anchor][part])
+        for part, anchor, a in zip(parts, anchors.tolist(), start.tolist())
+    ]
 
 
 def _decisions(segments: DataFrame, parts: int, length: int, chunk: int, shards: int) -> DataFrame:
     """Rows (digest, start, windows, least): runs of a segment's windows with the same smallest document."""
     schema = pa.schema([("digest", pa.binary()), ("start", pa.int64()), ("windows", pa.int64()), ("least", pa.int64())])
 
-    def runs(digests: list[bytes], found: list[np.ndarray]) -> pa.RecordBatch:
-        out: list[list] = [[], [], [], []]
-        for digest, own in zip(digests, found):
-            cuts = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
-            for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(own)]):
-                out[0].append(digest), out[1].append(a), out[2].append(b - a), out[3].append(int(own[a]))
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, schema.types)], schema=schema)
-
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        groups: dict[int, dict[bytes, list]] = {}
+        columns: list[list] = [[], [], [], [], []]
         for batch in batches:
-            for anchor, segment, digest, doc in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                own = groups.setdefault(anchor, {}).setdefault(digest, [segment, doc])
-                own[1] = min(own[1], doc)
-        digests: list[bytes] = []
-        strings: list[bytes] = []
-        docs: list[int] = []
-        alone: list[tuple] = []
-        held = 0
-
-        def flush() -> pa.RecordBatch:
-            return runs(digests, least_documents(strings, np.array(docs), length, shards))
-
-        for group in groups.values():
-            if len(group) == 1:  # equal segments only: one interval
-                (digest, (segment, doc)), = group.items()
-                alone.append((digest, len(segment) - length + 1, doc))
-                continue
-            for digest, (segment, doc) in group.items():
-                digests.append(digest), strings.append(segment), docs.append(doc)
-                held += len(segment) + 1
-            if held >= chunk:
-                yield flush()
-                digests, strings, docs, held = [], [], [], 0
-        if strings:
-            yield flush()
-        columns = [[a[0] for a in alone], [0] * len(alone), [a[1] for a in alone], [a[2] for a in alone]]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, schema.types)], schema=schema)
-
-    dealt = segments.repartition(parts, "anchor").select("anchor", "segment", "digest", "doc")
+            for held, column in zip(columns, batch.columns):
+                held += column.to_pylist()
+        anchor, digest, doc, many, segment = columns
+        if not digest:
+            return
+        decided = decide_group(segment, np.array(anchor, np.int64), np.array(doc, np.int64), length, chunk, shards)
+        out: list[list] = [[], [], [], []]
+        for name, own, others, text, (at, least) in zip(digest, doc, many, segment, decided):
+            windows = len(text) - length + 1
+            runs = []
+            if len(least):
+                cuts = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1]))).tolist()
+                runs = [(at + a, b - a, int(least[a])) for a, b in zip(cuts, [*cuts[1:], len(least)])]
+            if others:  # copies of the whole segment in other documents follow its smallest document elsewhere
+                runs += [(0, at, own), (at + len(least), windows - at - len(least), own)] if len(least) else [(0, windows, own)]
+            for start, count, smallest in runs:
+                if count > 0 and (others or smallest < own):
+                    out[0].append(name), out[1].append(start), out[2].append(count), out[3].append(smallest)
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, schema.types)], schema=schema)
+
+    dealt = segments.repartition(parts, "anchor").select("anchor", "digest", "doc", "many", "segment")
     return dealt.mapInArrow(decide, "digest binary, start long, windows long, least long")
 
 
@@ -329,10 +427,11 @@ def removed_runs(
     size = own.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     parts = 1 + size // part_bytes
     shared = settled(_shared_anchors(own, parts, length))
-    segments = settled(_segments(own, shared, length))
-    decided = settled(_decisions(segments.filter("at IS NULL"), parts, length, chunk, shards))
-    places = segments.filter("at IS NOT NULL").select("digest", "doc", "mark", "at")
-    met = places.join(decided, "digest").filter("least < doc")
+    occurrences = settled(_occurrences(own, shared, length))
+    segments = settled(_distinct_segments(own, occurrences, length))
+    decided = settled(_decisions(segments, parts, length, chunk, shards))
+    places = occurrences.select("digest", "doc", "mark", "at")
+    met = places.join(decided.hint("merge"), "digest").filter("least < doc")
     run = F.struct((F.col("at") + F.col("start")).alias("start"), (F.col("at") + F.col("start") + F.col("windows") + (length - 1)).alias("stop"))
     return settled(met.groupBy("doc", "mark").agg(F.collect_set(run).alias("runs")))
 
