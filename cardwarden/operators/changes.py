@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardwarden.functions import expr
+from cardwarden.operators import joins
 
 
 def update_from(target: DataFrame, changes: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
@@ -44,7 +45,7 @@ def cascade(child: DataFrame, deleted: DataFrame, key: str, mode: str = "cascade
     if mode == "cascade":
         return child.join(gone, key, "left_anti")
     if mode == "set_null":
-        marked = child.join(gone.withColumn("_gone", F.lit(True)), key, "left")
+        marked = joins.lookup(child, gone.withColumn("_gone", F.lit(True)), key)
         kept = F.when(F.col("_gone").isNull(), F.col(key)).alias(key)
         return marked.select(*[kept if c == key else F.col(c) for c in child.columns])
     raise ValueError(f"unknown mode {mode!r}")

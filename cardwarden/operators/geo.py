@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardwarden.functions import expr
 from cardwarden.operators import slices, timeline, travel_fold
-from cardwarden.operators.slices import DEFAULT_POLICY, SLICE, SlicePolicy
+from cardwarden.operators.slices import DEFAULT_POLICY, FIND, SLICE, Hot, SlicePolicy
 from cardwarden.session import stored
 
 # The fold travels with the plan; executors need no installed package.
@@ -19,7 +21,7 @@ ACTOR = "geo"
 
 _KEPT = [
     "transaction_id", "user_id", "card_id", "transaction_timestamp",
-    "transaction_status", "latitude", "longitude",
+    "transaction_status", "latitude", "longitude", "ip_address",
 ]
 
 
@@ -29,6 +31,7 @@ def geo_planar_pairs(
     min_km: float = 500,
     max_minutes: int = 60,
     policy: SlicePolicy = DEFAULT_POLICY,
+    hot: Hot = FIND,
 ) -> DataFrame:
     """Neighbouring payments of one card that lie too far apart for the time between."""
     ts = "transaction_timestamp"
@@ -38,7 +41,7 @@ def geo_planar_pairs(
     )
     paired = timeline.previous_row(
         seen, "card_id", ts, "transaction_id",
-        ["latitude", "longitude", "merchant_country"], policy=policy,
+        ["latitude", "longitude", "merchant_country"], policy=policy, hot=hot,
     )
     km = expr.planar_km("prev.latitude", "prev.longitude", "latitude", "longitude")
     flagged = (
@@ -63,8 +66,11 @@ def _located() -> Column:
     return F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
 
 
-def _with_metrics(judged: DataFrame, max_kmh: float) -> DataFrame:
-    """Distance, gap, speed, ratio, risk and severity; zero where nothing is violated."""
+def _with_metrics(judged: DataFrame, max_kmh: float, more: Sequence[str] = ()) -> DataFrame:
+    """Distance, gap, speed, ratio, risk and severity; zero where nothing is violated.
+
+    `more` names further columns to carry on.
+    """
     ts = "transaction_timestamp"
     limit = F.lit(max_kmh).cast("decimal(10,2)")
     seconds = expr.boundary_diff("second", "prev_timestamp", ts)
@@ -78,9 +84,12 @@ def _with_metrics(judged: DataFrame, max_kmh: float) -> DataFrame:
             "violation", F.coalesce(F.col("required_speed_kmh") > limit, F.lit(False))
         )
     hit = F.col("violation")
+    before = ["prev_transaction_id", "prev_timestamp", "prev_latitude", "prev_longitude"]
+    if "prev_ip_address" in judged.columns:
+        before.append("prev_ip_address")
     return measured.select(
         *_KEPT,
-        "prev_transaction_id", "prev_timestamp", "prev_latitude", "prev_longitude",
+        *before,
         "distance_km",
         F.when(F.col("_seconds").isNotNull(), expr.travel_minutes(F.col("_seconds"))).alias(
             "time_gap_minutes"
@@ -91,6 +100,7 @@ def _with_metrics(judged: DataFrame, max_kmh: float) -> DataFrame:
         F.when(hit, expr.travel_severity(ratio)).otherwise("NONE").alias("severity"),
         hit.alias("violation"),
         F.col("late") if "late" in judged.columns else F.lit(False).alias("late"),
+        *more,
     )
 
 
@@ -99,6 +109,7 @@ def judge_velocity(
     max_kmh: float = 900,
     ignored: tuple[str, ...] = ("reversed",),
     policy: SlicePolicy = DEFAULT_POLICY,
+    hot: Hot = FIND,
 ) -> DataFrame:
     """Every payment with coordinates against the customer's point before it.
 
@@ -107,8 +118,8 @@ def judge_velocity(
     ts = "transaction_timestamp"
     located = txns.select(*_KEPT).filter(_located())
     found = timeline.prev_eligible(
-        located, "user_id", ts, "transaction_id", ["latitude", "longitude"],
-        ~F.col("transaction_status").isin(list(ignored)), policy=policy,
+        located, "user_id", ts, "transaction_id", ["latitude", "longitude", "ip_address"],
+        ~F.col("transaction_status").isin(list(ignored)), policy=policy, hot=hot,
     )
     judged = found.select(
         *_KEPT,
@@ -116,6 +127,7 @@ def judge_velocity(
         F.col(f"prev.{ts}").alias("prev_timestamp"),
         F.col("prev.latitude").alias("prev_latitude"),
         F.col("prev.longitude").alias("prev_longitude"),
+        F.col("prev.ip_address").alias("prev_ip_address"),
     )
     return _with_metrics(judged, max_kmh)
 
@@ -128,10 +140,10 @@ def geo_velocity(txns: DataFrame, max_kmh: float = 900, **options) -> DataFrame:
 # --- declining form -------------------------------------------------------
 
 
-def _points(txns: DataFrame, ignored: tuple[str, ...]) -> DataFrame:
+def _points(txns: DataFrame, ignored: tuple[str, ...], more: Sequence[str] = ()) -> DataFrame:
     eligible = ~F.col("transaction_status").isin(list(ignored))
     return (
-        txns.select(*_KEPT)
+        txns.select(*_KEPT, *more)
         .filter(_located())
         .withColumns(
             {
@@ -229,7 +241,7 @@ def _settle_entry_points(
 VERDICT_SCHEMA = f"{_points_schema('_ref')}, violation boolean, late boolean"
 
 
-def folded_metrics(folded: DataFrame, max_kmh: float) -> DataFrame:
+def folded_metrics(folded: DataFrame, max_kmh: float, more: Sequence[str] = ()) -> DataFrame:
     """Metrics of rows the fold has judged."""
     ts_type = folded.schema["transaction_timestamp"].dataType
     judged = folded.select(
@@ -238,9 +250,9 @@ def folded_metrics(folded: DataFrame, max_kmh: float) -> DataFrame:
         F.timestamp_micros("_ref_at").cast(ts_type).alias("prev_timestamp"),
         F.col("_ref_lat").cast("decimal(10,8)").alias("prev_latitude"),
         F.col("_ref_lon").cast("decimal(11,8)").alias("prev_longitude"),
-        "violation", "late",
+        "violation", "late", *more,
     )
-    return _with_metrics(judged, max_kmh)
+    return _with_metrics(judged, max_kmh, more)
 
 
 def judge_velocity_declining(
@@ -249,16 +261,19 @@ def judge_velocity_declining(
     ignored: tuple[str, ...] = ("declined", "reversed"),
     last_accepted: DataFrame | None = None,
     policy: SlicePolicy = DEFAULT_POLICY,
+    hot: Hot = FIND,
+    more: Sequence[str] = (),
 ) -> DataFrame:
     """Every payment with coordinates against the customer's last accepted point.
 
     Payments this rule declines never become a reference point. last_accepted
     gives the point (user_id, _in_at, _in_id, _in_lat, _in_lon) customers start
-    with; payments not after it are marked late.
+    with; payments not after it are marked late. `more` names further columns of
+    the payments to carry along, so that no join brings them back.
     """
-    points = _points(txns, ignored)
-    hot = slices.hot_keys(points, ["user_id"], "_at", policy)
-    if hot.isEmpty():
+    points = _points(txns, ignored, more)
+    hot = slices.find(hot, points, ["user_id"], "_at", policy)
+    if hot is None:
         keys = ["user_id"]
         if last_accepted is None:
             rows = points.select("*", *_in_columns(None))
@@ -266,34 +281,25 @@ def judge_velocity_declining(
             rows = points.join(last_accepted, "user_id", "left")
     else:
         keys = ["user_id", SLICE]
-        # Small by its bound; stored so that it is not counted again in every round.
-        marked = slices.mark_slices(points, stored(hot), ["user_id"], "_at")
+        marked = slices.mark_slices(points, hot, ["user_id"], "_at")
         narrow = slices.hot_only(marked).select(
             F.col("user_id").cast("bigint").alias("user_id"),
             SLICE, "_at", "_id", "_lat", "_lon", "_eligible",
         )
-        settled = _settle_entry_points(stored(narrow), last_accepted, max_kmh)
-        rows = slices.attach_carry(marked, settled, ["user_id"])
+        entries = _settle_entry_points(stored(narrow), last_accepted, max_kmh)
         if last_accepted is not None:
-            cold = slices._LO
-            starts = last_accepted.select(
-                "user_id", *[F.col(f"_in_{f}").alias(f"_first_{f}") for f in travel_fold.POINT_FIELDS]
-            )
-            rows = rows.join(starts, "user_id", "left").withColumns(
-                {
-                    f"_in_{f}": F.when(F.col(cold).isNull(), F.col(f"_first_{f}")).otherwise(
-                        F.col(f"_in_{f}")
-                    )
-                    for f in travel_fold.POINT_FIELDS
-                }
-            )
+            # Other customers have the one slice 0; their point waits there.
+            first = last_accepted.join(F.broadcast(hot.select("user_id")), "user_id", "left_anti")
+            entries = entries.unionByName(first.withColumn(SLICE, F.lit(0).cast("bigint")).select(*entries.columns))
+        rows = slices.attach_carry(marked, entries, ["user_id"])
     work = ["_at", "_id", "_lat", "_lon", "_eligible", *[f"_in_{f}" for f in travel_fold.POINT_FIELDS]]
-    columns = list(dict.fromkeys([*keys, *_KEPT, *work]))
+    payload = [*_KEPT, *more]
+    columns = list(dict.fromkeys([*keys, *payload, *work]))
     rows = rows.select(*columns)
-    run = travel_fold.judge_batches(keys, _speed_limit(max_kmh), _KEPT)
-    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in txns.select(*_KEPT).schema)
+    run = travel_fold.judge_batches(keys, _speed_limit(max_kmh), payload)
+    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in txns.select(*payload).schema)
     folded = _ordered(rows, keys).mapInArrow(run, f"{kept}, {VERDICT_SCHEMA}")
-    return folded_metrics(folded, max_kmh)
+    return folded_metrics(folded, max_kmh, more)
 
 
 def geo_velocity_declining(txns: DataFrame, max_kmh: float = 900, **options) -> DataFrame:

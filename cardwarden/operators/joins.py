@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardwarden.functions import expr
-from cardwarden.operators.slices import DEFAULT_POLICY, SlicePolicy
+from cardwarden.operators import slices
+from cardwarden.operators.slices import DEFAULT_POLICY, FIND, Hot, SlicePolicy
 
 
 def select_cols(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -24,37 +25,32 @@ def left_many(
     right: DataFrame,
     keys: str | Sequence[str],
     policy: SlicePolicy = DEFAULT_POLICY,
+    hot: Hot = FIND,
 ) -> DataFrame:
     """Left join to a side that may repeat a key very often.
 
-    An outer join cannot split a frequent key of its right side. So matches come
-    from an inner join in which the right rows of a frequent key are spread over
-    salts and the left rows repeated for each salt, and rows without a match
-    come from an anti join with the distinct keys. N right rows hold at most
-    N / rows_per_slice frequent keys, the only rows that are broadcast. Right
-    rows should differ in some column, as equal rows share a salt.
+    An outer join cannot split a frequent key of its right side. So only rows of
+    keys that the right side repeats beyond the limit take another way: the right
+    rows are spread over salts, the left rows repeated for each salt, and both
+    meet in an inner join, as every such key has a match. All other rows meet in
+    one ordinary left join, and without frequent keys there is nothing else.
+    N right rows hold at most N / rows_per_slice frequent keys, the only rows
+    that are broadcast. Right rows should differ in some column, as equal rows
+    share a salt.
     """
     on = [keys] if isinstance(keys, str) else list(keys)
-    counts = right.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    frequent = F.broadcast(
-        counts.filter(F.col("_n") > policy.rows_per_slice).select(
-            *on, F.ceil(F.col("_n") * policy.oversample / policy.rows_per_slice).alias("_salts")
-        )
-    )
-    salts = F.coalesce("_salts", F.lit(1))
-    repeated = (
-        left.join(frequent, on, "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1)))
-        .drop("_salts")
-    )
-    spread = (
-        right.join(frequent, on, "left")
-        .withColumn("_salt", F.pmod(F.xxhash64(*right.columns), salts))
-        .drop("_salts")
-    )
-    matched = repeated.join(spread, [*on, "_salt"]).drop("_salt")
-    unmatched = left.join(counts.select(*on), on, "left_anti")
-    return matched.unionByName(unmatched, allowMissingColumns=True)
+    frequent = slices.frequent_keys(right, on, policy) if isinstance(hot, str) else hot
+    if frequent is None:
+        return left.join(right, on, "left")
+    few = F.broadcast(frequent)
+    ordinary = left.join(few, on, "left_anti").join(right.join(few, on, "left_anti"), on, "left")
+    repeated = left.join(few, on).withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_parts") - 1))
+    ).drop("_parts")
+    spread = right.join(few, on).withColumn(
+        "_salt", F.pmod(F.xxhash64(*right.columns), F.col("_parts"))
+    ).drop("_parts")
+    return ordinary.unionByName(repeated.join(spread, [*on, "_salt"]).drop("_salt"))
 
 
 def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Column]:
@@ -73,28 +69,27 @@ def lookup(
     table: DataFrame,
     keys: str | Sequence[str],
     policy: SlicePolicy = DEFAULT_POLICY,
+    hot: Hot = FIND,
 ) -> DataFrame:
     """Left join to a computed table with one row per key; missing keys agree.
 
     Skew handling at run time needs plain shuffles below the join, which an
-    aggregated side lacks. So rows of a frequent key are spread over salts here,
-    and the key's one row is repeated for each; the table of frequent keys has
-    the bound given for left_many.
+    aggregated side lacks. So where the rows have frequent keys, their rows are
+    spread over salts here, and the key's one row is repeated for each; the table
+    of frequent keys has the bound given for left_many. Otherwise this is a join.
     """
     on = [keys] if isinstance(keys, str) else list(keys)
-    salts = F.ceil(F.col("_n") * policy.oversample / policy.rows_per_slice)
-    frequent = F.broadcast(
-        rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > policy.rows_per_slice)
-        .select(*on, salts.alias("_salts"))
-    )
-    used = F.coalesce("_salts", F.lit(1))
-    spread = _join_same(rows, frequent, on).withColumn(
+    frequent = slices.frequent_keys(rows, on, policy) if isinstance(hot, str) else hot
+    if frequent is None:
+        return _join_same(rows, table, on)
+    few = F.broadcast(frequent)
+    used = F.coalesce("_parts", F.lit(1))
+    spread = _join_same(rows, few, on).withColumn(
         "_salt", F.pmod(F.xxhash64(*rows.columns), used)
-    ).drop("_salts")
-    repeated = _join_same(table, frequent, on).withColumn(
+    ).drop("_parts")
+    repeated = _join_same(table, few, on).withColumn(
         "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), used - 1))
-    ).drop("_salts")
+    ).drop("_parts")
     return _join_same(spread, repeated, [*on, "_salt"]).drop("_salt")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cardwarden.functions import expr
 from cardwarden.operators import joins, textlists, timeline
-from cardwarden.operators.slices import DEFAULT_POLICY, SlicePolicy
+from cardwarden.operators.slices import DEFAULT_POLICY, FIND, Hot, SlicePolicy
 
 MAX_FAILURES = 5
 LOCK_MINUTES = 30
@@ -25,14 +25,14 @@ def _success():
     return (F.col("event_type") == "login_success") & (F.col("login_status") == "success")
 
 
-def _counted(log: DataFrame, policy: SlicePolicy) -> DataFrame:
+def _counted(log: DataFrame, policy: SlicePolicy, hot: Hot) -> DataFrame:
     """Counting events of known accounts with the failures since the last success."""
     events = log.filter(F.col("auth_id").isNotNull() & (_failure() | _success())).select(
         "log_id", "auth_id", "event_type", "login_status", "ip_address", _TS
     )
     return timeline.runs_since_reset(
         events, "auth_id", _TS, "log_id", _failure(), _success(),
-        out="failed_attempts", policy=policy,
+        out="failed_attempts", policy=policy, hot=hot,
     )
 
 
@@ -42,13 +42,14 @@ def login_state(
     max_fail: int = MAX_FAILURES,
     lock_minutes: int = LOCK_MINUTES,
     policy: SlicePolicy = DEFAULT_POLICY,
+    hot: Hot = FIND,
 ) -> DataFrame:
     """Per account: failures since the last success, lock, last login.
 
     Only a success clears the counter; the end of a lock does not.
     """
     place = F.struct(_TS, "log_id")
-    states = _counted(log, policy).groupBy("auth_id").agg(
+    states = _counted(log, policy, hot).groupBy("auth_id").agg(
         F.max_by("failed_attempts", place).cast("int").alias("failed_attempts"),
         F.max(F.when(_failure(), F.col(_TS))).alias("_last_failure"),
         F.max(F.when(_success(), F.col(_TS))).alias("last_login_at"),
@@ -71,11 +72,12 @@ def lockout_events(
     max_fail: int = MAX_FAILURES,
     lock_minutes: int = LOCK_MINUTES,
     policy: SlicePolicy = DEFAULT_POLICY,
+    hot: Hot = FIND,
 ) -> DataFrame:
     """Every failure that sets or extends a lock."""
     kind = log.schema[_TS].dataType
     return (
-        _counted(log, policy)
+        _counted(log, policy, hot)
         .filter(_failure() & (F.col("failed_attempts") >= max_fail))
         .select(
             "log_id", "auth_id", _TS, F.col("failed_attempts").cast("int").alias("failed_attempts"),

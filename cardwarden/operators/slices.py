@@ -3,11 +3,13 @@
 A window partitioned by user puts every row of a user into one task. Keys above
 a row limit are therefore cut into time slices: windows run inside a slice, and
 what a slice needs from the slices before it (a latest row, a running total) is
-a small per-slice aggregate carried forward. All other keys keep one slice, so
-their plan is the ordinary window plan.
+a small per-slice aggregate carried forward. Without such keys, and for all
+other keys, the plan is the ordinary window plan.
 
-Slices are a pure function of the key's count and range and of the row's own
-order value, so every evaluation of the plan agrees on them.
+Slices begin at quantiles of the key's own order values, so bursts and stray
+values do not fill one slice; only rows with the same order value stay together.
+The table of frequent keys is stored before it is used, so every evaluation of
+the plan agrees on the slices.
 """
 
 from __future__ import annotations
@@ -18,8 +20,15 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cardwarden.session import stored
+
 SLICE = "_slice"
-_LO, _SPAN, _CUTS = "_lo", "_span", "_cuts"
+_STARTS = "_starts"
+
+# A key has at most so many slices; beyond FRACTIONS / oversample times the limit they grow with it.
+FRACTIONS = 4000
+_SEARCH_STEPS = 13  # halvings that find a place among FRACTIONS starts
+FIND = "find"
 
 
 @dataclass(frozen=True)
@@ -27,8 +36,8 @@ class SlicePolicy:
     """Keys with more than rows_per_slice rows are cut.
 
     N rows hold at most N / rows_per_slice such keys, which bounds the table of
-    hot keys that is broadcast. Slices have equal time width; oversample makes
-    them narrower than the average needs, so bursts stay within the limit.
+    frequent keys that is broadcast. oversample makes slices smaller than the
+    limit by that factor.
     """
 
     rows_per_slice: int = 5_000_000
@@ -37,40 +46,86 @@ class SlicePolicy:
 
 DEFAULT_POLICY = SlicePolicy()
 
+# What operators take: a stored table of frequent keys, None for none, or FIND.
+Hot = DataFrame | str | None
 
-def hot_keys(df: DataFrame, keys: Sequence[str], order: str, policy: SlicePolicy) -> DataFrame:
-    """Keys above the limit with the range and number of their slices."""
-    cuts = F.ceil(F.col("_n") * F.lit(policy.oversample) / F.lit(policy.rows_per_slice))
-    return (
+
+def frequent_keys(df: DataFrame, keys: Sequence[str], policy: SlicePolicy) -> DataFrame | None:
+    """Keys above the limit with their number of parts (_parts), stored; None if there are none.
+
+    A table that is itself within the limit needs no look at its keys.
+    """
+    if df.count() <= policy.rows_per_slice:
+        return None
+    parts = F.ceil(F.col("_n") * policy.oversample / policy.rows_per_slice)
+    found = stored(
         df.groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.min(order).alias(_LO),
-            (F.max(order) - F.min(order) + 1).cast("double").alias(_SPAN),
-        )
+        .agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > policy.rows_per_slice)
-        .select(*keys, _LO, _SPAN, cuts.cast("double").alias(_CUTS))
+        .select(*keys, F.greatest(parts, F.lit(2)).cast("bigint").alias("_parts"))
     )
+    return None if found.isEmpty() else found
+
+
+def quantiles(order: str, fractions: int = FRACTIONS) -> Column:
+    """The order values at 1/fractions, 2/fractions, ... of the rows, nearly."""
+    places = ", ".join(f"{i / fractions}D" for i in range(1, fractions))
+    return F.expr(f"percentile_approx(`{order}`, array({places}), {10 * fractions})")
 
 
-def slice_of(order: Column | str) -> Column:
-    """Slice number of an order value; non-decreasing in that value, 0 for cold keys."""
+def starts_among(values: Column, parts: Column, fractions: int = FRACTIONS) -> Column:
+    """Distinct values at which parts 1, 2, ... of about equal size begin."""
+    cuts = F.least(parts, F.lit(fractions))
+    places = F.sequence(F.lit(1).cast("bigint"), cuts - 1)
+    picked = F.transform(places, lambda i: F.get(values, (F.ceil(i * fractions / cuts) - 1).cast("int")))
+    return F.array_distinct(picked)
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], order: str, policy: SlicePolicy) -> DataFrame | None:
+    """Keys above the limit with the order values at which their slices begin; None if there are none."""
+    frequent = frequent_keys(df, keys, policy)
+    if frequent is None:
+        return None
+    rows = df.select(*keys, order).join(F.broadcast(frequent), list(keys))
+    sketched = rows.groupBy(*keys, "_parts").agg(quantiles(order).alias("_values"))
+    return stored(sketched.select(*keys, starts_among(F.col("_values"), F.col("_parts")).alias(_STARTS)))
+
+
+def find(hot: Hot, df: DataFrame, keys: Sequence[str], order: str, policy: SlicePolicy) -> DataFrame | None:
+    return hot_keys(df, keys, order, policy) if isinstance(hot, str) else hot
+
+
+def place_among(starts: str, order: Column | str) -> Column:
+    """How many of the sorted starts are not above the order value, by halving."""
     order = F.col(order) if isinstance(order, str) else order
-    position = (order - F.col(_LO)).cast("double") / F.col(_SPAN) * F.col(_CUTS)
-    return F.coalesce(F.floor(position).cast("bigint"), F.lit(0))
+
+    def halve(acc: Column, _: Column) -> Column:
+        middle = F.floor((acc["low"] + acc["high"]) / 2).cast("int")
+        here = acc["low"] < acc["high"]
+        after = here & (F.get(F.col(starts), middle) <= acc["value"])
+        return F.struct(
+            F.when(after, middle + 1).otherwise(acc["low"]).alias("low"),
+            F.when(here & ~after, middle).otherwise(acc["high"]).alias("high"),
+            acc["value"].alias("value"),
+        )
+
+    begin = F.struct(F.lit(0).alias("low"), F.size(starts).alias("high"), order.alias("value"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(_SEARCH_STEPS)), begin, halve, lambda acc: acc["low"])
 
 
 def mark_slices(df: DataFrame, hot: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
-    """Add the slice number to every row."""
+    """Add the slice number to every row: non-decreasing in the order value, 0 for other keys."""
+    place = F.when(F.col(_STARTS).isNull(), F.lit(0)).otherwise(place_among(_STARTS, order))
     return (
         df.join(F.broadcast(hot), list(keys), "left")
-        .withColumn(SLICE, slice_of(order))
-        .drop(_SPAN, _CUTS)
+        .withColumn(SLICE, place.cast("bigint"))
+        .withColumn("_hot", F.col(_STARTS).isNotNull())
+        .drop(_STARTS)
     )
 
 
 def hot_only(marked: DataFrame) -> DataFrame:
-    return marked.filter(F.col(_LO).isNotNull())
+    return marked.filter("_hot")
 
 
 def carry(
@@ -91,4 +146,4 @@ def attach_carry(marked: DataFrame, carried: DataFrame, keys: Sequence[str]) ->
 
 
 def drop_marks(df: DataFrame) -> DataFrame:
-    return df.drop(SLICE, _LO)
+    return df.drop(SLICE, "_hot")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cardwarden.functions import expr
 from cardwarden.operators import alerts as alert_ops
 from cardwarden.operators import joins, timeline
-from cardwarden.operators.slices import DEFAULT_POLICY, SlicePolicy
+from cardwarden.operators.slices import DEFAULT_POLICY, FIND, Hot, SlicePolicy
 from cardwarden.session import stored
 
 ALERT_TYPE = "structuring_aml"
@@ -33,13 +33,14 @@ def structuring_band(
     minutes: int = 60,
     min_count: int = 3,
     policy: SlicePolicy = DEFAULT_POLICY,
+    hot: Hot = FIND,
 ) -> DataFrame:
     """Payments in an amount band that follow enough others of the user within the span."""
     band = _in_band(txns, lo, hi).select(
         "user_id", "card_id", "transaction_id", "transaction_amount", _TS
     )
     counted = timeline.trailing_count(
-        band, "user_id", _TS, minutes, out="txn_count_in_window", policy=policy
+        band, "user_id", _TS, minutes, out="txn_count_in_window", policy=policy, hot=hot
     ).filter(F.col("txn_count_in_window") >= min_count)
     named = counted.join(users.select("user_id", "first_name", "last_name"), "user_id")
     return named.select(
@@ -250,12 +251,13 @@ def structuring_trailing(
     min_count: int = 2,
     window_hours: int = 48,
     policy: SlicePolicy = DEFAULT_POLICY,
+    hot: Hot = FIND,
 ) -> DataFrame:
     """The same test on every eligible payment, with the window ending at its own time."""
     eligible = _below(txns, threshold).select(*_JUDGED)
     totals = timeline.trailing_totals(
         eligible, "user_id", _TS, window_hours * 60, "transaction_amount",
-        count_as="txn_count", sum_as="aggregate_total", policy=policy,
+        count_as="txn_count", sum_as="aggregate_total", policy=policy, hot=hot,
     )
     return _judged(totals, threshold, min_count)
 

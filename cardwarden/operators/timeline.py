@@ -1,4 +1,10 @@
-"""Looking back along a key's time line: earlier rows, running and trailing totals."""
+"""Looking back along a key's time line: earlier rows, running and trailing totals.
+
+Every operator takes `hot`: the stored table of frequent keys of its input
+(slices.hot_keys), None if it is known to have none, or FIND. Without frequent
+keys the plan is one window; with them, windows run per slice and a small
+summary of the earlier slices is attached.
+"""
 
 from __future__ import annotations
 
@@ -9,15 +15,27 @@ from pyspark.sql import functions as F
 
 from cardwarden.functions import expr
 from cardwarden.operators import slices
-from cardwarden.operators.slices import DEFAULT_POLICY, SLICE, SlicePolicy
+from cardwarden.operators.slices import DEFAULT_POLICY, FIND, SLICE, Hot, SlicePolicy
 
 _AT = "_at"
 
 
-def _marked(df: DataFrame, keys: Sequence[str], ts: str, policy: SlicePolicy) -> DataFrame:
+def _latest_before(
+    df: DataFrame, part: str, ts: str, local, latest: Column, out: str, policy: SlicePolicy, hot: Hot
+) -> DataFrame:
+    """The row's own look-back inside its slice, else the largest of the earlier slices."""
     timed = df.withColumn(_AT, expr.micros(ts))
-    hot = slices.hot_keys(timed, keys, _AT, policy)
-    return slices.mark_slices(timed, hot, keys, _AT)
+    hot = slices.find(hot, timed, [part], _AT, policy)
+    if hot is None:
+        return timed.withColumn(out, local([part])).drop(_AT)
+    marked = slices.mark_slices(timed, hot, [part], _AT)
+    summary = slices.hot_only(marked).groupBy(part, SLICE).agg(latest.alias("_latest"))
+    carried = slices.carry(summary, [part], {"_carried": F.max("_latest")})
+    seen = marked.withColumn("_local", local([part, SLICE]))
+    found = slices.attach_carry(seen, carried, [part])
+    return slices.drop_marks(
+        found.withColumn(out, F.coalesce("_local", "_carried")).drop("_local", "_carried", _AT)
+    )
 
 
 def prev_eligible(
@@ -29,23 +47,20 @@ def prev_eligible(
     eligible: Column,
     out: str = "prev",
     policy: SlicePolicy = DEFAULT_POLICY,
+    hot: Hot = FIND,
 ) -> DataFrame:
     """Add the latest strictly earlier eligible row of the same key as a struct.
 
     Equal latest times are settled by the larger id.
     """
-    marked = _marked(df, [part], ts, policy)
     point = F.when(eligible, F.struct(_AT, row_id, ts, *cols))
-    before = (
-        Window.partitionBy(part, SLICE).orderBy(_AT).rangeBetween(Window.unboundedPreceding, -1)
-    )
-    latest = slices.hot_only(marked).groupBy(part, SLICE).agg(F.max(point).alias("_latest"))
-    carried = slices.carry(latest, [part], {"_carried": F.max("_latest")})
-    seen = marked.withColumn("_local", F.max(point).over(before))
-    found = slices.attach_carry(seen, carried, [part])
-    return slices.drop_marks(
-        found.withColumn(out, F.coalesce("_local", "_carried")).drop("_local", "_carried", _AT)
-    )
+
+    def before(keys):
+        return F.max(point).over(
+            Window.partitionBy(*keys).orderBy(_AT).rangeBetween(Window.unboundedPreceding, -1)
+        )
+
+    return _latest_before(df, part, ts, before, F.max(point), out, policy, hot)
 
 
 def previous_row(
@@ -56,18 +71,15 @@ def previous_row(
     cols: Sequence[str],
     out: str = "prev",
     policy: SlicePolicy = DEFAULT_POLICY,
+    hot: Hot = FIND,
 ) -> DataFrame:
     """Add the row directly before, in time then id order, as a struct."""
-    marked = _marked(df, [part], ts, policy)
     row = F.struct(_AT, row_id, ts, *cols)
-    ordered = Window.partitionBy(part, SLICE).orderBy(_AT, row_id)
-    last = slices.hot_only(marked).groupBy(part, SLICE).agg(F.max(row).alias("_last"))
-    carried = slices.carry(last, [part], {"_carried": F.max("_last")})
-    seen = marked.withColumn("_local", F.lag(row).over(ordered))
-    found = slices.attach_carry(seen, carried, [part])
-    return slices.drop_marks(
-        found.withColumn(out, F.coalesce("_local", "_carried")).drop("_local", "_carried", _AT)
-    )
+
+    def before(keys):
+        return F.lag(row).over(Window.partitionBy(*keys).orderBy(_AT, row_id))
+
+    return _latest_before(df, part, ts, before, F.max(row), out, policy, hot)
 
 
 def trailing_totals(
@@ -79,6 +91,7 @@ def trailing_totals(
     count_as: str = "trailing_count",
     sum_as: str = "trailing_sum",
     policy: SlicePolicy = DEFAULT_POLICY,
+    hot: Hot = FIND,
 ) -> DataFrame:
     """Count (and total) of the key's rows in the closed span of minutes up to each row.
 
@@ -89,7 +102,7 @@ def trailing_totals(
     span = minutes * 60_000_000
     payload = df.columns
     timed = df.withColumn(_AT, expr.micros(ts))
-    hot = slices.hot_keys(timed, [part], _AT, policy)
+    hot = slices.find(hot, timed, [part], _AT, policy)
     value = F.col(amount) if amount else F.lit(0)
     enter = F.struct(
         F.col(_AT).alias(_AT), F.lit(1).alias("_one"), value.alias("_value"),
@@ -102,26 +115,29 @@ def trailing_totals(
     steps = timed.select(part, F.explode(F.array(enter, leave)).alias("_step")).select(
         part, "_step.*"
     )
-    marked = slices.mark_slices(steps, hot, [part], _AT)
+    marked = steps if hot is None else slices.mark_slices(steps, hot, [part], _AT)
+    keys = [part] if hot is None else [part, SLICE]
     so_far = (
-        Window.partitionBy(part, SLICE)
+        Window.partitionBy(*keys)
         .orderBy(_AT)
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
     sums = {"_one": "_ones", "_value": "_values"} if amount else {"_one": "_ones"}
-    totals = (
-        slices.hot_only(marked)
-        .groupBy(part, SLICE)
-        .agg(*[F.sum(source).alias(name) for source, name in sums.items()])
-    )
-    carried = slices.carry(totals, [part], {f"{name}_in": F.sum(name) for name in sums.values()})
     running = marked
     for source, name in sums.items():
         running = running.withColumn(name, F.sum(source).over(so_far))
-    rows = slices.attach_carry(running, carried, [part]).filter(F.col("_one") == 1)
+    if hot is not None:
+        totals = (
+            slices.hot_only(marked)
+            .groupBy(part, SLICE)
+            .agg(*[F.sum(source).alias(name) for source, name in sums.items()])
+        )
+        carried = slices.carry(totals, [part], {f"{name}_in": F.sum(name) for name in sums.values()})
+        running = slices.attach_carry(running, carried, [part])
+    rows = running.filter(F.col("_one") == 1)
 
     def total(name):
-        return F.col(name) + F.coalesce(F.col(f"{name}_in"), F.lit(0))
+        return F.col(name) if hot is None else F.col(name) + F.coalesce(F.col(f"{name}_in"), F.lit(0))
 
     out = [total("_ones").alias(count_as)]
     if amount:
@@ -136,9 +152,10 @@ def trailing_count(
     minutes: int,
     out: str = "trailing_count",
     policy: SlicePolicy = DEFAULT_POLICY,
+    hot: Hot = FIND,
 ) -> DataFrame:
     """Number of the key's rows in the closed span of minutes up to each row."""
-    return trailing_totals(df, part, ts, minutes, count_as=out, policy=policy)
+    return trailing_totals(df, part, ts, minutes, count_as=out, policy=policy, hot=hot)
 
 
 def runs_since_reset(
@@ -150,30 +167,43 @@ def runs_since_reset(
     reset: Column,
     out: str = "hits_since_reset",
     policy: SlicePolicy = DEFAULT_POLICY,
+    hot: Hot = FIND,
 ) -> DataFrame:
-    """Number of hits since the key's last reset row, in time then id order."""
-    marked = _marked(df, [part], ts, policy).withColumn("_hit", F.when(hit, 1).otherwise(0))
+    """Number of hits since the key's last reset row, in time then id order.
+
+    One pass: running hits, and running hits at the last reset, which never
+    fall, so a maximum keeps the last. A slice adds the hits of the slices before
+    it to both.
+    """
+    timed = df.withColumn(_AT, expr.micros(ts)).withColumn("_hit", F.when(hit, 1).otherwise(0))
+    hot = slices.find(hot, timed, [part], _AT, policy)
+    marked = timed if hot is None else slices.mark_slices(timed, hot, [part], _AT)
+    keys = [part] if hot is None else [part, SLICE]
     so_far = (
-        Window.partitionBy(part, SLICE)
+        Window.partitionBy(*keys)
         .orderBy(_AT, row_id)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    # Running hits, and running hits at the last reset; the latter starts from
-    # the slices before and never falls, so a maximum carries both.
-    hits = slices.hot_only(marked).groupBy(part, SLICE).agg(F.sum("_hit").alias("_n"))
-    carried_hits = slices.carry(hits, [part], {"_hits_in": F.sum("_n")})
-    counted = slices.attach_carry(
-        marked.withColumn("_local_hits", F.sum("_hit").over(so_far)), carried_hits, [part]
-    ).withColumn("_hits", F.col("_local_hits") + F.coalesce(F.col("_hits_in"), F.lit(0)))
-    at_reset = F.when(reset, F.col("_hits"))
-    resets = slices.hot_only(counted).groupBy(part, SLICE).agg(F.max(at_reset).alias("_n"))
-    carried_resets = slices.carry(resets, [part], {"_reset_in": F.max("_n")})
-    based = slices.attach_carry(
-        counted.withColumn("_local_reset", F.max(at_reset).over(so_far)), carried_resets, [part]
+    counted = marked.withColumn("_hits", F.sum("_hit").over(so_far)).withColumn(
+        "_at_reset", F.max(F.when(reset, F.col("_hits"))).over(so_far)
+    )
+    if hot is None:
+        total = F.col("_hits") - F.coalesce("_at_reset", F.lit(0))
+        return counted.withColumn(out, total).drop(_AT, "_hit", "_hits", "_at_reset")
+    summary = slices.hot_only(counted).groupBy(part, SLICE).agg(
+        F.max("_hits").alias("_n"), F.max("_at_reset").alias("_r")
+    )
+    earlier = Window.partitionBy(part).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    carried = (
+        summary.withColumn("_hits_in", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+        .withColumn("_reset_in", F.max(F.col("_hits_in") + F.col("_r")).over(earlier))
+        .select(part, SLICE, "_hits_in", "_reset_in")
     )
-    base = F.coalesce("_local_reset", "_reset_in", F.lit(0))
+    based = slices.attach_carry(counted, carried, [part])
+    hits_in = F.coalesce("_hits_in", F.lit(0))
+    base = F.coalesce(hits_in + F.col("_at_reset"), F.col("_reset_in"), F.lit(0))
     return slices.drop_marks(
-        based.withColumn(out, F.col("_hits") - base).drop(
-            _AT, "_hit", "_local_hits", "_hits_in", "_hits", "_local_reset", "_reset_in"
+        based.withColumn(out, hits_in + F.col("_hits") - base).drop(
+            _AT, "_hit", "_hits", "_at_reset", "_hits_in", "_reset_in"
         )
     )

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cardwarden.functions import expr
+from cardwarden.operators import slices
 from cardwarden.session import stored
 from cardwarden.sources.schemas import NOW, TABLES
 
@@ -49,37 +50,41 @@ def number_rows(
     offset: int | Column = 0,
     out: str = "row_id",
     rows_per_slice: int = 2_000_000,
-    checkpoint: bool = False,
+    checkpoint: bool = True,
 ) -> DataFrame:
     """Consecutive ids offset+1.. in the order of a numeric column, without one global sort task.
 
-    Rows are numbered inside equal-width slices of the order column and shifted
-    by the row counts of the slices before; only those counts meet in one task,
-    and there are at most about 4 * rows / rows_per_slice of them. Null order
-    values come first. The rows are evaluated three times; checkpoint=True
-    stores them first, for rows that are costly to compute.
+    Rows beyond the limit are numbered inside slices of the order column, cut at
+    its quantiles, and shifted by the row counts of the slices before; only those
+    counts meet in one task. Null order values come first. The rows are read
+    several times, so they are stored first unless checkpoint=False says that
+    they come from a table anyway.
     """
+    rows = df.withColumn("_order", expr.col(order))
     if checkpoint:
-        df = stored(df)
-    df = df.withColumn("_order", expr.col(order))
-    order = "_order"
-    stats = df.agg(
-        F.struct(
-            F.min(order).alias("lo"),
-            (F.max(order) - F.min(order) + 1).cast("double").alias("span"),
-            F.ceil(F.count(F.lit(1)) * 4.0 / rows_per_slice).alias("cuts"),
+        rows = stored(rows)
+    start = expr.operand(offset).cast("bigint")
+    count = rows.count()
+    if count <= rows_per_slice:
+        place = F.row_number().over(Window.orderBy("_order", *ties))
+        return rows.withColumn(out, start + place).drop("_order")
+    parts = F.lit(-(-4 * count // rows_per_slice)).cast("bigint")
+    # Stored, so that every reader of the starts sees the same ones.
+    starts = stored(
+        rows.agg(slices.quantiles("_order").alias("_values")).select(
+            slices.starts_among(F.col("_values"), parts).alias("_starts")
         )
-    ).scalar()
-    position = (F.col(order) - stats["lo"]).cast("double") / stats["span"] * stats["cuts"]
-    sliced = df.withColumn("_part", F.coalesce(F.floor(position).cast("bigint"), F.lit(-1)))
+    )
+    placed = rows.withColumn("_starts", starts.scalar())
+    part = F.when(F.col("_order").isNull(), F.lit(-1)).otherwise(slices.place_among("_starts", "_order"))
+    sliced = placed.withColumn("_part", part).drop("_starts")
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     shifts = (
         sliced.groupBy("_part")
         .agg(F.count(F.lit(1)).alias("_n"))
         .select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     )
-    place = F.row_number().over(Window.partitionBy("_part").orderBy(order, *ties))
-    start = expr.operand(offset).cast("bigint")
+    place = F.row_number().over(Window.partitionBy("_part").orderBy("_order", *ties))
     return (
         sliced.withColumn("_place", place)
         .join(shifts, "_part")

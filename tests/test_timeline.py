@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cardwarden.operators import timeline
-from cardwarden.operators.slices import SlicePolicy, hot_keys
+from cardwarden.operators.slices import SLICE, SlicePolicy, hot_keys, mark_slices
 
 START = datetime(2026, 1, 1)
 
@@ -93,7 +93,30 @@ def test_only_frequent_keys_are_cut(data):
     _, frame = data
     timed = frame.withColumn("_at", F.unix_micros("ts"))
     assert [r.user_id for r in hot_keys(timed, ["user_id"], "_at", SlicePolicy(40)).collect()] == [1]
-    assert hot_keys(timed, ["user_id"], "_at", SlicePolicy()).isEmpty()
+    assert hot_keys(timed, ["user_id"], "_at", SlicePolicy()) is None
+    assert hot_keys(timed, ["user_id"], "_at", SlicePolicy(100)) is None
+
+
+@pytest.mark.parametrize("shape", ["stray", "burst", "even", "one_time"])
+def test_slices_keep_the_limit_under_skew(spark, shape):
+    """A stray time, or nearly all rows in a short while, fills no slice beyond the limit."""
+    at = {
+        "stray": F.when(F.col("id") == 0, 0).otherwise(10**15 + F.col("id")),
+        "burst": F.when(F.col("id") % 10 == 0, F.col("id") * 10**9).otherwise(5 * 10**12 + F.col("id")),
+        "even": F.col("id") * 1000,
+        "one_time": F.lit(7),
+    }[shape]
+    rows = spark.range(0, 20_000, 1, 4).select(F.lit(1).alias("user_id"), at.cast("bigint").alias("_at"))
+    policy = SlicePolicy(1000, 4)
+    marked = mark_slices(rows, hot_keys(rows, ["user_id"], "_at", policy), ["user_id"], "_at")
+    found = marked.groupBy(SLICE).agg(F.count(F.lit(1)).alias("n"), F.min("_at").alias("a"), F.max("_at").alias("b"))
+    sizes = found.orderBy(SLICE).collect()
+    assert sum(r.n for r in sizes) == 20_000
+    assert all(x.b < y.a for x, y in zip(sizes, sizes[1:]))
+    if shape == "one_time":
+        assert len(sizes) == 1
+    else:
+        assert max(r.n for r in sizes) <= policy.rows_per_slice
 
 
 def test_span_edges_are_inclusive(spark):
