@@ -186,6 +186,7 @@ def travel_speed(km: Column, seconds: Column) -> Column:
 
 
 def travel_risk(ratio: Column | str) -> Column:
+    """The steps of the score."""
     r = col(ratio)
     low = F.round(F.lit(0.70).cast("decimal(4,2)") + (r - 1) * F.lit(0.20).cast("decimal(4,2)"), 2)
     steps = [(r >= 5, "1.00"), (r >= 3, "0.97"), (r >= 2, "0.93"), (r >= 1.5, "0.87")]
@@ -193,6 +194,7 @@ def travel_risk(ratio: Column | str) -> Column:
 
 
 def travel_severity(ratio: Column | str) -> Column:
+    """The steps of the severity."""
     r = col(ratio)
     return label([(r >= 5, "CRITICAL"), (r >= 2, "HIGH"), (r >= 1.5, "MEDIUM")], "LOW")
 
@@ -201,17 +203,18 @@ def travel_severity(ratio: Column | str) -> Column:
 
 
 def _money(value) -> Column:
-    return operand(value).cast("decimal(15,2)")
+    """Wide enough for a total of all payments."""
+    return operand(value).cast("decimal(25,2)")
 
 
 def structuring_risk_score(total, threshold, n, clamp: bool = False) -> Column:
     """1.00 from twice the threshold on, else grows with count and excess.
 
-    The count term is unbounded, so the type is wider than an alert's score;
-    clamp=True stops at 1.00.
+    Fixed values: 0.70, a hundredth per payment, a tenth of the relative excess.
+    The count term is unbounded, so the type is wide; clamp=True stops at 1.00.
     """
     total, threshold = _money(col(total)), _money(threshold)
-    excess = (total - threshold) / F.nullif(threshold * 10, F.lit(0))
+    excess = ((total - threshold) / F.nullif(threshold, F.lit(0))).cast("decimal(38,16)") / 10
     share = operand(col(n)).cast("decimal(14,2)") / 100
     score = F.round(F.lit("0.70").cast("decimal(3,2)") + share + excess, 2).cast("decimal(14,2)")
     one = F.lit(1).cast("decimal(14,2)")
@@ -221,6 +224,7 @@ def structuring_risk_score(total, threshold, n, clamp: bool = False) -> Column:
 
 
 def structuring_severity(total, threshold) -> Column:
+    """The steps of the severity."""
     total, threshold = _money(col(total)), _money(threshold)
     return label(
         [
@@ -233,8 +237,8 @@ def structuring_severity(total, threshold) -> Column:
 
 
 def alert_score(score: Column | str) -> Column:
-    """A score as stored on an alert, decimal(4,2)."""
-    return F.least(col(score), F.lit("99.99").cast("decimal(4,2)")).cast("decimal(4,2)")
+    """A score as stored on an alert, as wide as the structuring score."""
+    return col(score).cast("decimal(14,2)")
 
 
 def normalized_risk(score: Column | str) -> Column:

@@ -27,14 +27,14 @@ _DEFINITIONS = {
             + pow((lon2 - lon1) * cos(radians((lat1 + lat2) / 2)), 2))""",
     ),
     "structuring_severity": (
-        "total DECIMAL(15,2), threshold DECIMAL(15,2)",
+        "total DECIMAL(25,2), threshold DECIMAL(25,2)",
         "STRING",
         """CASE WHEN total >= 2 * threshold THEN 'CRITICAL'
                 WHEN total >= 1.5 * threshold THEN 'HIGH'
                 WHEN total >= 1.1 * threshold THEN 'MEDIUM' ELSE 'LOW' END""",
     ),
     "structuring_risk_score": (
-        "total DECIMAL(15,2), threshold DECIMAL(15,2), n BIGINT",
+        "total DECIMAL(25,2), threshold DECIMAL(25,2), n BIGINT",
         "DECIMAL(14,2)",
         """CASE WHEN total >= 2 * threshold THEN 1
                 ELSE round(0.70 + CAST(n AS DECIMAL(14,2)) / 100

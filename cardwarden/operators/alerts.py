@@ -138,26 +138,22 @@ def note_rows(hits: DataFrame, as_of=None) -> DataFrame:
     )
 
 
-def render_notes(chosen: DataFrame, notes: DataFrame, max_notes: int = 10_000) -> DataFrame:
-    """Chosen alerts with their notes joined into one text, in payment order.
+def render_notes(chosen: DataFrame, notes: DataFrame, ids_per_part: int = 10_000) -> DataFrame:
+    """Chosen alerts with their notes joined into texts, in payment order.
 
-    An alert with more than max_notes notes continues on further rows, one per
-    range of max_notes payment ids, numbered by part.
+    One rule at every size: a text holds the notes of a range of ids_per_part
+    payment ids, and its row is numbered by that range (part). An alert without
+    notes has part 0 and an empty text.
     """
-    sizes = notes.groupBy(*KEY).agg(F.count(F.lit(1)).alias("_notes"))
-    wanted = sizes.join(chosen.select(*KEY).distinct(), KEY, "left_semi")
-    part = F.when(F.col("_notes") <= max_notes, 0).otherwise(
-        F.floor(F.col("transaction_id") / max_notes)
-    )
+    wanted = notes.join(chosen.select(*KEY).distinct(), KEY, "left_semi")
+    part = F.floor(F.col("transaction_id") / ids_per_part).cast("bigint")
     entry = F.struct(
         "transaction_id",
         F.concat(F.lit("--- "), expr.fmt_ts("noted_at"), F.lit(" ---\r\n"),
                  F.coalesce("note", F.lit(""))).alias("text"),
     )
     texts = (
-        joins.lookup(notes, wanted, KEY)
-        .filter(F.col("_notes").isNotNull())
-        .withColumn("part", part.cast("bigint"))
+        wanted.withColumn("part", part)
         .groupBy(*KEY, "part")
         .agg(F.array_sort(F.collect_list(entry)).alias("_entries"))
     )

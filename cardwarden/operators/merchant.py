@@ -103,7 +103,7 @@ def blocked_alerts(rejected: DataFrame, merchants: DataFrame, as_of=None) -> Dat
         F.lit(None).cast("bigint").alias("transaction_id"),
         "card_id", "user_id",
         F.lit(BLOCK_TYPE).alias("alert_type"),
-        F.coalesce("risk_score", F.lit(1)).cast("decimal(4,2)").alias("risk_score"),
+        expr.alert_score(F.coalesce("risk_score", F.lit(1))).alias("risk_score"),
         F.concat(
             F.lit("Blocked payment of "), F.col("transaction_amount").cast("string"), F.lit(" "),
             F.col("currency_code"), F.lit(" at "), F.col("merchant_name"),
@@ -179,7 +179,7 @@ def mcc_hits(judged: DataFrame) -> DataFrame:
     return judged.filter("flagged").select(
         "transaction_id", "card_id", "user_id",
         F.lit(MCC_TYPE).alias("alert_type"),
-        F.col("risk_score").cast("decimal(4,2)").alias("risk_score"),
+        expr.alert_score("risk_score").alias("risk_score"),
         F.concat(payment, F.lit(" at "), F.coalesce("merchant_name", F.lit("N/A"))).alias("alert_message"),
         payment.alias("note"),
     )

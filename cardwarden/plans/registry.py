@@ -400,7 +400,7 @@ def _(t):
 @query("u2_u3_structuring_score")
 def _(t):
     per_user = t["transactions"].groupBy("user_id").agg(
-        F.sum("transaction_amount").cast("decimal(15,2)").alias("total"), F.count(F.lit(1)).alias("n")
+        F.sum("transaction_amount").cast("decimal(25,2)").alias("total"), F.count(F.lit(1)).alias("n")
     )
     return per_user.select(
         "user_id",
@@ -446,7 +446,7 @@ def _(spark, folder):
     t = adapters.tables(spark, folder)
     register_sql_functions(spark)
     per_merchant = t["transactions"].groupBy("merchant_id").agg(
-        F.sum("transaction_amount").cast("decimal(15,2)").alias("total"), F.count(F.lit(1)).alias("n")
+        F.sum("transaction_amount").cast("decimal(25,2)").alias("total"), F.count(F.lit(1)).alias("n")
     )
     return t["merchants"].join(per_merchant, "merchant_id").selectExpr(
         "merchant_id",
@@ -618,7 +618,7 @@ def _(t):
 @query("r3_5_block_updates")
 def _(t):
     changed = t["transactions"].filter("transaction_status = 'pending'").withColumns(
-        {"merchant_id": (F.col("merchant_id") + 1) % 10, "transaction_status": F.lit("completed")}
+        {"merchant_id": F.col("merchant_id") + 1, "transaction_status": F.lit("completed")}
     )
     after, _rejected_changes = merchant.block_updates(
         changed, t["transactions"], t["merchants"], batch_id="batch_id"

@@ -5,6 +5,7 @@ The adapter texts are plain SQL, so the same text also feeds the SQL oracle.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,7 @@ _MCC = """CASE {} % 10 WHEN 0 THEN '5942' WHEN 1 THEN '5411' WHEN 2 THEN '6051'
             WHEN 4 THEN '7995' WHEN 5 THEN '4829' WHEN 6 THEN '5311' WHEN 7 THEN '5812'
             WHEN 8 THEN '6011' ELSE '5912' END"""
 
+# The cities' coordinates. Payments spread over all merchants; 0 is an unknown one.
 SQL: dict[str, str] = {
     "users": f"""
 SELECT c_custkey AS user_id,
@@ -46,7 +48,7 @@ SELECT s_suppkey AS merchant_id, s_name AS merchant_name,
 FROM supplier""",
     "transactions": f"""
 SELECT event_id AS transaction_id, user_id * 2 + event_id % 2 AS card_id,
-       (event_id * 7 + user_id) % 10 AS merchant_id, user_id,
+       (event_id * 7 + user_id) % (1 + (SELECT count(*) FROM supplier)) AS merchant_id, user_id,
        CAST(round(value * 100, 0) AS decimal(15,2)) AS transaction_amount,
        'USD' AS currency_code, ts AS transaction_timestamp,
        CASE WHEN city < 5 THEN 'US' WHEN city = 5 THEN 'RU' WHEN city = 6 THEN 'JP' ELSE 'AU' END AS merchant_country,
@@ -64,7 +66,7 @@ SELECT event_id AS alert_id,
        CASE WHEN event_id % 5 = 0 THEN NULL ELSE event_id - event_id % 3 END AS transaction_id,
        user_id * 2 + event_id % 2 AS card_id, user_id,
        CASE event_id % 4 WHEN 0 THEN 'impossible_travel' WHEN 1 THEN 'structuring_aml' WHEN 2 THEN 'blacklisted_merchant' ELSE 'high_risk_mcc' END AS alert_type,
-       CAST(((event_id * 13) % 101) / 100.0 AS decimal(4,2)) AS risk_score,
+       CAST(((event_id * 13) % 101) / 100.0 AS decimal(14,2)) AS risk_score,
        CASE CAST(floor(event_id / 4.0) AS bigint) % 4 WHEN 0 THEN 'open' WHEN 1 THEN 'acknowledged' WHEN 2 THEN 'false_positive' ELSE 'confirmed_fraud' END AS alert_status,
        ts AS created_at
 FROM events WHERE event_type IN ('error', 'view')""",
@@ -114,6 +116,7 @@ SELECT concat('DEV-', CAST(c_custkey AS string)) AS device_id, c_custkey AS user
 FROM customer""",
 }
 
+# The table an adapted one is made of, row by row.
 SOURCES = {
     "users": "customer",
     "cards": "customer",
@@ -128,15 +131,19 @@ SOURCES = {
 }
 
 
-def adapt(spark: SparkSession, name: str, source: DataFrame) -> DataFrame:
-    """One adapted table over its source, which may be a stream."""
-    table = SOURCES[name]
-    return spark.sql(SQL[name].replace(f"FROM {table}", f"FROM {{{table}}}"), **{table: source})
+def adapt(spark: SparkSession, folder: str, name: str, source: DataFrame) -> DataFrame:
+    """One adapted table over its source, which may be a stream; other tables are read from the folder."""
+    text, opened = SQL[name], {SOURCES[name]: source}
+    for table in set(re.findall(r"FROM (customer|supplier|events)\b", text)) - set(opened):
+        opened[table] = scan(spark, folder, table)
+    for table in opened:
+        text = text.replace(f"FROM {table}", f"FROM {{{table}}}")
+    return spark.sql(text, **opened)
 
 
 def stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One adapted table as a stream."""
-    return adapt(configure(spark), name, scan_stream(spark, folder, SOURCES[name]))
+    return adapt(configure(spark), folder, name, scan_stream(spark, folder, SOURCES[name]))
 
 
 class AdaptedTables(Mapping):
@@ -149,7 +156,7 @@ class AdaptedTables(Mapping):
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._opened:
             source = scan(self._spark, self._folder, SOURCES[name])
-            self._opened[name] = adapt(self._spark, name, source)
+            self._opened[name] = adapt(self._spark, self._folder, name, source)
         return self._opened[name]
 
     def __iter__(self):

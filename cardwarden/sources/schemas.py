@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 INT, LONG, BOOL, TEXT = T.IntegerType(), T.LongType(), T.BooleanType(), T.StringType()
 DATE, TIMESTAMP = T.DateType(), T.TimestampType()
 MONEY, LIMIT = T.DecimalType(15, 2), T.DecimalType(10, 2)
-SHARE, SCORE = T.DecimalType(3, 2), T.DecimalType(4, 2)
+SHARE, SCORE = T.DecimalType(3, 2), T.DecimalType(14, 2)
 LATITUDE, LONGITUDE = T.DecimalType(10, 8), T.DecimalType(11, 8)
 
 NOW = object()

@@ -193,7 +193,7 @@ REPORT = f"""SELECT g.user_id, {NAME} AS full_name, u.email, u.risk_profile AS c
  JOIN users u ON u.user_id = g.user_id"""
 
 RAISED = """SELECT CAST(NULL AS BIGINT) AS transaction_id, latest_card_id AS card_id, user_id, alert_type,
- CAST(least(calculated_risk_score, 99.99) AS DECIMAL(4,2)) AS risk_score, 'open' AS alert_status FROM report r
+ CAST(calculated_risk_score AS DECIMAL(14,2)) AS risk_score, 'open' AS alert_status FROM report r
  WHERE NOT EXISTS (SELECT 1 FROM alerts a WHERE a.user_id = r.user_id AND a.alert_type = r.alert_type
    AND a.alert_status = 'open')"""
 
@@ -246,7 +246,7 @@ SNAPSHOT = "SELECT * FROM kept UNION ALL SELECT * FROM opened"
 
 
 def score4(text: str) -> str:
-    return f"CAST(least({text}, 99.99) AS DECIMAL(4,2))"
+    return f"CAST({text} AS DECIMAL(14,2))"
 
 
 STRUCTURING_HITS = f"""SELECT transaction_id, CARD AS card_id, user_id, 'structuring_aml' AS alert_type,
@@ -323,7 +323,7 @@ def oracle() -> dict[str, str]:
         ),
         "snk1_append": sql(
             """SELECT card_id, user_id, alert_type, risk_score, alert_status FROM raised
-            UNION ALL SELECT card_id, user_id, 'blacklisted_merchant', CAST(m.risk_score AS DECIMAL(4,2)), 'open'
+            UNION ALL SELECT card_id, user_id, 'blacklisted_merchant', CAST(m.risk_score AS DECIMAL(14,2)), 'open'
             FROM transactions t JOIN merchants m ON m.merchant_id = t.merchant_id WHERE is_blacklisted = 1""",
             report=REPORT, raised=RAISED,
         ),
@@ -481,7 +481,7 @@ def oracle() -> dict[str, str]:
         "u2_u3_structuring_score": sql(
             f"""SELECT user_id, {structuring_score('total', '200000', 'n')} AS score,
             {structuring_severity('total', '200000')} AS severity FROM (SELECT user_id,
-            CAST(sum(transaction_amount) AS DECIMAL(15,2)) AS total, count(*) AS n FROM transactions GROUP BY user_id) x"""
+            CAST(sum(transaction_amount) AS DECIMAL(25,2)) AS total, count(*) AS n FROM transactions GROUP BY user_id) x"""
         ),
         "u4_u5_merchant_flag": sql(
             f"""SELECT merchant_id, merchant_category_code IN ({HIGH_RISK}) AS is_high_risk,
@@ -502,7 +502,7 @@ def oracle() -> dict[str, str]:
             {structuring_score('total', '100000000', 'n')} AS score,
             merchant_category_code IN ({HIGH_RISK}) AS is_high_risk,
             {risk_flag('is_blacklisted = 1', 'merchant_category_code', 'risk_score')} AS risk_flag
-            FROM merchants m JOIN (SELECT merchant_id, CAST(sum(transaction_amount) AS DECIMAL(15,2)) AS total,
+            FROM merchants m JOIN (SELECT merchant_id, CAST(sum(transaction_amount) AS DECIMAL(25,2)) AS total,
               count(*) AS n FROM transactions GROUP BY merchant_id) t ON t.merchant_id = m.merchant_id"""
         ),
         "r1_1_geo_planar_pairs": sql(
@@ -618,7 +618,7 @@ def oracle() -> dict[str, str]:
         ),
         "r3_3_blocked_alerts": sql(
             f"""SELECT CAST(NULL AS BIGINT) AS transaction_id, card_id, user_id, 'blacklisted_merchant' AS alert_type,
-            CAST(m.risk_score AS DECIMAL(4,2)) AS risk_score, 'open' AS alert_status, {AS_OF} AS created_at
+            CAST(m.risk_score AS DECIMAL(14,2)) AS risk_score, 'open' AS alert_status, {AS_OF} AS created_at
             FROM transactions t JOIN merchants m ON m.merchant_id = t.merchant_id WHERE is_blacklisted = 1"""
         ),
         "r3_4_blocked_audit": sql(
@@ -629,10 +629,10 @@ def oracle() -> dict[str, str]:
             FROM transactions t JOIN merchants m ON m.merchant_id = t.merchant_id WHERE is_blacklisted = 1"""
         ),
         "r3_5_block_updates": sql(
-            """SELECT transaction_id, CASE WHEN applied THEN (merchant_id + 1) % 10 ELSE merchant_id END AS merchant_id,
+            """SELECT transaction_id, CASE WHEN applied THEN merchant_id + 1 ELSE merchant_id END AS merchant_id,
             CASE WHEN applied THEN 'completed' ELSE transaction_status END AS transaction_status FROM (
               SELECT *, transaction_status = 'pending' AND batch_id NOT IN (SELECT c.batch_id FROM transactions c
-                JOIN merchants m ON m.merchant_id = (c.merchant_id + 1) % 10
+                JOIN merchants m ON m.merchant_id = c.merchant_id + 1
                 WHERE c.transaction_status = 'pending' AND m.is_blacklisted = 1) AS applied FROM transactions) x"""
         ),
         "r3_6_flag_high_risk_mcc": sql(
@@ -641,7 +641,7 @@ def oracle() -> dict[str, str]:
         "r3_7_mcc_alerts": sql(
             SNAPSHOT, judged=MCC_JUDGED,
             hits="""SELECT transaction_id, card_id, user_id, 'high_risk_mcc' AS alert_type,
-              CAST(risk_score AS DECIMAL(4,2)) AS risk_score FROM judged WHERE flagged""",
+              CAST(risk_score AS DECIMAL(14,2)) AS risk_score FROM judged WHERE flagged""",
             **upsert(False),
         ),
         "r3_7_mcc_audit": sql(
