@@ -302,6 +302,14 @@ def judge_velocity_declining(
     return folded_metrics(folded, max_kmh, more)
 
 
+def with_prev_address(violations: DataFrame, txns: DataFrame) -> DataFrame:
+    """Violations with the IP address of the point before; only violating rows meet the payments."""
+    addresses = txns.select(
+        F.col("transaction_id").alias("prev_transaction_id"), F.col("ip_address").alias("prev_ip_address")
+    )
+    return violations.join(addresses, "prev_transaction_id", "left").select(*violations.columns, "prev_ip_address")
+
+
 def geo_velocity_declining(txns: DataFrame, max_kmh: float = 900, **options) -> DataFrame:
     """Payments the declining form of the rule rejects."""
     return judge_velocity_declining(txns, max_kmh, **options).filter("violation")
@@ -346,15 +354,18 @@ def message(violations: DataFrame) -> Column:
 
 
 def geo_hits(violations: DataFrame) -> DataFrame:
-    """Violations in the form the alert upsert takes."""
+    """Violations in the form the alert upsert takes; the note holds both points."""
+    na = F.lit("N/A")
+    before = F.col("prev_ip_address") if "prev_ip_address" in violations.columns else F.lit(None)
     note = expr.lines(
         F.concat(F.lit("From payment "), F.col("prev_transaction_id").cast("string"),
                  F.lit(" at ("), expr.coords_text("prev_latitude", "prev_longitude"),
-                 F.lit("), "), expr.fmt_ts("prev_timestamp")),
+                 F.lit("), "), expr.fmt_ts("prev_timestamp"), F.lit(", IP "), F.coalesce(before, na)),
         F.concat(F.lit("To payment "), F.col("transaction_id").cast("string"),
                  F.lit(" at ("), expr.coords_text("latitude", "longitude"),
-                 F.lit("), "), expr.fmt_ts("transaction_timestamp")),
-        F.concat(F.lit("Severity "), F.col("severity")),
+                 F.lit("), "), expr.fmt_ts("transaction_timestamp"), F.lit(", IP "),
+                 F.coalesce("ip_address", na)),
+        F.concat(F.lit("Severity "), F.col("severity"), F.lit(", risk "), F.col("risk_score").cast("string")),
     )
     return violations.select(
         "transaction_id", "card_id", "user_id",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardwarden.functions import expr
@@ -92,14 +92,38 @@ def block_batch(
     return marked.filter(~F.col("rejected")).drop("rejected"), marked.filter("rejected").drop("rejected")
 
 
+# Facts of a blocked payment that alert and audit rows carry as columns, as far as the tables have them.
+BLOCK_FACTS = (
+    "merchant_id", "merchant_name", "merchant_category_code", "mcc_description", "fraud_report_count",
+    "transaction_amount", "currency_code", "merchant_mcc", "merchant_country", "customer_country",
+    "is_online", "device_id", "ip_address", "latitude", "longitude",
+)
+
+
 def _rejected_offences(rejected: DataFrame, merchants: DataFrame) -> DataFrame:
-    bad = merchants.filter(_blacklisted()).select("merchant_id", "merchant_name", "risk_score")
+    about = [
+        "merchant_id", "merchant_name", "risk_score", "merchant_category_code", "mcc_description",
+        "fraud_report_count",
+    ]
+    bad = joins.select_cols(merchants.filter(_blacklisted()), about)
     return rejected.join(bad, "merchant_id")
 
 
+def _facts(offences: DataFrame) -> list[str]:
+    return [c for c in BLOCK_FACTS if c in offences.columns]
+
+
+def _text(column: str) -> Column:
+    return F.coalesce(F.col(column).cast("string"), F.lit("N/A"))
+
+
 def blocked_alerts(rejected: DataFrame, merchants: DataFrame, as_of=None) -> DataFrame:
-    """One open alert per offending row, never merged; the payment does not exist."""
-    return _rejected_offences(rejected, merchants).select(
+    """One open alert per offending row, never merged; the payment does not exist.
+
+    Its facts are columns next to those of an alert.
+    """
+    offences = _rejected_offences(rejected, merchants)
+    return offences.select(
         F.lit(None).cast("bigint").alias("transaction_id"),
         "card_id", "user_id",
         F.lit(BLOCK_TYPE).alias("alert_type"),
@@ -110,20 +134,19 @@ def blocked_alerts(rejected: DataFrame, merchants: DataFrame, as_of=None) -> Dat
         ).alias("alert_message"),
         F.lit("open").alias("alert_status"),
         expr.lines(
-            F.concat(F.lit("Merchant "), F.col("merchant_id").cast("string")),
-            F.concat(F.lit("IP address "), F.coalesce("ip_address", F.lit("N/A"))),
-            F.concat(
-                F.lit("At ("), F.coalesce(F.col("latitude").cast("string"), F.lit("N/A")), F.lit(", "),
-                F.coalesce(F.col("longitude").cast("string"), F.lit("N/A")), F.lit(")"),
-            ),
+            F.concat(F.lit("Merchant "), _text("merchant_id"), F.lit(" "), _text("merchant_name")),
+            F.concat(F.lit("IP address "), _text("ip_address")),
+            F.concat(F.lit("At ("), _text("latitude"), F.lit(", "), _text("longitude"), F.lit(")")),
         ).alias("investigation_notes"),
         expr.now_utc(as_of).alias("created_at"),
+        *_facts(offences),
     )
 
 
 def blocked_audit(rejected: DataFrame, merchants: DataFrame, as_of=None) -> DataFrame:
     """One audit row per offending row, without a payment id."""
-    return _rejected_offences(rejected, merchants).select(
+    offences = _rejected_offences(rejected, merchants)
+    return offences.select(
         F.lit(None).cast("bigint").alias("transaction_id"),
         F.lit(None).cast("string").alias("previous_status"),
         F.lit("blocked").alias("new_status"),
@@ -132,9 +155,9 @@ def blocked_audit(rejected: DataFrame, merchants: DataFrame, as_of=None) -> Data
         F.concat(
             F.lit("User "), F.col("user_id").cast("string"), F.lit(", card "),
             F.col("card_id").cast("string"), F.lit(", merchant "),
-            F.col("merchant_id").cast("string"), F.lit(", $"),
-            F.col("transaction_amount").cast("string"), F.lit(", IP "),
-            F.coalesce("ip_address", F.lit("N/A")),
+            F.col("merchant_id").cast("string"), F.lit(" "), _text("merchant_name"), F.lit(" of risk "),
+            _text("risk_score"), F.lit(", $"), F.col("transaction_amount").cast("string"), F.lit(", IP "),
+            _text("ip_address"),
         ).alias("change_reason"),
     )
 
@@ -173,15 +196,24 @@ def flag_high_risk_mcc(
 def mcc_hits(judged: DataFrame) -> DataFrame:
     payment = F.concat(
         F.lit("Payment "), F.col("transaction_id").cast("string"), F.lit(" of $"),
-        F.col("transaction_amount").cast("string"), F.lit(" with category "),
-        F.coalesce("merchant_mcc", F.lit("N/A")),
+        F.col("transaction_amount").cast("string"), F.lit(" with category "), _text("merchant_mcc"),
+    )
+
+    def known(column: str) -> Column:
+        return _text(column) if column in judged.columns else F.lit("N/A")
+
+    facts = expr.lines(
+        payment,
+        F.concat(F.lit("Merchant "), known("merchant_name"), F.lit(", "), known("mcc_description"),
+                 F.lit(", fraud reports "), known("fraud_report_count"), F.lit(", "), F.col("risk_flag")),
+        F.concat(F.lit("IP address "), known("ip_address"), F.lit(", device "), known("device_id")),
     )
     return judged.filter("flagged").select(
         "transaction_id", "card_id", "user_id",
         F.lit(MCC_TYPE).alias("alert_type"),
         expr.alert_score("risk_score").alias("risk_score"),
         F.concat(payment, F.lit(" at "), F.coalesce("merchant_name", F.lit("N/A"))).alias("alert_message"),
-        payment.alias("note"),
+        facts.alias("note"),
     )
 
 
@@ -197,7 +229,9 @@ def mcc_audit(judged: DataFrame, as_of=None, actual_status: bool = False) -> Dat
         expr.now_utc(as_of).alias("changed_at"),
         F.concat(
             F.when(hit, "Flagged").otherwise("Clear"), F.lit(": "), F.col("risk_flag"),
-            F.lit(", category "), F.coalesce("merchant_mcc", F.lit("N/A")),
+            F.lit(", category "), _text("merchant_mcc"), F.lit(", $"),
+            F.col("transaction_amount").cast("string"), F.lit(" at "), _text("merchant_name"),
+            F.lit(" of risk "), _text("risk_score"),
         ).alias("change_reason"),
     )
 

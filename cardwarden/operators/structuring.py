@@ -268,6 +268,8 @@ def structuring_hits(judged: DataFrame, threshold: float = 10000, window_hours:
     note = F.concat(
         F.lit("Payment "), F.col("transaction_id").cast("string"), F.lit(" ($"),
         F.col("transaction_amount").cast("string"), F.lit("), severity "), F.col("severity"),
+        F.lit(", risk "), expr.alert_score("risk_score").cast("string"), F.lit(": $"),
+        total.cast("string"), F.lit(" in "), count.cast("string"), F.lit(" payments"),
     )
     return hits.select(
         "transaction_id",
@@ -306,5 +308,7 @@ def structuring_audit(
         F.concat(
             outcome, F.lit(": $"), F.col("aggregate_total").cast("string"), F.lit(" in "),
             F.col("txn_count").cast("string"), F.lit(" payments"),
+            F.when(hit, F.concat(F.lit(", risk "), expr.alert_score("risk_score").cast("string")))
+            .otherwise(F.lit("")),
         ).alias("change_reason"),
     )

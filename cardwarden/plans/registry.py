@@ -101,7 +101,7 @@ def _(spark, folder):
     place = new_folder(spark, "alerts")
     report = structuring.structuring_report(t["transactions"], t["users"], AS_OF)
     rejected = merchant.block_batch(t["transactions"], t["merchants"])[1]
-    kept = ["card_id", "user_id", "alert_type", "risk_score", "alert_status"]
+    kept = ["card_id", "user_id", "alert_type", "risk_score", "alert_message", "alert_status", "investigation_notes"]
     tables.append(structuring.structuring_new_alerts(report, t["alerts"]).select(*kept), place)
     tables.append(merchant.blocked_alerts(rejected, t["merchants"], AS_OF).select(*kept), place)
     return spark.read.parquet(place)
@@ -109,7 +109,7 @@ def _(spark, folder):
 
 _ALERT_OUT = [
     "alert_id", "transaction_id", "card_id", "user_id", "alert_type", "risk_score",
-    "alert_status", "created_at", "hits",
+    "alert_message", "alert_status", "created_at", "hits",
 ]
 
 
@@ -144,12 +144,13 @@ def _(t):
 
 @query("snk5_shared_report")
 def _(t):
-    report, raised, _summary = structuring.detect_structuring(
+    report, raised, summary = structuring.detect_structuring(
         t["transactions"], t["users"], t["alerts"], AS_OF
     )
     marked = raised.select("user_id", F.lit(1).alias("raised"))
     return report.join(marked, "user_id", "left").select(
-        "user_id", "aggregate_total", F.coalesce("raised", F.lit(0)).alias("raised")
+        "user_id", "aggregate_total", F.coalesce("raised", F.lit(0)).alias("raised"),
+        *[summary.select(c).scalar().alias(c) for c in summary.columns],
     )
 
 
@@ -461,7 +462,7 @@ def _(spark, folder):
 
 _GEO_OUT = [
     "transaction_id", "user_id", "card_id", "prev_transaction_id", "distance_km",
-    "time_gap_minutes", "required_speed_kmh", "speed_ratio", "risk_score", "severity",
+    "time_gap_minutes", "required_speed_kmh", "speed_ratio", "risk_score", "severity", "ip_address",
 ]
 
 
@@ -473,12 +474,13 @@ def _(t):
 
 @query("r1_2_geo_velocity")
 def _(t):
-    return geo.geo_velocity(t["transactions"]).select(*_GEO_OUT)
+    return geo.geo_velocity(t["transactions"]).select(*_GEO_OUT, "prev_ip_address")
 
 
 @query("r1_3_geo_velocity_declining")
 def _(t):
-    return geo.geo_velocity_declining(t["transactions"]).select(*_GEO_OUT)
+    found = geo.geo_velocity_declining(t["transactions"]).select(*_GEO_OUT)
+    return geo.with_prev_address(found, t["transactions"])
 
 
 @raw_query("r1_4_geo_velocity_stream")
@@ -507,7 +509,8 @@ def _(t):
 
 @query("r1_7_geo_alerts")
 def _(t):
-    hits = geo.geo_hits(geo.geo_velocity_declining(t["transactions"]))
+    found = geo.with_prev_address(geo.geo_velocity_declining(t["transactions"]), t["transactions"])
+    hits = geo.geo_hits(found)
     done = alerts.upsert_open_alerts(t["alerts"], hits, alerts.GEO_DECLINING, AS_OF, checkpoint=True)
     return done.snapshot().select(*_ALERT_OUT)
 
@@ -515,11 +518,7 @@ def _(t):
 @query("r1_8_geo_audit")
 def _(t):
     judged = geo.judge_velocity(t["transactions"])
-    rows = geo.geo_audit(judged, AS_OF, new_status="reversed")
-    clean = F.when(F.col("change_reason").startswith("No violation"), F.col("change_reason")).otherwise("violation")
-    return rows.select(
-        "transaction_id", "previous_status", "new_status", "changed_by", "changed_at", clean.alias("outcome")
-    )
+    return geo.geo_audit(judged, AS_OF, new_status="reversed")
 
 
 @query("r2_1_structuring_band")
@@ -534,14 +533,13 @@ def _(t):
 
 @query("r2_3_structuring_report")
 def _(t):
-    report = structuring.structuring_report(t["transactions"], t["users"], AS_OF)
-    return report.drop("alert_message")
+    return structuring.structuring_report(t["transactions"], t["users"], AS_OF)
 
 
 @query("r2_4_structuring_new_alerts")
 def _(t):
     report = structuring.structuring_report(t["transactions"], t["users"], AS_OF)
-    return structuring.structuring_new_alerts(report, t["alerts"]).drop("alert_message", "investigation_notes")
+    return structuring.structuring_new_alerts(report, t["alerts"])
 
 
 @query("r2_5_structuring_summary")
@@ -579,8 +577,7 @@ def _(t):
 def _(t):
     history, batch = _arrived(t)
     judged = structuring.structuring_on_insert(history, batch, AS_OF)
-    rows = structuring.structuring_audit(judged, t["alerts"], AS_OF)
-    return rows.withColumn("outcome", F.substring_index("change_reason", ":", 1)).drop("change_reason")
+    return structuring.structuring_audit(judged, t["alerts"], AS_OF)
 
 
 @query("r3_1_merchant_screen")
@@ -605,8 +602,7 @@ def _rejected(t):
 
 @query("r3_3_blocked_alerts")
 def _(t):
-    rows = merchant.blocked_alerts(_rejected(t), t["merchants"], AS_OF)
-    return rows.drop("alert_message", "investigation_notes")
+    return merchant.blocked_alerts(_rejected(t), t["merchants"], AS_OF)
 
 
 @query("r3_4_blocked_audit")
@@ -620,10 +616,13 @@ def _(t):
     changed = t["transactions"].filter("transaction_status = 'pending'").withColumns(
         {"merchant_id": F.col("merchant_id") + 1, "transaction_status": F.lit("completed")}
     )
-    after, _rejected_changes = merchant.block_updates(
+    after, refused = merchant.block_updates(
         changed, t["transactions"], t["merchants"], batch_id="batch_id"
     )
-    return after.select("transaction_id", "merchant_id", "transaction_status")
+    shown = ["transaction_id", "merchant_id", "transaction_status"]
+    return after.select(*shown, F.lit(False).alias("refused")).unionByName(
+        refused.select(*shown, F.lit(True).alias("refused"))
+    )
 
 
 @query("r3_6_flag_high_risk_mcc")

@@ -67,6 +67,7 @@ SELECT event_id AS alert_id,
        user_id * 2 + event_id % 2 AS card_id, user_id,
        CASE event_id % 4 WHEN 0 THEN 'impossible_travel' WHEN 1 THEN 'structuring_aml' WHEN 2 THEN 'blacklisted_merchant' ELSE 'high_risk_mcc' END AS alert_type,
        CAST(((event_id * 13) % 101) / 100.0 AS decimal(14,2)) AS risk_score,
+       concat('Alert of event ', CAST(event_id AS string)) AS alert_message,
        CASE CAST(floor(event_id / 4.0) AS bigint) % 4 WHEN 0 THEN 'open' WHEN 1 THEN 'acknowledged' WHEN 2 THEN 'false_positive' ELSE 'confirmed_fraud' END AS alert_status,
        ts AS created_at
 FROM events WHERE event_type IN ('error', 'view')""",

@@ -4,19 +4,20 @@ from __future__ import annotations
 
 import re
 
-from cardwarden.functions import expr
 from cardwarden.sources import adapters
 
 AS_OF = f"TIMESTAMP '{adapters.AS_OF}'"
 ARRIVAL = "TIMESTAMP '2024-01-30 00:00:00'"
 
 
-def _codes(codes) -> str:
-    return ", ".join(f"'{c}'" for c in codes)
-
-
-HIGH_RISK = _codes(expr.HIGH_RISK_MCC)
-SCREEN = _codes(expr.SCREEN_MCC)
+# Fixed values, written out here so that an error in the engine's own copy shows.
+HIGH_RISK = "'6051', '7995', '4829', '6010', '6011', '5912', '7273', '5999'"
+SCREEN = "'6051', '7995', '4829', '6010', '6011'"
+FLAG_TRAVEL = "⚠ IMPOSSIBLE TRAVEL DETECTED"
+FLAG_STRUCTURING = "⚠ STRUCTURING / AML PATTERN"
+FLAG_BLACKLISTED = "🚫 BLACKLISTED MERCHANT"
+FLAG_MCC = "⚠ HIGH-RISK MCC CATEGORY"
+FLAG_SUSPICIOUS = "⚠ SUSPICIOUS"
 
 
 def sql(select: str, **steps: str) -> str:
@@ -31,7 +32,7 @@ def sql(select: str, **steps: str) -> str:
 
 
 def km(lat1, lon1, lat2, lon2) -> str:
-    """Great-circle distance through the chord of unit vectors."""
+    """Great-circle distance by the haversine of the angle."""
     def rad(c):
         return f"radians(CAST({c} AS DOUBLE))"
 
@@ -91,18 +92,18 @@ def structuring_severity(total, threshold) -> str:
 
 def risk_flag(blacklisted, mcc, risk) -> str:
     return (
-        f"CASE WHEN {blacklisted} THEN '{expr.RISK_BLOCKED}' WHEN {mcc} IN ({HIGH_RISK}) "
-        f"THEN '{expr.RISK_FLAGGED}' WHEN {risk} >= 0.75 THEN '{expr.RISK_WATCH}' "
-        f"WHEN {risk} >= 0.50 THEN '{expr.RISK_MONITOR}' ELSE '{expr.RISK_CLEAR}' END"
+        f"CASE WHEN {blacklisted} THEN 'BLOCKED: BLACKLISTED MERCHANT' WHEN {mcc} IN ({HIGH_RISK}) "
+        f"THEN 'FLAGGED: HIGH-RISK MCC' WHEN {risk} >= 0.75 THEN 'WATCH: HIGH RISK SCORE' "
+        f"WHEN {risk} >= 0.50 THEN 'MONITOR: MEDIUM RISK SCORE' ELSE 'CLEAR' END"
     )
 
 
 def health(must_change: bool) -> str:
-    change = f"WHEN must_change_password = 1 THEN '{expr.HEALTH_MUST_CHANGE}'" if must_change else ""
+    change = f"WHEN must_change_password = 1 THEN '🔑 Must Change Password'" if must_change else ""
     return (
-        f"CASE WHEN is_active = 0 THEN '{expr.HEALTH_DEACTIVATED}' WHEN locked_until > {AS_OF} "
-        f"THEN '{expr.HEALTH_LOCKED}' {change} WHEN failed_attempts BETWEEN 3 AND 4 "
-        f"THEN '{expr.HEALTH_AT_RISK}' ELSE '{expr.HEALTH_ACTIVE}' END"
+        f"CASE WHEN is_active = 0 THEN '🔴 Deactivated' WHEN locked_until > {AS_OF} "
+        f"THEN '🔒 Locked' {change} WHEN failed_attempts BETWEEN 3 AND 4 "
+        f"THEN '⚠ At Risk' ELSE '✅ Active' END"
     )
 
 
@@ -111,10 +112,10 @@ NAME = "u.first_name || ' ' || u.last_name"
 # --- travel rule ----------------------------------------------------------
 
 LOCATED = """SELECT transaction_id AS id, user_id, card_id, transaction_timestamp AS ts,
- transaction_status AS st, latitude AS lat, longitude AS lon
+ transaction_status AS st, latitude AS lat, longitude AS lon, ip_address AS ip
  FROM transactions WHERE latitude IS NOT NULL AND longitude IS NOT NULL"""
 
-PAIRED = """SELECT l.*, p.id AS pid, p.ts AS pts, p.lat AS plat, p.lon AS plon,
+PAIRED = """SELECT l.*, p.id AS pid, p.ts AS pts, p.lat AS plat, p.lon AS plon, p.ip AS pip,
  row_number() OVER (PARTITION BY l.id ORDER BY p.ts DESC, p.id DESC) AS pick
  FROM located l LEFT JOIN located p ON p.user_id = l.user_id AND p.ts < l.ts AND p.st <> 'reversed'"""
 
@@ -126,10 +127,23 @@ def measured(source: str) -> str:
         SELECT *, {distance} AS km FROM {source}) a) b"""
 
 
+MINUTES = f"CAST({seconds('pts', 'ts')} / 60.0 AS DECIMAL(10,2))"
+
+GEO_MESSAGE = (
+    f"'Impossible travel: ' || CAST(km AS VARCHAR) || ' km in ' || CAST({MINUTES} AS VARCHAR) || ' min needs ' || "
+    "CAST(CAST(trunc(speed) AS BIGINT) AS VARCHAR) || ' km/h'"
+)
+
 GEO_SELECT = f"""SELECT id AS transaction_id, user_id, card_id, pid AS prev_transaction_id,
  km AS distance_km, CAST({seconds('pts', 'ts')} / 60.0 AS DECIMAL(10,2)) AS time_gap_minutes,
  speed AS required_speed_kmh, ratio AS speed_ratio, {travel_risk('ratio')} AS risk_score,
- {travel_severity('ratio')} AS severity FROM measured WHERE speed > 900"""
+ {travel_severity('ratio')} AS severity, ip AS ip_address FROM measured WHERE speed > 900"""
+
+GEO_BOTH = (
+    GEO_SELECT.replace("ip AS ip_address", "m.ip AS ip_address, p.ip AS prev_ip_address").replace(
+        "FROM measured", "FROM measured m LEFT JOIN (SELECT id AS x, ip FROM located) p ON p.x = m.pid"
+    )
+)
 
 GEO_STEPS = {
     "located": LOCATED,
@@ -147,12 +161,12 @@ def _walk() -> str:
     )
     first = ", ".join(f"CASE WHEN ok THEN {c} END AS s{c}" for c in ("id", "ts", "lat", "lon"))
     return f"""
-      SELECT user_id, rn, id, card_id, ts, lat, lon, CAST(NULL AS BIGINT) AS pid, CAST(NULL AS TIMESTAMP) AS pts,
+      SELECT user_id, rn, id, card_id, ts, lat, lon, ip, CAST(NULL AS BIGINT) AS pid, CAST(NULL AS TIMESTAMP) AS pts,
         CAST(NULL AS DECIMAL(10,8)) AS plat, CAST(NULL AS DECIMAL(11,8)) AS plon,
         {first}
       FROM ordered WHERE rn = 1
       UNION ALL
-      SELECT e.user_id, e.rn, e.id, e.card_id, e.ts, e.lat, e.lon, w.sid, w.sts, w.slat, w.slon, {moved}
+      SELECT e.user_id, e.rn, e.id, e.card_id, e.ts, e.lat, e.lon, e.ip, w.sid, w.sts, w.slat, w.slon, {moved}
       FROM walk w JOIN ordered e ON e.user_id = w.user_id AND e.rn = w.rn + 1"""
 
 
@@ -176,6 +190,13 @@ def in_window(end: str = AS_OF) -> str:
     )
 
 
+def structuring_message(n: str, total: str) -> str:
+    return (
+        f"CAST({n} AS VARCHAR) || ' payments below $10000 add up to $' || "
+        f"CAST(CAST({total} AS DECIMAL(25,0)) AS VARCHAR) || ' within 48 hours'"
+    )
+
+
 REPORT = f"""SELECT g.user_id, {NAME} AS full_name, u.email, u.risk_profile AS current_risk_profile,
  u.country_iso_code, n AS txn_count_in_window, total AS aggregate_total,
  CAST(10000 AS DECIMAL(15,2)) AS reporting_threshold,
@@ -183,7 +204,8 @@ REPORT = f"""SELECT g.user_id, {NAME} AS full_name, u.email, u.risk_profile AS c
  avg_single_txn, 48 AS window_hours, first_txn_in_window, last_txn_in_window,
  date_diff('minute', first_txn_in_window, last_txn_in_window) AS span_minutes,
  {structuring_score('total', '10000', 'n')} AS calculated_risk_score,
- {structuring_severity('total', '10000')} AS severity_level, 'structuring_aml' AS alert_type, latest_card_id
+ {structuring_severity('total', '10000')} AS severity_level, 'structuring_aml' AS alert_type,
+ {structuring_message('n', 'total')} AS alert_message, latest_card_id
  FROM (SELECT user_id, count(*) AS n, CAST(sum(transaction_amount) AS DECIMAL(25,2)) AS total,
    min(transaction_amount) AS min_single_txn, max(transaction_amount) AS max_single_txn,
    CAST(sum(transaction_amount) / count(*) AS DECIMAL(19,6)) AS avg_single_txn,
@@ -193,10 +215,15 @@ REPORT = f"""SELECT g.user_id, {NAME} AS full_name, u.email, u.risk_profile AS c
  JOIN users u ON u.user_id = g.user_id"""
 
 RAISED = """SELECT CAST(NULL AS BIGINT) AS transaction_id, latest_card_id AS card_id, user_id, alert_type,
- CAST(calculated_risk_score AS DECIMAL(14,2)) AS risk_score, 'open' AS alert_status FROM report r
+ CAST(calculated_risk_score AS DECIMAL(14,2)) AS risk_score, alert_message, 'open' AS alert_status,
+ 'Severity ' || severity_level AS investigation_notes FROM report r
  WHERE NOT EXISTS (SELECT 1 FROM alerts a WHERE a.user_id = r.user_id AND a.alert_type = r.alert_type
    AND a.alert_status = 'open')"""
 
+SUMMARY = f"""(SELECT count(*) FROM report) AS total_suspects_detected,
+ (SELECT count(*) FROM raised) AS new_alerts_raised, {AS_OF} - INTERVAL 48 HOUR AS analysis_window_start,
+ {AS_OF} AS analysis_window_end, CAST(10000 AS DECIMAL(15,2)) AS threshold_used, 48 AS window_hours_used"""
+
 ON_INSERT = f"""SELECT b.transaction_id, b.user_id, b.card_id, b.transaction_status,
  coalesce(w.n, 0) AS txn_count, CAST(coalesce(w.total, 0) AS DECIMAL(25,2)) AS aggregate_total,
  coalesce(w.n >= 2 AND w.total >= 10000, FALSE) AS violation, w.max_card_id
@@ -216,9 +243,14 @@ TRAILING = """SELECT *, coalesce(n >= 2 AND total >= 10000, FALSE) AS violation
 
 
 def upsert(refresh_transaction: bool, with_ids: bool = False) -> dict[str, str]:
-    """Steps from hits(transaction_id, card_id, user_id, alert_type, risk_score) to a snapshot."""
+    """Steps from hits(transaction_id, card_id, user_id, alert_type, risk_score, alert_message) to a snapshot.
+
+    Payment and message are refreshed together or not at all.
+    """
     last = "g.last_id" if refresh_transaction else "a.transaction_id"
     first = "l.transaction_id" if refresh_transaction else "f.transaction_id"
+    last_text = "l.alert_message" if refresh_transaction else "a.alert_message"
+    first_text = "l.alert_message" if refresh_transaction else "f.alert_message"
     new_id = (
         "(SELECT max(alert_id) FROM alerts) + row_number() OVER (ORDER BY g.user_id)"
         if with_ids else "CAST(NULL AS BIGINT)"
@@ -229,12 +261,13 @@ def upsert(refresh_transaction: bool, with_ids: bool = False) -> dict[str, str]:
         "kept": f"""SELECT a.alert_id, CASE WHEN g.hits IS NULL THEN a.transaction_id ELSE {last} END AS transaction_id,
           a.card_id, a.user_id, a.alert_type,
           CASE WHEN g.hits IS NULL THEN a.risk_score ELSE l.risk_score END AS risk_score,
+          CASE WHEN g.hits IS NULL THEN a.alert_message ELSE {last_text} END AS alert_message,
           a.alert_status, a.created_at, g.hits
           FROM alerts a LEFT JOIN grouped g ON g.user_id = a.user_id AND g.alert_type = a.alert_type
             AND a.alert_status = 'open'
           LEFT JOIN hits l ON l.transaction_id = g.last_id AND l.alert_type = g.alert_type""",
         "opened": f"""SELECT {new_id} AS alert_id, {first} AS transaction_id, f.card_id, g.user_id, g.alert_type,
-          l.risk_score, 'open' AS alert_status, {AS_OF} AS created_at, g.hits
+          l.risk_score, {first_text} AS alert_message, 'open' AS alert_status, {AS_OF} AS created_at, g.hits
           FROM grouped g JOIN hits f ON f.transaction_id = g.first_id AND f.alert_type = g.alert_type
           JOIN hits l ON l.transaction_id = g.last_id AND l.alert_type = g.alert_type
           WHERE NOT EXISTS (SELECT 1 FROM alerts a WHERE a.user_id = g.user_id
@@ -250,14 +283,36 @@ def score4(text: str) -> str:
 
 
 STRUCTURING_HITS = f"""SELECT transaction_id, CARD AS card_id, user_id, 'structuring_aml' AS alert_type,
- {score4(structuring_score('TOTAL', '10000', 'N'))} AS risk_score FROM judged WHERE violation"""
+ {score4(structuring_score('TOTAL', '10000', 'N'))} AS risk_score, MESSAGE AS alert_message FROM judged WHERE violation"""
+
+
+def structuring_hits(card: str, total: str, n: str) -> str:
+    text = STRUCTURING_HITS.replace("CARD", card).replace("MESSAGE", structuring_message(n, total))
+    return text.replace("TOTAL", total).replace("N / 100", f"{n} / 100")
+
+
 
 # --- merchant rule --------------------------------------------------------
 
 BLOCKED = """SELECT DISTINCT t.batch_id FROM transactions t JOIN merchants m ON m.merchant_id = t.merchant_id
  WHERE m.is_blacklisted = 1"""
 
-MCC_JUDGED = f"""SELECT t.*, m.risk_score, coalesce(t.merchant_mcc IN ({HIGH_RISK}), FALSE) AS flagged,
+def text(column: str) -> str:
+    return f"coalesce(CAST({column} AS VARCHAR), 'N/A')"
+
+
+MCC_PAYMENT = (
+    f"'Payment ' || CAST(transaction_id AS VARCHAR) || ' of $' || CAST(transaction_amount AS VARCHAR) || "
+    f"' with category ' || {text('merchant_mcc')}"
+)
+
+BLOCKED_ROWS = f"""SELECT t.*, m.merchant_name, m.risk_score AS merchant_risk, m.merchant_category_code, m.fraud_report_count,
+ 'Blocked payment of ' || CAST(transaction_amount AS VARCHAR) || ' ' || currency_code || ' at ' || merchant_name AS alert_message,
+ 'Merchant ' || CAST(t.merchant_id AS VARCHAR) || ' ' || merchant_name || chr(13) || chr(10) || 'IP address ' || {text('ip_address')}
+   || chr(13) || chr(10) || 'At (' || {text('latitude')} || ', ' || {text('longitude')} || ')' AS investigation_notes
+ FROM transactions t JOIN merchants m ON m.merchant_id = t.merchant_id WHERE is_blacklisted = 1"""
+
+MCC_JUDGED = f"""SELECT t.*, m.risk_score, m.merchant_name, coalesce(t.merchant_mcc IN ({HIGH_RISK}), FALSE) AS flagged,
  {risk_flag('FALSE', 't.merchant_mcc', 'm.risk_score')} AS risk_flag
  FROM transactions t LEFT JOIN merchants m ON m.merchant_id = t.merchant_id WHERE t.transaction_status <> 'reversed'"""
 
@@ -322,14 +377,14 @@ def oracle() -> dict[str, str]:
             transaction_timestamp FROM transactions"""
         ),
         "snk1_append": sql(
-            """SELECT card_id, user_id, alert_type, risk_score, alert_status FROM raised
-            UNION ALL SELECT card_id, user_id, 'blacklisted_merchant', CAST(m.risk_score AS DECIMAL(14,2)), 'open'
-            FROM transactions t JOIN merchants m ON m.merchant_id = t.merchant_id WHERE is_blacklisted = 1""",
-            report=REPORT, raised=RAISED,
+            """SELECT card_id, user_id, alert_type, risk_score, alert_message, alert_status, investigation_notes FROM raised
+            UNION ALL SELECT card_id, user_id, 'blacklisted_merchant', CAST(merchant_risk AS DECIMAL(14,2)), alert_message,
+              'open', investigation_notes FROM offences""",
+            report=REPORT, raised=RAISED, offences=BLOCKED_ROWS,
         ),
         "snk2_upsert_open_alerts": sql(
             SNAPSHOT, judged=TRAILING,
-            hits=STRUCTURING_HITS.replace("CARD", "card_id").replace("TOTAL", "total").replace("N / 100", "n / 100"),
+            hits=structuring_hits("card_id", "total", "n"),
             **upsert(False, with_ids=True),
         ),
         "snk3_update_from": sql(
@@ -343,7 +398,7 @@ def oracle() -> dict[str, str]:
             (SELECT user_id FROM users WHERE account_status = 'closed')"""
         ),
         "snk5_shared_report": sql(
-            """SELECT r.user_id, aggregate_total, CASE WHEN n.user_id IS NULL THEN 0 ELSE 1 END AS raised
+            f"""SELECT r.user_id, aggregate_total, CASE WHEN n.user_id IS NULL THEN 0 ELSE 1 END AS raised, {SUMMARY}
             FROM report r LEFT JOIN raised n ON n.user_id = r.user_id""",
             report=REPORT, raised=RAISED,
         ),
@@ -508,7 +563,7 @@ def oracle() -> dict[str, str]:
         "r1_1_geo_planar_pairs": sql(
             f"""SELECT p.transaction_id, {NAME} AS user_name, p.card_id, pc AS location_before,
             merchant_country AS location_after, CAST(round(km, 2) AS DECIMAL(12,2)) AS distance_km, minutes_apart,
-            ip_address, '{expr.FLAG_TRAVEL}' AS flag FROM (
+            ip_address, '{FLAG_TRAVEL}' AS flag FROM (
               SELECT *, {planar('plat', 'plon', 'latitude', 'longitude')} AS km,
                 date_diff('minute', pts, transaction_timestamp) AS minutes_apart FROM lagged) p
             JOIN users u ON u.user_id = p.user_id WHERE km > 500 AND minutes_apart < 60""",
@@ -516,8 +571,8 @@ def oracle() -> dict[str, str]:
               lag(longitude) OVER w AS plon, lag(merchant_country) OVER w AS pc FROM transactions
               WINDOW w AS (PARTITION BY card_id ORDER BY transaction_timestamp, transaction_id)""",
         ),
-        "r1_2_geo_velocity": sql(GEO_SELECT, **GEO_STEPS),
-        "r1_3_geo_velocity_declining": sql(GEO_SELECT, **walk_steps()),
+        "r1_2_geo_velocity": sql(GEO_BOTH, **GEO_STEPS),
+        "r1_3_geo_velocity_declining": sql(GEO_BOTH, **walk_steps()),
         "r1_4_geo_velocity_stream": sql(GEO_SELECT, **walk_steps()),
         "r1_5_evidence_rows": sql(
             """SELECT t.transaction_id AS original_transaction_id, t.user_id, t.card_id, t.transaction_amount,
@@ -534,20 +589,20 @@ def oracle() -> dict[str, str]:
         "r1_7_geo_alerts": sql(
             SNAPSHOT, **walk_steps(),
             hits=f"""SELECT id AS transaction_id, card_id, user_id, 'impossible_travel' AS alert_type,
-              {travel_risk('ratio')} AS risk_score FROM measured WHERE speed > 900""",
+              {travel_risk('ratio')} AS risk_score, {GEO_MESSAGE} AS alert_message FROM measured WHERE speed > 900""",
             **upsert(True),
         ),
         "r1_8_geo_audit": sql(
             f"""SELECT id AS transaction_id, CASE WHEN hit THEN 'completed' END AS previous_status,
             CASE WHEN hit THEN 'reversed' ELSE 'completed' END AS new_status, 'geo' AS changed_by, {AS_OF} AS changed_at,
-            CASE WHEN hit THEN 'violation' WHEN pid IS NULL THEN 'No violation: no prior point'
-              ELSE 'No violation: within limit' END AS outcome
+            CASE WHEN hit THEN {GEO_MESSAGE} || ', severity ' || {travel_severity('ratio')}
+              WHEN pid IS NULL THEN 'No violation: no prior point' ELSE 'No violation: within limit' END AS change_reason
             FROM (SELECT *, coalesce(speed > 900, FALSE) AS hit FROM measured) x""",
             **GEO_STEPS,
         ),
         "r2_1_structuring_band": sql(
             f"""SELECT s.user_id, {NAME} AS user_name, card_id, transaction_id, transaction_amount,
-            transaction_timestamp, txn_count_in_window, '{expr.FLAG_STRUCTURING}' AS flag FROM (
+            transaction_timestamp, txn_count_in_window, '{FLAG_STRUCTURING}' AS flag FROM (
               SELECT *, count(*) OVER (PARTITION BY user_id ORDER BY transaction_timestamp
                 RANGE BETWEEN INTERVAL 2880 MINUTE PRECEDING AND CURRENT ROW) AS txn_count_in_window FROM transactions
               WHERE transaction_amount BETWEEN 1000 AND 6000 AND transaction_status = 'completed') s
@@ -557,7 +612,7 @@ def oracle() -> dict[str, str]:
             f"""SELECT t.user_id, {NAME} AS user_name, count(*) AS txn_count,
             CAST(sum(transaction_amount) AS DECIMAL(25,2)) AS total_amount, min(transaction_amount) AS min_amount,
             max(transaction_amount) AS max_amount, min(transaction_timestamp) AS window_start,
-            max(transaction_timestamp) AS window_end, '{expr.FLAG_STRUCTURING}' AS flag
+            max(transaction_timestamp) AS window_end, '{FLAG_STRUCTURING}' AS flag
             FROM transactions t JOIN users u ON u.user_id = t.user_id
             WHERE transaction_amount BETWEEN 1000 AND 6000 AND transaction_status = 'completed'
               AND transaction_timestamp >= {AS_OF} - INTERVAL 48 HOUR
@@ -566,9 +621,7 @@ def oracle() -> dict[str, str]:
         "r2_3_structuring_report": sql(REPORT),
         "r2_4_structuring_new_alerts": sql("SELECT * FROM raised", report=REPORT, raised=RAISED),
         "r2_5_structuring_summary": sql(
-            f"""SELECT (SELECT count(*) FROM report) AS total_suspects_detected,
-            (SELECT count(*) FROM raised) AS new_alerts_raised, {AS_OF} - INTERVAL 48 HOUR AS analysis_window_start,
-            {AS_OF} AS analysis_window_end, CAST(10000 AS DECIMAL(15,2)) AS threshold_used, 48 AS window_hours_used""",
+            f"SELECT {SUMMARY}",
             report=REPORT, raised=RAISED,
         ),
         "r2_6_structuring_on_insert": sql(
@@ -586,14 +639,16 @@ def oracle() -> dict[str, str]:
         ),
         "r2_8_structuring_alerts": sql(
             SNAPSHOT, judged=ON_INSERT,
-            hits=STRUCTURING_HITS.replace("CARD", "max_card_id").replace("TOTAL", "aggregate_total").replace("N / 100", "txn_count / 100"),
+            hits=structuring_hits("max_card_id", "aggregate_total", "txn_count"),
             **upsert(False),
         ),
         "r2_8_structuring_audit": sql(
             f"""SELECT j.transaction_id, CASE WHEN violation THEN 'completed' END AS previous_status,
             'completed' AS new_status, 'structuring' AS changed_by, {AS_OF} AS changed_at,
             CASE WHEN NOT violation THEN 'No violation' WHEN o.user_id IS NOT NULL OR transaction_id > first_id
-              THEN 'Existing alert updated' ELSE 'New alert raised' END AS outcome
+              THEN 'Existing alert updated' ELSE 'New alert raised' END || ': $' || CAST(aggregate_total AS VARCHAR)
+              || ' in ' || CAST(txn_count AS VARCHAR) || ' payments' || CASE WHEN violation THEN ', risk ' ||
+              CAST({score4(structuring_score('aggregate_total', '10000', 'txn_count'))} AS VARCHAR) ELSE '' END AS change_reason
             FROM judged j LEFT JOIN (SELECT user_id, min(transaction_id) AS first_id FROM judged WHERE violation
               GROUP BY user_id) f ON f.user_id = j.user_id
             LEFT JOIN (SELECT DISTINCT user_id FROM alerts WHERE alert_type = 'structuring_aml'
@@ -603,8 +658,8 @@ def oracle() -> dict[str, str]:
         "r3_1_merchant_screen": sql(
             f"""SELECT transaction_id, {NAME} AS user_name, merchant_name, merchant_category_code, transaction_amount,
             transaction_timestamp, ip_address, risk_score, is_blacklisted, fraud_report_count,
-            CASE WHEN is_blacklisted = 1 THEN '{expr.FLAG_BLACKLISTED}' WHEN merchant_category_code IN ({SCREEN})
-              THEN '{expr.FLAG_MCC}' ELSE 'MONITOR' END AS risk_flag
+            CASE WHEN is_blacklisted = 1 THEN '{FLAG_BLACKLISTED}' WHEN merchant_category_code IN ({SCREEN})
+              THEN '{FLAG_MCC}' ELSE 'MONITOR' END AS risk_flag
             FROM transactions t JOIN users u ON u.user_id = t.user_id JOIN merchants m ON m.merchant_id = t.merchant_id
             WHERE is_blacklisted = 1 OR merchant_category_code IN ({SCREEN})"""
         ),
@@ -618,36 +673,43 @@ def oracle() -> dict[str, str]:
         ),
         "r3_3_blocked_alerts": sql(
             f"""SELECT CAST(NULL AS BIGINT) AS transaction_id, card_id, user_id, 'blacklisted_merchant' AS alert_type,
-            CAST(m.risk_score AS DECIMAL(14,2)) AS risk_score, 'open' AS alert_status, {AS_OF} AS created_at
-            FROM transactions t JOIN merchants m ON m.merchant_id = t.merchant_id WHERE is_blacklisted = 1"""
+            CAST(merchant_risk AS DECIMAL(14,2)) AS risk_score, alert_message, 'open' AS alert_status, investigation_notes,
+            {AS_OF} AS created_at, merchant_id, merchant_name, merchant_category_code, fraud_report_count,
+            transaction_amount, currency_code, merchant_mcc, merchant_country, ip_address, latitude, longitude
+            FROM offences""",
+            offences=BLOCKED_ROWS,
         ),
         "r3_4_blocked_audit": sql(
             f"""SELECT CAST(NULL AS BIGINT) AS transaction_id, CAST(NULL AS VARCHAR) AS previous_status,
             'blocked' AS new_status, 'merchant' AS changed_by, {AS_OF} AS changed_at,
-            concat('User ', user_id, ', card ', card_id, ', merchant ', t.merchant_id, ', $',
-              transaction_amount, ', IP ', coalesce(ip_address, 'N/A')) AS change_reason
+            concat('User ', user_id, ', card ', card_id, ', merchant ', t.merchant_id, ' ', merchant_name, ' of risk ',
+              risk_score, ', $', transaction_amount, ', IP ', coalesce(ip_address, 'N/A')) AS change_reason
             FROM transactions t JOIN merchants m ON m.merchant_id = t.merchant_id WHERE is_blacklisted = 1"""
         ),
         "r3_5_block_updates": sql(
-            """SELECT transaction_id, CASE WHEN applied THEN merchant_id + 1 ELSE merchant_id END AS merchant_id,
-            CASE WHEN applied THEN 'completed' ELSE transaction_status END AS transaction_status FROM (
-              SELECT *, transaction_status = 'pending' AND batch_id NOT IN (SELECT c.batch_id FROM transactions c
+            """SELECT transaction_id, CASE WHEN changed AND NOT refused THEN merchant_id + 1 ELSE merchant_id END AS merchant_id,
+            CASE WHEN changed AND NOT refused THEN 'completed' ELSE transaction_status END AS transaction_status,
+            FALSE AS refused FROM gated
+            UNION ALL SELECT transaction_id, merchant_id + 1, 'completed', TRUE FROM gated WHERE changed AND refused""",
+            gated="""SELECT *, transaction_status = 'pending' AS changed, batch_id IN (SELECT c.batch_id FROM transactions c
                 JOIN merchants m ON m.merchant_id = c.merchant_id + 1
-                WHERE c.transaction_status = 'pending' AND m.is_blacklisted = 1) AS applied FROM transactions) x"""
+                WHERE c.transaction_status = 'pending' AND m.is_blacklisted = 1) AS refused FROM transactions""",
         ),
         "r3_6_flag_high_risk_mcc": sql(
             "SELECT transaction_id, merchant_id, flagged, risk_flag, risk_score FROM judged", judged=MCC_JUDGED
         ),
         "r3_7_mcc_alerts": sql(
             SNAPSHOT, judged=MCC_JUDGED,
-            hits="""SELECT transaction_id, card_id, user_id, 'high_risk_mcc' AS alert_type,
-              CAST(risk_score AS DECIMAL(14,2)) AS risk_score FROM judged WHERE flagged""",
+            hits=f"""SELECT transaction_id, card_id, user_id, 'high_risk_mcc' AS alert_type,
+              CAST(risk_score AS DECIMAL(14,2)) AS risk_score, {MCC_PAYMENT} || ' at ' || {text('merchant_name')} AS alert_message
+              FROM judged WHERE flagged""",
             **upsert(False),
         ),
         "r3_7_mcc_audit": sql(
             f"""SELECT transaction_id, CASE WHEN flagged THEN 'completed' END AS previous_status,
             'completed' AS new_status, 'merchant' AS changed_by, {AS_OF} AS changed_at,
-            CASE WHEN flagged THEN 'Flagged' ELSE 'Clear' END || ': ' || risk_flag || ', category ' || merchant_mcc
+            CASE WHEN flagged THEN 'Flagged' ELSE 'Clear' END || ': ' || risk_flag || ', category ' || merchant_mcc || ', $'
+              || CAST(transaction_amount AS VARCHAR) || ' at ' || {text('merchant_name')} || ' of risk ' || {text('risk_score')}
               AS change_reason FROM judged""",
             judged=MCC_JUDGED,
         ),
@@ -700,7 +762,7 @@ def oracle() -> dict[str, str]:
             WHERE login_status = 'failure'"""
         ),
         "l7_suspicious_logins": sql(
-            f"""SELECT log_id, event_type, ip_address, geo_country, event_timestamp, '{expr.FLAG_SUSPICIOUS}' AS flag
+            f"""SELECT log_id, event_type, ip_address, geo_country, event_timestamp, '{FLAG_SUSPICIOUS}' AS flag
             FROM login_log WHERE geo_country NOT IN ('US') OR event_type = 'username_not_found'
             OR event_type = 'account_locked'"""
         ),
