@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardwarden.sources.schemas import TABLES
+from cardwarden.sources.tables import ingest
 
 
 def _broken(df: DataFrame, key: str, tests: Sequence[tuple[str, Column]], out: str) -> DataFrame:
@@ -46,3 +48,54 @@ def length_violations(df: DataFrame, limits: Mapping[str, int], key: str) -> Dat
     """Rows with a text over its limit, one row per column."""
     tests = [(c, F.length(c) > n) for c, n in limits.items()]
     return _broken(df, key, tests, "column_name")
+
+
+def _all_tables(tables: Mapping[str, DataFrame], find) -> DataFrame:
+    """Rows (table_name, row_key, ...) of what is found in each declared table."""
+    parts = []
+    for name in TABLES:
+        found = find(name, ingest(tables[name], name))
+        if found is not None:
+            key = F.col(TABLES[name].key).cast("string").alias("row_key")
+            parts.append(found.select(F.lit(name).alias("table_name"), key, found.columns[-1]))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def declared_check_violations(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Every row of every table that breaks a declared check."""
+    return _all_tables(
+        tables, lambda name, df: table_check_violations(df, name) if TABLES[name].checks else None
+    )
+
+
+def declared_null_violations(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Every required value that is missing, in all tables."""
+    return _all_tables(
+        tables, lambda name, df: null_violations(df, TABLES[name].required, TABLES[name].key)
+    )
+
+
+def declared_length_violations(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Every text over its declared length, in all tables."""
+    return _all_tables(
+        tables,
+        lambda name, df: length_violations(df, TABLES[name].lengths, TABLES[name].key) if TABLES[name].lengths else None,
+    )
+
+
+def declared_orphans(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Every row whose declared parent does not exist, over all references."""
+    parts = []
+    for name, declared in TABLES.items():
+        child = ingest(tables[name], name)
+        for column, (parent, _) in declared.parents.items():
+            known = ingest(tables[parent], parent).select(F.col(TABLES[parent].key).alias(column))
+            found = child.filter(F.col(column).isNotNull()).join(known, column, "left_anti")
+            parts.append(
+                found.select(
+                    F.lit(name).alias("table_name"),
+                    F.col(declared.key).cast("string").alias("row_key"),
+                    F.lit(column).alias("column_name"),
+                )
+            )
+    return reduce(DataFrame.unionByName, parts)

@@ -12,10 +12,12 @@ from cardwarden.functions import expr, register_sql_functions
 from cardwarden.operators import (
     alerts, changes, geo, joins, login, merchant, quality, structuring, textlists, timeline,
 )
+from cardwarden.operators.slices import SlicePolicy
 from cardwarden.plans import reports
 from cardwarden.session import new_folder, stored
 from cardwarden.sources import adapters, tables
 from cardwarden.sources.adapters import AS_OF
+from cardwarden.sources.schemas import TABLES
 from cardwarden.streaming import detect, stateful
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +59,20 @@ def raw_query(name: str):
     return register
 
 
+# Small enough that keys of the test tables are cut; the results are those of the uncut queries.
+SMALL_SLICES = SlicePolicy(rows_per_slice=4, oversample=2)
+
+# The adapted table of each declared one.
+_DECLARED = {
+    "transaction_audit_log": "audit", "user_known_locations": "locations", "user_devices": "devices",
+    "authentication_audit_log": "login_log",
+}
+
+
+def _declared(t):
+    return {name: t[_DECLARED.get(name, name)] for name in TABLES}
+
+
 def _arrived(t):
     txns = t["transactions"]
     cut = joins.bound(txns, _TS, expr.instant(ARRIVAL))
@@ -95,6 +111,12 @@ def _(t):
     return filled.select("transaction_id", "card_id", "currency_code", "transaction_status", _TS)
 
 
+@query("src3_sliced")
+def _(t):
+    rows = t["transactions"].select("transaction_id", "user_id", _TS)
+    return tables.number_rows(rows, expr.micros(_TS), ["transaction_id"], offset=7, out="place", rows_per_slice=40)
+
+
 @raw_query("snk1_append")
 def _(spark, folder):
     t = adapters.tables(spark, folder)
@@ -167,6 +189,26 @@ def _(t):
     return quality.check_violations(t["authentication"], rules, "auth_id")
 
 
+@query("dq1_declared")
+def _(t):
+    return quality.declared_check_violations(_declared(t))
+
+
+@query("dq3_declared")
+def _(t):
+    return quality.declared_orphans(_declared(t))
+
+
+@query("dq4_declared")
+def _(t):
+    return quality.declared_null_violations(_declared(t))
+
+
+@query("dq6_declared")
+def _(t):
+    return quality.declared_length_violations(_declared(t))
+
+
 @raw_query("dq2_duplicate_keys")
 def _(spark, folder):
     return quality.duplicate_keys(tables.scan(spark, folder, "lineitem"), ["l_orderkey", "l_linenumber"])
@@ -446,15 +488,24 @@ def _(t):
 def _(spark, folder):
     t = adapters.tables(spark, folder)
     register_sql_functions(spark)
-    per_merchant = t["transactions"].groupBy("merchant_id").agg(
-        F.sum("transaction_amount").cast("decimal(25,2)").alias("total"), F.count(F.lit(1)).alias("n")
+    per_user = t["transactions"].groupBy("user_id").agg(
+        F.sum("transaction_amount").cast("decimal(25,2)").alias("total"), F.count(F.lit(1)).alias("n"),
+        F.max("merchant_id").alias("merchant_id"),
     )
-    return t["merchants"].join(per_merchant, "merchant_id").selectExpr(
-        "merchant_id",
-        "structuring_severity(total, 1000000) AS severity",
-        "structuring_risk_score(total, 100000000, n) AS score",
+    accounts = t["authentication"].withColumnRenamed("auth_id", "user_id")
+    ratio = (F.col("total") / 50000).cast("decimal(10,2)").alias("ratio")
+    known = per_user.join(t["locations"], "user_id").join(accounts, "user_id").join(t["merchants"], "merchant_id")
+    return known.select("*", ratio).selectExpr(
+        "user_id",
+        "round(haversine_km(latitude, longitude, 40.7128, -74.0060), 2) AS km",
+        "CAST(round(planar_km(latitude, longitude, 40.7128, -74.0060), 2) AS decimal(12,2)) AS flat_km",
+        "structuring_severity(total, 200000) AS severity",
+        "structuring_risk_score(total, 200000, n) AS score",
         "is_high_risk_mcc(merchant_category_code) AS is_high_risk",
         "merchant_risk_flag(is_blacklisted = 1, merchant_category_code, risk_score) AS risk_flag",
+        "CASE WHEN ratio >= 1 THEN travel_risk(ratio) END AS travel_score",
+        "travel_severity(ratio) AS travel_grade",
+        f"account_health(is_active = 1, locked_until, must_change_password = 1, failed_attempts, timestamp '{AS_OF}') AS health",
     )
 
 
@@ -483,6 +534,17 @@ def _(t):
     return geo.with_prev_address(found, t["transactions"])
 
 
+@query("r1_2_sliced")
+def _(t):
+    return geo.geo_velocity(t["transactions"], policy=SMALL_SLICES).select(*_GEO_OUT, "prev_ip_address")
+
+
+@query("r1_3_sliced")
+def _(t):
+    found = geo.geo_velocity_declining(t["transactions"], policy=SMALL_SLICES).select(*_GEO_OUT)
+    return geo.with_prev_address(found, t["transactions"])
+
+
 @raw_query("r1_4_geo_velocity_stream")
 def _(spark, folder):
     judged = stateful.geo_velocity_stream(adapters.stream(spark, folder, "transactions"))
@@ -565,6 +627,12 @@ def _(t):
     return judged.filter("violation").select(*_STRUCTURED_OUT)
 
 
+@query("r2_7_sliced")
+def _(t):
+    judged = structuring.structuring_trailing(t["transactions"], policy=SMALL_SLICES)
+    return judged.filter("violation").select(*_STRUCTURED_OUT)
+
+
 @query("r2_8_structuring_alerts")
 def _(t):
     history, batch = _arrived(t)
@@ -698,6 +766,24 @@ def _(t):
     return login.lockout_events(t["login_log"])
 
 
+@query("l2_sliced")
+def _(t):
+    return login.lockout_events(t["login_log"], policy=SMALL_SLICES)
+
+
+@query("l1_apply_state")
+def _(t):
+    accounts = t["authentication"].withColumns(
+        {
+            "last_login_at": F.lit(None).cast("timestamp"), "last_login_ip": F.lit(None).cast("string"),
+            "updated_at": F.lit(None).cast("timestamp"),
+        }
+    )
+    return login.apply_login_state(accounts, login.login_state(t["login_log"], AS_OF), AS_OF).select(
+        "auth_id", "failed_attempts", "locked_until", "last_login_at", "last_login_ip", "updated_at"
+    )
+
+
 @raw_query("l3_login_state_stream")
 def _(spark, folder):
     counted = stateful.login_state_stream(adapters.stream(spark, folder, "login_log"))

@@ -362,6 +362,103 @@ def detected(clock: str) -> str:
     )
 
 
+# --- declared rules, written out table by table -----------------------------
+
+
+def _found(table: str, source: str, key: str, value: str, where: str, name: str) -> str:
+    return (
+        f"SELECT '{table}' AS table_name, CAST({key} AS VARCHAR) AS row_key, '{value}' AS {name} "
+        f"FROM {source} WHERE {where}"
+    )
+
+
+# table, adapted table, key
+_KEYS = {
+    "users": ("users", "user_id"), "cards": ("cards", "card_id"), "merchants": ("merchants", "merchant_id"),
+    "transactions": ("transactions", "transaction_id"), "alerts": ("alerts", "alert_id"),
+    "transaction_audit_log": ("audit", "audit_id"), "user_known_locations": ("locations", "location_id"),
+    "user_devices": ("devices", "device_id"), "authentication": ("authentication", "auth_id"),
+    "authentication_audit_log": ("login_log", "log_id"),
+}
+
+CHECKS = [
+    _found(table, *_KEYS[table], rule, f"NOT ({holds})", "rule")
+    for table, rule, holds in (
+        ("users", "account_status", "account_status IN ('active', 'suspended', 'closed')"),
+        ("users", "risk_profile", "risk_profile IN ('low', 'medium', 'high')"),
+        ("cards", "card_type", "card_type IN ('debit', 'credit', 'prepaid')"),
+        ("cards", "card_status", "card_status IN ('active', 'blocked', 'expired')"),
+        ("merchants", "merchant_risk", "risk_score BETWEEN 0 AND 1"),
+        ("transactions", "transaction_status", "transaction_status IN ('completed', 'pending', 'declined', 'reversed')"),
+        ("transactions", "transaction_amount", "transaction_amount > 0"),
+        ("alerts", "alert_status", "alert_status IN ('open', 'acknowledged', 'false_positive', 'confirmed_fraud')"),
+        ("alerts", "alert_type", "alert_type IN ('impossible_travel', 'structuring_aml', 'blacklisted_merchant', "
+         "'high_risk_mcc', 'velocity_breach', 'unknown_device', 'other')"),
+        ("user_devices", "device_type", "device_type IN ('mobile', 'laptop', 'tablet', 'desktop', 'unknown')"),
+        ("authentication", "role", "role IN ('super_admin', 'compliance_officer', 'bank_employee')"),
+        ("authentication", "failed_attempts", "failed_attempts >= 0"),
+        ("authentication", "inactive_has_date", "is_active = 1 OR deactivated_at IS NOT NULL"),
+        ("authentication_audit_log", "event_type", "event_type IN ('login_success', 'login_failure', 'account_locked', "
+         "'account_unlocked', 'logout', 'session_expired', 'password_changed', 'mfa_success', 'mfa_failure', "
+         "'username_not_found', 'inactive_account', 'forced_logout')"),
+        ("authentication_audit_log", "login_status", "login_status IN ('success', 'failure')"),
+    )
+]
+
+ORPHANS = [
+    _found(table, *_KEYS[table], column,
+           f"{column} IS NOT NULL AND {column} NOT IN (SELECT {_KEYS[parent][1]} FROM {_KEYS[parent][0]})", "column_name")
+    for table, column, parent in (
+        ("cards", "user_id", "users"), ("transactions", "card_id", "cards"),
+        ("transactions", "merchant_id", "merchants"), ("transactions", "user_id", "users"),
+        ("alerts", "transaction_id", "transactions"), ("alerts", "card_id", "cards"), ("alerts", "user_id", "users"),
+        ("transaction_audit_log", "transaction_id", "transactions"), ("user_known_locations", "user_id", "users"),
+        ("user_devices", "user_id", "users"), ("authentication_audit_log", "auth_id", "authentication"),
+    )
+]
+
+# Required columns: those the adapted table has, and those it lacks, which every row misses.
+NULLS = [
+    _found(table, *_KEYS[table], column, f"{column} IS NULL" if there else "TRUE", "column_name")
+    for table, present, absent in (
+        ("users", "user_id email account_status risk_profile", "account_created_at"),
+        ("cards", "card_id user_id card_type card_status", "card_number_hash issued_date"),
+        ("merchants", "merchant_id merchant_name risk_score is_blacklisted fraud_report_count", "created_at"),
+        ("transactions", "transaction_id card_id merchant_id user_id transaction_amount currency_code "
+         "transaction_timestamp transaction_status", ""),
+        ("alerts", "alert_id card_id user_id alert_type alert_status created_at", ""),
+        ("transaction_audit_log", "audit_id changed_at", ""),
+        ("user_known_locations", "location_id user_id frequency_count", ""),
+        ("user_devices", "device_id user_id is_trusted", "first_seen"),
+        ("authentication", "auth_id employee_id role is_active failed_attempts must_change_password",
+         "username mfa_enabled created_at"),
+        ("authentication_audit_log", "log_id event_type login_status event_timestamp", "username_attempted mfa_used"),
+    )
+    for there, columns in ((True, present), (False, absent))
+    for column in columns.split()
+]
+
+LENGTHS = [
+    _found(table, *_KEYS[table], column, f"length({column}) > {most}", "column_name")
+    for table, column, most in (
+        ("users", "first_name", 100), ("users", "last_name", 100), ("users", "email", 150),
+        ("users", "account_status", 20), ("users", "risk_profile", 20), ("users", "country_iso_code", 2),
+        ("cards", "card_type", 20), ("cards", "card_status", 20), ("merchants", "merchant_name", 255),
+        ("merchants", "merchant_category_code", 10), ("merchants", "country_iso_code", 2),
+        ("transactions", "currency_code", 3), ("transactions", "merchant_country", 2),
+        ("transactions", "merchant_mcc", 10), ("transactions", "transaction_status", 20),
+        ("transactions", "ip_address", 45), ("alerts", "alert_type", 100), ("alerts", "alert_status", 30),
+        ("transaction_audit_log", "previous_status", 50), ("transaction_audit_log", "new_status", 50),
+        ("transaction_audit_log", "changed_by", 255), ("user_known_locations", "city", 100),
+        ("user_known_locations", "country_iso_code", 2), ("user_devices", "device_id", 255),
+        ("user_devices", "device_type", 50), ("authentication", "employee_id", 50), ("authentication", "role", 50),
+        ("authentication_audit_log", "employee_id", 50), ("authentication_audit_log", "event_type", 50),
+        ("authentication_audit_log", "login_status", 20), ("authentication_audit_log", "ip_address", 45),
+        ("authentication_audit_log", "geo_country", 2),
+    )
+]
+
+
 def oracle() -> dict[str, str]:
     return {
         "src1_scan": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders",
@@ -376,6 +473,10 @@ def oracle() -> dict[str, str]:
             CASE WHEN transaction_id % 10 = 0 THEN 'completed' ELSE transaction_status END AS transaction_status,
             transaction_timestamp FROM transactions"""
         ),
+        "src3_sliced": sql(
+            """SELECT transaction_id, user_id, transaction_timestamp, 7 + row_number() OVER
+            (ORDER BY transaction_timestamp, transaction_id) AS place FROM transactions"""
+        ),
         "snk1_append": sql(
             """SELECT card_id, user_id, alert_type, risk_score, alert_message, alert_status, investigation_notes FROM raised
             UNION ALL SELECT card_id, user_id, 'blacklisted_merchant', CAST(merchant_risk AS DECIMAL(14,2)), alert_message,
@@ -406,6 +507,10 @@ def oracle() -> dict[str, str]:
             """SELECT auth_id, 'inactive_has_date' AS rule FROM authentication
             WHERE is_active = 0 AND deactivated_at IS NULL"""
         ),
+        "dq1_declared": sql(" UNION ALL ".join(CHECKS)),
+        "dq3_declared": sql(" UNION ALL ".join(ORPHANS)),
+        "dq4_declared": sql(" UNION ALL ".join(NULLS)),
+        "dq6_declared": sql(" UNION ALL ".join(LENGTHS)),
         "dq2_duplicate_keys": """SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
             GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
         "dq3_orphans": sql(
@@ -553,12 +658,17 @@ def oracle() -> dict[str, str]:
             f"SELECT auth_id, {health(True)} AS full_health, {health(False)} AS short_health FROM authentication"
         ),
         "u_sql_functions": sql(
-            f"""SELECT m.merchant_id, {structuring_severity('total', '1000000')} AS severity,
-            {structuring_score('total', '100000000', 'n')} AS score,
+            f"""SELECT g.user_id, CAST(round({km('l.latitude', 'l.longitude', '40.7128', '-74.0060')}, 2) AS DECIMAL(12,2)) AS km,
+            CAST(round({planar('l.latitude', 'l.longitude', '40.7128', '-74.0060')}, 2) AS DECIMAL(12,2)) AS flat_km,
+            {structuring_severity('total', '200000')} AS severity, {structuring_score('total', '200000', 'n')} AS score,
             merchant_category_code IN ({HIGH_RISK}) AS is_high_risk,
-            {risk_flag('is_blacklisted = 1', 'merchant_category_code', 'risk_score')} AS risk_flag
-            FROM merchants m JOIN (SELECT merchant_id, CAST(sum(transaction_amount) AS DECIMAL(25,2)) AS total,
-              count(*) AS n FROM transactions GROUP BY merchant_id) t ON t.merchant_id = m.merchant_id"""
+            {risk_flag('is_blacklisted = 1', 'merchant_category_code', 'risk_score')} AS risk_flag,
+            CASE WHEN ratio >= 1 THEN {travel_risk('ratio')} END AS travel_score, {travel_severity('ratio')} AS travel_grade,
+            {health(True)} AS health FROM (SELECT *, CAST(total / 50000 AS DECIMAL(10,2)) AS ratio FROM
+              (SELECT user_id, CAST(sum(transaction_amount) AS DECIMAL(25,2)) AS total, count(*) AS n,
+               max(merchant_id) AS merchant_id FROM transactions GROUP BY user_id) s) g
+            JOIN locations l ON l.user_id = g.user_id JOIN authentication a ON a.auth_id = g.user_id
+            JOIN merchants m ON m.merchant_id = g.merchant_id"""
         ),
         "r1_1_geo_planar_pairs": sql(
             f"""SELECT p.transaction_id, {NAME} AS user_name, p.card_id, pc AS location_before,
@@ -573,6 +683,8 @@ def oracle() -> dict[str, str]:
         ),
         "r1_2_geo_velocity": sql(GEO_BOTH, **GEO_STEPS),
         "r1_3_geo_velocity_declining": sql(GEO_BOTH, **walk_steps()),
+        "r1_2_sliced": sql(GEO_BOTH, **GEO_STEPS),
+        "r1_3_sliced": sql(GEO_BOTH, **walk_steps()),
         "r1_4_geo_velocity_stream": sql(GEO_SELECT, **walk_steps()),
         "r1_5_evidence_rows": sql(
             """SELECT t.transaction_id AS original_transaction_id, t.user_id, t.card_id, t.transaction_amount,
@@ -637,6 +749,12 @@ def oracle() -> dict[str, str]:
             {structuring_severity('total', '10000')} AS severity FROM judged WHERE violation""",
             judged=TRAILING,
         ),
+        "r2_7_sliced": sql(
+            f"""SELECT transaction_id, user_id, n AS txn_count, total AS aggregate_total, violation,
+            {structuring_score('total', '10000', 'n')} AS risk_score,
+            {structuring_severity('total', '10000')} AS severity FROM judged WHERE violation""",
+            judged=TRAILING,
+        ),
         "r2_8_structuring_alerts": sql(
             SNAPSHOT, judged=ON_INSERT,
             hits=structuring_hits("max_card_id", "aggregate_total", "txn_count"),
@@ -747,6 +865,20 @@ def oracle() -> dict[str, str]:
             counted=LOGIN_COUNTED,
         ),
         "l2_lockout_events": sql(LOCKOUTS, counted=LOGIN_COUNTED),
+        "l2_sliced": sql(LOCKOUTS, counted=LOGIN_COUNTED),
+        "l1_apply_state": sql(
+            f"""SELECT a.auth_id, CASE WHEN s.auth_id IS NULL THEN a.failed_attempts ELSE s.fails END AS failed_attempts,
+            CASE WHEN s.auth_id IS NULL THEN a.locked_until WHEN s.fails >= 5 THEN s.last_failure + INTERVAL 30 MINUTE END
+              AS locked_until, s.last_login_at, s.last_login_ip,
+            CASE WHEN s.auth_id IS NULL THEN CAST(NULL AS TIMESTAMP) ELSE {AS_OF} END AS updated_at
+            FROM authentication a LEFT JOIN (
+              SELECT auth_id, CAST(arg_max(fails, (event_timestamp, log_id)) AS INT) AS fails,
+                max(CASE WHEN f = 1 THEN event_timestamp END) AS last_failure,
+                max(CASE WHEN s = 1 THEN event_timestamp END) AS last_login_at,
+                arg_max(ip_address, (event_timestamp, log_id)) FILTER (WHERE s = 1) AS last_login_ip
+              FROM counted GROUP BY auth_id) s ON s.auth_id = a.auth_id""",
+            counted=LOGIN_COUNTED,
+        ),
         "l3_login_state_stream": sql(LOCKOUTS, counted=LOGIN_COUNTED),
         "l4_touch": sql(
             f"""SELECT auth_id, CASE WHEN auth_id IN (SELECT auth_id FROM counted WHERE f = 1 AND fails >= 5)
