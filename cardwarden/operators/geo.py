@@ -19,7 +19,7 @@ cloudpickle.register_pickle_by_value(travel_fold)
 ALERT_TYPE = "impossible_travel"
 ACTOR = "geo"
 
-_KEPT = [
+KEPT = [
     "transaction_id", "user_id", "card_id", "transaction_timestamp",
     "transaction_status", "latitude", "longitude", "ip_address",
 ]
@@ -62,7 +62,7 @@ def geo_planar_pairs(
     )
 
 
-def _located() -> Column:
+def located() -> Column:
     return F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
 
 
@@ -88,7 +88,7 @@ def _with_metrics(judged: DataFrame, max_kmh: float, more: Sequence[str] = ()) -
     if "prev_ip_address" in judged.columns:
         before.append("prev_ip_address")
     return measured.select(
-        *_KEPT,
+        *KEPT,
         *before,
         "distance_km",
         F.when(F.col("_seconds").isNotNull(), expr.travel_minutes(F.col("_seconds"))).alias(
@@ -116,13 +116,13 @@ def judge_velocity(
     A violating payment stays a reference point for the next one.
     """
     ts = "transaction_timestamp"
-    located = txns.select(*_KEPT).filter(_located())
+    located = txns.select(*KEPT).filter(located())
     found = timeline.prev_eligible(
         located, "user_id", ts, "transaction_id", ["latitude", "longitude", "ip_address"],
         ~F.col("transaction_status").isin(list(ignored)), policy=policy, hot=hot,
     )
     judged = found.select(
-        *_KEPT,
+        *KEPT,
         F.col("prev.transaction_id").alias("prev_transaction_id"),
         F.col(f"prev.{ts}").alias("prev_timestamp"),
         F.col("prev.latitude").alias("prev_latitude"),
@@ -143,8 +143,8 @@ def geo_velocity(txns: DataFrame, max_kmh: float = 900, **options) -> DataFrame:
 def _points(txns: DataFrame, ignored: tuple[str, ...], more: Sequence[str] = ()) -> DataFrame:
     eligible = ~F.col("transaction_status").isin(list(ignored))
     return (
-        txns.select(*_KEPT, *more)
-        .filter(_located())
+        txns.select(*KEPT, *more)
+        .filter(located())
         .withColumns(
             {
                 "_at": expr.micros("transaction_timestamp"),
@@ -226,7 +226,7 @@ def _settle_entry_points(
     folds, number = None, 0
     while True:
         rows = hot_points.join(todo, keys).select(
-            *keys, "_at", "_id", "_lat", "_lon", "_eligible", *entry_cols
+            *keys, "_at", "_id", "_lat", "_lon", "_eligible", "_given", *entry_cols
         )
         ends = _ordered(rows, keys).mapInArrow(run, out_schema)
         renewed = stored(ends.join(todo, keys).withColumn("_round", F.lit(number)))
@@ -245,7 +245,7 @@ def folded_metrics(folded: DataFrame, max_kmh: float, more: Sequence[str] = ())
     """Metrics of rows the fold has judged."""
     ts_type = folded.schema["transaction_timestamp"].dataType
     judged = folded.select(
-        *_KEPT,
+        *KEPT,
         F.col("_ref_id").alias("prev_transaction_id"),
         F.timestamp_micros("_ref_at").cast(ts_type).alias("prev_timestamp"),
         F.col("_ref_lat").cast("decimal(10,8)").alias("prev_latitude"),
@@ -263,15 +263,25 @@ def judge_velocity_declining(
     policy: SlicePolicy = DEFAULT_POLICY,
     hot: Hot = FIND,
     more: Sequence[str] = (),
+    known: DataFrame | None = None,
 ) -> DataFrame:
     """Every payment with coordinates against the customer's last accepted point.
 
     Payments this rule declines never become a reference point. last_accepted
     gives the point (user_id, _in_at, _in_id, _in_lat, _in_lon) customers start
-    with; payments not after it are marked late. `more` names further columns of
-    the payments to carry along, so that no join brings them back.
+    with; payments not after it are marked late. known gives points accepted in
+    earlier runs (accepted_points) instead: they stand among the payments, so that
+    a payment that comes late, or at the time of a known point, is judged against
+    the latest strictly earlier one. `more` names further columns of the payments
+    to carry along, so that no join brings them back.
     """
-    points = _points(txns, ignored, more)
+    points = _points(txns, ignored, more).withColumn("_given", F.lit(False))
+    if known is not None:
+        before = known.select(
+            F.col("user_id").cast(txns.schema["user_id"].dataType).alias("user_id"),
+            *[F.col(f"_{f}") for f in travel_fold.POINT_FIELDS],
+        ).withColumns({"_eligible": F.lit(True), "_given": F.lit(True)})
+        points = points.unionByName(before, allowMissingColumns=True)
     hot = slices.find(hot, points, ["user_id"], "_at", policy)
     if hot is None:
         keys = ["user_id"]
@@ -284,7 +294,7 @@ def judge_velocity_declining(
         marked = slices.mark_slices(points, hot, ["user_id"], "_at")
         narrow = slices.hot_only(marked).select(
             F.col("user_id").cast("bigint").alias("user_id"),
-            SLICE, "_at", "_id", "_lat", "_lon", "_eligible",
+            SLICE, "_at", "_id", "_lat", "_lon", "_eligible", "_given",
         )
         entries = _settle_entry_points(stored(narrow), last_accepted, max_kmh)
         if last_accepted is not None:
@@ -292,8 +302,8 @@ def judge_velocity_declining(
             first = last_accepted.join(F.broadcast(hot.select("user_id")), "user_id", "left_anti")
             entries = entries.unionByName(first.withColumn(SLICE, F.lit(0).cast("bigint")).select(*entries.columns))
         rows = slices.attach_carry(marked, entries, ["user_id"])
-    work = ["_at", "_id", "_lat", "_lon", "_eligible", *[f"_in_{f}" for f in travel_fold.POINT_FIELDS]]
-    payload = [*_KEPT, *more]
+    work = ["_at", "_id", "_lat", "_lon", "_eligible", "_given", *[f"_in_{f}" for f in travel_fold.POINT_FIELDS]]
+    payload = [*KEPT, *more]
     columns = list(dict.fromkeys([*keys, *payload, *work]))
     rows = rows.select(*columns)
     run = travel_fold.judge_batches(keys, _speed_limit(max_kmh), payload)
@@ -315,6 +325,13 @@ def geo_velocity_declining(txns: DataFrame, max_kmh: float = 900, **options) ->
     return judge_velocity_declining(txns, max_kmh, **options).filter("violation")
 
 
+def accepted_points(txns: DataFrame, ignored=("declined", "reversed")) -> DataFrame:
+    """Points (user_id, _at, _id, _lat, _lon) of payments that were accepted, to be known in the next run."""
+    return _points(txns, ignored).filter("_eligible").select(
+        "user_id", *[f"_{f}" for f in travel_fold.POINT_FIELDS]
+    )
+
+
 def last_accepted_points(judged: DataFrame, ignored=("declined", "reversed")) -> DataFrame:
     """Each customer's last accepted point, to start the next run with."""
     accepted = judged.filter(

@@ -69,6 +69,12 @@ class Track:
             self.latest = row
         return Verdict(reference, violation, False)
 
+    def place(self, row: Point) -> None:
+        """Take over a point that was accepted before."""
+        if self.latest is not None and row[0] > self.latest[0]:
+            self.reference = self.latest
+        self.latest = row
+
     @property
     def last(self) -> Point | None:
         return self.latest or self.reference
@@ -106,6 +112,10 @@ class _Batch:
         self.limit = max_speed_4
         self.points = [column(f"_{f}").to_numpy(zero_copy_only=False) for f in POINT_FIELDS]
         self.eligible = column("_eligible").to_numpy(zero_copy_only=False).astype(bool)
+        # Points accepted in earlier runs stand among the rows; they are not judged again.
+        self.given = np.zeros(batch.num_rows, dtype=bool)
+        if batch.schema.get_field_index("_given") >= 0:
+            self.given = column("_given").to_numpy(zero_copy_only=False).astype(bool)
         self.keys = [column(k).to_numpy(zero_copy_only=False) for k in keys]
         self.entries = [column(f"_in_{f}") for f in POINT_FIELDS]
         at, index = self.points[0], np.arange(batch.num_rows)
@@ -123,7 +133,7 @@ class _Batch:
         known = self.before >= 0
         self.references = [np.where(known, c[self.before], 0) for c in self.points]
         self.known = known
-        self.violation = known & _too_fast_all(self.references, self.points, max_speed_4)
+        self.violation = known & ~self.given & _too_fast_all(self.references, self.points, max_speed_4)
         self.late = np.zeros(len(at), dtype=bool)
         self.trouble = np.flatnonzero(self.violation & self.eligible)
 
@@ -138,6 +148,9 @@ class _Batch:
         return None if values[0] is None else values
 
     def _step(self, track: Track, row: int) -> None:
+        if self.given[row]:
+            track.place(self.point(row))
+            return
         verdict = track.step(self.point(row), bool(self.eligible[row]), self.limit)
         self.known[row] = verdict.reference is not None
         for column, value in zip(self.references, verdict.reference or (0, 0, 0.0, 0.0)):
@@ -162,11 +175,13 @@ class _Batch:
         return track
 
     def judged(self) -> list[pa.Array]:
+        """Reference and verdict of the rows that are not given."""
+        new = ~self.given
         references = [
-            pa.array(c, type=kind, mask=~self.known)
+            pa.array(c[new], type=kind, mask=~self.known[new])
             for c, kind in zip(self.references, _POINT_TYPES)
         ]
-        return [*references, pa.array(self.violation), pa.array(self.late)]
+        return [*references, pa.array(self.violation[new]), pa.array(self.late[new])]
 
 
 def _walk(batches: Iterator[pa.RecordBatch], keys: list[str], max_speed_4: int):
@@ -196,13 +211,28 @@ def judge_batches(keys: list[str], max_speed_4: int, payload: list[str]):
         for batch, rows, _ in _walk(batches, keys, max_speed_4):
             if batch is None:
                 continue
-            kept = [batch.column(batch.schema.get_field_index(n)) for n in payload]
+            new = pa.array(~rows.given)
+            kept = [batch.column(batch.schema.get_field_index(n)).filter(new) for n in payload]
             names = [*payload, *[f"_ref_{f}" for f in POINT_FIELDS], "violation", "late"]
             yield pa.RecordBatch.from_arrays([*kept, *rows.judged()], names=names)
 
     return run
 
 
+def judge_one(at, ids, lat, lon, eligible, given, max_speed_4: int) -> tuple[list[pa.Array], np.ndarray]:
+    """One customer's rows in time then id order: verdicts of the new rows, and which rows are accepted now."""
+    n = len(at)
+    nothing = [pa.nulls(n, kind) for kind in _POINT_TYPES]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(np.zeros(n, np.int64)), pa.array(at), pa.array(ids), pa.array(lat), pa.array(lon),
+         pa.array(eligible), pa.array(given), *nothing],
+        names=["_key", "_at", "_id", "_lat", "_lon", "_eligible", "_given", *[f"_in_{f}" for f in POINT_FIELDS]],
+    )
+    rows = _Batch(batch, ["_key"], max_speed_4)
+    rows.settle(0, n, Track())
+    return rows.judged(), rows.given | (rows.eligible & ~rows.violation)
+
+
 def last_points(keys: list[str], max_speed_4: int):
     """mapInArrow function: the last accepted point of every key."""
 

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,7 +51,11 @@ def configure_streams(spark: SparkSession) -> SparkSession:
 
 
 def use_checkpoint_dir(spark: SparkSession) -> str:
-    """Folder for cut lineage: the cluster's shared one, or a private one in local mode."""
+    """Folder for cut lineage: the shared one the session names, else one in the local warehouse.
+
+    A cluster has to name it (spark.checkpoint.dir). In local mode the warehouse
+    folder serves, in a folder of the application that goes when the JVM ends.
+    """
     current = spark.sparkContext.getCheckpointDir()
     if current is not None:
         return current
@@ -59,14 +63,44 @@ def use_checkpoint_dir(spark: SparkSession) -> str:
     if shared is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="cardwarden-checkpoint-")
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        shared = f"{warehouse}/cardwarden-stored/{spark.sparkContext.applicationId}"
+        path, files = on_store(spark, shared)
+        files.mkdirs(path)
+        files.deleteOnExit(path)
     spark.sparkContext.setCheckpointDir(shared)
-    return shared
+    return spark.sparkContext.getCheckpointDir() or shared
+
+
+def on_store(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+_MADE: list[str] = []
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh place in the checkpoint folder."""
-    return f"{use_checkpoint_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+    """A fresh place in the checkpoint folder; scratch() removes it."""
+    folder = f"{use_checkpoint_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+    _MADE.append(folder)
+    return folder
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Owns what is stored inside the block: at its end the stored tables are deleted.
+
+    Results that read them must be consumed, or written elsewhere, before.
+    """
+    before = len(_MADE)
+    try:
+        yield
+    finally:
+        for folder in _MADE[before:]:
+            path, files = on_store(spark, folder)
+            files.delete(path, True)
+        del _MADE[before:]
 
 
 def stored(df: DataFrame) -> DataFrame:

@@ -126,14 +126,20 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     df.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
-def write_by_day(txns: DataFrame, path: str, mode: str = "append") -> None:
+def write_by_day(txns: DataFrame, path: str, mode: str = "append", batch: int | None = None) -> None:
     """Store payments by day, so look-back filters read only the days they need.
 
     Rows are rebalanced by day before the write: few files per day, and a large
-    day still goes to several tasks.
+    day still goes to several tasks. With a batch number its rows go into their
+    own folders below the days, and a replay of the batch replaces just those.
     """
     dated = txns.withColumn("day", F.to_date("transaction_timestamp"))
-    dated.hint("rebalance", "day").write.mode(mode).partitionBy("day").parquet(path)
+    if batch is None:
+        dated.hint("rebalance", "day").write.mode(mode).partitionBy("day").parquet(path)
+        return
+    numbered = dated.withColumn("batch", F.lit(batch)).hint("rebalance", "day")
+    writer = numbered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("day", "batch").parquet(path)
 
 
 def since_days(stored: DataFrame, as_of, hours: int) -> DataFrame:

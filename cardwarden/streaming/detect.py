@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import timedelta
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from cardwarden.functions import expr
 from cardwarden.operators import alerts as alert_ops
 from cardwarden.operators import geo, merchant, structuring
 from cardwarden.operators.slices import DEFAULT_POLICY, SlicePolicy
+from cardwarden.session import on_store
 from cardwarden.sources import tables
 
 POLICIES = {
@@ -24,7 +26,7 @@ POLICIES = {
 }
 
 _TS = "transaction_timestamp"
-_PARTITIONS = (T.StructField("batch", T.IntegerType()), T.StructField("day", T.DateType()))
+_PARTITIONS = (T.StructField("day", T.DateType()), T.StructField("batch", T.IntegerType()))
 
 
 @dataclass
@@ -38,6 +40,7 @@ class Detection:
     merchants: DataFrame
     open_alerts: DataFrame
     as_of: object
+    history: DataFrame | None = None
 
     @cached_property
     def mcc_judged(self) -> DataFrame:
@@ -45,8 +48,11 @@ class Detection:
 
     @cached_property
     def hits(self) -> DataFrame:
+        seen = self.arrived.select("transaction_id", "ip_address")
+        if self.history is not None:
+            seen = seen.unionByName(self.history.select("transaction_id", "ip_address"))
         return (
-            geo.geo_hits(self.geo_judged.filter("violation"))
+            geo.geo_hits(geo.with_prev_address(self.geo_judged.filter("violation"), seen))
             .unionByName(structuring.structuring_hits(self.judged))
             .unionByName(merchant.mcc_hits(self.mcc_judged))
         )
@@ -86,6 +92,7 @@ def detect_batch(
     alerts: DataFrame,
     history: DataFrame | None = None,
     last_accepted: DataFrame | None = None,
+    known: DataFrame | None = None,
     as_of=None,
     batch_id: str | None = None,
     policy: SlicePolicy = DEFAULT_POLICY,
@@ -99,19 +106,22 @@ def detect_batch(
     """
     accepted, rejected = merchant.block_batch(batch, merchants, batch_id)
     accepted, rejected = stage(accepted, "accepted"), stage(rejected, "rejected")
+    # All columns go through the fold, so no join has to bring them back.
+    others = [c for c in accepted.columns if c not in geo.KEPT]
     geo_judged = stage(
-        geo.judge_velocity_declining(accepted, last_accepted=last_accepted, policy=policy),
+        geo.judge_velocity_declining(
+            accepted, last_accepted=last_accepted, known=known, policy=policy, more=others
+        ),
         "geo_judged",
     )
-    violations = geo_judged.filter("violation")
-    declined = violations.select("transaction_id", F.lit(True).alias("geo_violation"))
+    judged = geo_judged.select(*accepted.columns, F.col("violation").alias("geo_violation"))
+    without_place = accepted.filter(~geo.located()).withColumn("geo_violation", F.lit(False))
     # The category rule goes by the status a payment arrived with.
     counts = (F.col("transaction_status") != "reversed") & expr.is_high_risk_mcc("merchant_mcc")
-    rows = accepted.join(declined, "transaction_id", "left").withColumns(
+    rows = judged.unionByName(without_place).withColumns(
         {
             "arrived_status": F.col("transaction_status"),
             "mcc_flagged": counts,
-            "geo_violation": F.coalesce("geo_violation", F.lit(False)),
             "transaction_status": F.when(F.col("geo_violation"), F.lit("declined")).otherwise(
                 F.col("transaction_status")
             ),
@@ -122,95 +132,152 @@ def detect_batch(
     arrived = structured.withColumn("transaction_status", F.col("arrived_status")).select(
         *batch.columns
     )
-    return Detection(structured, rejected, geo_judged, arrived, merchants, alerts, as_of)
+    return Detection(structured, rejected, geo_judged, arrived, merchants, alerts, as_of, history)
 
 
 class DetectionStore:
-    """Result tables of the stream, one folder per batch id.
-
-    A replayed batch overwrites its own folder and reads the state its
-    predecessor left, so every batch counts once. Only open alerts are carried
-    from batch to batch. Last accepted points are written as changes, with a
-    full table every full_every batches.
+    """Result tables of the stream, one folder per batch; payments by day, then batch.
+
+    A replayed batch overwrites its own folders and reads the state its
+    predecessor left, so every batch counts once. What a batch reads of earlier
+    ones does not grow with their number: payments of the days its look-back
+    touches, open alerts and last points as changes since a full table, which is
+    written every full_every batches. Alerts of types that are never merged are
+    written once and not carried.
     """
 
-    ID_BLOCK = 1_000_000_000
-
     def __init__(self, spark: SparkSession, path: str, full_every: int = 20):
         self.spark, self.path, self.full_every = spark, path, full_every
 
     def _folder(self, table: str, batch: int) -> str:
         return f"{self.path}/{table}/batch={batch}"
 
+    def _present(self, pattern: str) -> list[str]:
+        path, files = on_store(self.spark, pattern)
+        return [str(f.getPath()) for f in files.globStatus(path) or []]
+
     def write(self, df: DataFrame, table: str, batch: int) -> None:
         if table == "transactions":
-            tables.write_by_day(df, self._folder(table, batch), mode="overwrite")
+            tables.write_by_day(df, f"{self.path}/{table}", batch=batch)
         else:
             df.write.mode("overwrite").parquet(self._folder(table, batch))
 
+    def _payments(self, folders: list[str], schema: T.StructType) -> DataFrame:
+        reader = self.spark.read.schema(T.StructType([*schema, *_PARTITIONS]))
+        return reader.option("basePath", f"{self.path}/transactions").parquet(*folders)
+
     def stage(self, df: DataFrame, table: str, batch: int) -> DataFrame:
         """Store a result and go on from the stored table; an empty one keeps its columns."""
         self.write(df, table, batch)
-        return self.spark.read.schema(df.schema).parquet(self._folder(table, batch)).select(*df.columns)
+        if table != "transactions":
+            return self.spark.read.schema(df.schema).parquet(self._folder(table, batch)).select(*df.columns)
+        folders = self._present(f"{self.path}/transactions/day=*/batch={batch}")
+        if not folders:
+            return self.spark.createDataFrame([], df.schema)
+        return self._payments(folders, df.schema).select(*df.columns)
 
     def read(self, table: str, batch: int) -> DataFrame:
+        if table == "transactions":
+            rows = self.spark.read.parquet(f"{self.path}/transactions")
+            return rows.filter(F.col("batch") == batch)
         return self.spark.read.parquet(self._folder(table, batch))
 
     def read_all(self, table: str, schema: T.StructType | None = None) -> DataFrame:
         """All batches of a table; a schema is needed where no batch may have left rows."""
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+        if schema is not None and not self._present(f"{self.path}/{table}/*"):
+            return self.spark.createDataFrame([], schema)
         return reader.parquet(f"{self.path}/{table}")
 
+    def _since_full(self, table: str, batch: int) -> list[str]:
+        """Folders with the full table and the changes that the state before a batch is made of."""
+        full = (batch - 1) // self.full_every * self.full_every
+        return [self._folder(f"{table}_full", full), *(self._folder(table, b) for b in range(full + 1, batch))]
+
     def open_alerts(self, batch: int, initial: DataFrame) -> DataFrame:
-        before = initial if batch == 0 else self.read("alerts", batch - 1)
-        return before.filter("alert_status = 'open'")
+        """Open alerts of the types that later hits refresh."""
+        if batch == 0:
+            return _carried(initial)
+        full, *changes = self._since_full("alerts", batch)
+        parts = self.spark.read.parquet(full).withColumn("_no", F.lit(-1))
+        for b, folder in enumerate(changes):
+            parts = parts.unionByName(self.spark.read.parquet(folder).withColumn("_no", F.lit(b)))
+        return _carried(_newest(parts))
+
+    def snapshot(self, batch: int, initial: DataFrame) -> DataFrame:
+        """Every alert as it stands after a batch."""
+        parts = initial.withColumn("_no", F.lit(-1))
+        for b in range(batch + 1):
+            parts = parts.unionByName(self.read("alerts", b).withColumn("_no", F.lit(b)))
+        return _newest(parts)
+
+    def write_alerts(self, found: Detection, before: DataFrame, initial: DataFrame, batch: int) -> None:
+        """Changed and new alerts, the highest id, and now and then all that are carried."""
+        columns = before.columns
+        opened = found.alerts.opened.drop("alert_id").unionByName(
+            found.blocked_alerts, allowMissingColumns=True
+        )
+        highest = initial.agg(F.max("alert_id").alias("top")) if batch == 0 else self.read("ids", batch - 1)
+        top = highest.first()["top"] or 0
+        numbered = tables.number_rows(opened, "user_id", ["alert_type"], offset=top, out="alert_id")
+        changed = found.alerts.kept.filter("hits IS NOT NULL")
+        self.write(changed.select(*columns).unionByName(numbered.select(*columns)), "alerts", batch)
+        written = self.read("alerts", batch)
+        last = F.greatest(F.max("alert_id"), F.lit(top)).cast("bigint")
+        self.write(written.agg(last.alias("top")), "ids", batch)
+        if batch % self.full_every == 0:
+            parts = before.withColumn("_no", F.lit(0)).unionByName(written.withColumn("_no", F.lit(1)))
+            self.write(_carried(_newest(parts)), "alerts_full", batch)
 
     def history(self, batch: int, payments: T.StructType, as_of, hours: int = 48) -> DataFrame | None:
-        """Earlier accepted payments of the days the look-back touches.
-
-        The spans table tells which batches reach into the look-back, so only
-        their folders are listed; their number, not their rows, comes to the driver.
-        """
+        """Earlier accepted payments of the days the look-back touches; only their folders are listed."""
         if batch == 0 or as_of is None:
             return None
-        start = expr.shift(expr.instant(as_of), -hours, "hour")
-        reaching = self.read("spans", batch - 1).filter(
-            (F.col("last_at") >= start) & (F.col("first_at") <= expr.instant(as_of))
-        )
-        folders = [self._folder("transactions", r.batch_no) for r in reaching.select("batch_no").collect()]
+        days = [(as_of - timedelta(hours=h)).date() for h in range(0, hours + 24, 24)]
+        days = sorted({*days, (as_of - timedelta(hours=hours)).date()})
+        folders = [f for day in days for f in self._present(f"{self.path}/transactions/day={day}")]
         if not folders:
             return None
-        reader = self.spark.read.schema(T.StructType([*payments, *_PARTITIONS]))
-        earlier = reader.option("basePath", f"{self.path}/transactions").parquet(*folders)
-        return tables.since_days(earlier, as_of, hours)
-
-    def write_span(self, judged: DataFrame, batch: int) -> None:
-        """Add the batch's first and last payment time to the spans of all batches so far."""
-        at = F.col(_TS).cast("timestamp")
-        span = judged.agg(F.min(at).alias("first_at"), F.max(at).alias("last_at")).select(
-            F.lit(batch).alias("batch_no"), "first_at", "last_at"
-        )
-        if batch:
-            span = self.read("spans", batch - 1).unionByName(span)
-        self.write(span.coalesce(1), "spans", batch)
+        return self._payments(folders, payments).filter(F.col("batch") < batch).drop("batch")
 
-    def last_accepted(self, batch: int) -> DataFrame | None:
+    def known_points(self, batch: int, history: DataFrame | None, customers: DataFrame) -> DataFrame | None:
+        """Accepted points of the batch's customers: those of the look-back, and everyone's last one."""
         if batch == 0:
             return None
-        full = (batch - 1) // self.full_every * self.full_every
-        parts = [self._folder("last_accepted", b) for b in range(full, batch)]
-        return _latest(self.spark.read.parquet(*parts))
+        full, *changes = self._since_full("last_points", batch)
+        points = self.spark.read.parquet(full, *changes).join(customers, "user_id", "left_semi")
+        points = _latest(points)
+        if history is not None:
+            recent = geo.accepted_points(history.join(customers, "user_id", "left_semi"))
+            points = points.select(recent.columns).unionByName(recent)
+        return points.dropDuplicates(["user_id", "_id"])
+
+    def write_points(self, judged: DataFrame, batch: int) -> None:
+        """The last accepted point of every customer of the batch; now and then of all customers."""
+        accepted = judged.filter(~F.col("violation"))
+        self.write(_latest(geo.accepted_points(accepted)), "last_points", batch)
+        if batch % self.full_every == 0:
+            folders = [self._folder("last_points", batch)]
+            if batch:
+                folders += self._since_full("last_points", batch)
+            self.write(_latest(self.spark.read.parquet(*folders)), "last_points_full", batch)
+
+
+def _carried(alerts: DataFrame) -> DataFrame:
+    return alerts.filter((F.col("alert_status") == "open") & F.col("alert_type").isin(list(POLICIES)))
+
 
-    def write_last_accepted(self, changes: DataFrame, before: DataFrame | None, batch: int):
-        if before is not None and batch % self.full_every == 0:
-            changes = _latest(before.unionByName(changes))
-        self.write(changes, "last_accepted", batch)
+def _newest(parts: DataFrame) -> DataFrame:
+    """Of every alert the row with the highest _no."""
+    columns = [c for c in parts.columns if c not in ("alert_id", "_no")]
+    newest = F.max_by(F.struct(*columns), "_no").alias("_row")
+    return parts.groupBy("alert_id").agg(newest).select("alert_id", "_row.*")
 
 
 def _latest(points: DataFrame) -> DataFrame:
-    fields = [c for c in points.columns if c.startswith("_in_")]
+    fields = ["_at", "_id", "_lat", "_lon"]
     return points.groupBy("user_id").agg(F.max(F.struct(*fields)).alias("_p")).select(
-        "user_id", *[F.col(f"_p.{c}") for c in fields]
+        "user_id", *[F.col(f"_p.{c}").alias(c) for c in fields]
     )
 
 
@@ -226,32 +293,21 @@ def run_batch(
 
     The clock is the batch's latest payment, so a replay gives the same result.
     """
-    batch = batch.persist()
-    try:
-        as_of = batch.agg(F.max(_TS).cast("timestamp")).first()[0]
-        before = store.last_accepted(batch_no)
-        open_before = store.open_alerts(batch_no, initial_alerts)
-        found = detect_batch(
-            batch, merchants, open_before,
-            history=store.history(batch_no, batch.schema, as_of),
-            last_accepted=before, as_of=as_of, batch_id=statement_id,
-            stage=lambda df, name: store.stage(df, name, batch_no),
-        )
-        store.write_span(found.judged, batch_no)
-        store.write(found.notes, "notes", batch_no)
-        store.write(found.audit, "audit", batch_no)
-        opened = found.alerts.opened.drop("alert_id").unionByName(
-            found.blocked_alerts, allowMissingColumns=True
-        )
-        numbered = tables.number_rows(
-            opened, "user_id", ["alert_type"], offset=(batch_no + 1) * store.ID_BLOCK,
-            out="alert_id", checkpoint=True,
-        )
-        alerts = found.alerts.kept.unionByName(numbered, allowMissingColumns=True)
-        store.write(alerts.drop("hits"), "alerts", batch_no)
-        store.write_last_accepted(geo.last_accepted_points(found.geo_judged), before, batch_no)
-    finally:
-        batch.unpersist()
+    batch = store.stage(batch, "arrived", batch_no)
+    as_of = batch.agg(F.max(_TS).cast("timestamp")).first()[0]
+    open_before = store.open_alerts(batch_no, initial_alerts)
+    history = store.history(batch_no, batch.schema, as_of)
+    customers = batch.select("user_id").distinct()
+    found = detect_batch(
+        batch, merchants, open_before, history=history,
+        known=store.known_points(batch_no, history, customers),
+        as_of=as_of, batch_id=statement_id,
+        stage=lambda df, name: store.stage(df, name, batch_no),
+    )
+    store.write(found.notes, "notes", batch_no)
+    store.write(found.audit, "audit", batch_no)
+    store.write_alerts(found, open_before, initial_alerts, batch_no)
+    store.write_points(found.geo_judged, batch_no)
 
 
 def start_detection(

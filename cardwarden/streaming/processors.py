@@ -4,54 +4,51 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from cardwarden.operators.travel_fold import POINT_FIELDS, Track
+from cardwarden.operators.travel_fold import POINT_FIELDS, judge_one
 
 
 def _in_order(rows: Iterator[pd.DataFrame], row_id: str) -> pd.DataFrame:
-    """One key's rows of a micro-batch in time then id order."""
-    return pd.concat(list(rows), ignore_index=True).sort_values(["at", row_id], kind="stable")
+    """One key's rows of a micro-batch in time then id order; the source's rate bounds them."""
+    return pd.concat(list(rows), ignore_index=True).sort_values(["at", row_id], kind="stable", ignore_index=True)
 
 
 class TravelProcessor(StatefulProcessor):
-    """Judges a customer's payments against the last accepted points."""
+    """Judges a customer's payments against the accepted points before them.
 
-    def __init__(self, max_speed_4: int, payload: list[str], ttl_ms: int | None):
+    The state holds the points of the look-back, counted from the customer's
+    latest one, and always that one; a payment that comes late is judged against
+    the latest strictly earlier point still held.
+    """
+
+    def __init__(self, max_speed_4: int, payload: list[str], look_back_s: int, ttl_ms: int | None):
         self.max_speed_4, self.payload, self.ttl_ms = max_speed_4, payload, ttl_ms
+        self.look_back = look_back_s * 1_000_000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        point = "{0}_at bigint, {0}_id bigint, {0}_lat double, {0}_lon double"
-        schema = f"{point.format('reference')}, {point.format('latest')}"
-        self.points = handle.getValueState("points", schema, self.ttl_ms)
-
-    def _track(self) -> Track:
-        if not self.points.exists():
-            return Track()
-        stored = self.points.get()
-
-        def point(values):
-            return None if values[0] is None else tuple(values)
-
-        return Track(point(stored[:4]), point(stored[4:]))
+        self.points = handle.getListState("points", "at bigint, id bigint, lat double, lon double", self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        ordered = _in_order(rows, "id")
-        track = self._track()
-        walk = zip(*[ordered[c] for c in (*POINT_FIELDS, "eligible")])
-        verdicts = [
-            track.step((int(at), int(i), float(lat), float(lon)), bool(ok), self.max_speed_4)
-            for at, i, lat, lon, ok in walk
-        ]
-        nothing = (None,) * 4
-        self.points.update((*(track.reference or nothing), *(track.latest or nothing)))
-        out = ordered[self.payload].copy()
-        for place, field in enumerate(POINT_FIELDS):
-            values = [None if v.reference is None else v.reference[place] for v in verdicts]
-            out[f"_ref_{field}"] = pd.array(values, dtype="Int64" if place < 2 else "Float64")
-        out["violation"] = [v.violation for v in verdicts]
-        out["late"] = [v.late for v in verdicts]
+        new = _in_order(rows, "id").assign(given=False)
+        held = pd.DataFrame(list(self.points.get()), columns=list(POINT_FIELDS)).assign(given=True, eligible=True)
+        both = new if held.empty else pd.concat([held, new], ignore_index=True)
+        both = both.sort_values(["at", "id"], kind="stable", ignore_index=True)
+        columns = [both[f].to_numpy(t) for f, t in zip(POINT_FIELDS, (np.int64, np.int64, float, float))]
+        flags = [both[f].to_numpy(bool) for f in ("eligible", "given")]
+        verdicts, accepted = judge_one(*columns, *flags, self.max_speed_4)
+        kept = both.loc[accepted, list(POINT_FIELDS)]
+        if len(kept):
+            recent = kept[kept["at"] >= kept["at"].iloc[-1] - self.look_back]
+            self.points.put([(int(a), int(i), float(x), float(y)) for a, i, x, y in recent.itertuples(index=False)])
+        out = both.loc[~flags[1], self.payload].reset_index(drop=True)
+        for name, values in zip([*(f"_ref_{f}" for f in POINT_FIELDS), "violation", "late"], verdicts):
+            kinds = {"int64": "Int64", "double": "Float64", "bool": "bool"}
+            out[name] = pd.array(values.to_pylist(), dtype=kinds[str(values.type)])
+        for name in self.payload:
+            out[name] = out[name].astype(new[name].dtype)
         yield out
 
     def close(self) -> None:
@@ -73,23 +70,42 @@ class LoginProcessor(StatefulProcessor):
         ordered = _in_order(rows, "log_id")
         state = self.account.get() if self.account.exists() else (0, None, None, None)
         failures, locked, login_at, login_ip = state
-        out = []
-        for at, log_id, failed, ip in zip(
-            ordered["at"], ordered["log_id"], ordered["failed"], ordered["ip_address"]
-        ):
-            if failed:
-                failures += 1
-                if failures >= self.max_fail:
-                    locked = int(at) + self.lock_micros
-            else:
-                failures, locked, login_at, login_ip = 0, None, int(at), ip
-            out.append((key[0], int(log_id), int(at), failures, locked, login_at, login_ip))
-        self.account.update((failures, locked, login_at, login_ip))
-        names = ["auth_id", "log_id", "at", "failed_attempts", "locked_until", "last_login_at", "last_login_ip"]
-        frame = pd.DataFrame(out, columns=names)
-        for name in ("locked_until", "last_login_at"):
-            frame[name] = pd.array([None if pd.isna(v) else int(v) for v in frame[name]], dtype="Int64")
-        yield frame
+        at, failed = ordered["at"].to_numpy(np.int64), ordered["failed"].to_numpy(bool)
+        place = np.arange(len(at))
+        # Failures so far less those at the last success; before the first one the state's count goes on.
+        counted = np.cumsum(failed)
+        success = np.maximum.accumulate(np.where(failed, -1, place))
+        since = counted - np.where(success >= 0, counted[np.maximum(success, 0)], -failures)
+        locking = failed & (since >= self.max_fail)
+        lock = np.maximum.accumulate(np.where(locking, place, -1))
+        own_lock = (lock >= 0) & (lock > success)
+        old_lock = (success < 0) & (lock < 0) & (locked is not None)
+        until = np.where(own_lock, at[np.maximum(lock, 0)] + self.lock_micros, locked if locked is not None else 0)
+        addresses = ordered["ip_address"].to_numpy(object)
+        seen = np.maximum(success, 0)
+        out = pd.DataFrame(
+            {
+                "auth_id": key[0],
+                "log_id": ordered["log_id"].to_numpy(np.int64),
+                "at": at,
+                "failed_attempts": since.astype(np.int32),
+                "locked_until": pd.array(until, dtype="Int64"),
+                "last_login_at": pd.array(np.where(success >= 0, at[seen], login_at or 0), dtype="Int64"),
+                "last_login_ip": np.where(success >= 0, addresses[seen], login_ip),
+            }
+        )
+        out.loc[~(own_lock | old_lock), "locked_until"] = pd.NA
+        if login_at is None:
+            out.loc[success < 0, "last_login_at"] = pd.NA
+        last = out.iloc[-1]
+
+        def whole(value):
+            return None if pd.isna(value) else int(value)
+
+        self.account.update(
+            (int(last["failed_attempts"]), whole(last["locked_until"]), whole(last["last_login_at"]), last["last_login_ip"])
+        )
+        yield out
 
     def close(self) -> None:
         pass

@@ -20,20 +20,24 @@ def geo_velocity_stream(
     payments: DataFrame,
     max_kmh: float = 900,
     ignored: tuple[str, ...] = ("declined", "reversed"),
+    look_back_hours: int = 48,
     ttl_ms: int | None = None,
 ) -> DataFrame:
-    """Judge payments as they arrive, keeping two points per customer.
+    """Judge payments as they arrive against the customer's accepted points.
 
-    Payments older than the customer's known points come out marked late.
+    The points of the last look_back_hours before the customer's latest one are
+    kept, so a payment may come that late and is still judged as if in time.
     """
     # Names without a leading underscore: the processor gets rows as named tuples.
     points = geo._points(payments, ignored)
     points = points.toDF(*[c.lstrip("_") for c in points.columns])
     kept = ", ".join(
-        f"{f.name} {f.dataType.simpleString()}" for f in payments.select(*geo._KEPT).schema
+        f"{f.name} {f.dataType.simpleString()}" for f in payments.select(*geo.KEPT).schema
     )
     folded = points.groupBy("user_id").transformWithStateInPandas(
-        statefulProcessor=processors.TravelProcessor(geo._speed_limit(max_kmh), list(geo._KEPT), ttl_ms),
+        statefulProcessor=processors.TravelProcessor(
+            geo._speed_limit(max_kmh), list(geo.KEPT), look_back_hours * 3600, ttl_ms
+        ),
         outputStructType=f"{kept}, {geo.VERDICT_SCHEMA}",
         outputMode="Append",
         timeMode="None" if ttl_ms is None else "ProcessingTime",

@@ -66,7 +66,7 @@ def differences(df, con, sql) -> str | None:
 
 def main(folder: str, wanted: list[str]) -> int:
     import __spark_entry__ as entry
-    from cardwarden.session import local_session
+    from cardwarden.session import local_session, scratch
 
     spark = local_session()
     con = connect(folder)
@@ -77,11 +77,12 @@ def main(folder: str, wanted: list[str]) -> int:
             continue
         start = time.time()
         try:
-            df = build(spark, folder)
-            if name in oracle:
-                found = differences(df, con, oracle[name])
-            else:
-                found = f"no oracle, {df.count()} rows"
+            with scratch(spark):
+                df = build(spark, folder)
+                if name in oracle:
+                    found = differences(df, con, oracle[name])
+                else:
+                    found = f"no oracle, {df.count()} rows"
         except Exception as error:  # noqa: BLE001
             found = f"error {type(error).__name__}: {str(error)[:900]}"
         if found:

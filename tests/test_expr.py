@@ -49,7 +49,10 @@ def test_structuring_score_can_be_clamped_and_stored(spark):
     clamped = expr.structuring_risk_score(dec("10000"), 10000, F.lit(120), clamp=True)
     assert value(spark, clamped) == D("1.00")
     large = expr.structuring_risk_score(dec("19000"), 10000, F.lit(20000))
-    assert value(spark, expr.alert_score(large)) == D("99.99")
+    assert value(spark, expr.alert_score(large)) == D("200.79")
+    # Totals far above a single payment's type.
+    assert value(spark, expr.structuring_risk_score(dec("20000000000000.00", "decimal(25,2)"), 10000, F.lit(2))) == D("1.00")
+    assert value(spark, expr.structuring_severity(dec("20000000000000.00", "decimal(25,2)"), 10000)) == "CRITICAL"
     assert value(spark, expr.structuring_risk_score(dec("5"), 0, F.lit(2))) == D("1.00")
 
 

@@ -6,6 +6,7 @@ import compare
 import oracle_queries
 import __spark_entry__ as entry
 from cardwarden.plans import registry
+from cardwarden.session import on_store, scratch, use_checkpoint_dir
 
 FOLDER = "/root/testdata/sf0.001"
 QUERIES, ORACLE = registry.QUERIES, oracle_queries.oracle()
@@ -23,8 +24,11 @@ def test_every_oracle_has_a_query():
 
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
-    df = QUERIES[name](spark, FOLDER)
-    assert compare.differences(df, con, ORACLE[name]) is None
+    with scratch(spark):
+        df = QUERIES[name](spark, FOLDER)
+        assert compare.differences(df, con, ORACLE[name]) is None
+    path, files = on_store(spark, use_checkpoint_dir(spark))
+    assert not [x for x in files.listStatus(path) if x.getPath().getName().split("-")[0] in ("stored", "alerts", "stream", "detect")]
 
 
 def test_entry(spark):

@@ -112,7 +112,7 @@ def test_clean_merchant_is_clear(spark, seed):
     judged = merchant.flag_high_risk_mcc(s.payments(spark, s.payment(1, 1, 1, 1, 120, 0, mcc="5942")), seed["merchants"])
     row = judged.first()
     assert (row.flagged, row.risk_flag) == (False, expr.RISK_CLEAR)
-    assert merchant.mcc_audit(judged, s.T).first().change_reason == "Clear: CLEAR, category 5942"
+    assert merchant.mcc_audit(judged, s.T).first().change_reason.startswith("Clear: CLEAR, category 5942, $120.00 at ")
 
 
 MIXED = [s.payment(1, 1, 1, 1, 80, 0, mcc="5942"), s.payment(2, 3, 4, 3, 9999, 0, mcc="5999")]
@@ -194,7 +194,7 @@ def test_profile_counts_a_payment_once_per_alert(spark, seed):
 def hits_frame(spark, rows):
     return spark.createDataFrame(
         rows,
-        "transaction_id bigint, card_id int, user_id int, alert_type string, risk_score decimal(4,2), "
+        "transaction_id bigint, card_id int, user_id int, alert_type string, risk_score decimal(14,2), "
         "alert_message string, note string",
     )
 
@@ -236,8 +236,9 @@ def test_notes_are_rows_and_can_be_joined(spark):
     notes = alerts.note_rows(hits, s.T)
     chosen = spark.createDataFrame([(1, "a"), (2, "a")], "user_id int, alert_type string")
     texts = {r.user_id: r for r in alerts.render_notes(chosen, notes).collect()}
+    assert (texts[1].part, texts[2].part) == (0, 0)
     assert texts[1].investigation_notes.split("\r\n")[1::2] == ["note 1", "note 2", "note 3"]
     assert texts[2].investigation_notes == ""
-    parts = alerts.render_notes(chosen, notes, max_notes=2).filter("user_id = 1").orderBy("part").collect()
+    parts = alerts.render_notes(chosen, notes, ids_per_part=2).filter("user_id = 1").orderBy("part").collect()
     assert [p.part for p in parts] == [0, 1]
     assert "\r\n".join(p.investigation_notes for p in parts) == texts[1].investigation_notes

@@ -66,9 +66,51 @@ def test_travel_stream_marks_late_rows(spark, tmp_path):
         f"{tmp_path}/in/*"
     )
     rows = {r.transaction_id: r for r in run(spark, stateful.geo_velocity_stream(source), tmp_path).collect()}
-    first, second = sorted(rows.values(), key=lambda r: r.late)
-    assert not first.violation and not second.violation
-    assert len(rows) == 2
+    # Nothing was accepted before the late payment's time, so it has no reference.
+    assert not rows[1].violation and not rows[2].violation and not rows[2].late
+    assert rows[2].prev_transaction_id is None
+
+
+def arriving(spark, folder, parts):
+    """Payments as a stream of files, one per micro-batch, in arrival order."""
+    for row in parts:
+        write_parts(spark, "transactions", row, "transaction_timestamp", 1, f"{folder}/in/a")
+    return spark.readStream.schema(s.payments(spark).schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in/a")
+
+
+LATE = [
+    [s.payment(1, 1, 1, 1, 10, 0, s.SHREVEPORT), s.payment(2, 1, 1, 1, 10, 600, s.SHREVEPORT)],
+    [s.payment(3, 1, 1, 1, 10, 5, s.MOSCOW), s.payment(4, 1, 1, 1, 10, 660, s.DALLAS)],
+    [s.payment(5, 1, 1, 1, 10, 300, s.DALLAS), s.payment(6, 1, 1, 1, 10, 600, s.TOKYO)],
+]
+# Payment 3 comes after payment 2 but lies before it: judged against payment 1. Payment 6 has the
+# time of payment 2 and is judged against payment 5, the latest strictly earlier one.
+JUDGED_LATE = {1: (None, False), 2: (1, False), 3: (1, True), 4: (2, False), 5: (1, False), 6: (5, True)}
+
+
+def test_late_and_equal_time_payments_are_judged(spark, tmp_path, seed):
+    got = run(spark, stateful.geo_velocity_stream(arriving(spark, tmp_path, LATE)), tmp_path).collect()
+    assert {r.transaction_id: (r.prev_transaction_id, r.violation) for r in got} == JUDGED_LATE
+    store = detect.DetectionStore(spark, f"{tmp_path}/store", full_every=2)
+    for no, rows in enumerate(LATE):
+        detect.run_batch(store, s.payments(spark, *rows), no, seed["merchants"], seed["alerts"])
+    judged = store.read_all("geo_judged").collect()
+    assert {r.transaction_id: (r.prev_transaction_id, r.violation) for r in judged} == JUDGED_LATE
+
+
+def test_ids_go_on_from_the_highest(spark, tmp_path, seed):
+    initial = s.rows(spark, "alerts", [
+        {"alert_id": 5_000_000_000, "transaction_id": 1, "card_id": 1, "user_id": 9, "alert_type": "other",
+         "alert_status": "open"}
+    ])
+    store = detect.DetectionStore(spark, str(tmp_path), full_every=2)
+    for no in range(3):
+        batch = s.payments(spark, s.payment(10 + no, 3, 4, 3, 9999, no, s.DALLAS))
+        detect.run_batch(store, batch, no, seed["merchants"], initial)
+    ids = [r.alert_id for r in store.snapshot(2, initial).orderBy("alert_id").collect()]
+    assert ids == [5_000_000_000 + i for i in range(4)]
+    # Blocked alerts never merge, so they are not carried from batch to batch.
+    assert store.open_alerts(3, initial).isEmpty()
 
 
 @pytest.mark.parametrize("parts", [2])
@@ -123,7 +165,7 @@ def test_detection_stream(spark, tmp_path, seed):
     want = whole.filter("violation").select("transaction_id")
     assert flagged.exceptAll(want).isEmpty() and want.exceptAll(flagged).isEmpty()
     assert judged.filter("geo_violation AND transaction_status <> 'declined'").isEmpty()
-    alerts = store.read("alerts", 2)
+    alerts = store.snapshot(2, seed["alerts"])
     assert alerts.groupBy("user_id", "alert_type").count().filter("count > 1").isEmpty()
     assert alerts.select("alert_id").distinct().count() == alerts.count()
     # Every payment is judged by every rule that looks at it.
@@ -133,7 +175,7 @@ def test_detection_stream(spark, tmp_path, seed):
     before = [tuple(r) for r in alerts.orderBy("alert_id").collect()]
     last = sorted(records, key=lambda r: (r["transaction_timestamp"], r["transaction_id"]))[40:]
     detect.run_batch(store, s.payments(spark, *last), 2, seed["merchants"], seed["alerts"])
-    after = [tuple(r) for r in store.read("alerts", 2).orderBy("alert_id").collect()]
+    after = [tuple(r) for r in store.snapshot(2, seed["alerts"]).orderBy("alert_id").collect()]
     assert before == after and store.read_all("transactions").count() == 60
 
 
@@ -148,7 +190,7 @@ def test_detection_rejects_a_batch(spark, tmp_path, seed):
     detect.run_batch(store, clean, 1, seed["merchants"], seed["alerts"])
     assert store.read("transactions", 1).count() == 1
     (alert,) = store.read("alerts", 0).collect()
-    assert (alert.alert_type, alert.user_id, alert.alert_id) == ("blacklisted_merchant", 3, store.ID_BLOCK + 1)
+    assert (alert.alert_type, alert.user_id, alert.alert_id) == ("blacklisted_merchant", 3, 1)
     assert [r.new_status for r in store.read("audit", 0).collect()] == ["blocked"]
 
 
@@ -160,5 +202,5 @@ def test_structuring_reaches_back_into_history(spark, tmp_path, seed):
     rows = {r.transaction_id: r for r in store.read_all("transactions").collect()}
     assert [rows[i].violation for i in (1, 2, 3)] == [False, True, False]
     assert rows[3].txn_count == 1
-    (alert,) = store.read("alerts", 2).collect()
+    (alert,) = store.snapshot(2, seed["alerts"]).collect()
     assert (alert.transaction_id, alert.alert_type) == (2, "structuring_aml")
