@@ -545,12 +545,28 @@ def _(t):
     return geo.with_prev_address(found, t["transactions"])
 
 
+# Events arrive in five parts: in order of time, or with payments that come a part too late.
+_IN_ORDER = "CAST(least(floor((dayofmonth(ts) - 1) / 6), 4) AS int)"
+_TOO_LATE = "CAST(least(floor((dayofmonth(ts) - 1) / 6) + CASE WHEN event_id % 7 = 3 THEN 1 ELSE 0 END, 4) AS int)"
+
+
+def _arriving(spark, folder, name, order=_IN_ORDER):
+    return adapters.arriving(spark, folder, name, f"{new_folder(spark, 'arriving')}/events", order, 5)
+
+
 @raw_query("r1_4_geo_velocity_stream")
 def _(spark, folder):
-    judged = stateful.geo_velocity_stream(adapters.stream(spark, folder, "transactions"))
+    judged = stateful.geo_velocity_stream(_arriving(spark, folder, "transactions"))
     return stateful.run_available(judged).filter("violation").select(*_GEO_OUT)
 
 
+@raw_query("st5_late")
+def _(spark, folder):
+    arrived = _arriving(spark, folder, "transactions", _TOO_LATE)
+    judged = stateful.run_available(stateful.geo_velocity_stream(arrived, look_back_hours=24 * 40))
+    return judged.select("transaction_id", "prev_transaction_id", "violation", "late")
+
+
 @query("r1_5_evidence_rows")
 def _(t):
     rows = geo.evidence_rows(geo.geo_velocity(t["transactions"]), t["transactions"])
@@ -727,32 +743,81 @@ _DETECTED = [
 ]
 
 
-@query("r9_detect_all")
-def _(t):
+def _detected(t):
     def keep(df, name):
         """Accepted payments and travel verdicts are read several times; find them once."""
         return stored(df) if name in ("accepted", "geo_judged") else df
 
-    result = detect.detect_batch(
+    return detect.detect_batch(
         t["transactions"], t["merchants"], t["alerts"], as_of=AS_OF, batch_id="batch_id",
         stage=keep,
     )
-    return result.judged.withColumnRenamed("violation", "structuring_violation").select(*_DETECTED)
 
 
-@raw_query("st1_detect_stream")
-def _(spark, folder):
+@query("r9_detect_all")
+def _(t):
+    judged = _detected(t).judged
+    return judged.withColumnRenamed("violation", "structuring_violation").select(*_DETECTED)
+
+
+@query("r9_alerts")
+def _(t):
+    return _detected(t).alerts.snapshot().select(*_ALERT_OUT)
+
+
+@query("r9_blocked_alerts")
+def _(t):
+    return _detected(t).blocked_alerts
+
+
+@query("r9_audit")
+def _(t):
+    return _detected(t).audit
+
+
+@query("r9_notes")
+def _(t):
+    return _detected(t).notes
+
+
+@query("r9_rejected")
+def _(t):
+    return _detected(t).rejected.select("transaction_id", "batch_id", "merchant_id", "transaction_amount")
+
+
+def _detected_stream(spark, folder):
+    """All rules over five micro-batches; the store of their results."""
     t = adapters.tables(spark, folder)
-    payments = adapters.stream(spark, folder, "transactions")
     place = new_folder(spark, "detect")
-    store = detect.DetectionStore(spark, f"{place}/results")
+    store = detect.DetectionStore(spark, f"{place}/results", full_every=2)
     detect.start_detection(
-        payments, store, t["merchants"], t["alerts"], f"{place}/state", statement_id="batch_id"
+        _arriving(spark, folder, "transactions"), store, t["merchants"], t["alerts"], f"{place}/state",
+        statement_id="batch_id",
     ).awaitTermination()
+    return store, t
+
+
+@raw_query("st1_detect_stream")
+def _(spark, folder):
+    store, _tables = _detected_stream(spark, folder)
     judged = store.read_all("transactions").withColumnRenamed("violation", "structuring_violation")
     return judged.select(*_DETECTED)
 
 
+@raw_query("st1_alerts")
+def _(spark, folder):
+    store, t = _detected_stream(spark, folder)
+    return store.snapshot(4, t["alerts"]).select(
+        "transaction_id", "card_id", "user_id", "alert_type", "risk_score", "alert_message", "alert_status",
+    )
+
+
+@raw_query("st1_audit")
+def _(spark, folder):
+    store, _tables = _detected_stream(spark, folder)
+    return store.read_all("audit").drop("batch")
+
+
 # --- login security -------------------------------------------------------
 
 
@@ -786,7 +851,7 @@ def _(t):
 
 @raw_query("l3_login_state_stream")
 def _(spark, folder):
-    counted = stateful.login_state_stream(adapters.stream(spark, folder, "login_log"))
+    counted = stateful.login_state_stream(_arriving(spark, folder, "login_log"))
     locks = stateful.run_available(counted).filter(
         (F.col("failed_attempts") >= login.MAX_FAILURES) & F.col("locked_until").isNotNull()
     )

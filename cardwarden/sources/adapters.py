@@ -147,6 +147,19 @@ def stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return adapt(configure(spark), folder, name, scan_stream(spark, folder, SOURCES[name]))
 
 
+def arriving(spark: SparkSession, folder: str, name: str, place: str, order: str, parts: int) -> DataFrame:
+    """One adapted table as a stream of several micro-batches, one per part.
+
+    `order` is an SQL expression over the source's rows that names their part, 0
+    to parts - 1; parts are written one after the other to `place`.
+    """
+    source = scan(configure(spark), folder, SOURCES[name])
+    for part in range(parts):
+        source.filter(f"{order} = {part}").coalesce(1).write.mode("append").parquet(place)
+    reader = spark.readStream.schema(source.schema).option("maxFilesPerTrigger", 1)
+    return adapt(spark, folder, name, reader.parquet(place))
+
+
 class AdaptedTables(Mapping):
     """The adapted tables of one folder, opened when first asked for."""
 

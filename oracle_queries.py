@@ -242,15 +242,18 @@ TRAILING = """SELECT *, coalesce(n >= 2 AND total >= 10000, FALSE) AS violation
 # --- alert upsert ---------------------------------------------------------
 
 
-def upsert(refresh_transaction: bool, with_ids: bool = False) -> dict[str, str]:
+def upsert(refresh_transaction: bool | str, with_ids: bool = False) -> dict[str, str]:
     """Steps from hits(transaction_id, card_id, user_id, alert_type, risk_score, alert_message) to a snapshot.
 
-    Payment and message are refreshed together or not at all.
+    Payment and message are refreshed together or not at all; a text is the condition for it.
     """
-    last = "g.last_id" if refresh_transaction else "a.transaction_id"
-    first = "l.transaction_id" if refresh_transaction else "f.transaction_id"
-    last_text = "l.alert_message" if refresh_transaction else "a.alert_message"
-    first_text = "l.alert_message" if refresh_transaction else "f.alert_message"
+    both = refresh_transaction if isinstance(refresh_transaction, str) else str(refresh_transaction).upper()
+
+    def pick(new: str, old: str) -> str:
+        return f"CASE WHEN {both} THEN {new} ELSE {old} END"
+
+    last, first = pick("g.last_id", "a.transaction_id"), pick("l.transaction_id", "f.transaction_id")
+    last_text, first_text = pick("l.alert_message", "a.alert_message"), pick("l.alert_message", "f.alert_message")
     new_id = (
         "(SELECT max(alert_id) FROM alerts) + row_number() OVER (ORDER BY g.user_id)"
         if with_ids else "CAST(NULL AS BIGINT)"
@@ -265,7 +268,8 @@ def upsert(refresh_transaction: bool, with_ids: bool = False) -> dict[str, str]:
           a.alert_status, a.created_at, g.hits
           FROM alerts a LEFT JOIN grouped g ON g.user_id = a.user_id AND g.alert_type = a.alert_type
             AND a.alert_status = 'open'
-          LEFT JOIN hits l ON l.transaction_id = g.last_id AND l.alert_type = g.alert_type""",
+          LEFT JOIN hits l ON l.transaction_id = g.last_id AND l.alert_type = g.alert_type
+            AND l.user_id = g.user_id""",
         "opened": f"""SELECT {new_id} AS alert_id, {first} AS transaction_id, f.card_id, g.user_id, g.alert_type,
           l.risk_score, {first_text} AS alert_message, 'open' AS alert_status, {AS_OF} AS created_at, g.hits
           FROM grouped g JOIN hits f ON f.transaction_id = g.first_id AND f.alert_type = g.alert_type
@@ -337,29 +341,119 @@ HOME = """SELECT t.transaction_id, l.latitude AS hlat, l.longitude AS hlon, t.la
  FROM transactions t JOIN locations l ON l.user_id = t.user_id WHERE t.latitude IS NOT NULL"""
 
 
-def detected(clock: str) -> str:
-    """All rules over the payments of unblocked batches."""
-    unblocked = "batch_id NOT IN (SELECT batch_id FROM blocked)"
+IN_ORDER = "CAST(least(floor((dayofmonth(transaction_timestamp) - 1) / 6), 4) AS INT)"
+
+
+def detection(clock: str = AS_OF, part: str = "0") -> dict[str, str]:
+    """All rules over the payments of unblocked batches, which arrive in parts; each part has its clock."""
     steps = walk_steps("accepted")
     steps.pop("located")
-    return sql(
-        f"""SELECT j.transaction_id, j.st AS transaction_status, j.geo AS geo_violation,
-        coalesce(w.n >= 2 AND w.total >= 10000, FALSE) AS structuring_violation, j.mcc AS mcc_flagged
-        FROM judged j LEFT JOIN (SELECT user_id, count(*) AS n, sum(transaction_amount) AS total
-          FROM judged WHERE st = 'completed' AND transaction_amount < 10000
-          AND transaction_timestamp BETWEEN {clock} - INTERVAL 48 HOUR AND {clock} GROUP BY user_id) w
-        ON w.user_id = j.user_id""",
-        blocked=BLOCKED,
-        located=LOCATED,
-        accepted=f"""SELECT * FROM located WHERE id IN
-          (SELECT transaction_id FROM transactions WHERE {unblocked})""",
+    return {
+        "arrived": f"SELECT *, {part} AS part FROM transactions",
+        "clocks": f"SELECT part, {clock} AS clock FROM arrived GROUP BY part",
+        "blocked": """SELECT DISTINCT a.part, a.batch_id FROM arrived a JOIN merchants m ON m.merchant_id = a.merchant_id
+          WHERE m.is_blacklisted = 1""",
+        "passed": """SELECT a.* FROM arrived a WHERE NOT EXISTS
+          (SELECT 1 FROM blocked b WHERE b.part = a.part AND b.batch_id = a.batch_id)""",
+        "located": LOCATED,
+        "accepted": "SELECT * FROM located WHERE id IN (SELECT transaction_id FROM passed)",
         **steps,
-        judged=f"""SELECT t.transaction_id, t.user_id, t.transaction_amount, t.transaction_timestamp,
-          CASE WHEN m.id IS NULL THEN t.transaction_status ELSE 'declined' END AS st, m.id IS NOT NULL AS geo,
-          t.transaction_status <> 'reversed' AND t.merchant_mcc IN ({HIGH_RISK}) AS mcc
-          FROM transactions t LEFT JOIN (SELECT id FROM measured WHERE speed > 900) m ON m.id = t.transaction_id
-          WHERE {unblocked}""",
-    )
+        "ruled": f"""SELECT t.*, CASE WHEN m.id IS NULL THEN t.transaction_status ELSE 'declined' END AS st,
+          m.id IS NOT NULL AS geo, t.transaction_status <> 'reversed' AND t.merchant_mcc IN ({HIGH_RISK}) AS mcc
+          FROM passed t LEFT JOIN (SELECT id FROM measured WHERE speed > 900) m ON m.id = t.transaction_id""",
+        "windows": """SELECT c.part, j.user_id, count(*) AS n, sum(j.transaction_amount) AS total, max(j.card_id) AS max_card
+          FROM clocks c JOIN ruled j ON j.part <= c.part AND j.transaction_timestamp BETWEEN c.clock - INTERVAL 48 HOUR AND c.clock
+          WHERE j.st = 'completed' AND j.transaction_amount < 10000 GROUP BY c.part, j.user_id""",
+        "final": """SELECT j.*, coalesce(w.n, 0) AS n, CAST(coalesce(w.total, 0) AS DECIMAL(25,2)) AS total,
+          coalesce(w.n >= 2 AND w.total >= 10000, FALSE) AS violation, w.max_card, c.clock
+          FROM ruled j JOIN clocks c ON c.part = j.part LEFT JOIN windows w ON w.part = j.part AND w.user_id = j.user_id""",
+        "coded": f"""SELECT t.*, m.merchant_name, m.risk_score AS merchant_risk, m.fraud_report_count, c.clock,
+          merchant_mcc IN ({HIGH_RISK}) AS flagged, {risk_flag('FALSE', 't.merchant_mcc', 'm.risk_score')} AS risk_flag
+          FROM passed t JOIN clocks c ON c.part = t.part LEFT JOIN merchants m ON m.merchant_id = t.merchant_id
+          WHERE t.transaction_status <> 'reversed'""",
+        "far": f"""SELECT m.*, c.clock, coalesce(speed > 900, FALSE) AS hit, p.ip AS pip FROM measured m
+          JOIN passed t ON t.transaction_id = m.id JOIN clocks c ON c.part = t.part
+          LEFT JOIN (SELECT id AS x, ip FROM located) p ON p.x = m.pid""",
+        "offences": BLOCKED_ROWS,
+    }
+
+
+DETECTED = """SELECT transaction_id, st AS transaction_status, geo AS geo_violation, violation AS structuring_violation,
+ mcc AS mcc_flagged FROM final"""
+
+_SCORE = f"CAST({structuring_score('total', '10000', 'n')} AS DECIMAL(14,2))"
+
+HITS = f"""SELECT id AS transaction_id, card_id, user_id, 'impossible_travel' AS alert_type,
+  CAST({travel_risk('ratio')} AS DECIMAL(14,2)) AS risk_score, {GEO_MESSAGE} AS alert_message FROM far WHERE hit
+ UNION ALL SELECT transaction_id, max_card, user_id, 'structuring_aml', {_SCORE}, {structuring_message('n', 'total')}
+  FROM final WHERE violation
+ UNION ALL SELECT transaction_id, card_id, user_id, 'high_risk_mcc', CAST(merchant_risk AS DECIMAL(14,2)),
+  {MCC_PAYMENT} || ' at ' || {text('merchant_name')} FROM coded WHERE flagged"""
+
+AUDIT = f"""SELECT id AS transaction_id, CASE WHEN hit THEN 'completed' END AS previous_status,
+  CASE WHEN hit THEN 'declined' ELSE 'completed' END AS new_status, 'geo' AS changed_by, clock AS changed_at,
+  CASE WHEN hit THEN {GEO_MESSAGE} || ', severity ' || {travel_severity('ratio')}
+   WHEN pid IS NULL THEN 'No violation: no prior point' ELSE 'No violation: within limit' END AS change_reason FROM far
+ UNION ALL SELECT j.transaction_id, CASE WHEN violation THEN 'completed' END, 'completed', 'structuring', clock,
+  CASE WHEN NOT violation THEN 'No violation' WHEN o.user_id IS NOT NULL OR j.transaction_id > first_id
+   THEN 'Existing alert updated' ELSE 'New alert raised' END || ': $' || CAST(total AS VARCHAR) || ' in ' ||
+   CAST(n AS VARCHAR) || ' payments' || CASE WHEN violation THEN ', risk ' || CAST({_SCORE} AS VARCHAR) ELSE '' END
+  FROM final j LEFT JOIN (SELECT user_id, min(transaction_id) AS first_id FROM final WHERE violation GROUP BY user_id) f
+   ON f.user_id = j.user_id LEFT JOIN (SELECT DISTINCT user_id FROM alerts WHERE alert_type = 'structuring_aml'
+   AND alert_status = 'open') o ON o.user_id = j.user_id
+ UNION ALL SELECT transaction_id, CASE WHEN flagged THEN 'completed' END, 'completed', 'merchant', clock,
+  CASE WHEN flagged THEN 'Flagged' ELSE 'Clear' END || ': ' || risk_flag || ', category ' || merchant_mcc || ', $' ||
+   CAST(transaction_amount AS VARCHAR) || ' at ' || {text('merchant_name')} || ' of risk ' || {text('merchant_risk')} FROM coded
+ UNION ALL SELECT NULL, NULL, 'blocked', 'merchant', clock,
+  concat('User ', user_id, ', card ', card_id, ', merchant ', merchant_id, ' ', merchant_name, ' of risk ', merchant_risk,
+   ', $', transaction_amount, ', IP ', coalesce(ip_address, 'N/A')) FROM offences o JOIN arrived a USING (transaction_id)
+  JOIN clocks c ON c.part = a.part"""
+AUDIT = AUDIT.replace("FROM offences o JOIN arrived a USING (transaction_id)", "FROM offences JOIN (SELECT transaction_id, part FROM arrived) a USING (transaction_id)")
+
+
+def stamp(ts: str) -> str:
+    return f"strftime({ts}, '%Y-%m-%d %H:%M:%S')"
+
+
+NEWLINE = "chr(13) || chr(10)"
+NOTES = f"""SELECT user_id, 'impossible_travel' AS alert_type, id AS transaction_id, clock AS noted_at,
+  'From payment ' || CAST(pid AS VARCHAR) || ' at (' || CAST(plat AS VARCHAR) || ', ' || CAST(plon AS VARCHAR) || '), ' ||
+  {stamp('pts')} || ', IP ' || coalesce(pip, 'N/A') || {NEWLINE} || 'To payment ' || CAST(id AS VARCHAR) || ' at (' ||
+  CAST(lat AS VARCHAR) || ', ' || CAST(lon AS VARCHAR) || '), ' || {stamp('ts')} || ', IP ' || coalesce(ip, 'N/A') ||
+  {NEWLINE} || 'Severity ' || {travel_severity('ratio')} || ', risk ' || CAST({travel_risk('ratio')} AS VARCHAR) AS note
+  FROM far WHERE hit
+ UNION ALL SELECT user_id, 'structuring_aml', transaction_id, clock, 'Payment ' || CAST(transaction_id AS VARCHAR) || ' ($' ||
+  CAST(transaction_amount AS VARCHAR) || '), severity ' || {structuring_severity('total', '10000')} || ', risk ' ||
+  CAST({_SCORE} AS VARCHAR) || ': $' || CAST(total AS VARCHAR) || ' in ' || CAST(n AS VARCHAR) || ' payments'
+  FROM final WHERE violation
+ UNION ALL SELECT user_id, 'high_risk_mcc', transaction_id, clock, {MCC_PAYMENT} || {NEWLINE} || 'Merchant ' ||
+  {text('merchant_name')} || ', N/A, fraud reports ' || {text('fraud_report_count')} || ', ' || risk_flag || {NEWLINE} ||
+  'IP address ' || {text('ip_address')} || ', device N/A' FROM coded WHERE flagged"""
+
+GEO_ONLY = "coalesce(g.alert_type = 'impossible_travel', FALSE)"
+
+ARRIVAL_ORDER = """SELECT *, st NOT IN ('declined', 'reversed') AS ok, row_number() OVER (PARTITION BY user_id ORDER BY
+ CAST(least(floor((dayofmonth(ts) - 1) / 6) + CASE WHEN id % 7 = 3 THEN 1 ELSE 0 END, 4) AS INT), ts, id) AS rn FROM located"""
+
+
+def arrival_walk() -> dict[str, str]:
+    """One step per payment in order of arrival; the state is the list of all accepted points."""
+    fast = f"{speed(km('r.lat', 'r.lon', 'lat', 'lon'), 'r.ts', 'ts')} > 900"
+    return {
+        "located": LOCATED,
+        "ordered": ARRIVAL_ORDER,
+        "walk": f"""
+          SELECT user_id, rn, id, CAST(NULL AS BIGINT) AS pid, FALSE AS fast,
+            CASE WHEN ok THEN [{{'ts': ts, 'id': id, 'lat': lat, 'lon': lon}}]
+              ELSE list_filter([{{'ts': ts, 'id': id, 'lat': lat, 'lon': lon}}], lambda x: FALSE) END AS pts
+          FROM ordered WHERE rn = 1
+          UNION ALL
+          SELECT user_id, rn, id, r.id, bad, CASE WHEN ok AND NOT bad
+            THEN list_append(pts, {{'ts': ts, 'id': id, 'lat': lat, 'lon': lon}}) ELSE pts END FROM (
+              SELECT *, coalesce({fast}, FALSE) AS bad FROM (
+                SELECT e.*, w.pts, list_max(list_filter(w.pts, lambda x: x.ts < e.ts)) AS r
+                FROM walk w JOIN ordered e ON e.user_id = w.user_id AND e.rn = w.rn + 1) a) b""",
+    }
 
 
 # --- declared rules, written out table by table -----------------------------
@@ -797,6 +891,14 @@ def oracle() -> dict[str, str]:
             FROM offences""",
             offences=BLOCKED_ROWS,
         ),
+        "r9_blocked_alerts": sql(
+            f"""SELECT CAST(NULL AS BIGINT) AS transaction_id, card_id, user_id, 'blacklisted_merchant' AS alert_type,
+            CAST(merchant_risk AS DECIMAL(14,2)) AS risk_score, alert_message, 'open' AS alert_status, investigation_notes,
+            {AS_OF} AS created_at, merchant_id, merchant_name, merchant_category_code, fraud_report_count,
+            transaction_amount, currency_code, merchant_mcc, merchant_country, ip_address, latitude, longitude
+            FROM offences""",
+            offences=BLOCKED_ROWS,
+        ),
         "r3_4_blocked_audit": sql(
             f"""SELECT CAST(NULL AS BIGINT) AS transaction_id, CAST(NULL AS VARCHAR) AS previous_status,
             'blocked' AS new_status, 'merchant' AS changed_by, {AS_OF} AS changed_at,
@@ -850,9 +952,29 @@ def oracle() -> dict[str, str]:
             LEFT JOIN (SELECT transaction_id, count(DISTINCT alert_id) AS n FROM alerts GROUP BY transaction_id) a
               ON a.transaction_id = t.transaction_id GROUP BY ALL"""
         ),
-        "r9_detect_all": detected(AS_OF),
-        # A stream goes by the latest payment it has seen.
-        "st1_detect_stream": detected("(SELECT max(transaction_timestamp) FROM transactions)"),
+        "r9_detect_all": sql(DETECTED, **detection()),
+        "r9_alerts": sql(SNAPSHOT, **detection(), hits=HITS, **upsert(GEO_ONLY)),
+        "r9_audit": sql(AUDIT, **detection()),
+        "r9_notes": sql(NOTES, **detection()),
+        "r9_rejected": sql(
+            """SELECT transaction_id, batch_id, merchant_id, transaction_amount FROM transactions
+            WHERE batch_id IN (SELECT batch_id FROM blocked)""",
+            blocked=BLOCKED,
+        ),
+        # A part of a stream goes by the latest payment it holds.
+        "st1_detect_stream": sql(DETECTED, **detection("max(transaction_timestamp)", IN_ORDER)),
+        "st1_alerts": sql(
+            """SELECT transaction_id, card_id, user_id, alert_type, risk_score, alert_message, alert_status FROM kept
+            UNION ALL SELECT transaction_id, card_id, user_id, alert_type, risk_score, alert_message, alert_status FROM opened
+            UNION ALL SELECT NULL, card_id, user_id, 'blacklisted_merchant', CAST(merchant_risk AS DECIMAL(14,2)), alert_message,
+              'open' FROM offences""",
+            **detection("max(transaction_timestamp)", IN_ORDER), hits=HITS, **upsert(GEO_ONLY),
+        ),
+        "st1_audit": sql(AUDIT, **detection("max(transaction_timestamp)", IN_ORDER)),
+        "st5_late": sql(
+            "SELECT id AS transaction_id, pid AS prev_transaction_id, fast AS violation, FALSE AS late FROM walk",
+            **arrival_walk(),
+        ),
         "l1_login_state": sql(
             f"""SELECT auth_id, failed_attempts, locked_until, coalesce(locked_until > {AS_OF}, FALSE) AS is_locked,
             last_login_at, last_login_ip FROM (
