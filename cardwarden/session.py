@@ -111,4 +111,13 @@ def stored(df: DataFrame) -> DataFrame:
     """
     path = new_folder(df.sparkSession, "stored")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a table that stored() returned, once everything made of it is stored itself."""
+    path, files = on_store(table.sparkSession, table.stored_at)
+    files.delete(path, True)
+    _MADE.remove(table.stored_at)
