@@ -42,6 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardwarden.llm.common import settled
+from cardwarden.session import discard
 
 LENGTH = 50
 GRAM = 16
@@ -155,7 +156,7 @@ def least_documents(strings: list[bytes], docs: np.ndarray, length: int = LENGTH
 
 
 def _shared_anchors(docs: DataFrame, parts: int, length: int) -> DataFrame:
-    """Rows (doc, anchors): anchors of the document that some other document may have too."""
+    """Rows (doc, anchor): anchors of the document that some other document may have too."""
     kind = "part int, anchors binary, docs binary, known binary"
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,21 +199,14 @@ def _shared_anchors(docs: DataFrame, parts: int, length: int) -> DataFrame:
         shared = (sizes > 1) | (np.maximum.reduceat(known, first) > 0)
         keep = np.repeat(shared, sizes)
         anchor, doc = anchor[keep], doc[keep]
-        order = np.argsort(doc, kind="stable")
-        anchor, doc = anchor[order], doc[order]
-        cuts = np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1]))) if len(doc) else np.empty(0, int)
-        stops = np.concatenate((cuts[1:], [len(doc)])) if len(doc) else cuts
-        for at in range(0, len(cuts), 50_000):
-            a, b = cuts[at : at + 50_000], stops[at : at + 50_000]
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "doc": pa.array(doc[a], pa.int64()),
-                    "anchors": pa.array([anchor[i:j].tobytes() for i, j in zip(a, b)], pa.binary()),
-                }
+        for at in range(0, len(doc), 1_000_000):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(doc[at : at + 1_000_000]), pa.array(anchor[at : at + 1_000_000].view(np.int64))],
+                names=["doc", "anchor"],
             )
 
     asked = docs.select("doc", "text").mapInArrow(collect, kind)
-    return asked.repartition(parts, "part").mapInArrow(answer, "doc long, anchors binary")
+    return asked.repartition(parts, "part").mapInArrow(answer, "doc long, anchor long")
 
 
 def _occurrences(docs: DataFrame, shared: DataFrame, length: int) -> DataFrame:
@@ -238,7 +232,7 @@ def _occurrences(docs: DataFrame, shared: DataFrame, length: int) -> DataFrame:
             for doc, mark, text, lists in zip(*(batch.column(i) for i in range(4))):
                 raw = _utf8(text.as_py())
                 anchor, first, windows = runs_of_windows(raw, length)
-                on = np.isin(anchor, np.frombuffer(b"".join(lists.as_py()), np.uint64))
+                on = np.isin(anchor, lists.values.to_numpy().view(np.uint64))
                 first, windows = first[on], windows[on]
                 stops = (first + windows + (length - 1)).tolist()
                 digests += [xxhash.xxh3_128_digest(raw[a:b]) for a, b in zip(first.tolist(), stops)]
@@ -248,23 +242,21 @@ def _occurrences(docs: DataFrame, shared: DataFrame, length: int) -> DataFrame:
             columns = [pa.array(digests, pa.binary()), *(pa.array(np.concatenate(c)) for c in parts)]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
-    lists = shared.groupBy(F.col("doc").alias("of")).agg(F.collect_list("anchors").alias("lists"))
+    lists = shared.groupBy(F.col("doc").alias("of")).agg(F.collect_list("anchor").alias("lists"))
     met = docs.hint("merge").join(lists, F.col("doc") == F.col("of")).select("doc", "mark", "text", "lists")
     return met.mapInArrow(cut, "digest binary, anchor long, windows long, doc long, mark long, at long")
 
 
-def _distinct_segments(docs: DataFrame, occurrences: DataFrame, length: int) -> DataFrame:
-    """Rows (anchor, digest, doc, many, segment): each different segment once, from its smallest document.
-
-    Equal segments are combined before any text travels; `many` tells whether
-    other documents hold it too.
-    """
+def _carriers(occurrences: DataFrame) -> DataFrame:
+    """Of each different segment the occurrence in the smallest document; `many`: others hold it too."""
     first = F.min(F.struct("doc", "mark", "at", "windows", "anchor")).alias("f")
-    carriers = settled(
-        occurrences.groupBy("digest").agg(first, F.max("doc").alias("last")).select(
-            "digest", "f.*", (F.col("last") > F.col("f.doc")).alias("many")
-        )
+    return occurrences.groupBy("digest").agg(first, F.max("doc").alias("last")).select(
+        "digest", "f.*", (F.col("last") > F.col("f.doc")).alias("many")
     )
+
+
+def _distinct_segments(docs: DataFrame, carriers: DataFrame, length: int) -> DataFrame:
+    """Rows (anchor, digest, doc, many, segment): each different segment once, from its smallest document."""
     wanted = carriers.groupBy(F.col("doc").alias("of"), F.col("mark").alias("of_mark")).agg(
         F.collect_list(F.struct("at", "windows", "anchor", "many", "digest")).alias("wanted")
     )
@@ -281,131 +273,171 @@ def _distinct_segments(docs: DataFrame, occurrences: DataFrame, length: int) ->
                     names=["anchor", "digest", "doc", "many", "segment"],
                 )
 
-    # Repeated rows of a document carry the same segments; one row is enough.
-    texts = docs.dropDuplicates(["doc", "mark"])
-    met = texts.hint("merge").join(
+    # Repeated rows of a document bring the same segments again, which changes nothing.
+    met = docs.hint("merge").join(
         wanted, (F.col("doc") == F.col("of")) & (F.col("mark") == F.col("of_mark"))
     ).select("doc", "text", "wanted")
     return met.mapInArrow(cut, "anchor long, digest binary, doc long, many boolean, segment binary")
 
 
-def shared_parts(segments: list[bytes], anchors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(start, stop) of the part of each segment that some other segment of its anchor may repeat.
+def _mix(x: np.ndarray, odd: np.uint64) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * odd
+    return x ^ (x >> np.uint64(29))
 
-    Segments of an anchor are aligned at the anchor's string. What a segment has
-    in common with its neighbours in the order of the text behind the anchor, and
-    of the text before it read backwards, is the most it has in common with any.
+
+def shared_parts(
+    text: np.ndarray, starts: np.ndarray, ends: np.ndarray, anchors: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, stop, name) of the part of each segment that some other segment of its anchor may repeat.
+
+    `starts` and `ends` are the segments' places in `text`. Segments of an anchor
+    are aligned at the anchor's string. What a segment has in common with its
+    neighbours in the order of the text behind the anchor, and of the text before
+    it read backwards, is the most it has in common with any. `name` is a hash of
+    two words; equal parts of an anchor have equal names.
     """
-    sizes = np.array([len(s) for s in segments])
-    ends = np.cumsum(sizes)
-    starts = ends - sizes
-    text = np.frombuffer(b"".join(segments), np.uint8)
-    owner = np.repeat(np.arange(len(segments)), sizes)
+    sizes = ends - starts
+    owner = np.repeat(np.arange(len(sizes)), sizes)
     grams = _gram_hashes(text.tobytes())
-    inside = np.arange(len(grams)) + GRAM <= ends[owner[: len(grams)]]
-    found = np.flatnonzero(inside & (grams.view(np.int64) == anchors[owner[: len(grams)]]))
-    times = np.bincount(owner[found], minlength=len(segments))
-    place = np.zeros(len(segments), np.int64)
+    of = owner[: len(grams)]
+    found = np.flatnonzero((np.arange(len(grams)) + GRAM <= ends[of]) & (grams.view(np.int64) == anchors[of]))
+    times = np.bincount(owner[found], minlength=len(sizes))
+    place = starts.copy()
     place[owner[found][::-1]] = found[::-1]
     left, right = place - starts, ends - place - GRAM
-    widest = max(1, int(max(left.max(), right.max()))) if (times == 1).all() else 64
+    widest = 64
     once = (times == 1) & (left <= widest) & (right <= widest)
+    # A segment with its anchor twice could be aligned in other ways; it and its whole group stay as they are.
+    loose = np.isin(anchors, anchors[~once])
 
-    def common(step: int, first: np.ndarray, room: np.ndarray) -> np.ndarray:
-        width = -(-widest // 8) * 8
+    def common(step: int, first: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        width = -(-max(1, int(np.minimum(room[~loose], widest).max(initial=1))) // 8) * 8
         reach = np.arange(width)
-        at = np.clip(first[:, None] + step * reach, 0, len(text) - 1)
-        rows = np.where(reach < np.minimum(room, width)[:, None], text[at], 0).astype(np.uint8)
+        rows = text[np.clip(first[:, None] + step * reach, 0, len(text) - 1)]
+        rows[reach >= np.minimum(room, width)[:, None]] = 0
         words = rows.view(">u8")
         order = np.lexsort([*(words[:, i] for i in range(width // 8 - 1, -1, -1)), anchors])
         same = rows[order[1:]] == rows[order[:-1]]
         length = np.where(same.all(1), width, same.argmin(1))
         length = np.minimum(length, np.minimum(room[order[1:]], room[order[:-1]]))
         length = np.where(anchors[order[1:]] == anchors[order[:-1]], length, 0)
-        most = np.zeros(len(segments), np.int64)
+        most = np.zeros(len(sizes), np.int64)
         np.maximum.at(most, order[1:], length)
         np.maximum.at(most, order[:-1], length)
-        return most
-
-    # A segment with its anchor twice could be aligned in other ways; it and its whole group stay as they are.
-    loose = np.isin(anchors, anchors[~once])
-    start = np.where(loose, 0, left - common(-1, place - 1, left))
-    stop = np.where(loose, sizes, left + GRAM + common(1, place + GRAM, right))
-    return start, stop
-
-
-def decide_group(
-    segments: list[bytes], anchors: np.ndarray, docs: np.ndarray, length: int, chunk: int, shards: int
-) -> list[tuple[int, np.ndarray]]:
-    """(first window, smallest document of it and the following ones) for the segments' shared parts.
-
-    Windows outside these parts have their own segment's document. Equal parts
-    are one string; an anchor with one string needs no merge.
+        rows[reach >= most[:, None]] = 0
+        return most, rows.view("<u8")
+
+    before, left_words = common(-1, place - 1, left)
+    after, right_words = common(1, place + GRAM, right)
+    start = np.where(loose, 0, left - before)
+    stop = np.where(loose, sizes, left + GRAM + after)
+    name = np.stack([(before + 128 * after).astype(np.uint64), anchors.view(np.uint64)])
+    for words in (left_words, right_words):
+        for i in range(words.shape[1]):
+            name[0] = _mix(name[0] * _ODD[0] + words[:, i], _ODD[1])
+            name[1] = _mix(name[1] * _ODD[2] + words[:, i], _ODD[0])
+    for i in np.flatnonzero(loose):
+        digest = xxhash.xxh3_128_intdigest(text[starts[i] : ends[i]].tobytes())
+        name[0, i], name[1, i] = digest >> 64, digest & 0xFFFFFFFFFFFFFFFF
+    return start, stop, name
+
+
+def decide_segments(
+    text: np.ndarray, starts: np.ndarray, ends: np.ndarray, anchors: np.ndarray, docs: np.ndarray,
+    length: int, chunk: int, shards: int,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray]]:
+    """Runs (segment, first window, windows, smallest document) in the segments' shared parts.
+
+    The last result is each segment's shared part in windows (start, stop);
+    windows outside it have their own segment's document. Equal parts are one
+    string, and an anchor with one string needs no merge.
     """
-    start, stop = shared_parts(segments, anchors)
-    least: dict[int, dict[bytes, int]] = {}
-    parts: list[bytes | None] = []
-    for segment, anchor, doc, a, b in zip(segments, anchors.tolist(), docs.tolist(), start.tolist(), stop.tolist()):
-        part = segment[a:b] if b - a >= length else None
-        parts.append(part)
-        if part is not None:
-            own = least.setdefault(anchor, {})
-            own[part] = min(own.get(part, doc), doc)
-    found: dict[int, dict[bytes, np.ndarray]] = {}
-    strings: list[tuple[int, bytes]] = []
-    held = 0
-
-    def flush() -> None:
-        named = np.array([least[a][p] for a, p in strings])
-        for (a, p), result in zip(strings, least_documents([p for _, p in strings], named, length, shards)):
-            found.setdefault(a, {})[p] = result
-        strings.clear()
-
-    for anchor, own in least.items():
-        if len(own) == 1:
-            (part, doc), = own.items()
-            found[anchor] = {part: np.full(len(part) - length + 1, doc)}
-            continue
-        strings += [(anchor, part) for part in own]
-        held += sum(len(part) + 1 for part in own)
-        if held >= chunk:
-            flush()
-            held = 0
-    if strings:
-        flush()
-    nothing = np.empty(0, np.int64)
-    return [
-        (a, nothing if part is None else found[anchor][part])
-        for part, anchor, a in zip(parts, anchors.tolist(), start.tolist())
-    ]
+    start, stop, name = shared_parts(text, starts, ends, anchors)
+    windows = np.maximum(0, stop - start - length + 1)
+    use = np.flatnonzero(windows)
+    order = use[np.lexsort((name[1, use], name[0, use], anchors[use]))]
+    a, x, y = anchors[order], name[0, order], name[1, order]
+    new_anchor = np.concatenate(([True], a[1:] != a[:-1]))[: len(order)]
+    new = np.concatenate(([True], (a[1:] != a[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])))[: len(order)]
+    string = np.cumsum(new) - 1  # number of the distinct part of each segment in order
+    first = np.flatnonzero(new)
+    least = np.minimum.reduceat(docs[order], first) if len(first) else np.empty(0, np.int64)
+    group = (np.cumsum(new_anchor) - 1)[first]
+    several = np.bincount(group, minlength=1)[group] > 1 if len(group) else np.empty(0, bool)
+    parts = [[use[:0]], [use[:0]], [use[:0]], [use[:0]]]
+
+    def put(segments, at, count, smallest) -> None:
+        for column, values in zip(parts, (segments, at, count, smallest)):
+            column.append(np.asarray(values, np.int64))
+
+    alone = ~several[string]
+    own = order[alone]
+    put(own, start[own], windows[own], least[string[alone]])
+    # Distinct parts that stand beside others of their anchor are merged, a chunk of anchors at a time.
+    merged = np.flatnonzero(several)
+    lengths = (stop - start)[order[first[merged]]] + 1
+    last_of_group = np.flatnonzero(np.concatenate((group[merged][1:] != group[merged][:-1], [True])))[: len(merged)]
+    filled = np.cumsum(lengths)
+    members = np.diff(np.concatenate((first, [len(order)])))
+    at = 0
+    while at < len(merged):
+        done = filled[at - 1] if at else 0
+        ends_here = last_of_group[last_of_group >= at]
+        stop_at = ends_here[min(len(ends_here) - 1, int(np.searchsorted(filled[ends_here], done + chunk)))] + 1
+        chosen = merged[at:stop_at]
+        leaders = order[first[chosen]]
+        strings = [text[starts[i] + start[i] : starts[i] + stop[i]].tobytes() for i in leaders]
+        for j, found in zip(chosen.tolist(), least_documents(strings, least[chosen], length, shards)):
+            cuts = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1])))
+            counts = np.diff(np.concatenate((cuts, [len(found)])))
+            holders = order[first[j] : first[j] + members[j]]
+            put(
+                np.repeat(holders, len(cuts)),
+                (start[holders][:, None] + cuts).ravel(),
+                np.tile(counts, len(holders)),
+                np.tile(found[cuts], len(holders)),
+            )
+        at = stop_at
+    runs = [np.concatenate(c) for c in parts]
+    low = np.where(windows > 0, start, 0)
+    return (*runs, (low, low + windows))
 
 
 def _decisions(segments: DataFrame, parts: int, length: int, chunk: int, shards: int) -> DataFrame:
     """Rows (digest, start, windows, least): runs of a segment's windows with the same smallest document."""
-    schema = pa.schema([("digest", pa.binary()), ("start", pa.int64()), ("windows", pa.int64()), ("least", pa.int64())])
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        columns: list[list] = [[], [], [], [], []]
-        for batch in batches:
-            for held, column in zip(columns, batch.columns):
-                held += column.to_pylist()
-        anchor, digest, doc, many, segment = columns
-        if not digest:
+        table = pa.Table.from_batches(list(batches)).combine_chunks() if (batches := list(batches)) else None
+        if table is None or not table.num_rows:
             return
-        decided = decide_group(segment, np.array(anchor, np.int64), np.array(doc, np.int64), length, chunk, shards)
-        out: list[list] = [[], [], [], []]
-        for name, own, others, text, (at, least) in zip(digest, doc, many, segment, decided):
-            windows = len(text) - length + 1
-            runs = []
-            if len(least):
-                cuts = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1]))).tolist()
-                runs = [(at + a, b - a, int(least[a])) for a, b in zip(cuts, [*cuts[1:], len(least)])]
-            if others:  # copies of the whole segment in other documents follow its smallest document elsewhere
-                runs += [(0, at, own), (at + len(least), windows - at - len(least), own)] if len(least) else [(0, windows, own)]
-            for start, count, smallest in runs:
-                if count > 0 and (others or smallest < own):
-                    out[0].append(name), out[1].append(start), out[2].append(count), out[3].append(smallest)
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, schema.types)], schema=schema)
+        pieces = pa.concat_arrays([c.cast(pa.large_binary()) for c in table["segment"].chunks])
+        offsets = np.frombuffer(pieces.buffers()[1], np.int64)[pieces.offset : pieces.offset + len(pieces) + 1]
+        text = np.frombuffer(pieces.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+        starts, ends = offsets[:-1] - offsets[0], offsets[1:] - offsets[0]
+        anchors, docs = table["anchor"].to_numpy(), table["doc"].to_numpy()
+        many = table["many"].to_numpy()
+        segment, at, count, least, (low, high) = decide_segments(
+            text, starts, ends, anchors, docs, length, chunk, shards
+        )
+        # Copies of a whole segment in other documents follow its smallest document outside the shared part.
+        copied = np.flatnonzero(many)
+        whole = (ends - starts - length + 1)[copied]
+        segment = np.concatenate((segment, copied, copied))
+        at = np.concatenate((at, np.zeros(len(copied), np.int64), high[copied]))
+        count = np.concatenate((count, low[copied], whole - high[copied]))
+        least = np.concatenate((least, docs[copied], docs[copied]))
+        kept = np.flatnonzero((count > 0) & (many[segment] | (least < docs[segment])))
+        for a in range(0, len(kept), 100_000):
+            own = kept[a : a + 100_000]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    table["digest"].take(pa.array(segment[own])).combine_chunks(),
+                    pa.array(at[own]),
+                    pa.array(count[own]),
+                    pa.array(least[own]),
+                ],
+                names=["digest", "start", "windows", "least"],
+            )
 
     dealt = segments.repartition(parts, "anchor").select("anchor", "digest", "doc", "many", "segment")
     return dealt.mapInArrow(decide, "digest binary, start long, windows long, least long")
@@ -428,12 +460,19 @@ def removed_runs(
     parts = 1 + size // part_bytes
     shared = settled(_shared_anchors(own, parts, length))
     occurrences = settled(_occurrences(own, shared, length))
-    segments = settled(_distinct_segments(own, occurrences, length))
+    discard(shared)
+    carriers = settled(_carriers(occurrences))
+    segments = settled(_distinct_segments(own, carriers, length))
+    discard(carriers)
     decided = settled(_decisions(segments, parts, length, chunk, shards))
+    discard(segments)
     places = occurrences.select("digest", "doc", "mark", "at")
     met = places.join(decided.hint("merge"), "digest").filter("least < doc")
     run = F.struct((F.col("at") + F.col("start")).alias("start"), (F.col("at") + F.col("start") + F.col("windows") + (length - 1)).alias("stop"))
-    return settled(met.groupBy("doc", "mark").agg(F.collect_set(run).alias("runs")))
+    runs = settled(met.groupBy("doc", "mark").agg(F.collect_set(run).alias("runs")))
+    discard(occurrences)
+    discard(decided)
+    return runs
 
 
 def joined_runs(runs: list[dict]) -> list[tuple[int, int]]:
