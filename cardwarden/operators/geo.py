@@ -32,8 +32,9 @@ def geo_planar_pairs(
     max_minutes: int = 60,
     policy: SlicePolicy = DEFAULT_POLICY,
     hot: Hot = FIND,
+    sort: bool = True,
 ) -> DataFrame:
-    """Neighbouring payments of one card that lie too far apart for the time between."""
+    """Neighbouring payments of one card that lie too far apart for the time between, farthest first."""
     ts = "transaction_timestamp"
     seen = txns.select(
         "transaction_id", "user_id", "card_id", ts, "latitude", "longitude",
@@ -49,7 +50,10 @@ def geo_planar_pairs(
         .withColumn("minutes_apart", expr.boundary_diff("minute", f"prev.{ts}", ts))
         .filter((F.col("_km") > min_km) & (F.col("minutes_apart") < max_minutes))
     )
-    return flagged.join(users.select("user_id", "first_name", "last_name"), "user_id").select(
+    named = flagged.join(users.select("user_id", "first_name", "last_name"), "user_id")
+    if sort:
+        named = named.orderBy(F.desc("_km"), "transaction_id")
+    return named.select(
         "transaction_id",
         expr.full_name("first_name", "last_name").alias("user_name"),
         "card_id",

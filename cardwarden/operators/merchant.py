@@ -25,8 +25,9 @@ def merchant_screen(
     users: DataFrame,
     merchants: DataFrame,
     codes: Sequence[str] = expr.SCREEN_MCC,
+    sort: bool = True,
 ) -> DataFrame:
-    """Payments at a blacklisted merchant or one of the listed categories, labelled."""
+    """Payments at a blacklisted merchant or one of the listed categories, labelled; worst and largest first."""
     watched = merchants.filter(
         _blacklisted() | F.col("merchant_category_code").isin(list(codes))
     )
@@ -40,6 +41,8 @@ def merchant_screen(
     named = txns.join(watched, "merchant_id").join(
         users.select("user_id", "first_name", "last_name"), "user_id"
     )
+    if sort:
+        named = named.orderBy(F.desc("is_blacklisted"), F.desc("transaction_amount"), "transaction_id")
     return joins.select_cols(
         named.withColumns(
             {"user_name": expr.full_name("first_name", "last_name"), "risk_flag": risk_flag}

@@ -34,8 +34,9 @@ def structuring_band(
     min_count: int = 3,
     policy: SlicePolicy = DEFAULT_POLICY,
     hot: Hot = FIND,
+    sort: bool = True,
 ) -> DataFrame:
-    """Payments in an amount band that follow enough others of the user within the span."""
+    """Payments in an amount band that follow enough others of the user within the span, by user and time."""
     band = _in_band(txns, lo, hi).select(
         "user_id", "card_id", "transaction_id", "transaction_amount", _TS
     )
@@ -43,6 +44,8 @@ def structuring_band(
         band, "user_id", _TS, minutes, out="txn_count_in_window", policy=policy, hot=hot
     ).filter(F.col("txn_count_in_window") >= min_count)
     named = counted.join(users.select("user_id", "first_name", "last_name"), "user_id")
+    if sort:
+        named = named.orderBy("user_id", _TS, "transaction_id")
     return named.select(
         "user_id",
         expr.full_name("first_name", "last_name").alias("user_name"),
@@ -59,8 +62,9 @@ def structuring_band_recent(
     lo: float = 2000,
     hi: float = 3000,
     min_count: int = 3,
+    sort: bool = True,
 ) -> DataFrame:
-    """Users with enough payments in the band during the last hours."""
+    """Users with enough payments in the band during the last hours, most payments first."""
     recent = joins.since(_in_band(txns, lo, hi), _TS, hours, "hour", as_of)
     grouped = (
         recent.groupBy("user_id")
@@ -75,6 +79,8 @@ def structuring_band_recent(
         .filter(F.col("txn_count") >= min_count)
     )
     named = grouped.join(users.select("user_id", "first_name", "last_name"), "user_id")
+    if sort:
+        named = named.orderBy(F.desc("txn_count"), "user_id")
     return named.select(
         "user_id",
         expr.full_name("first_name", "last_name").alias("user_name"),
@@ -115,8 +121,9 @@ def structuring_report(
     min_count: int = 2,
     window_hours: int = 48,
     user_id=None,
+    sort: bool = True,
 ) -> DataFrame:
-    """Users whose payments below the limit reach it within the look-back."""
+    """Users whose payments below the limit reach it within the look-back, largest total first."""
     limit = F.lit(threshold).cast("decimal(15,2)")
     suspects = joins.optional_eq(
         _below(_in_window(txns, as_of, window_hours), threshold), "user_id", user_id
@@ -138,7 +145,10 @@ def structuring_report(
     )
     total = F.col("aggregate_total")
     count = F.col("txn_count_in_window")
-    return grouped.join(users, "user_id").select(
+    named = grouped.join(users, "user_id")
+    if sort:
+        named = named.orderBy(F.desc("aggregate_total"), "user_id")
+    return named.select(
         "user_id",
         expr.full_name("first_name", "last_name").alias("full_name"),
         "email",
@@ -196,7 +206,7 @@ def detect_structuring(
     **options,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Report, new alerts and summary from one evaluation of the report, which is stored."""
-    report = stored(structuring_report(txns, users, as_of, **options))
+    report = stored(structuring_report(txns, users, as_of, sort=False, **options))
     raised = structuring_new_alerts(report, alerts)
     if not raise_alerts:
         raised = raised.limit(0)

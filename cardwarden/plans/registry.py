@@ -121,7 +121,7 @@ def _(t):
 def _(spark, folder):
     t = adapters.tables(spark, folder)
     place = new_folder(spark, "alerts")
-    report = structuring.structuring_report(t["transactions"], t["users"], AS_OF)
+    report = structuring.structuring_report(t["transactions"], t["users"], AS_OF, sort=False)
     rejected = merchant.block_batch(t["transactions"], t["merchants"])[1]
     kept = ["card_id", "user_id", "alert_type", "risk_score", "alert_message", "alert_status", "investigation_notes"]
     tables.append(structuring.structuring_new_alerts(report, t["alerts"]).select(*kept), place)
@@ -604,6 +604,29 @@ def _(t):
     return structuring.structuring_band(t["transactions"], t["users"], 1000, 6000, 2880, 3)
 
 
+def _bursts(t):
+    """Of every fifth customer each payment three times within twenty minutes, in the default band."""
+    rows = t["transactions"].filter("user_id % 5 = 0").select(
+        "user_id", "card_id", "transaction_id", _TS, F.explode(F.array(*[F.lit(k) for k in range(3)])).alias("k")
+    )
+    return rows.select(
+        "user_id", "card_id", (F.col("transaction_id") * 10 + F.col("k")).alias("transaction_id"),
+        (F.lit(2000) + F.col("transaction_id") % 1000).cast("decimal(15,2)").alias("transaction_amount"),
+        expr.shift(F.col(_TS), F.col("k") * 10, "minute").alias(_TS),
+        F.lit("completed").alias("transaction_status"),
+    )
+
+
+@query("r2_1_defaults")
+def _(t):
+    return structuring.structuring_band(_bursts(t), t["users"])
+
+
+@query("r2_2_defaults")
+def _(t):
+    return structuring.structuring_band_recent(_bursts(t), t["users"], AS_OF)
+
+
 @query("r2_2_structuring_band_recent")
 def _(t):
     return structuring.structuring_band_recent(t["transactions"], t["users"], AS_OF, 48, 1000, 6000, 3)
@@ -616,13 +639,13 @@ def _(t):
 
 @query("r2_4_structuring_new_alerts")
 def _(t):
-    report = structuring.structuring_report(t["transactions"], t["users"], AS_OF)
+    report = structuring.structuring_report(t["transactions"], t["users"], AS_OF, sort=False)
     return structuring.structuring_new_alerts(report, t["alerts"])
 
 
 @query("r2_5_structuring_summary")
 def _(t):
-    report = structuring.structuring_report(t["transactions"], t["users"], AS_OF)
+    report = structuring.structuring_report(t["transactions"], t["users"], AS_OF, sort=False)
     raised = structuring.structuring_new_alerts(report, t["alerts"])
     return structuring.structuring_summary(report, raised, AS_OF)
 

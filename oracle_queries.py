@@ -344,6 +344,12 @@ HOME = """SELECT t.transaction_id, l.latitude AS hlat, l.longitude AS hlon, t.la
 IN_ORDER = "CAST(least(floor((dayofmonth(transaction_timestamp) - 1) / 6), 4) AS INT)"
 
 
+BURSTS = """SELECT user_id, card_id, transaction_id * 10 + k AS transaction_id,
+ CAST(2000 + transaction_id % 1000 AS DECIMAL(15,2)) AS transaction_amount,
+ transaction_timestamp + k * INTERVAL 10 MINUTE AS transaction_timestamp, 'completed' AS transaction_status
+ FROM transactions, (VALUES (0), (1), (2)) v(k) WHERE user_id % 5 = 0"""
+
+
 def detection(clock: str = AS_OF, part: str = "0") -> dict[str, str]:
     """All rules over the payments of unblocked batches, which arrive in parts; each part has its clock."""
     steps = walk_steps("accepted")
@@ -824,6 +830,26 @@ def oracle() -> dict[str, str]:
               AND transaction_timestamp >= {AS_OF} - INTERVAL 48 HOUR
             GROUP BY t.user_id, u.first_name, u.last_name HAVING count(*) >= 3"""
         ),
+        "r2_1_defaults": sql(
+            f"""SELECT s.user_id, {NAME} AS user_name, card_id, transaction_id, transaction_amount,
+            transaction_timestamp, txn_count_in_window, '{FLAG_STRUCTURING}' AS flag FROM (
+              SELECT *, count(*) OVER (PARTITION BY user_id ORDER BY transaction_timestamp
+                RANGE BETWEEN INTERVAL 60 MINUTE PRECEDING AND CURRENT ROW) AS txn_count_in_window FROM bursts
+              WHERE transaction_amount BETWEEN 2000 AND 3000 AND transaction_status = 'completed') s
+            JOIN users u ON u.user_id = s.user_id WHERE txn_count_in_window >= 3""",
+            bursts=BURSTS,
+        ),
+        "r2_2_defaults": sql(
+            f"""SELECT t.user_id, {NAME} AS user_name, count(*) AS txn_count,
+            CAST(sum(transaction_amount) AS DECIMAL(25,2)) AS total_amount, min(transaction_amount) AS min_amount,
+            max(transaction_amount) AS max_amount, min(transaction_timestamp) AS window_start,
+            max(transaction_timestamp) AS window_end, '{FLAG_STRUCTURING}' AS flag
+            FROM bursts t JOIN users u ON u.user_id = t.user_id
+            WHERE transaction_amount BETWEEN 2000 AND 3000 AND transaction_status = 'completed'
+              AND transaction_timestamp >= {AS_OF} - INTERVAL 1 HOUR
+            GROUP BY t.user_id, u.first_name, u.last_name HAVING count(*) >= 3""",
+            bursts=BURSTS,
+        ),
         "r2_3_structuring_report": sql(REPORT),
         "r2_4_structuring_new_alerts": sql("SELECT * FROM raised", report=REPORT, raised=RAISED),
         "r2_5_structuring_summary": sql(
