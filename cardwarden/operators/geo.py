@@ -66,7 +66,7 @@ def geo_planar_pairs(
     )
 
 
-def located() -> Column:
+def has_place() -> Column:
     return F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
 
 
@@ -120,7 +120,7 @@ def judge_velocity(
     A violating payment stays a reference point for the next one.
     """
     ts = "transaction_timestamp"
-    located = txns.select(*KEPT).filter(located())
+    located = txns.select(*KEPT).filter(has_place())
     found = timeline.prev_eligible(
         located, "user_id", ts, "transaction_id", ["latitude", "longitude", "ip_address"],
         ~F.col("transaction_status").isin(list(ignored)), policy=policy, hot=hot,
@@ -148,7 +148,7 @@ def _points(txns: DataFrame, ignored: tuple[str, ...], more: Sequence[str] = ())
     eligible = ~F.col("transaction_status").isin(list(ignored))
     return (
         txns.select(*KEPT, *more)
-        .filter(located())
+        .filter(has_place())
         .withColumns(
             {
                 "_at": expr.micros("transaction_timestamp"),

@@ -115,7 +115,7 @@ def detect_batch(
         "geo_judged",
     )
     judged = geo_judged.select(*accepted.columns, F.col("violation").alias("geo_violation"))
-    without_place = accepted.filter(~geo.located()).withColumn("geo_violation", F.lit(False))
+    without_place = accepted.filter(~geo.has_place()).withColumn("geo_violation", F.lit(False))
     # The category rule goes by the status a payment arrived with.
     counts = (F.col("transaction_status") != "reversed") & expr.is_high_risk_mcc("merchant_mcc")
     rows = judged.unionByName(without_place).withColumns(
