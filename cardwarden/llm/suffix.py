@@ -3,17 +3,20 @@
 A byte is removed if a `length`-byte string that covers it also starts in a
 document with a smaller id.
 
-1. Every window of `length` bytes is represented by its anchor, the smallest hash
+1. Documents with equal texts are known by a hash of the text; all but the one
+   with the smallest id are removed whole, and only that one takes part in what
+   follows, so a group of copies of any size is one text.
+2. Every window of `length` bytes is represented by its anchor, the smallest hash
    of the 16-byte strings inside it. Equal windows have equal anchors, so windows
-   whose anchor occurs in one document only cannot repeat; they are most of the
+   whose anchor occurs in one text only cannot repeat; they are most of the
    text and go no further. Anchors of a batch are combined before they travel, so
    an anchor found in very many documents is one row per batch.
-2. The windows that share an anchor in a row form a segment. Equal segments are
+3. The windows that share an anchor in a row form a segment. Equal segments are
    combined, with their smallest document, before any text travels; each
    different one meets the others of its anchor once, and is cut to the part
    that some other of them may repeat, by comparing what stands around the
    anchor. Equal parts are one string again.
-3. In a task, strings are dealt into shards; each shard's suffixes are sorted
+4. In a task, strings are dealt into shards; each shard's suffixes are sorted
    once, which gives its transform. The transforms are merged without sorting
    suffixes again: from an order by zero characters, each round of refinement
    reads the merged transform, sorts it stably by character and so obtains the
@@ -21,9 +24,9 @@ document with a smaller id.
    begin to differ (the common prefixes). After `length` rounds the suffixes
    between two such places are the repeated intervals, and the smallest document
    of an interval decides about all its windows.
-4. The decisions go back to the documents that hold the segments, as runs.
+5. The decisions go back to the documents that hold the segments, as runs.
 
-Results are exact but for coincidences of 128-bit hashes of segments.
+Results are exact but for coincidences of 128-bit hashes of texts and segments.
 
 Defined results: null is the empty text; texts shorter than `length` bytes keep
 everything; rows with the same id never remove from each other; a null id
@@ -46,7 +49,8 @@ from cardwarden.session import discard
 
 LENGTH = 50
 GRAM = 16
-PART_BYTES = 16 << 20
+PART_BYTES = 12 << 20
+BLOCK_BYTES = 4 << 20
 CHUNK = 1 << 18
 SHARDS = 4
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93], np.uint64)
@@ -156,16 +160,21 @@ def least_documents(strings: list[bytes], docs: np.ndarray, length: int = LENGTH
 
 
 def _shared_anchors(docs: DataFrame, parts: int, length: int) -> DataFrame:
-    """Rows (doc, anchor): anchors of the document that some other document may have too."""
-    kind = "part int, anchors binary, docs binary, known binary"
+    """Rows (name, anchor): anchors of the text that some other text may have too.
+
+    `docs` has rows (name, text), where equal texts have the same name.
+    """
+    kind = "part int, anchors binary, names binary, known binary"
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [np.unique(runs_of_windows(_utf8(t.as_py()), length)[0]) for t in batch.column(1)]
             anchor = np.concatenate([*found, np.empty(0, np.uint64)])
             doc = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), [len(f) for f in found])
-            order = np.argsort(anchor, kind="stable")
+            order = np.lexsort((doc, anchor))
             anchor, doc = anchor[order], doc[order]
+            once = np.concatenate(([True], (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])))[: len(anchor)]
+            anchor, doc = anchor[once], doc[once]
             new = np.concatenate(([True], anchor[1:] != anchor[:-1])) if len(anchor) else np.empty(0, bool)
             many = np.concatenate((~new[1:], [False])) | ~new if len(new) else new
             # The first of a batch asks for all (known: 1 if the batch has several); the others need no answer.
@@ -179,7 +188,7 @@ def _shared_anchors(docs: DataFrame, parts: int, length: int) -> DataFrame:
                 {
                     "part": pa.array([int(part[a]) for a in cuts], pa.int32()),
                     "anchors": pa.array([anchor[a:b].tobytes() for a, b in zip(cuts, stops)], pa.binary()),
-                    "docs": pa.array([doc[a:b].tobytes() for a, b in zip(cuts, stops)], pa.binary()),
+                    "names": pa.array([doc[a:b].tobytes() for a, b in zip(cuts, stops)], pa.binary()),
                     "known": pa.array([known[a:b].tobytes() for a, b in zip(cuts, stops)], pa.binary()),
                 }
             )
@@ -187,32 +196,33 @@ def _shared_anchors(docs: DataFrame, parts: int, length: int) -> DataFrame:
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns: list[list[np.ndarray]] = [[], [], []]
         for batch in batches:
-            for c, (name, t) in enumerate((("anchors", np.uint64), ("docs", np.int64), ("known", np.uint8))):
+            for c, (name, t) in enumerate((("anchors", np.uint64), ("names", np.int64), ("known", np.uint8))):
                 columns[c] += [np.frombuffer(x.as_buffer(), t) for x in batch.column(name)]
         if not columns[0]:
             return
         anchor, doc, known = (np.concatenate(c) for c in columns)
-        order = np.argsort(anchor, kind="stable")
+        order = np.lexsort((doc, anchor))
         anchor, doc, known = anchor[order], doc[order], known[order]
         first = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1])))
         sizes = np.diff(np.concatenate((first, [len(anchor)])))
-        shared = (sizes > 1) | (np.maximum.reduceat(known, first) > 0)
+        shared = (doc[first + sizes - 1] != doc[first]) | (np.maximum.reduceat(known, first) > 0)
         keep = np.repeat(shared, sizes)
         anchor, doc = anchor[keep], doc[keep]
         for at in range(0, len(doc), 1_000_000):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(doc[at : at + 1_000_000]), pa.array(anchor[at : at + 1_000_000].view(np.int64))],
-                names=["doc", "anchor"],
+                names=["name", "anchor"],
             )
 
-    asked = docs.select("doc", "text").mapInArrow(collect, kind)
-    return asked.repartition(parts, "part").mapInArrow(answer, "doc long, anchor long")
+    asked = docs.select("name", "text").mapInArrow(collect, kind)
+    return asked.repartition(parts, "part").mapInArrow(answer, "name long, anchor long")
 
 
-def _occurrences(docs: DataFrame, shared: DataFrame, length: int) -> DataFrame:
+def _occurrences(docs: DataFrame, shared: DataFrame, firsts: DataFrame, length: int) -> DataFrame:
     """Rows (digest, anchor, windows, doc, mark, at): every segment with a shared anchor, without its text.
 
-    `at` is its first byte in document `doc`, whose text has the hash `mark`.
+    `at` is its first byte in document `doc`, the first one with its text, whose
+    hash is `mark`.
     """
     schema = pa.schema(
         [
@@ -242,8 +252,13 @@ def _occurrences(docs: DataFrame, shared: DataFrame, length: int) -> DataFrame:
             columns = [pa.array(digests, pa.binary()), *(pa.array(np.concatenate(c)) for c in parts)]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
-    lists = shared.groupBy(F.col("doc").alias("of")).agg(F.collect_list("anchor").alias("lists"))
-    met = docs.hint("merge").join(lists, F.col("doc") == F.col("of")).select("doc", "mark", "text", "lists")
+    lists = shared.groupBy("name").agg(F.collect_set("anchor").alias("lists"))
+    wanted = firsts.join(lists, firsts["mark"] == lists["name"]).select(
+        F.col("doc").alias("of"), F.col("mark").alias("of_mark"), "lists"
+    )
+    met = docs.hint("merge").join(
+        wanted, (F.col("doc") == F.col("of")) & (F.col("mark") == F.col("of_mark"))
+    ).select("doc", "mark", "text", "lists")
     return met.mapInArrow(cut, "digest binary, anchor long, windows long, doc long, mark long, at long")
 
 
@@ -416,9 +431,24 @@ def _decisions(segments: DataFrame, parts: int, length: int, chunk: int, shards:
         starts, ends = offsets[:-1] - offsets[0], offsets[1:] - offsets[0]
         anchors, docs = table["anchor"].to_numpy(), table["doc"].to_numpy()
         many = table["many"].to_numpy()
-        segment, at, count, least, (low, high) = decide_segments(
-            text, starts, ends, anchors, docs, length, chunk, shards
-        )
+        order = np.argsort(anchors, kind="stable")
+        cuts = np.flatnonzero(np.concatenate(([True], np.diff(anchors[order]) != 0)))
+        block = np.cumsum((ends - starts)[order])[cuts] // BLOCK_BYTES  # whole anchors, a few MB at a time
+        found: list[list[np.ndarray]] = [[], [], [], []]
+        low, high = np.zeros(len(anchors), np.int64), np.zeros(len(anchors), np.int64)
+        edges = [*cuts[np.flatnonzero(np.concatenate(([True], np.diff(block) != 0)))].tolist(), len(order)]
+        for a, b in zip(edges[:-1], edges[1:]):
+            own = order[a:b]
+            sizes = (ends - starts)[own]
+            stops = np.cumsum(sizes)
+            places = np.repeat(starts[own] - (stops - sizes), sizes) + np.arange(stops[-1])
+            *runs, (first, last) = decide_segments(
+                text[places], stops - sizes, stops, anchors[own], docs[own], length, chunk, shards
+            )
+            low[own], high[own] = first, last
+            for column, values in zip(found, (own[runs[0]], *runs[1:])):
+                column.append(values)
+        segment, at, count, least = (np.concatenate(c) for c in found)
         # Copies of a whole segment in other documents follow its smallest document outside the shared part.
         copied = np.flatnonzero(many)
         whole = (ends - starts - length + 1)[copied]
@@ -458,8 +488,10 @@ def removed_runs(
     )
     size = own.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     parts = 1 + size // part_bytes
-    shared = settled(_shared_anchors(own, parts, length))
-    occurrences = settled(_occurrences(own, shared, length))
+    same = own.select("doc", "mark", F.unhex(F.md5("text")).alias("same"), F.octet_length("text").alias("bytes"))
+    firsts = settled(same.groupBy("same").agg(F.min(F.struct("doc", "mark")).alias("f")).select("same", "f.*"))
+    shared = settled(_shared_anchors(own.select(F.col("mark").alias("name"), "text"), parts, length))
+    occurrences = settled(_occurrences(own, shared, firsts, length))
     discard(shared)
     carriers = settled(_carriers(occurrences))
     segments = settled(_distinct_segments(own, carriers, length))
@@ -469,9 +501,15 @@ def removed_runs(
     places = occurrences.select("digest", "doc", "mark", "at")
     met = places.join(decided.hint("merge"), "digest").filter("least < doc")
     run = F.struct((F.col("at") + F.col("start")).alias("start"), (F.col("at") + F.col("start") + F.col("windows") + (length - 1)).alias("stop"))
-    runs = settled(met.groupBy("doc", "mark").agg(F.collect_set(run).alias("runs")))
-    discard(occurrences)
-    discard(decided)
+    parts_of = met.groupBy("doc", "mark").agg(F.collect_set(run).alias("runs"))
+    first = firsts.select(F.col("same").alias("of"), F.col("doc").alias("first"))
+    whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("bytes").cast("long").alias("stop")))
+    copies = same.join(first, F.col("same") == F.col("of")).filter("doc > first").select(
+        "doc", "mark", whole.alias("runs")
+    )
+    runs = settled(parts_of.unionByName(copies.dropDuplicates(["doc", "mark"])))
+    for table in (occurrences, decided, firsts):
+        discard(table)
     return runs
 
 
