@@ -415,6 +415,15 @@ def _(t):
     )
 
 
+@query("f6_now")
+def _(t):
+    # The clock of the run; every payment of the table lies before it, and none before a fixed clock.
+    return t["transactions"].select(
+        "transaction_id", (expr.now_utc() > F.col(_TS)).alias("before_now"),
+        (expr.now_utc(AS_OF) <= F.col(_TS)).alias("after_clock"),
+    )
+
+
 @query("f11_seeded_mod")
 def _(t):
     return t["authentication"].select("auth_id", expr.seeded_mod("auth_id", 72, seed=5).alias("hours_ago"))

@@ -726,6 +726,10 @@ def oracle() -> dict[str, str]:
             strftime(transaction_timestamp, '%Y-%m-%d %H:%M:%S') AS at_text,
             coalesce(ip_address, 'N/A') || chr(13) || chr(10) || merchant_mcc AS two_lines FROM transactions"""
         ),
+        "f6_now": sql(
+            f"""SELECT transaction_id, CAST(current_timestamp AS TIMESTAMP) > transaction_timestamp AS before_now,
+            {AS_OF} <= transaction_timestamp AS after_clock FROM transactions"""
+        ),
         "f11_seeded_mod": sql(
             """SELECT auth_id, CAST('0x' || substr(md5(auth_id || ':5'), 1, 8) AS BIGINT) % 72 AS hours_ago
             FROM authentication"""
