@@ -1088,7 +1088,7 @@ def oracle() -> dict[str, str]:
             JOIN users u ON u.user_id = t.user_id JOIN merchants m ON m.merchant_id = t.merchant_id"""
         ),
         "rp_a5_open_alerts": sql(
-            f"""SELECT alert_id, {NAME} AS user_name, alert_type, risk_score, alert_status, created_at FROM alerts a
+            f"""SELECT alert_id, {NAME} AS user_name, alert_type, risk_score, alert_message, alert_status, created_at FROM alerts a
             JOIN users u ON u.user_id = a.user_id WHERE alert_status = 'open'"""
         ),
         "rp_a6_employees_by_role": sql(
@@ -1109,7 +1109,7 @@ def oracle() -> dict[str, str]:
             LEFT JOIN alerts a ON a.transaction_id = t.transaction_id"""
         ),
         "rp_e2_alerts_with_trail": sql(
-            """SELECT alert_id, alert_type, risk_score, alert_status, created_at, previous_status, new_status, changed_by
+            """SELECT alert_id, alert_type, risk_score, alert_message, alert_status, created_at, previous_status, new_status, changed_by
             FROM alerts a LEFT JOIN audit l ON l.transaction_id = a.transaction_id"""
         ),
         "rp_e3_customers_with_alerts": sql(
