@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cardwarden.functions import expr
 from cardwarden.operators import changes as change_ops
 from cardwarden.operators import joins
+from cardwarden.operators.slices import FIND, Hot
 
 BLOCK_TYPE = "blacklisted_merchant"
 MCC_TYPE = "high_risk_mcc"
@@ -61,7 +62,8 @@ def _offenders(batch: DataFrame, merchants: DataFrame) -> DataFrame:
 
 
 def gate(
-    batch: DataFrame, merchants: DataFrame, batch_id: str | None = "batch_id", mode: str = "batch"
+    batch: DataFrame, merchants: DataFrame, batch_id: str | None = "batch_id", mode: str = "batch",
+    hot: Hot = FIND,
 ) -> DataFrame:
     """Mark the rows to reject.
 
@@ -82,16 +84,17 @@ def gate(
     if batch_id is None:
         return batch.withColumn("rejected", found.agg(F.count(F.lit(1)) > 0).scalar())
     blocked = found.select(batch_id).distinct().withColumn("_bad", F.lit(True))
-    return joins.lookup(batch, blocked, batch_id).select(
+    return joins.lookup(batch, blocked, batch_id, hot=hot).select(
         *batch.columns, F.col("_bad").isNotNull().alias("rejected")
     )
 
 
 def block_batch(
-    batch: DataFrame, merchants: DataFrame, batch_id: str | None = "batch_id", mode: str = "batch"
+    batch: DataFrame, merchants: DataFrame, batch_id: str | None = "batch_id", mode: str = "batch",
+    hot: Hot = FIND,
 ) -> tuple[DataFrame, DataFrame]:
     """Accepted and rejected rows."""
-    marked = gate(batch, merchants, batch_id, mode)
+    marked = gate(batch, merchants, batch_id, mode, hot)
     return marked.filter(~F.col("rejected")).drop("rejected"), marked.filter("rejected").drop("rejected")
 
 

@@ -239,6 +239,7 @@ def structuring_on_insert(
     threshold: float = 10000,
     min_count: int = 2,
     window_hours: int = 48,
+    hot: Hot = FIND,
 ) -> DataFrame:
     """Judge every arriving row against its user's window after the whole batch landed.
 
@@ -252,7 +253,7 @@ def structuring_on_insert(
         F.sum("transaction_amount").cast(_TOTAL).alias("aggregate_total"),
         F.max("card_id").alias("max_card_id"),
     )
-    return _judged(joins.lookup(batch, windows, "user_id"), threshold, min_count)
+    return _judged(joins.lookup(batch, windows, "user_id", hot=hot), threshold, min_count)
 
 
 def structuring_trailing(
@@ -293,7 +294,7 @@ def structuring_hits(judged: DataFrame, threshold: float = 10000, window_hours:
 
 
 def structuring_audit(
-    judged: DataFrame, alerts: DataFrame, as_of=None, actual_status: bool = False
+    judged: DataFrame, alerts: DataFrame, as_of=None, actual_status: bool = False, hot: Hot = FIND
 ) -> DataFrame:
     """One audit row per judged payment: new alert, existing alert, or clean."""
     hit = F.col("violation")
@@ -303,7 +304,7 @@ def structuring_audit(
         .select("user_id").distinct().withColumn("_open", F.lit(True))
     )
     opens = firsts.join(known, "user_id", "left")
-    rows = joins.lookup(judged, opens, "user_id")
+    rows = joins.lookup(judged, opens, "user_id", hot=hot)
     existing = F.col("_open").isNotNull() | (F.col("transaction_id") > F.col("_first"))
     outcome = expr.label(
         [(~hit, "No violation"), (existing, "Existing alert updated")], "New alert raised"

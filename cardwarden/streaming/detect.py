@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from cardwarden.functions import expr
 from cardwarden.operators import alerts as alert_ops
 from cardwarden.operators import geo, merchant, structuring
-from cardwarden.operators.slices import DEFAULT_POLICY, SlicePolicy
+from cardwarden.operators.slices import DEFAULT_POLICY, FIND, Hot, SlicePolicy
 from cardwarden.session import on_store
 from cardwarden.sources import tables
 
@@ -41,6 +41,7 @@ class Detection:
     open_alerts: DataFrame
     as_of: object
     history: DataFrame | None = None
+    hot: Hot = FIND  # of the batch's payments
 
     @cached_property
     def mcc_judged(self) -> DataFrame:
@@ -73,7 +74,7 @@ class Detection:
     def audit(self) -> DataFrame:
         return (
             geo.geo_audit(self.geo_judged, self.as_of)
-            .unionByName(structuring.structuring_audit(self.judged, self.open_alerts, self.as_of))
+            .unionByName(structuring.structuring_audit(self.judged, self.open_alerts, self.as_of, hot=self.hot))
             .unionByName(merchant.mcc_audit(self.mcc_judged, self.as_of))
             .unionByName(merchant.blocked_audit(self.rejected, self.merchants, self.as_of))
         )
@@ -104,13 +105,16 @@ def detect_batch(
     structuring rule. Results with several consumers go through stage, which
     may store them and return the stored table.
     """
-    accepted, rejected = merchant.block_batch(batch, merchants, batch_id)
+    # A batch within the limit has no frequent keys in any step that goes by its rows.
+    hot = None if batch.count() <= policy.rows_per_slice else FIND
+    accepted, rejected = merchant.block_batch(batch, merchants, batch_id, hot=hot)
     accepted, rejected = stage(accepted, "accepted"), stage(rejected, "rejected")
     # All columns go through the fold, so no join has to bring them back.
     others = [c for c in accepted.columns if c not in geo.KEPT]
     geo_judged = stage(
         geo.judge_velocity_declining(
-            accepted, last_accepted=last_accepted, known=known, policy=policy, more=others
+            accepted, last_accepted=last_accepted, known=known, policy=policy, more=others,
+            hot=hot if known is None else FIND,
         ),
         "geo_judged",
     )
@@ -128,11 +132,11 @@ def detect_batch(
         }
     )
     past = rows.limit(0) if history is None else history
-    structured = stage(structuring.structuring_on_insert(past, rows, as_of), "transactions")
+    structured = stage(structuring.structuring_on_insert(past, rows, as_of, hot=hot), "transactions")
     arrived = structured.withColumn("transaction_status", F.col("arrived_status")).select(
         *batch.columns
     )
-    return Detection(structured, rejected, geo_judged, arrived, merchants, alerts, as_of, history)
+    return Detection(structured, rejected, geo_judged, arrived, merchants, alerts, as_of, history, hot)
 
 
 class DetectionStore:
@@ -199,9 +203,10 @@ class DetectionStore:
         if batch == 0:
             return _carried(initial)
         full, *changes = self._since_full("alerts", batch)
-        parts = self.spark.read.parquet(full).withColumn("_no", F.lit(-1))
+        reader = self.spark.read.schema(initial.schema)
+        parts = reader.parquet(full).withColumn("_no", F.lit(-1))
         for b, folder in enumerate(changes):
-            parts = parts.unionByName(self.spark.read.parquet(folder).withColumn("_no", F.lit(b)))
+            parts = parts.unionByName(reader.parquet(folder).withColumn("_no", F.lit(b)))
         return _carried(_newest(parts))
 
     def snapshot(self, batch: int, initial: DataFrame) -> DataFrame:
@@ -222,7 +227,7 @@ class DetectionStore:
         numbered = tables.number_rows(opened, "user_id", ["alert_type"], offset=top, out="alert_id")
         changed = found.alerts.kept.filter("hits IS NOT NULL")
         self.write(changed.select(*columns).unionByName(numbered.select(*columns)), "alerts", batch)
-        written = self.read("alerts", batch)
+        written = self.spark.read.schema(before.schema).parquet(self._folder("alerts", batch))
         last = F.greatest(F.max("alert_id"), F.lit(top)).cast("bigint")
         self.write(written.agg(last.alias("top")), "ids", batch)
         if batch % self.full_every == 0:
@@ -244,8 +249,12 @@ class DetectionStore:
         """Accepted points of the batch's customers: those of the look-back, and everyone's last one."""
         if batch == 0:
             return None
+        kinds = {"_at": T.LongType(), "_id": T.LongType(), "_lat": T.DoubleType(), "_lon": T.DoubleType()}
+        self.point_schema = T.StructType(
+            [customers.schema["user_id"], *(T.StructField(n, k) for n, k in kinds.items())]
+        )
         full, *changes = self._since_full("last_points", batch)
-        points = self.spark.read.parquet(full, *changes).join(customers, "user_id", "left_semi")
+        points = self._points(full, *changes).join(customers, "user_id", "left_semi")
         points = _latest(points)
         if history is not None:
             recent = geo.accepted_points(history.join(customers, "user_id", "left_semi"))
@@ -254,13 +263,18 @@ class DetectionStore:
 
     def write_points(self, judged: DataFrame, batch: int) -> None:
         """The last accepted point of every customer of the batch; now and then of all customers."""
-        accepted = judged.filter(~F.col("violation"))
-        self.write(_latest(geo.accepted_points(accepted)), "last_points", batch)
+        points = _latest(geo.accepted_points(judged.filter(~F.col("violation"))))
+        self.point_schema = points.schema
+        self.write(points, "last_points", batch)
         if batch % self.full_every == 0:
             folders = [self._folder("last_points", batch)]
             if batch:
                 folders += self._since_full("last_points", batch)
-            self.write(_latest(self.spark.read.parquet(*folders)), "last_points_full", batch)
+            self.write(_latest(self._points(*folders)), "last_points_full", batch)
+
+    def _points(self, *folders: str) -> DataFrame:
+        """Stored points; the type of user_id is that of the stored table."""
+        return self.spark.read.schema(self.point_schema).parquet(*folders)
 
 
 def _carried(alerts: DataFrame) -> DataFrame:
