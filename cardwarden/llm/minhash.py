@@ -69,7 +69,7 @@ class _Hashes(dict):
     """64-bit hash of a word; forgets all when it has become large."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1 << 20:
+        if len(self) > 1 << 18:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value

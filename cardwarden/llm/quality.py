@@ -86,7 +86,7 @@ class _Buckets(dict):
     """Bucket of a word; forgets all when it has become large."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 1 << 20:
+        if len(self) > 1 << 18:
             self.clear()
         bucket = self[word] = zlib.crc32(word.encode("utf-8", "surrogatepass")) % WORD_BUCKETS
         return bucket
