@@ -168,13 +168,13 @@ def _shared_anchors(docs: DataFrame, parts: int, length: int) -> DataFrame:
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [np.unique(runs_of_windows(_utf8(t.as_py()), length)[0]) for t in batch.column(1)]
+            names, places = np.unique(batch.column(0).to_numpy(zero_copy_only=False), return_index=True)
+            texts = batch.column(1)
+            found = [np.unique(runs_of_windows(_utf8(texts[int(i)].as_py()), length)[0]) for i in places]
             anchor = np.concatenate([*found, np.empty(0, np.uint64)])
-            doc = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), [len(f) for f in found])
-            order = np.lexsort((doc, anchor))
+            doc = np.repeat(names, [len(f) for f in found])
+            order = np.argsort(anchor)
             anchor, doc = anchor[order], doc[order]
-            once = np.concatenate(([True], (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])))[: len(anchor)]
-            anchor, doc = anchor[once], doc[once]
             new = np.concatenate(([True], anchor[1:] != anchor[:-1])) if len(anchor) else np.empty(0, bool)
             many = np.concatenate((~new[1:], [False])) | ~new if len(new) else new
             # The first of a batch asks for all (known: 1 if the batch has several); the others need no answer.
@@ -201,11 +201,12 @@ def _shared_anchors(docs: DataFrame, parts: int, length: int) -> DataFrame:
         if not columns[0]:
             return
         anchor, doc, known = (np.concatenate(c) for c in columns)
-        order = np.lexsort((doc, anchor))
+        order = np.argsort(anchor)
         anchor, doc, known = anchor[order], doc[order], known[order]
         first = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1])))
         sizes = np.diff(np.concatenate((first, [len(anchor)])))
-        shared = (doc[first + sizes - 1] != doc[first]) | (np.maximum.reduceat(known, first) > 0)
+        several = np.maximum.reduceat(doc, first) != np.minimum.reduceat(doc, first)
+        shared = several | (np.maximum.reduceat(known, first) > 0)
         keep = np.repeat(shared, sizes)
         anchor, doc = anchor[keep], doc[keep]
         for at in range(0, len(doc), 1_000_000):
@@ -431,7 +432,7 @@ def _decisions(segments: DataFrame, parts: int, length: int, chunk: int, shards:
         starts, ends = offsets[:-1] - offsets[0], offsets[1:] - offsets[0]
         anchors, docs = table["anchor"].to_numpy(), table["doc"].to_numpy()
         many = table["many"].to_numpy()
-        order = np.argsort(anchors, kind="stable")
+        order = np.argsort(anchors)
         cuts = np.flatnonzero(np.concatenate(([True], np.diff(anchors[order]) != 0)))
         block = np.cumsum((ends - starts)[order])[cuts] // BLOCK_BYTES  # whole anchors, a few MB at a time
         found: list[list[np.ndarray]] = [[], [], [], []]
