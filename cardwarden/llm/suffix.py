@@ -24,9 +24,15 @@ document with a smaller id.
    begin to differ (the common prefixes). After `length` rounds the suffixes
    between two such places are the repeated intervals, and the smallest document
    of an interval decides about all its windows.
-5. The decisions go back to the documents that hold the segments, as runs.
+5. Anchors whose different segments exceed `hot_bytes`, such as that of a line in a
+   third of all documents with other text around it each time, are never brought
+   together: their windows are 128-bit hashes, a pre-aggregated minimum finds the
+   smallest document of each, and both sides of the join back are rows of fixed
+   size.
+6. The decisions go back to the documents that hold the segments, as runs.
 
-Results are exact but for coincidences of 128-bit hashes of texts and segments.
+Results are exact but for coincidences of 128-bit hashes of texts, segments and
+windows.
 
 Defined results: null is the empty text; texts shorter than `length` bytes keep
 everything; rows with the same id never remove from each other; a null id
@@ -51,6 +57,8 @@ LENGTH = 50
 GRAM = 16
 PART_BYTES = 12 << 20
 BLOCK_BYTES = 4 << 20
+HOT_BYTES = 4 << 20
+WINDOW_ROWS = 1 << 18
 CHUNK = 1 << 18
 SHARDS = 4
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93], np.uint64)
@@ -474,6 +482,103 @@ def _decisions(segments: DataFrame, parts: int, length: int, chunk: int, shards:
     return dealt.mapInArrow(decide, "digest binary, start long, windows long, least long")
 
 
+def _hot_anchors(carriers: DataFrame, hot_bytes: int, length: int) -> DataFrame:
+    """Rows (anchor): those whose different segments have more than `hot_bytes` in all."""
+    sizes = carriers.groupBy("anchor").agg(F.sum(F.col("windows") + (length - 1)).alias("bytes"))
+    return sizes.filter(F.col("bytes") > hot_bytes).select("anchor")
+
+
+def _window_names(text: np.ndarray, places: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of two words of the `length` bytes at every place."""
+    words = np.ndarray((len(text) - 7,), "<u8", text.tobytes(), 0, (1,))
+    x = np.full(len(places), length, np.uint64)
+    y = x.copy()
+    for at in (*range(0, length - 8, 8), length - 8):
+        word = words[places + at]
+        x = _mix(x * _ODD[0] + word, _ODD[1])
+        y = _mix(y * _ODD[2] + word, _ODD[0])
+    return x, y
+
+
+def _hashed_windows(segments: DataFrame, length: int) -> DataFrame:
+    """Rows (x, y, digest, doc, start, windows): the windows of each segment; equal neighbours are one row."""
+
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            pieces = batch.column(2).cast(pa.large_binary())
+            offsets = np.frombuffer(pieces.buffers()[1], np.int64)[pieces.offset : pieces.offset + len(pieces) + 1]
+            text = np.frombuffer(pieces.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+            starts = offsets[:-1] - offsets[0]
+            stops = np.cumsum(np.diff(offsets) - length + 1)  # windows up to and with each segment
+            docs = batch.column(1).to_numpy()
+            for a in range(0, int(stops[-1]), WINDOW_ROWS):
+                flat = np.arange(a, min(a + WINDOW_ROWS, int(stops[-1])))
+                own = np.searchsorted(stops, flat, "right")
+                start = flat - np.concatenate(([0], stops))[own]
+                low = int(starts[own[0]] + start[0])
+                high = int(starts[own[-1]] + start[-1]) + length
+                x, y = _window_names(text[low:high], starts[own] + start - low, length)
+                new = (own[1:] != own[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])
+                first = np.flatnonzero(np.concatenate(([True], new)))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(x[first].view(np.int64)),
+                        pa.array(y[first].view(np.int64)),
+                        batch.column(0).take(pa.array(own[first])),
+                        pa.array(docs[own[first]]),
+                        pa.array(start[first]),
+                        pa.array(np.diff(np.concatenate((first, [len(flat)])))),
+                    ],
+                    names=["x", "y", "digest", "doc", "start", "windows"],
+                )
+
+    kind = "x long, y long, digest binary, doc long, start long, windows long"
+    return segments.select("digest", "doc", "segment").mapInArrow(explode, kind)
+
+
+def _window_decisions(segments: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
+    """Rows as of `_decisions`, for anchors of any number of segments; and the stored table they read.
+
+    No task holds an anchor: windows meet as hashes, with partial minima before
+    the shuffle, and the table joined back is a stored one, whose join run-time
+    skew handling can split.
+    """
+    windows = _hashed_windows(segments, length)
+    least = windows.groupBy("x", "y").agg(F.min("doc").alias("least"), F.max("doc").alias("last"))
+    repeated = settled(least.filter("last > least").select("x", "y", "least"))
+    met = windows.join(repeated.hint("merge"), ["x", "y"]).filter("least < doc")
+    lists = met.groupBy("digest").agg(F.collect_list(F.struct("start", "windows", "least")).alias("found"))
+
+    def join_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = batch.column(1)
+            start, windows, least = (x.to_numpy() for x in found.flatten().flatten())
+            row = np.repeat(np.arange(len(found)), found.value_lengths().to_numpy())
+            order = np.lexsort((start, row))
+            row, start, stop, least = row[order], start[order], (start + windows)[order], least[order]
+            first = np.flatnonzero(np.concatenate(([True], (row[1:] != row[:-1]) | (start[1:] != stop[:-1])))[: len(row)])
+            last = np.concatenate((first[1:], [len(row)])) - 1
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).take(pa.array(row[first])),
+                    pa.array(start[first]),
+                    pa.array(stop[last[: len(first)]] - start[first]),
+                    pa.array(np.maximum.reduceat(least, first) if len(first) else least),
+                ],
+                names=["digest", "start", "windows", "least"],
+            )
+
+    runs = lists.mapInArrow(join_up, "digest binary, start long, windows long, least long")
+    # Copies of a whole segment in other documents follow its smallest document.
+    count = (F.octet_length("segment") - (length - 1)).cast("long")
+    whole = segments.filter("many").select(
+        "digest", F.lit(0).cast("long").alias("start"), count.alias("windows"), F.col("doc").alias("least")
+    )
+    return runs.unionByName(whole), repeated
+
+
 def removed_runs(
     docs: DataFrame,
     key: str = "doc_id",
@@ -482,6 +587,7 @@ def removed_runs(
     part_bytes: int = PART_BYTES,
     chunk: int = CHUNK,
     shards: int = SHARDS,
+    hot_bytes: int = HOT_BYTES,
 ) -> DataFrame:
     """Rows (doc, mark, runs): the removed (start, stop) in bytes, not yet joined; mark is the text's hash."""
     own = docs.filter(F.col(key).isNotNull() & (F.octet_length(text) >= length)).select(
@@ -496,8 +602,18 @@ def removed_runs(
     discard(shared)
     carriers = settled(_carriers(occurrences))
     segments = settled(_distinct_segments(own, carriers, length))
+    # A segment has at most `length` bytes per window, so in a small table no anchor can be hot.
+    hot = settled(_hot_anchors(carriers, hot_bytes, length)) if size * length > hot_bytes else None
     discard(carriers)
-    decided = settled(_decisions(segments, parts, length, chunk, shards))
+    if hot is None or hot.isEmpty():
+        decided = settled(_decisions(segments, parts, length, chunk, shards))
+    else:
+        few = _decisions(segments.join(F.broadcast(hot), "anchor", "left_anti"), parts, length, chunk, shards)
+        many, repeated = _window_decisions(segments.join(F.broadcast(hot), "anchor", "left_semi"), length)
+        decided = settled(few.unionByName(many))
+        discard(repeated)
+    if hot is not None:
+        discard(hot)
     discard(segments)
     places = occurrences.select("digest", "doc", "mark", "at")
     met = places.join(decided.hint("merge"), "digest").filter("least < doc")

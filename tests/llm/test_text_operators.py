@@ -190,6 +190,38 @@ def test_long_repeats_empty(no_docs):
     assert suffix.op6_suffix_dedup(no_docs).count() == 0
 
 
+def test_long_repeats_of_hot_anchors(spark, odd_docs, monkeypatch):
+    dice = random.Random(23)
+    line = "Permission is hereby granted, free of charge, to any person obtaining a copy"
+    words = ["".join(dice.choice("abcdef") for _ in range(6)) for _ in range(400)]
+
+    def around():
+        return " ".join(dice.choices(words, k=12))
+
+    rows = [(i, f"{around()}\n{line}\n{around()}\n{'=' * dice.randint(40, 90)}\n{around()}") for i in range(150)]
+    rows += [(i, f"{'=' * 300}{around()}é{line}") for i in range(150, 160)] + [(3, line), (None, line)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    dealt = []
+    real = suffix._decisions
+
+    def watched(segments, *rest):
+        sizes = segments.groupBy("anchor").agg(F.sum(F.octet_length("segment")).alias("n"))
+        dealt.append(sizes.agg(F.max("n")).first()[0] or 0)
+        return real(segments, *rest)
+
+    monkeypatch.setattr(suffix, "_decisions", watched)
+    for table, most in ((docs, 2000), (docs, 0), (odd_docs, 0)):
+        plain = [tuple(r) for r in table.select("doc_id", "text").collect()]
+        want = Counter((k, n, tuple(runs), kept) for (k, _), (n, runs, kept) in zip(plain, suffix.brute_force(plain)))
+        found = suffix.without_repeats(table, hot_bytes=most)
+        got = Counter(
+            (r["doc_id"], r["n_bytes"], tuple((s["start"], s["stop"]) for s in r["removed"]), bytes(r["kept"]))
+            for r in found.collect()
+        )
+        assert got == want
+        assert dealt.pop() <= most  # no task is given more of an anchor
+
+
 def _targets(sizes, weights=(5, 2, 1), amount=1.5, passes=2):
     order = sorted(sizes, key=lambda s: (s is None, s))
     weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
