@@ -5,10 +5,12 @@ path of tags (with class or id) from the root. Per path, text length, punctuatio
 and linked text are summed and divided by the path's number of blocks: long,
 punctuated, little-linked paths are content. The ratios are smoothed along the
 page, fused into one score per path, and paths above a threshold relative to the
-page select content blocks. The innermost container that holds nearly all
-selected text is the article; its blocks are the result, headings and short
-paragraphs included, except those in parts that are marked as something else
-(navigation, footer, sidebar, form, advert, notice, comments ...).
+page select content blocks. The innermost container that holds all selected text
+is the article; its blocks are the result, headings and short paragraphs
+included, and the headings beside it. Where the page has article or main
+elements, all blocks inside them are the result, with the selected blocks and
+headings that stand among them. Parts that are marked as something else
+(navigation, footer, sidebar, form, advert, notice, comments ...) are left out.
 
 Work is per page inside one pass over the table; nothing is shuffled.
 
@@ -41,6 +43,7 @@ _MARKS = re.compile(r"[.,;:!?¿¡…、。，！？]")
 _NAME_PARTS = re.compile(r"[^a-z0-9]+")
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 _RAW = frozenset("script style textarea title noscript template iframe noframes xmp".split())
 _CONTAINERS = frozenset("html body main article section div td center".split())
 _BLOCKS = _CONTAINERS | frozenset(
@@ -84,6 +87,7 @@ class _Block:
     containers: tuple[int, ...]
     other: bool
     main: bool
+    heading: bool = False
     pieces: list[str] = field(default_factory=list)
     linked: int = 0
     text: str = ""
@@ -120,7 +124,9 @@ def read_blocks(page: str) -> list[_Block]:
             if raw.isspace():
                 return
             path = "/".join(x.name for x in stack[1:] if x.tag in _BLOCKS)
-            current = _Block(path, tuple(dict.fromkeys(x.container for x in stack)), stack[-1].other, stack[-1].main)
+            containers = tuple(dict.fromkeys(x.container for x in stack))
+            heading = any(x.tag in _HEADINGS for x in stack)
+            current = _Block(path, containers, stack[-1].other, stack[-1].main, heading)
             blocks.append(current)
         decoded = html.unescape(raw) if "&" in raw else raw
         current.pieces.append(decoded)
@@ -219,11 +225,10 @@ def path_scores(blocks: list[_Block]) -> dict[str, float]:
     return {p: total[p] / nodes[p] for p in nodes}
 
 
-def main_text(page: str | None, share: float = 0.5, hold: float = 0.8) -> str:
+def main_text(page: str | None, share: float = 0.5) -> str:
     """Blocks of the article, joined by blank lines.
 
-    `share` of the page's text-weighted mean score is the threshold of a path;
-    the article is the innermost container with `hold` of the selected text.
+    `share` of the page's text-weighted mean score is the threshold of a path.
     """
     blocks = read_blocks(page or "")
     own = [b for b in blocks if not b.other]
@@ -233,13 +238,17 @@ def main_text(page: str | None, share: float = 0.5, hold: float = 0.8) -> str:
     inner = [b for b in own if b.main] or own
     mean = sum(scores[b.path] * len(b.text) for b in inner) / sum(len(b.text) for b in inner)
     chosen = [b for b in inner if scores[b.path] >= share * mean]
-    inside: dict[int, int] = defaultdict(int)
-    for b in chosen:
-        for c in b.containers:
-            inside[c] += len(b.text)
-    enough = hold * sum(len(b.text) for b in chosen)
-    article = max(c for c, n in inside.items() if n >= enough)
-    return "\n\n".join(b.text for b in own if article in b.containers)
+    marked = inner[0].main
+    held = set.intersection(*(set(b.containers) for b in (inner if marked else chosen)))
+    article = max(held)
+
+    def belongs(b: _Block) -> bool:
+        heading = b.heading and 2 * b.linked <= len(b.text)
+        if marked:
+            return b.main or (article in b.containers and (heading or scores[b.path] >= share * mean))
+        return article in b.containers or heading
+
+    return "\n\n".join(b.text for b in own if belongs(b))
 
 
 def extract_text(pages: DataFrame, page: str = "html", out: str = "text") -> DataFrame:

@@ -43,6 +43,29 @@ def test_main_text(page, text):
     assert html_extract.main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<body><p>Stray.</p><article><h1>T</h1><div class=body><p>A text, long, and more.</p></div></article></body>", "T\n\nA text, long, and more."),
+        (
+            f"<article><section><p>First, short.</p></section><section><p>{'Long, and longer. ' * 9}</p></section></article>",
+            f"First, short.\n\n{('Long, and longer. ' * 9).strip()}",
+        ),
+        (
+            f"<body><article><p>One, small.</p></article><h2>Between</h2><article><div><p>{'Two, large. ' * 20}</p></div></article></body>",
+            f"One, small.\n\nBetween\n\n{('Two, large. ' * 20).strip()}",
+        ),
+        (
+            f"<body><h1>T</h1><table><tr><td><p>Left, one.</p><td><p>{'Right, two. ' * 20}</p></table></body>",
+            f"T\n\nLeft, one.\n\n{('Right, two. ' * 20).strip()}",
+        ),
+        ("<body><h1>T</h1><div class=text><p>A text, long, and more.</p><p>Short</p></div></body>", "T\n\nA text, long, and more.\n\nShort"),
+    ],
+)
+def test_main_text_is_whole(page, text):
+    assert html_extract.main_text(page) == text
+
+
 def test_pages(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").withColumn("text", F.lit("clash"))
     rows = html_extract.op3_html_extract(pages).collect()
