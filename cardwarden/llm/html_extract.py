@@ -11,6 +11,9 @@ included, and the headings beside it. Where the page has article or main
 elements, all blocks inside them are the result, with the selected blocks and
 headings that stand among them. Parts that are marked as something else
 (navigation, footer, sidebar, form, advert, notice, comments ...) are left out.
+A class or id marks a part if all its words say so (`cookie-notice`, `site-footer`,
+not `comments-open` or `no-ads`). A form, or a part marked by name alone, that holds
+most of the high-scoring text stays.
 
 Work is per page inside one pass over the table; nothing is shuffled.
 
@@ -60,7 +63,7 @@ _CLOSES = {  # a start tag ends an open one of these, up to the given parents
     "option": (("option",), ("select",)),
 }
 _OTHER_TAGS = frozenset(
-    "nav footer aside form head button select dialog menu svg canvas object audio video label input search".split()
+    "nav footer aside head button select dialog menu svg canvas object audio video label input search".split()
 )
 _OTHER_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar form".split())
 _OTHER_NAMES = frozenset(
@@ -70,6 +73,12 @@ _OTHER_NAMES = frozenset(
     "pagination pager footer toolbar widget masthead topbar skip".split()
 )
 _HEADER_NAMES = frozenset(("header",))
+# Words that may stand beside one of the names above without another meaning.
+_PLAIN_NAMES = frozenset(
+    "site page main top bottom left right center primary secondary sub global list box container wrapper wrap holder "
+    "area block section inner outer bar link links item items icon icons button buttons unit slot text title post posts "
+    "article articles stories media google user js the and 0 1 2 3 4 5 6 7 8 9".split()
+)
 
 
 @dataclass
@@ -77,7 +86,8 @@ class _Open:
     tag: str
     name: str
     other: bool
-    main: bool
+    parts: tuple[int, ...]  # open parts that only a name or a form (negative) marks
+    main: int  # the outermost article or main, 0 if there is none
     container: int
 
 
@@ -86,34 +96,45 @@ class _Block:
     path: str
     containers: tuple[int, ...]
     other: bool
-    main: bool
+    parts: tuple[int, ...]
+    main: int
     heading: bool = False
     pieces: list[str] = field(default_factory=list)
     linked: int = 0
     text: str = ""
 
 
-def _is_other(tag: str, attributes: dict[str, str], main: bool) -> bool:
+def _is_other(tag: str, attributes: dict[str, str], main: int) -> bool:
+    """Whether the part is something else whatever it holds."""
     if tag in _OTHER_TAGS or (tag == "header" and not main):
         return True
     if "hidden" in attributes or attributes.get("aria-hidden") == "true":
         return True
     if re.search(r"display\s*:\s*none", attributes.get("style", "")):
         return True
-    if attributes.get("role", "").lower() in _OTHER_ROLES:
+    return attributes.get("role", "").lower() in _OTHER_ROLES
+
+
+def _is_marked(tag: str, attributes: dict[str, str], main: int) -> bool:
+    """Whether the part is something else by its name or as a form, unless it holds most of the text."""
+    if tag == "form":
         return True
     if tag in ("html", "body", "main"):
         return False
-    names = set(_NAME_PARTS.split(f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()))
-    return bool(names & _OTHER_NAMES) or (not main and bool(names & _HEADER_NAMES))
+    names = _OTHER_NAMES if main else _OTHER_NAMES | _HEADER_NAMES
+    for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".lower().split():
+        words = {w for w in _NAME_PARTS.split(name) if w}
+        if words & names and words <= names | _PLAIN_NAMES:
+            return True
+    return False
 
 
 def read_blocks(page: str) -> list[_Block]:
     """The page's blocks with text, in order."""
     blocks: list[_Block] = []
-    root = _Open("", "", False, False, 0)
+    root = _Open("", "", False, (), 0, 0)
     stack = [root]
-    ids = 0
+    ids = marked = mains = 0
     current: _Block | None = None
 
     def text(raw: str) -> None:
@@ -126,7 +147,7 @@ def read_blocks(page: str) -> list[_Block]:
             path = "/".join(x.name for x in stack[1:] if x.tag in _BLOCKS)
             containers = tuple(dict.fromkeys(x.container for x in stack))
             heading = any(x.tag in _HEADINGS for x in stack)
-            current = _Block(path, containers, stack[-1].other, stack[-1].main, heading)
+            current = _Block(path, containers, stack[-1].other, stack[-1].parts, stack[-1].main, heading)
             blocks.append(current)
         decoded = html.unescape(raw) if "&" in raw else raw
         current.pieces.append(decoded)
@@ -135,7 +156,8 @@ def read_blocks(page: str) -> list[_Block]:
 
     def close_from(at: int) -> None:
         nonlocal current
-        if any(x.tag in _BLOCKS or x.other != stack[-1].other for x in stack[at:]) or stack[at - 1].other != stack[-1].other:
+        kinds = {(x.other, x.parts) for x in stack[at - 1 :]}
+        if len(kinds) > 1 or any(x.tag in _BLOCKS for x in stack[at:]):
             current = None
         del stack[at:]
 
@@ -196,12 +218,18 @@ def read_blocks(page: str) -> list[_Block]:
                 ids += 1
                 container = ids
             other = above.other or _is_other(tag, attributes, above.main)
-            if other != above.other:
+            parts = above.parts
+            if not other and _is_marked(tag, attributes, above.main):
+                marked += 1
+                parts = (*parts, -marked if tag == "form" else marked)
+            if other != above.other or parts != above.parts:
                 current = None
             label = (attributes.get("class") or attributes.get("id") or "").split(" ")[0]
-            stack.append(
-                _Open(tag, f"{tag}.{label}" if label else tag, other, above.main or tag in ("article", "main"), container)
-            )
+            main = above.main
+            if not main and tag in ("article", "main"):
+                mains += 1
+                main = mains
+            stack.append(_Open(tag, f"{tag}.{label}" if label else tag, other, parts, main, container))
     text(page[at:])
     for block in blocks:
         block.text = " ".join("".join(block.pieces).split())
@@ -225,27 +253,56 @@ def path_scores(blocks: list[_Block]) -> dict[str, float]:
     return {p: total[p] / nodes[p] for p in nodes}
 
 
+def _own_blocks(blocks: list[_Block], share: float) -> list[_Block]:
+    """Blocks outside the parts that are something else; the path scores decide about those marked by name or form.
+
+    Such a part stays if it holds most of the high-scoring text: a form that of
+    the page; a name that of the articles that have text of their own, or of the
+    page if there are none.
+    """
+    real = [b for b in blocks if not b.other]
+    if not any(b.parts for b in real):
+        return real
+    mains = {b.main for b in real if b.main and not b.parts}
+    kept = {p for p in _main_parts(real, share) if p < 0 or not mains}
+    if mains:
+        kept |= {p for p in _main_parts([b for b in real if b.main in mains], share) if p > 0}
+    return [b for b in real if kept.issuperset(b.parts)]
+
+
+def _main_parts(blocks: list[_Block], share: float) -> set[int]:
+    """The marked parts that hold most of the high-scoring text of the blocks."""
+    scores = path_scores(blocks)
+    mean = sum(scores[b.path] * len(b.text) for b in blocks) / sum(len(b.text) for b in blocks)
+    high = [b for b in blocks if scores[b.path] >= share * mean]
+    held: dict[int, int] = defaultdict(int)
+    for b in high:
+        for part in b.parts:
+            held[part] += len(b.text)
+    return {p for p, n in held.items() if 2 * n > sum(len(b.text) for b in high)}
+
+
 def main_text(page: str | None, share: float = 0.5) -> str:
     """Blocks of the article, joined by blank lines.
 
     `share` of the page's text-weighted mean score is the threshold of a path.
     """
     blocks = read_blocks(page or "")
-    own = [b for b in blocks if not b.other]
+    own = _own_blocks(blocks, share)
     if not own:
         return ""
     scores = path_scores(own)
     inner = [b for b in own if b.main] or own
     mean = sum(scores[b.path] * len(b.text) for b in inner) / sum(len(b.text) for b in inner)
     chosen = [b for b in inner if scores[b.path] >= share * mean]
-    marked = inner[0].main
+    marked = inner[0].main > 0
     held = set.intersection(*(set(b.containers) for b in (inner if marked else chosen)))
     article = max(held)
 
     def belongs(b: _Block) -> bool:
         heading = b.heading and 2 * b.linked <= len(b.text)
         if marked:
-            return b.main or (article in b.containers and (heading or scores[b.path] >= share * mean))
+            return b.main > 0 or (article in b.containers and (heading or scores[b.path] >= share * mean))
         return article in b.containers or heading
 
     return "\n\n".join(b.text for b in own if belongs(b))

@@ -66,6 +66,31 @@ def test_main_text_is_whole(page, text):
     assert html_extract.main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "start, end",
+    [
+        ("<article class='post comments-open'>", "</article>"),
+        ("<div class='content has-sidebar'>", "</div>"),
+        ("<div id='page-with-menu'>", "</div>"),
+        ("<div class='no-ads share-enabled'>", "</div>"),
+        ("<form action=x><div class=widget>", "</div></form>"),
+        ("<form><article>", "</article></form><article class=teaser><nav>See</nav></article>"),
+        ("<article class=widget>", "</article>"),
+        ("<article><div class=share>", "</div></article>"),
+    ],
+)
+def test_names_do_not_drop_the_article(start, end):
+    body = "<h1>T</h1><p>A text, long, and more.</p><p>Another, longer, text.</p>"
+    page = f"<body><nav>Menu</nav>{start}{body}<div class='cookie-notice'>Yes, yes.</div>{end}<div class=site-footer>Bye, bye.</div></body>"
+    assert html_extract.main_text(page) == "T\n\nA text, long, and more.\n\nAnother, longer, text."
+
+
+def test_long_comments_beside_an_article():
+    talk = "<article class=comment-item><p>I disagree, strongly, with this.</p></article>" * 9
+    page = f"<article><p>A text, long, and more.</p></article><section class=comments>{talk}</section>"
+    assert html_extract.main_text(page) == "A text, long, and more."
+
+
 def test_pages(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").withColumn("text", F.lit("clash"))
     rows = html_extract.op3_html_extract(pages).collect()
