@@ -559,8 +559,8 @@ _IN_ORDER = "CAST(least(floor((dayofmonth(ts) - 1) / 6), 4) AS int)"
 _TOO_LATE = "CAST(least(floor((dayofmonth(ts) - 1) / 6) + CASE WHEN event_id % 7 = 3 THEN 1 ELSE 0 END, 4) AS int)"
 
 
-def _arriving(spark, folder, name, order=_IN_ORDER):
-    return adapters.arriving(spark, folder, name, f"{new_folder(spark, 'arriving')}/events", order, 5)
+def _arriving(spark, folder, name, order=_IN_ORDER, **options):
+    return adapters.arriving(spark, folder, name, f"{new_folder(spark, 'arriving')}/events", order, 5, **options)
 
 
 @raw_query("r1_4_geo_velocity_stream")
@@ -823,8 +823,8 @@ def _detected_stream(spark, folder):
     place = new_folder(spark, "detect")
     store = detect.DetectionStore(spark, f"{place}/results", full_every=2)
     detect.start_detection(
-        _arriving(spark, folder, "transactions"), store, t["merchants"], t["alerts"], f"{place}/state",
-        statement_id="batch_id",
+        _arriving(spark, folder, "transactions", whole_parts=True), store, t["merchants"], t["alerts"],
+        f"{place}/state", statement_id="batch_id",
     ).awaitTermination()
     return store, t
 

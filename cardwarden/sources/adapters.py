@@ -6,11 +6,13 @@ The adapter texts are plain SQL, so the same text also feeds the SQL oracle.
 from __future__ import annotations
 
 import re
+import time
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cardwarden.session import configure
+from cardwarden.session import configure, on_store
 from cardwarden.sources.tables import scan, scan_stream
 
 # Fixed value: the clock of all time-relative queries over the adapted tables.
@@ -147,17 +149,45 @@ def stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return adapt(configure(spark), folder, name, scan_stream(spark, folder, SOURCES[name]))
 
 
-def arriving(spark: SparkSession, folder: str, name: str, place: str, order: str, parts: int) -> DataFrame:
-    """One adapted table as a stream of several micro-batches, one per part.
+def arriving(
+    spark: SparkSession, folder: str, name: str, place: str, order: str, parts: int,
+    by: tuple[str, ...] = ("ts", "event_id"), rows_per_file: int = 500_000, whole_parts: bool = False,
+) -> DataFrame:
+    """One adapted table as a stream of several micro-batches, part after part.
 
     `order` is an SQL expression over the source's rows that names their part, 0
-    to parts - 1; parts are written one after the other to `place`.
+    to parts - 1. One job writes all parts to `place`, as files whose times are
+    their order. A micro-batch is one file of at most `rows_per_file` rows, and
+    the files of a part follow each other by the columns `by`; with
+    `whole_parts` it is all of a part, in as many files for each part.
     """
     source = scan(configure(spark), folder, SOURCES[name])
-    for part in range(parts):
-        source.filter(f"{order} = {part}").coalesce(1).write.mode("append").parquet(place)
-    reader = spark.readStream.schema(source.schema).option("maxFilesPerTrigger", 1)
-    return adapt(spark, folder, name, reader.parquet(place))
+    dealt = source.withColumn("__part", F.expr(order)).filter(F.col("__part").between(0, parts - 1))
+    sizes = {r["__part"]: r["count"] for r in dealt.groupBy("__part").count().collect()}
+    files_per_batch = 1
+    if whole_parts:
+        files_per_batch += min(sizes.get(part, 0) for part in range(parts)) // rows_per_file
+        slots = F.pmod(F.xxhash64(*by), F.lit(files_per_batch))
+        keys = ["__part", "__slot"]
+        dealt = dealt.withColumn("__slot", slots).repartition(parts * files_per_batch, *keys)
+        dealt.write.partitionBy(*keys).parquet(place)
+    else:
+        count = sum(-(-n // rows_per_file) for n in sizes.values())
+        keys = ["__part", *by] if count > len(sizes) else ["__part"]
+        dealt = dealt.repartitionByRange(max(count, 1), *keys).sortWithinPartitions("__part", *by)
+        dealt.write.option("maxRecordsPerFile", rows_per_file).partitionBy("__part").parquet(place)
+    for part in set(range(parts)) - set(sizes):  # a part without rows is a micro-batch, too
+        rest = "/__slot=0" if whole_parts else ""
+        source.limit(0).coalesce(1).write.parquet(f"{place}/__part={part}{rest}")
+    leaves = f"{place}/__part=*/__slot=*" if whole_parts else f"{place}/__part=*"
+    _, files = on_store(spark, place)
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{leaves}/*.parquet")
+    paths = {f.getPath().toString(): f.getPath() for f in files.globStatus(pattern)}
+    begin = int(time.time()) - len(paths)
+    for i, path in enumerate(sorted(paths, key=lambda p: (int(re.search(r"/__part=(\d+)/", p)[1]), p))):
+        files.setTimes(paths[path], (begin + i) * 1000, -1)
+    reader = spark.readStream.schema(source.schema).option("maxFilesPerTrigger", files_per_batch)
+    return adapt(spark, folder, name, reader.parquet(leaves))
 
 
 class AdaptedTables(Mapping):

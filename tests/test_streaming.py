@@ -3,11 +3,13 @@
 import random
 from datetime import timedelta
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 import seed as s
 from cardwarden.operators import geo, login
+from cardwarden.sources import adapters
 from cardwarden.sources.schemas import TABLES
 from cardwarden.streaming import detect, stateful
 
@@ -204,3 +206,45 @@ def test_structuring_reaches_back_into_history(spark, tmp_path, seed):
     assert rows[3].txn_count == 1
     (alert,) = store.snapshot(2, seed["alerts"]).collect()
     assert (alert.transaction_id, alert.alert_type) == (2, "structuring_aml")
+
+
+EVENTS = "/root/testdata/sf0.001"
+TOO_LATE = "CAST(least(floor((dayofmonth(ts) - 1) / 6) + CASE WHEN event_id % 7 = 3 THEN 1 ELSE 0 END, 4) AS int)"
+
+
+def micro_batches(place):
+    """Rows (part, ts, event_id) of each file, in the order the files are read."""
+    found = sorted(place.glob("**/*.parquet"), key=lambda f: f.stat().st_mtime)
+    assert len({f.stat().st_mtime for f in found}) == len(found)
+    part = [int(next(x for x in f.parts if x.startswith("__part="))[7:]) for f in found]
+    tables = [pq.read_table(f, partitioning=None).to_pydict() for f in found]
+    return [[(n, *x) for x in zip(t["ts"], t["event_id"])] for n, t in zip(part, tables)]
+
+
+def test_arriving_files_are_bounded_and_in_order(spark, tmp_path):
+    def judged(rows):
+        place = tmp_path / f"in{rows}"
+        source = adapters.arriving(spark, EVENTS, "transactions", str(place), TOO_LATE, 5, rows_per_file=rows)
+        frame = stateful.geo_velocity_stream(source, look_back_hours=24 * 40)
+        got = run(spark, frame, tmp_path / f"run{rows}").select("transaction_id", "prev_transaction_id", "violation", "late")
+        return micro_batches(place), sorted(map(tuple, got.collect()), key=str)
+
+    few, want = judged(500_000)
+    many, got = judged(120)
+    assert len(few) == 5 and max(map(len, many)) <= 120 and len(many) > 5
+    assert sorted(x for f in many for x in f) == [x for f in many for x in f] == [x for f in few for x in sorted(f)]
+    assert got == want
+
+
+def test_whole_parts_in_several_files(spark, tmp_path):
+    source = adapters.arriving(
+        spark, EVENTS, "transactions", str(tmp_path / "in"), TOO_LATE, 5, rows_per_file=50, whole_parts=True
+    )
+    files = micro_batches(tmp_path / "in")
+    each = len(files) // 5
+    assert each > 1 and [f[0][0] for f in files] == [part for part in range(5) for _ in range(each)]
+    sizes = []
+    query = source.writeStream.foreachBatch(lambda df, _: sizes.append(df.count()))
+    query.option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start().awaitTermination()
+    payments = adapters.tables(spark, EVENTS)["transactions"].count()
+    assert len(sizes) == 5 and sum(sizes) == payments
