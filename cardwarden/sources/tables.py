@@ -52,13 +52,15 @@ def number_rows(
     rows_per_slice: int = 2_000_000,
     checkpoint: bool = True,
 ) -> DataFrame:
-    """Consecutive ids offset+1.. in the order of a numeric column, without one global sort task.
-
-    Rows beyond the limit are numbered inside slices of the order column, cut at
-    its quantiles, and shifted by the row counts of the slices before; only those
-    counts meet in one task. Null order values come first. The rows are read
-    several times, so they are stored first unless checkpoint=False says that
-    they come from a table anyway.
+    """Consecutive ids offset+1.. in the order of a column and the ties, without one global sort task.
+
+    Beyond the limit rows are dealt to ranges of (order, ties, place in the input),
+    so equal order values, and rows equal in all of these, are split too; ids are
+    places within a range, shifted by the row counts of the ranges before. Only
+    those counts meet in one task. Nulls come first. Rows that differ should
+    differ in `order` or `ties`, then a replay gives every row the same id. The
+    rows are read several times, so they are stored first unless checkpoint=False
+    says that they come from a table anyway.
     """
     rows = df.withColumn("_order", expr.col(order))
     if checkpoint:
@@ -68,28 +70,26 @@ def number_rows(
     if count <= rows_per_slice:
         place = F.row_number().over(Window.orderBy("_order", *ties))
         return rows.withColumn(out, start + place).drop("_order")
-    parts = F.lit(-(-4 * count // rows_per_slice)).cast("bigint")
-    # Stored, so that every reader of the starts sees the same ones.
-    starts = stored(
-        rows.agg(slices.quantiles("_order").alias("_values")).select(
-            slices.starts_among(F.col("_values"), parts).alias("_starts")
-        )
+    keys = ["_order", *ties, "_seat"]
+    ranges = (
+        rows.withColumn("_seat", F.monotonically_increasing_id())
+        .repartitionByRange(-(-2 * count // rows_per_slice), *keys)
+        .withColumn("_part", F.spark_partition_id())
     )
-    placed = rows.withColumn("_starts", starts.scalar())
-    part = F.when(F.col("_order").isNull(), F.lit(-1)).otherwise(slices.place_among("_starts", "_order"))
-    sliced = placed.withColumn("_part", part).drop("_starts")
+    # Stored, so that counts and places speak of the same ranges.
+    ranged = stored(ranges)
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     shifts = (
-        sliced.groupBy("_part")
+        ranged.groupBy("_part")
         .agg(F.count(F.lit(1)).alias("_n"))
         .select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     )
-    place = F.row_number().over(Window.partitionBy("_part").orderBy("_order", *ties))
+    place = F.row_number().over(Window.partitionBy("_part").orderBy(*keys))
     return (
-        sliced.withColumn("_place", place)
+        ranged.withColumn("_place", place)
         .join(shifts, "_part")
         .withColumn(out, start + F.col("_before") + F.col("_place"))
-        .drop("_part", "_place", "_before", "_order")
+        .drop("_part", "_place", "_before", "_order", "_seat")
     )
 
 
