@@ -5,8 +5,11 @@ from __future__ import annotations
 from cardwarden.llm.common import table
 from cardwarden.llm.decontaminate import OP4_SQL, op4_decontaminate
 from cardwarden.llm.html_extract import op3_html_extract
+from cardwarden.llm.manifest import OP11_SQL, op11_merkle_manifest
 from cardwarden.llm.minhash import op7_near_duplicates
 from cardwarden.llm.mixing import op10_mixing
+from cardwarden.llm.periodic import op12_periodic_runs
+from cardwarden.llm.pieces import op13_sentencepiece
 from cardwarden.llm.quality import op5_quality
 from cardwarden.llm.secrets import OP1_SQL, op1_secret_scan
 from cardwarden.llm.suffix import op6_suffix_dedup
@@ -25,6 +28,9 @@ QUERIES = {
     "op8_toxicity": lambda spark, d: op8_toxicity(table(spark, d, "documents"), table(spark, d, "labels")),
     "op9_warc": lambda spark, d: op9_warc(table(spark, d, "pages")),
     "op10_mixing": lambda spark, d: op10_mixing(table(spark, d, "documents")),
+    "op11_merkle_manifest": lambda spark, d: op11_merkle_manifest(table(spark, d, "documents")),
+    "op12_periodic_runs": lambda spark, d: op12_periodic_runs(table(spark, d, "documents")),
+    "op13_sentencepiece": lambda spark, d: op13_sentencepiece(table(spark, d, "documents")),
 }
 
 ORACLE = {
@@ -32,4 +38,5 @@ ORACLE = {
     "op2_topk_search": OP2_SQL,
     "op4_decontaminate": OP4_SQL,
     "op9_warc": OP9_SQL,
+    "op11_merkle_manifest": OP11_SQL,
 }
