@@ -4,13 +4,14 @@ Encoding keeps an agenda of adjacent symbol pairs whose union is a piece, best
 score first and leftmost among equals; the best pair is merged, the pairs it
 stood in are dropped and those of the new symbol enter, until no pair is left.
 A symbol outside the vocabulary becomes its UTF-8 bytes. Decoding joins the
-pieces again. In every Arrow batch the sentencepiece library encodes and decodes
-the same whole texts; `agrees` tells per row whether both gave the same.
+pieces again. In every Arrow batch the sentencepiece library encodes the parts met
+there for the first time and decodes the ids of all texts; `agrees` tells per row
+whether both gave the same. On request it encodes every whole text as well.
 
 A text is cut, before the agenda, where no piece can reach across: before white
-space that follows something else, and around characters that are in no longer
-piece. Short parts repeat, so each task remembers the ids of up to `most_parts`
-of them; when they are full it starts anew.
+space that follows something else, and between characters that no chain of
+pieces connects (letters and punctuation, say). Short parts repeat, so each task
+remembers the ids of up to `most_parts` of them and of as many older ones.
 
 The vocabulary's path is a parameter; every worker loads the file once. Models
 other than merges with byte fallback, an identity normaliser and a white space
@@ -27,9 +28,12 @@ from __future__ import annotations
 
 import heapq
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
+import numpy as np
 import pandas as pd
 import public_tokenizers
 import pyarrow as pa
@@ -41,6 +45,12 @@ from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, S
 SPACE = "▁"
 UNKNOWN = " ⁇ "
 SHORT_PART = 48
+OUTSIDE = 1 << 20  # symbols outside the vocabulary are this plus their code point
+WIDE = 1 << 22
+NEVER = 1 << 40
+END = -1
+PAD = "\0"
+GUARD = "\n"
 
 
 class Pieces:
@@ -54,7 +64,7 @@ class Pieces:
             i for i in range(size) if not (lib.is_byte(i) or lib.is_control(i) or lib.is_unknown(i) or lib.is_unused(i))
         ]
         self.id_of = {names[i]: i for i in plain}
-        self.score = {names[i]: lib.get_score(i) for i in plain}
+        self.cost = {names[i]: -lib.get_score(i) for i in plain}
         self.byte_ids = {int(names[i], 16): i for i in self._bytes(names)}
         self.byte_of = {i: b for b, i in self.byte_ids.items()}
         if len(self.byte_ids) != 256:
@@ -68,8 +78,15 @@ class Pieces:
             self.surface[i] = chr(byte) if byte < 128 else "�"
         self.high = {i for byte, i in self.byte_ids.items() if byte >= 128}
         self._check_cuts()
+        self.pairs = self._pairs()
+        self.letter_ids = np.arange(0x110000, dtype=np.int64) + OUTSIDE
+        for name, i in self.id_of.items():
+            if len(name) == 1:
+                self.letter_ids[ord(name)] = i
         self.parts_of = self._cutter()
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, tuple[int, ...]] = {}
+        self.wrong: set[str] = set()
+        self.earlier: dict[str, tuple[int, ...]] = {}
         self.most_parts = most_parts
         for probe in ("", " ", "  a  b ", "\tx\n", "éﬁ①　 \U0001f600", "a▁b<s><0x41>"):
             if self.encode(probe) != lib.encode(probe):
@@ -86,26 +103,99 @@ class Pieces:
             raise ValueError("pieces reach over white space")
 
     def _cutter(self):
-        """Finds parts no piece reaches out of: white space and what follows, or a character on its own."""
-        inner = {c for name in self.id_of if len(name) > 1 for c in name}
-        alone = re.escape("".join(chr(c) for c in range(128) if chr(c) not in inner))
-        own = f"[{alone}]|" if alone else ""
-        return re.compile(f"{own}{SPACE}*[^{SPACE}{alone}]+|{SPACE}+").findall
-
-    def _merge(self, part: str) -> list[int]:
-        """The agenda: merge the best-scored adjacent pair, leftmost first, until none is left."""
+        """Finds parts no piece reaches out of: white space and characters that stand together in pieces."""
+        leader: dict[str, str] = {}
+
+        def lead(c: str) -> str:
+            while leader.setdefault(c, c) != c:
+                c = leader[c]
+            return c
+
+        for name in self.id_of:
+            own = name.lstrip(SPACE)
+            for a, b in zip(own, own[1:]):
+                leader[lead(a)] = lead(b)
+        sets: dict[str, list[str]] = {}
+        for c in leader:
+            sets.setdefault(lead(c), []).append(c)
+        classes = ["".join(re.escape(c) for c in sorted(some)) for some in sorted(sets.values(), key=len, reverse=True)]
+        runs = "".join(f"[{c}]+|" for c in classes)
+        return re.compile(f"{SPACE}*(?:{runs}[^{SPACE}])|{SPACE}+", re.DOTALL).findall
+
+    def _pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All pairs of pieces whose union is a piece: their sorted keys, the cost's rank and the piece."""
+        names = list(self.id_of)
+        rank = dict(zip(names, np.unique([self.cost[n] for n in names], return_inverse=True)[1].tolist()))
+        found = sorted(
+            (self.id_of[name[:k]] * WIDE + self.id_of[name[k:]], rank[name], i)
+            for name, i in self.id_of.items()
+            for k in range(1, len(name))
+            if name[:k] in self.id_of and name[k:] in self.id_of
+        )
+        keys, ranks, merged = np.array(found, np.int64).reshape(-1, 3).T
+        return np.append(keys, np.iinfo(np.int64).max), np.append(ranks, NEVER), np.append(merged, 0)
+
+    def _price(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank of the cost of merging two symbols (NEVER if their union is no piece), and the union."""
+        keys, ranks, merged = self.pairs
+        wanted = left * WIDE + right
+        at = np.searchsorted(keys, wanted)
+        return np.where((keys[at] == wanted) & (right != END), ranks[at], NEVER), merged[at]
+
+    def _few(self, parts: list[str]) -> list[tuple[int, ...]]:
+        """The ids of short parts, all at once: each has an agenda of its own, a row of costs by place.
+
+        A step merges in every part its least cost, the leftmost of equals, and prices
+        the two pairs of the new symbol; parts without a pair left drop out.
+        """
+        width = max(map(len, parts))
+        letters = np.frombuffer("".join(p.ljust(width + 1, PAD) for p in parts).encode("utf-32-le"), "<u4")
+        symbols = self.letter_ids[letters].reshape(len(parts), width + 1)
+        whole = np.array([len(p) for p in parts])
+        symbols[np.arange(width + 1) >= whole[:, None]] = END
+        cost, union = self._price(symbols[:, :-1], symbols[:, 1:])
+        right = np.tile(np.arange(1, width + 2, dtype=np.int16), (len(parts), 1))
+        left = right - np.int16(2)
+        done, order, rows = [], [], np.arange(len(parts))
+        while len(rows):
+            at = np.arange(len(rows))
+            best = cost.argmin(axis=1)
+            live = cost[at, best] < NEVER
+            if 2 * np.count_nonzero(live) < len(rows):
+                done.append(symbols[~live])
+                order.append(rows[~live])
+                rows, symbols, cost, union = rows[live], symbols[live], cost[live], union[live]
+                left, right, best = left[live], right[live], best[live]
+                at = np.arange(len(rows))
+            else:
+                at, best = at[live], best[live]
+            merged, gone = union[at, best], right[at, best]
+            after = right[at, gone]
+            symbols[at, best], symbols[at, gone] = merged, END
+            cost[at, np.minimum(gone, width - 1)] = NEVER
+            right[at, best], left[at, after] = after, best
+            cost[at, best], union[at, best] = self._price(merged, symbols[at, after])
+            before = left[at, best]
+            some = before >= 0
+            at, before, merged = at[some], before[some], merged[some]
+            cost[at, before], union[at, before] = self._price(symbols[at, before], merged)
+        ids = [self._written([i for i in row if i != END]) for some in done for row in some.tolist()]
+        return [ids[k] for k in np.argsort(np.concatenate(order)).tolist()]
+
+    def _written(self, symbols: list[int]) -> tuple[int, ...]:
+        """Symbols outside the vocabulary as the ids of their bytes."""
+        if max(symbols) < OUTSIDE:
+            return tuple(symbols)
+        bytes_of = ([i] if i < OUTSIDE else [self.byte_ids[b] for b in chr(i - OUTSIDE).encode()] for i in symbols)
+        return tuple(chain.from_iterable(bytes_of))
+
+    def _many(self, part: str) -> tuple[int, ...]:
+        """The ids of a long part; its agenda is a heap, entries whose symbols have changed are passed over."""
         symbols: list[str] = list(part)
         end = len(symbols)
         before, after = list(range(-1, end - 1)), list(range(1, end + 1))
-        score, agenda = self.score, []
-
-        def enter(left: int, right: int) -> None:
-            value = score.get(symbols[left] + symbols[right])
-            if value is not None:
-                agenda.append((-value, left, right, len(symbols[left]) + len(symbols[right])))
-
-        for i in range(end - 1):
-            enter(i, i + 1)
+        cost = self.cost
+        agenda = [(cost[a + b], k, k + 1, 2) for k, (a, b) in enumerate(zip(part, part[1:])) if a + b in cost]
         heapq.heapify(agenda)
         while agenda:
             _, left, right, length = heapq.heappop(agenda)
@@ -118,33 +208,46 @@ class Pieces:
                 before[after[left]] = left
             for a, b in ((before[left], left), (left, after[left])):
                 if a >= 0 and b < end:
-                    value = score.get(symbols[a] + symbols[b])
-                    if value is not None:
-                        heapq.heappush(agenda, (-value, a, b, len(symbols[a]) + len(symbols[b])))
-        ids: list[int] = []
-        for symbol in symbols:
-            if symbol:
-                found = self.id_of.get(symbol)
-                if found is None:
-                    ids.extend(self.byte_ids[b] for b in symbol.encode())
-                else:
-                    ids.append(found)
-        return ids
+                    joined = symbols[a] + symbols[b]
+                    if joined in cost:
+                        heapq.heappush(agenda, (cost[joined], a, b, len(joined)))
+        return self._written([self.id_of[s] if s in self.id_of else OUTSIDE + ord(s) for s in symbols if s])
+
+    def _compare(self, fresh: dict[str, tuple[int, ...]]) -> None:
+        """Note the parts to which the library gives other ids; a guard stands before those without white space."""
+        probes = [p[1:] if p.startswith(SPACE) else GUARD + p for p in fresh]
+        guard = self.library.encode(GUARD)
+        for (part, ids), told in zip(fresh.items(), self.library.encode(probes, num_threads=1)):
+            if told != (list(ids) if part.startswith(SPACE) else [*guard, *ids]):
+                self.wrong.add(part)
+
+    def encode_all(self, texts: list[str], check: bool = False) -> tuple[list[list[int]], list[bool]]:
+        """The ids of every text, and if the library agrees on all its parts; new short parts are merged together."""
+        split = [self.parts_of(SPACE + text.replace(" ", SPACE)) if text else [] for text in texts]
+        known = self.known
+        found = [list(map(known.get, parts)) for parts in split]
+        unknown = {p for parts, ids in zip(split, found) if None in ids for p, i in zip(parts, ids) if i is None}
+        learnt = {p: self.earlier[p] for p in unknown if p in self.earlier}
+        long = {p: self._many(p) for p in unknown if len(p) > SHORT_PART}
+        short = sorted((p for p in unknown if p not in learnt and p not in long), key=len)
+        for width in (6, 9, 12, 18, 27, SHORT_PART):
+            stop = bisect_right(short, width, key=len)
+            if stop:
+                learnt |= zip(short[:stop], self._few(short[:stop]))
+                short = short[stop:]
+        if check:
+            self._compare({p: learnt[p] for p in learnt if p not in self.earlier} | long)
+        known |= learnt
+        for parts, ids in zip(split, found):
+            if None in ids:
+                ids[:] = [known.get(p) or long[p] if i is None else i for p, i in zip(parts, ids)]
+        if len(known) > self.most_parts:
+            self.known, self.earlier = {}, known
+        agree = [not self.wrong or self.wrong.isdisjoint(parts) for parts in split]
+        return [list(chain.from_iterable(ids)) for ids in found], agree
 
     def encode(self, text: str) -> list[int]:
-        if not text:
-            return []
-        known, ids = self.known, []
-        for part in self.parts_of(SPACE + text.replace(" ", SPACE)):
-            found = known.get(part)
-            if found is None:
-                found = self._merge(part)
-                if len(part) <= SHORT_PART:
-                    if len(known) >= self.most_parts:
-                        known.clear()
-                    known[part] = found
-            ids += found
-        return ids
+        return self.encode_all([text])[0][0]
 
     def decode(self, ids: list[int]) -> str:
         """Pieces joined; one white space in front goes; bytes that are no UTF-8 become U+FFFD each."""
@@ -184,7 +287,7 @@ def _utf8(raw: bytes) -> str:
 
 
 @lru_cache(maxsize=4)
-def load(model: str, most_parts: int = 200_000) -> Pieces:
+def load(model: str, most_parts: int = 150_000) -> Pieces:
     return Pieces(model, most_parts)
 
 
@@ -197,15 +300,19 @@ def encode(
     text: str = "text",
     model: str | None = None,
     decoded: bool = True,
-    check: bool = True,
-    most_parts: int = 200_000,
+    check: str | None = "parts",
+    most_parts: int = 150_000,
     batch_chars: int = 4_000_000,
 ) -> DataFrame:
     """The rows with `ids`, and on request `decoded` and `agrees`; all columns but those pass through.
 
-    `agrees` compares ids (and the decoded text) with the library's for the same
-    batch of texts; batches hold about `batch_chars` characters, at least a text.
+    `agrees` compares with the library: the ids of every part when a task first meets
+    it (check="parts") or the ids of every whole text anew ("texts"), and the text that
+    the library decodes from the ids. Batches hold about `batch_chars` characters, at
+    least a text.
     """
+    if check not in (None, "parts", "texts"):
+        raise ValueError("check is 'parts', 'texts' or None")
     model = model or default_model()
     added = {"ids": ArrayType(IntegerType())} | ({"decoded": StringType()} if decoded else {})
     added |= {"agrees": BooleanType()} if check else {}
@@ -223,7 +330,7 @@ def encode(
             texts = [t or "" for t in batch.column("__text").to_pylist()]
             for start, stop in _spans(texts, batch_chars):
                 some = texts[start:stop]
-                ids = [pieces.encode(t) for t in some]
+                ids, agree = pieces.encode_all(some, check == "parts")
                 columns = [batch.column(o).slice(start, stop - start) for o in own]
                 columns.append(pa.array(ids, pa.list_(pa.int32())))
                 if decoded or check:
@@ -231,9 +338,9 @@ def encode(
                 if decoded:
                     columns.append(pa.array(back, pa.string()))
                 if check:
-                    told = pieces.library.encode(some, num_threads=1)
+                    told = pieces.library.encode(some, num_threads=1) if check == "texts" else ids
                     again = pieces.library.decode(told, num_threads=1)
-                    columns.append(pa.array([a == b and c == d for a, b, c, d in zip(ids, told, back, again)]))
+                    columns.append(pa.array([a and b == c and d == e for a, b, c, d, e in zip(agree, ids, told, back, again)]))
                 yield pa.RecordBatch.from_arrays(columns, names=[*own, *added])
 
     found = packed.mapInArrow(rows, schema)

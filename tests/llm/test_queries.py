@@ -14,7 +14,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_all_operators_are_registered():
     numbers = {name.split("_")[0] for name in registry.QUERIES}
-    assert numbers == {f"op{i}" for i in range(1, 11)}
+    assert numbers == {f"op{i}" for i in range(1, 14)}
     assert set(registry.ORACLE) <= set(registry.QUERIES)
     assert set(registry.QUERIES) | {"pipeline"} <= set(entry.queries())
     assert set(registry.ORACLE) <= set(entry.oracle_sql())
