@@ -89,14 +89,17 @@ def structuring_band_recent(
     )
 
 
-def _below(txns: DataFrame, threshold) -> DataFrame:
-    """Completed payments that stay under the limit one by one."""
-    return txns.filter(
-        (F.col("transaction_status") == "completed")
-        & (F.col("transaction_amount") < F.lit(threshold).cast("decimal(15,2)"))
+def counts_below(threshold) -> Column:
+    """Whether a payment is completed and stays under the limit by itself."""
+    return (F.col("transaction_status") == "completed") & (
+        F.col("transaction_amount") < F.lit(threshold).cast("decimal(15,2)")
     )
 
 
+def _below(txns: DataFrame, threshold) -> DataFrame:
+    return txns.filter(counts_below(threshold))
+
+
 def _in_window(txns: DataFrame, as_of, hours: int) -> DataFrame:
     end = expr.instant(as_of)
     start = expr.shift(end, -hours, "hour")
@@ -214,7 +217,7 @@ def detect_structuring(
     return report, raised, structuring_summary(report, raised, as_of, **shown)
 
 
-def _judged(rows: DataFrame, threshold, min_count: int) -> DataFrame:
+def judged_by_totals(rows: DataFrame, threshold, min_count: int) -> DataFrame:
     total = F.coalesce(F.col("aggregate_total"), F.lit(0)).cast(_TOTAL)
     count = F.coalesce(F.col("txn_count"), F.lit(0)).cast("bigint")
     hit = (count >= min_count) & (total >= F.lit(threshold).cast("decimal(15,2)"))
@@ -229,7 +232,7 @@ def _judged(rows: DataFrame, threshold, min_count: int) -> DataFrame:
     )
 
 
-_JUDGED = ["transaction_id", "user_id", "card_id", "transaction_amount", _TS, "transaction_status"]
+JUDGED = ["transaction_id", "user_id", "card_id", "transaction_amount", _TS, "transaction_status"]
 
 
 def structuring_on_insert(
@@ -246,14 +249,14 @@ def structuring_on_insert(
     Windows are totalled before anything is joined by user, so that a busy user
     reaches the join as one row.
     """
-    landed = history.select(*_JUDGED).unionByName(batch.select(*_JUDGED))
+    landed = history.select(*JUDGED).unionByName(batch.select(*JUDGED))
     eligible = _below(_in_window(landed, as_of, window_hours), threshold)
     windows = eligible.groupBy("user_id").agg(
         F.count("transaction_id").alias("txn_count"),
         F.sum("transaction_amount").cast(_TOTAL).alias("aggregate_total"),
         F.max("card_id").alias("max_card_id"),
     )
-    return _judged(joins.lookup(batch, windows, "user_id", hot=hot), threshold, min_count)
+    return judged_by_totals(joins.lookup(batch, windows, "user_id", hot=hot), threshold, min_count)
 
 
 def structuring_trailing(
@@ -265,12 +268,12 @@ def structuring_trailing(
     hot: Hot = FIND,
 ) -> DataFrame:
     """The same test on every eligible payment, with the window ending at its own time."""
-    eligible = _below(txns, threshold).select(*_JUDGED)
+    eligible = _below(txns, threshold).select(*JUDGED)
     totals = timeline.trailing_totals(
         eligible, "user_id", _TS, window_hours * 60, "transaction_amount",
         count_as="txn_count", sum_as="aggregate_total", policy=policy, hot=hot,
     )
-    return _judged(totals, threshold, min_count)
+    return judged_by_totals(totals, threshold, min_count)
 
 
 def structuring_hits(judged: DataFrame, threshold: float = 10000, window_hours: int = 48) -> DataFrame:

@@ -576,6 +576,21 @@ def _(spark, folder):
     return judged.select("transaction_id", "prev_transaction_id", "violation", "late")
 
 
+@raw_query("st5_watermark")
+def _(spark, folder):
+    """Payments up to three days behind the stream's clock are judged, later ones go to an output of their own."""
+    arrived = _arriving(spark, folder, "transactions", _TOO_LATE)
+    judged = stateful.run_available(stateful.geo_velocity_stream(arrived, watermark="3 days"), split_by="too_late")
+    return judged.select("transaction_id", "prev_transaction_id", "violation", "too_late")
+
+
+@raw_query("st4_window")
+def _(spark, folder):
+    arrived = _arriving(spark, folder, "transactions", _TOO_LATE)
+    judged = stateful.run_available(stateful.structuring_window_stream(arrived, "3 days"))
+    return judged.select(*_STRUCTURED_OUT, "max_card_id", "too_late")
+
+
 @query("r1_5_evidence_rows")
 def _(t):
     rows = geo.evidence_rows(geo.geo_velocity(t["transactions"]), t["transactions"])

@@ -1,8 +1,21 @@
-"""State handlers of the keyed streams; each keeps a fixed-size state per key."""
+"""State handlers of the keyed streams.
+
+What a key remembers lies in map state under buckets of time, so a handler reads
+and writes the buckets its rows touch and no others. A key's rows of one
+micro-batch are taken up to `frame_rows` at a time: more of them are laid into
+buckets first and then read back bucket by bucket, in time order.
+
+With a watermark, rows before it are told apart and change nothing, and timers
+at the ends of buckets drop what no later row can ask for.
+"""
 
 from __future__ import annotations
 
+import pickle
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
+from decimal import Decimal
 
 import numpy as np
 import pandas as pd
@@ -10,64 +23,339 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from cardwarden.operators.travel_fold import POINT_FIELDS, judge_one
 
+FRAME_ROWS = 200_000
+CHUNK_ROWS = 5_000
+
+
+class _Spool:
+    """A key's rows of a micro-batch in time order, at most frame_rows of them or one bucket at a time."""
+
+    def __init__(self, handle: StatefulProcessorHandle, bucket_s: int, frame_rows: int):
+        self.width, self.frame_rows = bucket_s * 1_000_000, frame_rows
+        self.parts = handle.getMapState("arrived", "bucket bigint, part int", "rows binary")
+
+    def in_order(self, rows: Iterator[pd.DataFrame], row_id: str) -> Iterator[pd.DataFrame]:
+        held, size = [], 0
+        for frame in rows:
+            held.append(frame)
+            size += len(frame)
+            if size > self.frame_rows:
+                yield from self._by_bucket(held, rows, row_id)
+                return
+        if held:
+            yield _sorted(held, row_id)
+
+    def _by_bucket(self, held: list[pd.DataFrame], rows: Iterator[pd.DataFrame], row_id: str) -> Iterator[pd.DataFrame]:
+        parts, sizes = Counter(), Counter()
+
+        def lay(frame: pd.DataFrame) -> None:
+            for bucket, some in frame.groupby(frame["at"].to_numpy() // self.width, sort=False):
+                for first in range(0, len(some), CHUNK_ROWS):
+                    chunk = some.iloc[first : first + CHUNK_ROWS]
+                    self.parts.updateValue((int(bucket), parts[bucket]), (pickle.dumps(chunk),))
+                    parts[bucket] += 1
+                    sizes[bucket] += len(chunk)
+
+        while held:
+            lay(held.pop())
+        for frame in rows:
+            lay(frame)
+        group: list[int] = []
+        for bucket in [*sorted(sizes), None]:
+            if group and (bucket is None or sum(sizes[b] for b in group) + sizes[bucket] > self.frame_rows):
+                keys = [(int(b), part) for b in group for part in range(parts[b])]
+                yield _sorted([pickle.loads(bytes(self.parts.getValue(k)[0])) for k in keys], row_id)
+                for key in keys:
+                    self.parts.removeKey(key)
+                group = []
+            group.append(bucket)
+
+
+def _sorted(frames: list[pd.DataFrame], row_id: str) -> pd.DataFrame:
+    """Rows in time then id order."""
+    return pd.concat(frames, ignore_index=True).sort_values(["at", row_id], kind="stable", ignore_index=True)
 
-def _in_order(rows: Iterator[pd.DataFrame], row_id: str) -> pd.DataFrame:
-    """One key's rows of a micro-batch in time then id order; the source's rate bounds them."""
-    return pd.concat(list(rows), ignore_index=True).sort_values(["at", row_id], kind="stable", ignore_index=True)
+
+def _watermark(timer_values) -> int:
+    """The watermark in microseconds; rows before it are too late."""
+    return timer_values.getCurrentWatermarkInMs() * 1000
 
 
 class TravelProcessor(StatefulProcessor):
     """Judges a customer's payments against the accepted points before them.
 
-    The state holds the points of the look-back, counted from the customer's
-    latest one, and always that one; a payment that comes late is judged against
-    the latest strictly earlier point still held.
+    Without a watermark the state holds the points of the look-back, counted from
+    the customer's latest one, and always that one. With a watermark it holds what
+    rows not before the watermark can ask for: the points of open buckets, and the
+    last one before them. A payment that comes late is judged against the latest
+    strictly earlier point; one from before the look-back becomes no point itself.
     """
 
-    def __init__(self, max_speed_4: int, payload: list[str], look_back_s: int, ttl_ms: int | None):
-        self.max_speed_4, self.payload, self.ttl_ms = max_speed_4, payload, ttl_ms
-        self.look_back = look_back_s * 1_000_000
+    def __init__(
+        self, max_speed_4: int, payload: list[str], look_back_s: int | None, ttl_ms: int | None,
+        watermark: bool = False, bucket_s: int = 3600, frame_rows: int = FRAME_ROWS,
+    ):
+        self.max_speed_4, self.payload, self.ttl_ms, self.watermark = max_speed_4, payload, ttl_ms, watermark
+        self.look_back = None if look_back_s is None else look_back_s * 1_000_000
+        self.bucket_s, self.width, self.frame_rows = bucket_s, bucket_s * 1_000_000, frame_rows
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.points = handle.getListState("points", "at bigint, id bigint, lat double, lon double", self.ttl_ms)
+        self.handle = handle
+        point = "array<struct<at:bigint,id:bigint,lat:double,lon:double>>"
+        self.points = handle.getMapState("points", "bucket bigint", f"points {point}", self.ttl_ms)
+        self.spool = _Spool(handle, self.bucket_s, self.frame_rows)
+
+    def _bucket(self, number: int) -> list[tuple]:
+        return [tuple(p) for p in self.points.getValue((number,))[0]]
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        new = _in_order(rows, "id").assign(given=False)
-        held = pd.DataFrame(list(self.points.get()), columns=list(POINT_FIELDS)).assign(given=True, eligible=True)
-        both = new if held.empty else pd.concat([held, new], ignore_index=True)
-        both = both.sort_values(["at", "id"], kind="stable", ignore_index=True)
-        columns = [both[f].to_numpy(t) for f, t in zip(POINT_FIELDS, (np.int64, np.int64, float, float))]
-        flags = [both[f].to_numpy(bool) for f in ("eligible", "given")]
+        buckets = sorted(k for (k,) in self.points.keys())
+        begin = None
+        if self.look_back is not None and buckets:
+            begin = self._bucket(buckets[-1])[-1][0] - self.look_back
+        low = _watermark(timerValues) if self.watermark else None
+        for frame in self.spool.in_order(rows, "id"):
+            if low is not None:
+                before = frame["at"].to_numpy() < low
+                if before.any():
+                    yield self._unjudged(frame[before])
+                    frame = frame[~before].reset_index(drop=True)
+            if len(frame):
+                yield self._judge(frame, buckets, begin)
+        if self.look_back is not None and buckets:
+            begin = self._bucket(buckets[-1])[-1][0] - self.look_back
+            for number in buckets[: bisect_left(buckets, begin // self.width)]:
+                self.points.removeKey((number,))
+
+    def _held(self, buckets: list[int], begin: int | None, first: int, last: int) -> list[tuple]:
+        """Points of the buckets from first to last, and the last point before them."""
+        place = bisect_left(buckets, first // self.width)
+        found = self._bucket(buckets[place - 1])[-1:] if place else []
+        for number in buckets[place : bisect_left(buckets, last // self.width + 1)]:
+            found += self._bucket(number)
+        return found if begin is None else [p for p in found if p[0] >= begin]
+
+    def _judge(self, new: pd.DataFrame, buckets: list[int], begin: int | None) -> pd.DataFrame:
+        held = self._held(buckets, begin, int(new["at"].iloc[0]), int(new["at"].iloc[-1]))
+        rows = new.assign(given=False)
+        if begin is not None:
+            rows["eligible"] = rows["eligible"] & (rows["at"] >= begin)
+        if held:
+            known = pd.DataFrame(held, columns=list(POINT_FIELDS)).assign(given=True, eligible=True)
+            rows = pd.concat([known, rows], ignore_index=True)
+            rows = rows.sort_values(["at", "id"], kind="stable", ignore_index=True)
+        columns = [rows[f].to_numpy(t) for f, t in zip(POINT_FIELDS, (np.int64, np.int64, float, float))]
+        flags = [rows[f].to_numpy(bool) for f in ("eligible", "given")]
         verdicts, accepted = judge_one(*columns, *flags, self.max_speed_4)
-        kept = both.loc[accepted, list(POINT_FIELDS)]
-        if len(kept):
-            recent = kept[kept["at"] >= kept["at"].iloc[-1] - self.look_back]
-            self.points.put([(int(a), int(i), float(x), float(y)) for a, i, x, y in recent.itertuples(index=False)])
-        out = both.loc[~flags[1], self.payload].reset_index(drop=True)
-        for name, values in zip([*(f"_ref_{f}" for f in POINT_FIELDS), "violation", "late"], verdicts):
-            kinds = {"int64": "Int64", "double": "Float64", "bool": "bool"}
-            out[name] = pd.array(values.to_pylist(), dtype=kinds[str(values.type)])
+        fresh = accepted & ~flags[1]
+        touched = np.unique(columns[0][fresh] // self.width)
+        for number in touched.tolist():
+            own = accepted & (columns[0] // self.width == number)
+            kept = list(zip(*[c[own].tolist() for c in columns]))
+            place = bisect_left(buckets, number)
+            if place == len(buckets) or buckets[place] != number:
+                buckets.insert(place, number)
+                if self.watermark:
+                    self.handle.registerTimer((number + 1) * self.width // 1000)
+            self.points.updateValue((number,), (kept,))
+        out = rows.loc[~flags[1], self.payload].reset_index(drop=True)
+        return self._shaped(out, new, [v.to_pylist() for v in verdicts], False)
+
+    def _unjudged(self, frame: pd.DataFrame) -> pd.DataFrame:
+        nothing = [[None] * len(frame)] * len(POINT_FIELDS) + [[False] * len(frame)] * 2
+        return self._shaped(frame[self.payload].reset_index(drop=True), frame, nothing, True)
+
+    def _shaped(self, out: pd.DataFrame, new: pd.DataFrame, verdicts: list, too_late: bool) -> pd.DataFrame:
+        names = [*(f"_ref_{f}" for f in POINT_FIELDS), "violation", "late"]
+        kinds = ["Int64", "Int64", "Float64", "Float64", "bool", "bool"]
+        for name, values, kind in zip(names, verdicts, kinds):
+            out[name] = pd.array(values, dtype=kind)
         for name in self.payload:
             out[name] = out[name].astype(new[name].dtype)
-        yield out
+        if self.watermark:
+            out["too_late"] = too_late
+        return out
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        """A bucket has ended: of it the last point stays, of earlier ones nothing."""
+        number = expiredTimerInfo.getExpiryTimeInMs() * 1000 // self.width - 1
+        if self.points.containsKey((number,)):
+            self.points.updateValue((number,), (self._bucket(number)[-1:],))
+            for earlier in [k for (k,) in self.points.keys() if k < number]:
+                self.points.removeKey((earlier,))
+        return iter(())
 
     def close(self) -> None:
         pass
 
 
+class WindowProcessor(StatefulProcessor):
+    """Totals of a customer's window that ends at the customer's latest payment.
+
+    A ring of buckets holds count, sum and largest card of the eligible payments;
+    the totals of the buckets wholly inside the window are kept up: arriving
+    payments are added, buckets that leave are taken off again. The bucket in which
+    the window begins is counted row by row, so the result is exact. All of a
+    customer's rows of a micro-batch land before any is judged.
+    """
+
+    def __init__(self, payload: list[str], window_s: int, bucket_s: int = 600, frame_rows: int = FRAME_ROWS):
+        self.payload, self.window = payload, window_s * 1_000_000
+        self.bucket_s, self.width, self.frame_rows = bucket_s, bucket_s * 1_000_000, frame_rows
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        totals = "n bigint, total decimal(38,2), card bigint"
+        self.cells = handle.getMapState("cells", "bucket bigint", totals)
+        row = "array<struct<at:bigint,amount:decimal(38,2),card:bigint>>"
+        self.rows = handle.getMapState("rows", "bucket bigint, part bigint", f"rows {row}")
+        self.inside = handle.getValueState("inside", f"clock bigint, edge bigint, {totals}")
+        self.judged = handle.getMapState("judged", "part bigint", "rows binary")
+        self.spool = _Spool(handle, self.bucket_s, self.frame_rows)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        low = _watermark(timerValues)
+        state = self.inside.get() if self.inside.exists() else None
+        clock, edge, n, total, card = state or (None, None, 0, Decimal(0), None)
+        waiting, frames = 0, []
+        for frame in self.spool.in_order(rows, "id"):
+            before = frame["at"].to_numpy() < low
+            if before.any():
+                yield self._shaped(frame[before], None)
+                frame = frame[~before]
+            if not len(frame):
+                continue
+            clock = max(clock or 0, int(frame["at"].iloc[-1]))
+            if edge is None:
+                edge = (int(frame["at"].iloc[0]) - self.window) // self.width
+            some = frame[frame["eligible"].to_numpy(bool)]
+            for number, own in some.groupby(some["at"].to_numpy() // self.width):
+                added = self._add(int(number), own)
+                if number > edge:
+                    n, total, card = _plus((n, total, card), added)
+            # The rows wait for the window's totals; all but the latest frame in the state.
+            frames.append(frame)
+            if len(frames) > 1:
+                self.judged.updateValue((waiting,), (pickle.dumps(frames.pop(0)),))
+                waiting += 1
+        if not frames:
+            return
+        begin = clock - self.window
+        n, total, card = self._slide(edge, begin // self.width, (n, total, card))
+        self.inside.update((clock, begin // self.width, n, total, card))
+        window = _plus((n, total, card), self._edge(begin))
+        for part in range(waiting):
+            yield self._shaped(pickle.loads(bytes(self.judged.getValue((part,))[0])), window)
+            self.judged.removeKey((part,))
+        yield self._shaped(frames[0], window)
+
+    def _add(self, number: int, own: pd.DataFrame) -> tuple:
+        """Payments enter their bucket; returns what they add."""
+        cell = (0, Decimal(0), None)
+        if self.cells.containsKey((number,)):
+            cell = tuple(self.cells.getValue((number,)))
+        else:
+            end = (number + 1) * self.width + self.window
+            self.handle.registerTimer(end // 1000 + 1)
+        found = [
+            (int(at), amount, None if pd.isna(c) else int(c)) for at, amount, c in zip(own["at"], own["amount"], own["card"])
+        ]
+        done, place = 0, cell[0]
+        while done < len(found):
+            part, used = divmod(place, CHUNK_ROWS)
+            held = [tuple(r) for r in self.rows.getValue((number, part))[0]] if used else []
+            some = found[done : done + CHUNK_ROWS - used]
+            self.rows.updateValue((number, part), (held + some,))
+            done, place = done + len(some), place + len(some)
+        added = (len(found), sum((r[1] for r in found), Decimal(0)), _largest(r[2] for r in found))
+        self.cells.updateValue((number,), _plus(cell, added))
+        return added
+
+    def _slide(self, edge: int, new_edge: int, inside: tuple) -> tuple:
+        """Buckets from the old edge to before the new one go; those up to the new one leave the totals."""
+        if new_edge <= edge:
+            return inside
+        numbers = sorted(k for (k,) in self.cells.keys())
+        n, total, card = inside
+        for number in numbers[: bisect_left(numbers, new_edge + 1)]:
+            cell = self.cells.getValue((number,))
+            if number > edge:
+                n, total = n - cell[0], total - cell[1]
+            if number < new_edge:
+                self._drop(number, cell[0])
+        left = [self.cells.getValue((k,))[2] for k in numbers[bisect_left(numbers, new_edge + 1) :]]
+        return n, total, _largest(left)
+
+    def _edge(self, begin: int) -> tuple:
+        """The part of the window that lies in the bucket it begins in."""
+        number = begin // self.width
+        if not self.cells.containsKey((number,)):
+            return (0, Decimal(0), None)
+        n, total, cards = 0, Decimal(0), []
+        for part in range(-(-self.cells.getValue((number,))[0] // CHUNK_ROWS)):
+            for at, amount, card in self.rows.getValue((number, part))[0]:
+                if at >= begin:
+                    n, total = n + 1, total + amount
+                    cards.append(card)
+        return n, total, _largest(cards)
+
+    def _drop(self, number: int, n: int) -> None:
+        for part in range(-(-n // CHUNK_ROWS)):
+            self.rows.removeKey((number, part))
+        self.cells.removeKey((number,))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        """A bucket has left the window of every payment still to come."""
+        number = (expiredTimerInfo.getExpiryTimeInMs() * 1000 - self.window) // self.width - 1
+        if self.cells.containsKey((number,)):
+            clock, edge, *inside = self.inside.get()
+            if number >= edge:
+                inside = self._slide(edge, number + 1, tuple(inside))
+                self.inside.update((clock, number + 1, *inside))
+            if self.cells.containsKey((number,)):
+                self._drop(number, self.cells.getValue((number,))[0])
+        return iter(())
+
+    def _shaped(self, frame: pd.DataFrame, window: tuple | None) -> pd.DataFrame:
+        out = frame[self.payload].reset_index(drop=True)
+        n, total, card = window or (None, None, None)
+        out["txn_count"] = pd.array([n] * len(out), dtype="Int64")
+        out["aggregate_total"] = [total] * len(out)
+        out["max_card_id"] = pd.array([card] * len(out), dtype="Int64")
+        out["too_late"] = window is None
+        return out
+
+    def close(self) -> None:
+        pass
+
+
+def _largest(cards) -> int | None:
+    return max((c for c in cards if c is not None), default=None)
+
+
+def _plus(a: tuple, b: tuple) -> tuple:
+    return a[0] + b[0], a[1] + b[1], _largest((a[2], b[2]))
+
+
 class LoginProcessor(StatefulProcessor):
     """Counts an account's failures since its last success."""
 
-    def __init__(self, max_fail: int, lock_minutes: int, ttl_ms: int | None):
-        self.max_fail, self.ttl_ms = max_fail, ttl_ms
+    def __init__(
+        self, max_fail: int, lock_minutes: int, ttl_ms: int | None, bucket_s: int = 3600, frame_rows: int = FRAME_ROWS
+    ):
+        self.max_fail, self.ttl_ms, self.bucket_s, self.frame_rows = max_fail, ttl_ms, bucket_s, frame_rows
         self.lock_micros = lock_minutes * 60_000_000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         schema = "failures int, locked_until bigint, last_login_at bigint, last_login_ip string"
         self.account = handle.getValueState("account", schema, self.ttl_ms)
+        self.spool = _Spool(handle, self.bucket_s, self.frame_rows)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        ordered = _in_order(rows, "log_id")
+        for frame in self.spool.in_order(rows, "log_id"):
+            yield self._counted(key, frame)
+
+    def _counted(self, key, ordered: pd.DataFrame) -> pd.DataFrame:
         state = self.account.get() if self.account.exists() else (0, None, None, None)
         failures, locked, login_at, login_ip = state
         at, failed = ordered["at"].to_numpy(np.int64), ordered["failed"].to_numpy(bool)
@@ -105,7 +393,7 @@ class LoginProcessor(StatefulProcessor):
         self.account.update(
             (int(last["failed_attempts"]), whole(last["locked_until"]), whole(last["last_login_at"]), last["last_login_ip"])
         )
-        yield out
+        return out
 
     def close(self) -> None:
         pass

@@ -9,40 +9,101 @@ from pyspark.sql import functions as F
 
 
 from cardwarden.functions import expr
-from cardwarden.operators import geo, login
+from cardwarden.operators import geo, login, structuring
 from cardwarden.session import configure_streams, new_folder
 from cardwarden.streaming import processors
 
 cloudpickle.register_pickle_by_value(processors)
 
 
+def _marked(payments: DataFrame, delay: str | None) -> DataFrame:
+    """Let the payments' time drive the watermark.
+
+    The marked column goes no further: rows before the watermark reach the handlers,
+    which tell them apart, instead of being dropped in front of them.
+    """
+    if delay is None:
+        return payments
+    marked = payments.withColumn("_clock", F.col("transaction_timestamp").cast("timestamp"))
+    return marked.withWatermark("_clock", delay).drop("_clock")
+
+
+def _named(rows: DataFrame) -> DataFrame:
+    """Names without a leading underscore: the processor gets rows as named tuples."""
+    return rows.toDF(*[c.lstrip("_") for c in rows.columns])
+
+
 def geo_velocity_stream(
     payments: DataFrame,
     max_kmh: float = 900,
     ignored: tuple[str, ...] = ("declined", "reversed"),
     look_back_hours: int = 48,
     ttl_ms: int | None = None,
+    watermark: str | None = None,
+    bucket_s: int = 3600,
+    frame_rows: int = processors.FRAME_ROWS,
 ) -> DataFrame:
     """Judge payments as they arrive against the customer's accepted points.
 
     The points of the last look_back_hours before the customer's latest one are
-    kept, so a payment may come that late and is still judged as if in time.
+    kept, so a payment may come that late and is still judged as if in time. With
+    `watermark`, a delay like "2 days", the stream's clock decides instead: points
+    go when no payment in time can ask for them, and payments behind the watermark
+    are not judged but marked in a further column, `too_late`.
     """
-    # Names without a leading underscore: the processor gets rows as named tuples.
-    points = geo._points(payments, ignored)
-    points = points.toDF(*[c.lstrip("_") for c in points.columns])
+    points = _named(geo._points(_marked(payments, watermark), ignored))
     kept = ", ".join(
         f"{f.name} {f.dataType.simpleString()}" for f in payments.select(*geo.KEPT).schema
     )
+    timed = watermark is not None
     folded = points.groupBy("user_id").transformWithStateInPandas(
         statefulProcessor=processors.TravelProcessor(
-            geo._speed_limit(max_kmh), list(geo.KEPT), look_back_hours * 3600, ttl_ms
+            geo._speed_limit(max_kmh), list(geo.KEPT), None if timed else look_back_hours * 3600, ttl_ms,
+            watermark=timed, bucket_s=bucket_s, frame_rows=frame_rows,
         ),
-        outputStructType=f"{kept}, {geo.VERDICT_SCHEMA}",
+        outputStructType=f"{kept}, {geo.VERDICT_SCHEMA}" + (", too_late boolean" if timed else ""),
         outputMode="Append",
-        timeMode="None" if ttl_ms is None else "ProcessingTime",
+        timeMode="EventTime" if timed else "None" if ttl_ms is None else "ProcessingTime",
+    )
+    return geo.folded_metrics(folded, max_kmh, ["too_late"] if timed else [])
+
+
+def structuring_window_stream(
+    payments: DataFrame,
+    watermark: str,
+    threshold: float = 10000,
+    min_count: int = 2,
+    window_hours: int = 48,
+    bucket_s: int = 600,
+    frame_rows: int = processors.FRAME_ROWS,
+) -> DataFrame:
+    """The structuring test on every arriving payment, from totals that are kept up per customer.
+
+    The window ends at the customer's latest payment, after all of the customer's
+    rows of the micro-batch landed. A micro-batch reads the state of its own
+    customers only. Payments behind the watermark are not judged and do not count;
+    they come out marked `too_late`.
+    """
+    marked = _marked(payments, watermark)
+    count = F.coalesce(structuring.counts_below(threshold), F.lit(False))
+    rows = marked.select(
+        *structuring.JUDGED,
+        F.col("transaction_id").cast("bigint").alias("id"),
+        expr.micros("transaction_timestamp").alias("at"),
+        F.col("transaction_amount").cast("decimal(38,2)").alias("amount"),
+        F.col("card_id").cast("bigint").alias("card"),
+        count.alias("eligible"),
+    )
+    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in payments.select(*structuring.JUDGED).schema)
+    totalled = rows.groupBy("user_id").transformWithStateInPandas(
+        statefulProcessor=processors.WindowProcessor(structuring.JUDGED, window_hours * 3600, bucket_s, frame_rows),
+        outputStructType=(
+            f"{kept}, txn_count bigint, aggregate_total decimal(38,2), max_card_id bigint, too_late boolean"
+        ),
+        outputMode="Append",
+        timeMode="EventTime",
     )
-    return geo.folded_metrics(folded, max_kmh)
+    return structuring.judged_by_totals(totalled, threshold, min_count)
 
 
 def login_state_stream(
@@ -50,6 +111,8 @@ def login_state_stream(
     max_fail: int = login.MAX_FAILURES,
     lock_minutes: int = login.LOCK_MINUTES,
     ttl_ms: int | None = None,
+    bucket_s: int = 3600,
+    frame_rows: int = processors.FRAME_ROWS,
 ) -> DataFrame:
     """The account's failure count and lock after every counting event."""
     ts = "event_timestamp"
@@ -63,7 +126,7 @@ def login_state_stream(
         "ip_address",
     )
     counted = events.groupBy("auth_id").transformWithStateInPandas(
-        statefulProcessor=processors.LoginProcessor(max_fail, lock_minutes, ttl_ms),
+        statefulProcessor=processors.LoginProcessor(max_fail, lock_minutes, ttl_ms, bucket_s, frame_rows),
         outputStructType=(
             "auth_id bigint, log_id bigint, at bigint, failed_attempts int, locked_until bigint, "
             "last_login_at bigint, last_login_ip string"
@@ -83,11 +146,16 @@ def login_state_stream(
     )
 
 
-def run_available(stream: DataFrame) -> DataFrame:
-    """Run a stream over what its source holds now and return the rows it wrote."""
+def run_available(stream: DataFrame, split_by: str | None = None) -> DataFrame:
+    """Run a stream over what its source holds now and return the rows it wrote.
+
+    Rows of different values of `split_by` go to outputs, folders, of their own.
+    """
     spark = configure_streams(stream.sparkSession)
     folder = new_folder(spark, "stream")
     writer = stream.writeStream.format("parquet").option("path", f"{folder}/rows")
+    if split_by is not None:
+        writer = writer.partitionBy(split_by)
     query = writer.option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
     query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{folder}/rows")

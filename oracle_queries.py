@@ -462,6 +462,38 @@ def arrival_walk() -> dict[str, str]:
     }
 
 
+def in_time_walk() -> dict[str, str]:
+    """The same over the payments that are not too late."""
+    steps = arrival_walk()
+    return steps | {"located": LOCATED.replace("FROM transactions", "FROM landed") + " AND NOT too_late"}
+
+
+# Payments as they arrive, and which of them lie more than three days behind the latest of the earlier parts.
+LANDED = """SELECT t.*, m.mark, coalesce(t.transaction_timestamp < m.mark, FALSE) AS too_late FROM (
+   SELECT *, CAST(least(floor((dayofmonth(transaction_timestamp) - 1) / 6)
+     + CASE WHEN transaction_id % 7 = 3 THEN 1 ELSE 0 END, 4) AS INT) AS part FROM transactions) t
+ LEFT JOIN (SELECT part, date_trunc('milliseconds', max(latest) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING
+     AND 1 PRECEDING)) - INTERVAL 3 DAY AS mark FROM (
+     SELECT CAST(least(floor((dayofmonth(transaction_timestamp) - 1) / 6)
+       + CASE WHEN transaction_id % 7 = 3 THEN 1 ELSE 0 END, 4) AS INT) AS part, max(transaction_timestamp) AS latest
+     FROM transactions GROUP BY 1) x) m ON m.part = t.part"""
+
+# Totals of the 48 hours up to the customer's latest payment, after each part.
+KEPT_UP = """SELECT l.transaction_id, l.user_id, l.too_late, CASE WHEN l.too_late THEN 0 ELSE coalesce(w.n, 0) END AS txn_count,
+   CAST(CASE WHEN l.too_late THEN 0 ELSE coalesce(w.total, 0) END AS DECIMAL(25,2)) AS aggregate_total,
+   CASE WHEN NOT l.too_late THEN w.card END AS max_card_id,
+   coalesce(NOT l.too_late AND w.n >= 2 AND w.total >= 10000, FALSE) AS violation
+ FROM landed l LEFT JOIN (
+   SELECT c.user_id, c.part, count(*) AS n, sum(p.transaction_amount) AS total, max(p.card_id) AS card FROM (
+     SELECT a.user_id, a.part, max(b.transaction_timestamp) AS clock
+     FROM (SELECT DISTINCT user_id, part FROM landed WHERE NOT too_late) a
+     JOIN landed b ON b.user_id = a.user_id AND b.part <= a.part AND NOT b.too_late GROUP BY a.user_id, a.part) c
+   JOIN landed p ON p.user_id = c.user_id AND p.part <= c.part AND NOT p.too_late
+     AND p.transaction_status = 'completed' AND p.transaction_amount < 10000
+     AND p.transaction_timestamp >= c.clock - INTERVAL 48 HOUR
+   GROUP BY c.user_id, c.part) w ON w.user_id = l.user_id AND w.part = l.part"""
+
+
 # --- declared rules, written out table by table -----------------------------
 
 
@@ -1005,6 +1037,18 @@ def oracle() -> dict[str, str]:
             "SELECT id AS transaction_id, pid AS prev_transaction_id, fast AS violation, FALSE AS late FROM walk",
             **arrival_walk(),
         ),
+        "st5_watermark": sql(
+            """SELECT w.id AS transaction_id, w.pid AS prev_transaction_id, w.fast AS violation, FALSE AS too_late FROM walk w
+            UNION ALL SELECT transaction_id, NULL, FALSE, TRUE FROM landed WHERE too_late AND latitude IS NOT NULL""",
+            landed=LANDED, **in_time_walk(),
+        ),
+        "st4_window": sql(
+            f"""SELECT transaction_id, user_id, txn_count, aggregate_total, violation,
+            CASE WHEN violation THEN {structuring_score('aggregate_total', '10000', 'txn_count')} END AS risk_score,
+            CASE WHEN violation THEN {structuring_severity('aggregate_total', '10000')} END AS severity,
+            max_card_id, too_late FROM judged""",
+            landed=LANDED, judged=KEPT_UP,
+        ),
         "l1_login_state": sql(
             f"""SELECT auth_id, failed_attempts, locked_until, coalesce(locked_until > {AS_OF}, FALSE) AS is_locked,
             last_login_at, last_login_ip FROM (
