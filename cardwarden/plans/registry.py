@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from cardwarden.functions import expr, register_sql_functions
 from cardwarden.operators import (
-    alerts, changes, geo, joins, login, merchant, quality, structuring, textlists, timeline,
+    alerts, changes, geo, joins, login, merchant, quality, references, structuring, textlists, timeline,
 )
 from cardwarden.operators.slices import SlicePolicy
 from cardwarden.plans import reports
@@ -117,6 +117,14 @@ def _(t):
     return tables.number_rows(rows, expr.micros(_TS), ["transaction_id"], offset=7, out="place", rows_per_slice=40)
 
 
+@query("src3_ties")
+def _(t):
+    """Half of all rows share one order value; their ids go by the tie."""
+    rows = t["transactions"].select("transaction_id", "user_id")
+    order = F.when(F.col("transaction_id") % 2 == 0, F.lit(500)).otherwise(F.col("user_id"))
+    return tables.number_rows(rows, order, ["transaction_id"], offset=7, out="place", rows_per_slice=40)
+
+
 @raw_query("snk1_append")
 def _(spark, folder):
     t = adapters.tables(spark, folder)
@@ -239,6 +247,60 @@ def _(t):
     )
 
 
+def _closing(t, modes=None):
+    """Delete all closed customers and inactive employee accounts, with what the references demand."""
+    requested = {
+        "users": t["users"].filter("account_status = 'closed'"),
+        "authentication": t["authentication"].filter("is_active = 0"),
+    }
+    return references.delete_through(_declared(t), requested, modes=modes)
+
+
+@query("dq5_graph")
+def _(t):
+    return _closing(t).actions()
+
+
+@query("dq5_graph_blocked")
+def _(t):
+    return _closing(t).blocking.groupBy("root_table", "root_key", "table_name", "column_name").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
+# Payments, alerts and the audit trail go with their customer, too.
+_ALL_GO = {
+    (table, column): "cascade"
+    for table, columns in {
+        "transactions": ("card_id", "user_id"), "alerts": ("transaction_id", "card_id", "user_id"),
+        "transaction_audit_log": ("transaction_id",),
+    }.items()
+    for column in columns
+}
+
+
+@query("dq5_graph_all")
+def _(t):
+    return _closing(t, _ALL_GO).actions()
+
+
+@query("dq5_graph_after")
+def _(t):
+    left = _closing(t, _ALL_GO)
+    log = left.after("authentication_audit_log").select("log_id", "auth_id")
+    trail = left.after("transaction_audit_log").select(F.col("audit_id").alias("log_id"), F.lit(None).cast("bigint").alias("auth_id"))
+    return log.withColumn("kind", F.lit("login")).unionByName(trail.withColumn("kind", F.lit("payment")))
+
+
+@query("dq6_widened")
+def _(t):
+    """The declared limits on tables whose texts have grown; merchants and e-mails go over theirs."""
+    grown = _declared(t)
+    grown["users"] = grown["users"].withColumn("email", F.repeat("email", 8))
+    grown["merchants"] = grown["merchants"].withColumn("country_iso_code", F.concat(F.lit("X"), "country_iso_code"))
+    return quality.declared_length_violations(grown)
+
+
 @query("dq6_length_violations")
 def _(t):
     return quality.length_violations(t["users"], {"email": 18, "last_name": 9}, "user_id")
@@ -629,14 +691,15 @@ def _(t):
 
 
 def _bursts(t):
-    """Of every fifth customer each payment three times within twenty minutes, in the default band."""
-    rows = t["transactions"].filter("user_id % 5 = 0").select(
+    """Each payment three times, ten minutes apart or forty; half of the amounts lie in the default band."""
+    gap = F.when(F.col("transaction_id") % 3 == 0, F.lit(40)).otherwise(F.lit(10))
+    rows = t["transactions"].select(
         "user_id", "card_id", "transaction_id", _TS, F.explode(F.array(*[F.lit(k) for k in range(3)])).alias("k")
     )
     return rows.select(
         "user_id", "card_id", (F.col("transaction_id") * 10 + F.col("k")).alias("transaction_id"),
-        (F.lit(2000) + F.col("transaction_id") % 1000).cast("decimal(15,2)").alias("transaction_amount"),
-        expr.shift(F.col(_TS), F.col("k") * 10, "minute").alias(_TS),
+        (F.lit(1500) + F.col("transaction_id") % 2000).cast("decimal(15,2)").alias("transaction_amount"),
+        expr.shift(F.col(_TS), F.col("k") * gap, "minute").alias(_TS),
         F.lit("completed").alias("transaction_status"),
     )
 

@@ -211,9 +211,9 @@ class DetectionStore:
 
     def snapshot(self, batch: int, initial: DataFrame) -> DataFrame:
         """Every alert as it stands after a batch."""
-        parts = initial.withColumn("_no", F.lit(-1))
-        for b in range(batch + 1):
-            parts = parts.unionByName(self.read("alerts", b).withColumn("_no", F.lit(b)))
+        reader = self.spark.read.schema(T.StructType([*initial.schema, _PARTITIONS[1]]))
+        changes = reader.parquet(f"{self.path}/alerts").filter(F.col("batch") <= batch)
+        parts = initial.withColumn("_no", F.lit(-1)).unionByName(changes.withColumnRenamed("batch", "_no"))
         return _newest(parts)
 
     def write_alerts(self, found: Detection, before: DataFrame, initial: DataFrame, batch: int) -> None:
@@ -224,7 +224,9 @@ class DetectionStore:
         )
         highest = initial.agg(F.max("alert_id").alias("top")) if batch == 0 else self.read("ids", batch - 1)
         top = highest.first()["top"] or 0
-        numbered = tables.number_rows(opened, "user_id", ["alert_type"], offset=top, out="alert_id")
+        numbered = tables.number_rows(
+            opened, "user_id", ["alert_type", "transaction_id", "card_id", "alert_message"], offset=top, out="alert_id"
+        )
         changed = found.alerts.kept.filter("hits IS NOT NULL")
         self.write(changed.select(*columns).unionByName(numbered.select(*columns)), "alerts", batch)
         written = self.spark.read.schema(before.schema).parquet(self._folder("alerts", batch))
@@ -246,7 +248,7 @@ class DetectionStore:
         return self._payments(folders, payments).filter(F.col("batch") < batch).drop("batch")
 
     def known_points(self, batch: int, history: DataFrame | None, customers: DataFrame) -> DataFrame | None:
-        """Accepted points of the batch's customers: those of the look-back, and everyone's last one."""
+        """Accepted points of the batch's customers: those of their look-back, and everyone's last one."""
         if batch == 0:
             return None
         kinds = {"_at": T.LongType(), "_id": T.LongType(), "_lat": T.DoubleType(), "_lon": T.DoubleType()}
@@ -257,7 +259,7 @@ class DetectionStore:
         points = self._points(full, *changes).join(customers, "user_id", "left_semi")
         points = _latest(points)
         if history is not None:
-            recent = geo.accepted_points(history.join(customers, "user_id", "left_semi"))
+            recent = geo.accepted_points(history)
             points = points.select(recent.columns).unionByName(recent)
         return points.dropDuplicates(["user_id", "_id"])
 
@@ -312,6 +314,8 @@ def run_batch(
     open_before = store.open_alerts(batch_no, initial_alerts)
     history = store.history(batch_no, batch.schema, as_of)
     customers = batch.select("user_id").distinct()
+    if history is not None:  # the rules ask about the batch's customers only
+        history = history.join(customers, "user_id", "left_semi").select(history.columns)
     found = detect_batch(
         batch, merchants, open_before, history=history,
         known=store.known_points(batch_no, history, customers),

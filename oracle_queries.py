@@ -345,9 +345,10 @@ IN_ORDER = "CAST(least(floor((dayofmonth(transaction_timestamp) - 1) / 6), 4) AS
 
 
 BURSTS = """SELECT user_id, card_id, transaction_id * 10 + k AS transaction_id,
- CAST(2000 + transaction_id % 1000 AS DECIMAL(15,2)) AS transaction_amount,
- transaction_timestamp + k * INTERVAL 10 MINUTE AS transaction_timestamp, 'completed' AS transaction_status
- FROM transactions, (VALUES (0), (1), (2)) v(k) WHERE user_id % 5 = 0"""
+ CAST(1500 + transaction_id % 2000 AS DECIMAL(15,2)) AS transaction_amount,
+ transaction_timestamp + k * (CASE WHEN transaction_id % 3 = 0 THEN INTERVAL 40 MINUTE ELSE INTERVAL 10 MINUTE END)
+   AS transaction_timestamp, 'completed' AS transaction_status
+ FROM transactions, (VALUES (0), (1), (2)) v(k)"""
 
 
 def detection(clock: str = AS_OF, part: str = "0") -> dict[str, str]:
@@ -504,6 +505,36 @@ def _found(table: str, source: str, key: str, value: str, where: str, name: str)
     )
 
 
+# Customers that are closed, what hangs on them, and what stands in the way of deleting them.
+CLOSED = "SELECT user_id FROM users WHERE account_status = 'closed'"
+CLOSED_CARDS = "SELECT card_id, user_id FROM cards WHERE user_id IN (SELECT user_id FROM closed)"
+IN_THE_WAY = " UNION ALL ".join(
+    f"SELECT c.user_id, '{table}' AS table_name, '{column}' AS column_name FROM {table} x JOIN {parent} c ON c.{column} = x.{column}"
+    for table in ("transactions", "alerts") for column, parent in (("user_id", "closed"), ("card_id", "closed_cards"))
+)
+
+
+def _go(free: str, **more: str) -> str:
+    """Rows of the deletion for the customers of a step; more: table -> condition."""
+    own = f"user_id IN (SELECT user_id FROM {free})"
+    parts = [
+        f"SELECT '{table}' AS table_name, CAST({_KEYS[table][1]} AS VARCHAR) AS row_key, 'delete' AS action, "
+        f"CAST(NULL AS VARCHAR) AS column_name FROM {_KEYS[table][0]} WHERE {where}"
+        for table, where in {
+            "users": own, "cards": own, "user_known_locations": own, "user_devices": own,
+            "authentication": "is_active = 0", **more,
+        }.items()
+    ]
+    parts.append(
+        "SELECT 'authentication_audit_log', CAST(log_id AS VARCHAR), 'set_null', 'auth_id' FROM login_log "
+        "WHERE auth_id IN (SELECT auth_id FROM authentication WHERE is_active = 0)"
+    )
+    return " UNION ALL ".join(parts)
+
+
+GONE_PAYMENTS = """SELECT transaction_id FROM transactions WHERE user_id IN (SELECT user_id FROM closed)
+ OR card_id IN (SELECT card_id FROM closed_cards)"""
+
 # table, adapted table, key
 _KEYS = {
     "users": ("users", "user_id"), "cards": ("cards", "card_id"), "merchants": ("merchants", "merchant_id"),
@@ -609,6 +640,10 @@ def oracle() -> dict[str, str]:
             """SELECT transaction_id, user_id, transaction_timestamp, 7 + row_number() OVER
             (ORDER BY transaction_timestamp, transaction_id) AS place FROM transactions"""
         ),
+        "src3_ties": sql(
+            """SELECT transaction_id, user_id, 7 + row_number() OVER (ORDER BY
+            CASE WHEN transaction_id % 2 = 0 THEN 500 ELSE user_id END, transaction_id) AS place FROM transactions"""
+        ),
         "snk1_append": sql(
             """SELECT card_id, user_id, alert_type, risk_score, alert_message, alert_status, investigation_notes FROM raised
             UNION ALL SELECT card_id, user_id, 'blacklisted_merchant', CAST(merchant_risk AS DECIMAL(14,2)), alert_message,
@@ -660,6 +695,38 @@ def oracle() -> dict[str, str]:
             SELECT CASE WHEN auth_id IN (SELECT auth_id FROM authentication WHERE is_active = 0) THEN NULL
               ELSE auth_id END AS k FROM login_log) x GROUP BY k"""
         ),
+        "dq5_graph": sql(
+            _go("free"), closed=CLOSED, closed_cards=CLOSED_CARDS, way=IN_THE_WAY,
+            free="SELECT user_id FROM closed WHERE user_id NOT IN (SELECT user_id FROM way)",
+        ),
+        "dq5_graph_blocked": sql(
+            """SELECT 'users' AS root_table, CAST(user_id AS VARCHAR) AS root_key, table_name, column_name, count(*) AS n
+            FROM way GROUP BY user_id, table_name, column_name""",
+            closed=CLOSED, closed_cards=CLOSED_CARDS, way=IN_THE_WAY,
+        ),
+        "dq5_graph_all": sql(
+            _go(
+                "closed", transactions="transaction_id IN (SELECT transaction_id FROM gone)",
+                alerts="user_id IN (SELECT user_id FROM closed) OR card_id IN (SELECT card_id FROM closed_cards) "
+                "OR transaction_id IN (SELECT transaction_id FROM gone)",
+                transaction_audit_log="transaction_id IN (SELECT transaction_id FROM gone)",
+            ),
+            closed=CLOSED, closed_cards=CLOSED_CARDS, gone=GONE_PAYMENTS,
+        ),
+        "dq5_graph_after": sql(
+            """SELECT log_id, CASE WHEN auth_id IN (SELECT auth_id FROM authentication WHERE is_active = 0) THEN NULL
+              ELSE auth_id END AS auth_id, 'login' AS kind FROM login_log
+            UNION ALL SELECT audit_id, NULL, 'payment' FROM audit WHERE transaction_id IS NULL
+              OR transaction_id NOT IN (SELECT transaction_id FROM gone)""",
+            closed=CLOSED, closed_cards=CLOSED_CARDS, gone=GONE_PAYMENTS,
+        ),
+        "dq6_widened": sql(
+            " UNION ALL ".join(LENGTHS),
+            wide_users="SELECT * REPLACE (repeat(email, 8) AS email) FROM users",
+            wide_merchants="SELECT * REPLACE ('X' || country_iso_code AS country_iso_code) FROM merchants",
+        ).replace("FROM users WHERE length", "FROM wide_users WHERE length").replace(
+            "FROM merchants WHERE length", "FROM wide_merchants WHERE length"
+        ),
         "dq6_length_violations": sql(
             """SELECT user_id, 'email' AS column_name FROM users WHERE length(email) > 18
             UNION ALL SELECT user_id, 'last_name' FROM users WHERE length(last_name) > 9"""
