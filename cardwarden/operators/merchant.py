@@ -11,6 +11,7 @@ from cardwarden.functions import expr
 from cardwarden.operators import changes as change_ops
 from cardwarden.operators import joins
 from cardwarden.operators.slices import FIND, Hot
+from cardwarden.operators.versions import in_force
 
 BLOCK_TYPE = "blacklisted_merchant"
 MCC_TYPE = "high_risk_mcc"
@@ -61,6 +62,21 @@ def _offenders(batch: DataFrame, merchants: DataFrame) -> DataFrame:
     return batch.join(bad, "merchant_id", "left_semi").select(*batch.columns)
 
 
+def gate_by_versions(
+    batch: DataFrame, versions: DataFrame, batch_id: str | None = "batch_id", mode: str = "batch",
+    valid_from: str = "valid_from", hot: Hot = FIND,
+) -> DataFrame:
+    """`gate` against merchants whose rows change: each payment meets the version in force at its time."""
+    ts = "transaction_timestamp"
+    met = in_force(batch, versions, "merchant_id", ts, valid_from, ["is_blacklisted"], out="_version", hot=hot)
+    marked = met.withColumn("_bad", F.coalesce(F.col("_version.is_blacklisted").cast("boolean"), F.lit(False)))
+    if mode == "row":
+        return marked.select(*batch.columns, F.col("_bad").alias("rejected"))
+    if mode != "batch":
+        raise ValueError(f"unknown mode {mode!r}")
+    return _rejected_with(batch, marked.filter("_bad"), batch_id, hot)
+
+
 def gate(
     batch: DataFrame, merchants: DataFrame, batch_id: str | None = "batch_id", mode: str = "batch",
     hot: Hot = FIND,
@@ -80,7 +96,11 @@ def gate(
         )
     if mode != "batch":
         raise ValueError(f"unknown mode {mode!r}")
-    found = _offenders(batch, merchants)
+    return _rejected_with(batch, _offenders(batch, merchants), batch_id, hot)
+
+
+def _rejected_with(batch: DataFrame, found: DataFrame, batch_id: str | None, hot: Hot) -> DataFrame:
+    """Mark the rows whose batch holds one of the offending rows."""
     if batch_id is None:
         return batch.withColumn("rejected", found.agg(F.count(F.lit(1)) > 0).scalar())
     blocked = found.select(batch_id).distinct().withColumn("_bad", F.lit(True))

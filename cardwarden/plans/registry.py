@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 
 from cardwarden.functions import expr, register_sql_functions
 from cardwarden.operators import (
-    alerts, changes, geo, joins, login, merchant, quality, references, structuring, textlists, timeline,
+    alerts, changes, geo, joins, login, merchant, quality, references, sketches, structuring, textlists,
+    timeline,
 )
 from cardwarden.operators.slices import SlicePolicy
 from cardwarden.plans import reports
@@ -399,6 +400,28 @@ def _(t):
     )
 
 
+@raw_query("ag5_sketches")
+def _(spark, folder):
+    """Customers per merchant over ten days from stored daily sketches; half of the rows of each day come later."""
+    rows = adapters.tables(spark, folder)["transactions"].select("transaction_id", "merchant_id", "user_id", _TS)
+    place, keys = new_folder(spark, "sketches"), ["merchant_id"]
+
+    def daily(condition):
+        return sketches.daily_sketches(rows.filter(condition), keys, _TS, "user_id")
+
+    sketches.write_days(daily("transaction_id % 2 = 0"), place)
+    later = sketches.add_to_days(spark.read.parquet(place), daily("transaction_id % 2 = 1"), keys)
+    sketches.write_days(stored(later), place)
+    period = F.col("day").between("2024-01-08", "2024-01-17")
+    estimated = sketches.distinct_over(spark.read.parquet(place), keys, period)
+    exact = rows.filter(F.to_date(_TS).between("2024-01-08", "2024-01-17")).groupBy("merchant_id").agg(
+        F.count_distinct("user_id").alias("customers")
+    )
+    bound = F.greatest(F.lit(1), sketches.relative_error() * F.col("customers"))
+    within = (F.abs(F.col("estimate") - F.col("customers")) <= bound).alias("within_error")
+    return estimated.join(exact, "merchant_id", "full").select("merchant_id", "n", "customers", within)
+
+
 @query("ag6_text_list")
 def _(t):
     return textlists.text_lists(t["cards"], ["user_id"], "card_type", "card_types")
@@ -794,6 +817,32 @@ def _rejected(t):
     return merchant.block_batch(t["transactions"], t["merchants"])[1]
 
 
+def _merchant_versions(t):
+    """Merchants as declared; some are blacklisted from the middle of the month, others cleared five days later."""
+    named = t["merchants"].select("merchant_id", "is_blacklisted")
+
+    def version(rows, since, value):
+        return rows.select("merchant_id", F.lit(since).cast("timestamp").alias("valid_from"), value.alias("is_blacklisted"))
+
+    return (
+        version(named, "2024-01-02 00:00:00", F.col("is_blacklisted"))
+        .unionByName(version(named.filter("merchant_id % 6 = 2"), "2024-01-15 12:00:00", F.lit(1)))
+        .unionByName(version(named.filter("merchant_id % 10 = 3"), "2024-01-20 00:00:00", F.lit(0)))
+    )
+
+
+@query("st2_versions")
+def _(t):
+    marked = merchant.gate_by_versions(t["transactions"], _merchant_versions(t))
+    return marked.select("transaction_id", "batch_id", "rejected")
+
+
+@query("st2_versions_rows")
+def _(t):
+    marked = merchant.gate_by_versions(t["transactions"], _merchant_versions(t), mode="row")
+    return marked.select("transaction_id", "merchant_id", "rejected")
+
+
 @query("r3_3_blocked_alerts")
 def _(t):
     return merchant.blocked_alerts(_rejected(t), t["merchants"], AS_OF)

@@ -505,6 +505,14 @@ def _found(table: str, source: str, key: str, value: str, where: str, name: str)
     )
 
 
+# The version of its merchant that each payment met.
+VERSIONS = """SELECT merchant_id, TIMESTAMP '2024-01-02 00:00:00' AS since, is_blacklisted AS bad FROM merchants
+ UNION ALL SELECT merchant_id, TIMESTAMP '2024-01-15 12:00:00', 1 FROM merchants WHERE merchant_id % 6 = 2
+ UNION ALL SELECT merchant_id, TIMESTAMP '2024-01-20 00:00:00', 0 FROM merchants WHERE merchant_id % 10 = 3"""
+MET = """SELECT t.transaction_id, t.batch_id, t.merchant_id, coalesce(arg_max(v.bad, v.since) = 1, FALSE) AS bad
+ FROM transactions t LEFT JOIN versions v ON v.merchant_id = t.merchant_id AND v.since <= t.transaction_timestamp
+ GROUP BY t.transaction_id, t.batch_id, t.merchant_id"""
+
 # Customers that are closed, what hangs on them, and what stands in the way of deleting them.
 CLOSED = "SELECT user_id FROM users WHERE account_status = 'closed'"
 CLOSED_CARDS = "SELECT card_id, user_id FROM cards WHERE user_id IN (SELECT user_id FROM closed)"
@@ -778,6 +786,18 @@ def oracle() -> dict[str, str]:
             CAST(sum(CASE WHEN transaction_status = 'completed' THEN 1 ELSE 0 END) AS BIGINT) AS completed
             FROM transactions GROUP BY merchant_country"""
         ),
+        "ag5_sketches": sql(
+            """SELECT merchant_id, count(user_id) AS n, count(DISTINCT user_id) AS customers, TRUE AS within_error
+            FROM transactions WHERE CAST(transaction_timestamp AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-01-17'
+            GROUP BY merchant_id"""
+        ),
+        "st2_versions": sql(
+            """SELECT transaction_id, batch_id, batch_id IN (SELECT batch_id FROM met WHERE bad) AS rejected FROM met""",
+            versions=VERSIONS, met=MET,
+        ),
+        "st2_versions_rows": sql(
+            "SELECT transaction_id, merchant_id, bad AS rejected FROM met", versions=VERSIONS, met=MET
+        ),
         "ag6_text_list": sql(
             "SELECT user_id, string_agg(card_type, ', ' ORDER BY card_type) AS card_types FROM cards GROUP BY user_id"
         ),
