@@ -297,9 +297,12 @@ def merchant_risk_profile(
         F.max("transaction_amount").alias("_largest"),
         F.sum("_alerts").alias("_raised"),
     )
-    profile = joins.optional_eq(merchants, "merchant_id", merchant_id).join(
-        per_merchant, "merchant_id", "left"
-    )
+    return profile_of(joins.optional_eq(merchants, "merchant_id", merchant_id), per_merchant)
+
+
+def profile_of(merchants: DataFrame, per_merchant: DataFrame) -> DataFrame:
+    """Merchants with their totals (_n, _volume, _largest, _raised), zeros where they have none."""
+    profile = merchants.join(per_merchant, "merchant_id", "left")
     average = (F.col("_volume") / F.col("_n")).cast("decimal(19,6)")
     zero = F.lit(0)
     shown = profile.withColumns(

@@ -897,6 +897,47 @@ def _(t):
     return merchant.merchant_risk_profile(t["merchants"], t["transactions"], t["alerts"], fanout_safe=True)
 
 
+def _changes(t):
+    """Payments and alerts as a log of changes in five parts: some payments change a part later, some rows go in the last."""
+    part = F.least(F.floor((F.dayofmonth(_TS) - 1) / 6), F.lit(4)).cast("int")
+    last = F.lit(4)
+
+    def change(rows, kind, at, step, merchant_id=F.lit(None), amount=F.lit(None)):
+        return rows.select(
+            (F.col("transaction_id") * 10 + step).alias("seq"), F.lit(kind).alias("kind"), "transaction_id",
+            merchant_id.cast("bigint").alias("merchant_id"), F.unix_date(F.to_date(_TS)).alias("day"),
+            amount.cast("decimal(38,2)").alias("amount"), at.alias("__part"),
+        )
+
+    paid, more = t["transactions"], F.col("transaction_amount") + 100
+    raised = t["alerts"].filter("transaction_id IS NOT NULL").withColumn(_TS, F.lit(None).cast("timestamp"))
+    number = F.col("alert_id") % 5
+    return (
+        change(paid, "put", part, 0, F.col("merchant_id"), F.col("transaction_amount"))
+        .unionByName(change(paid.filter("transaction_id % 5 = 0"), "put", F.least(part + 1, last), 1, F.col("merchant_id") + 1, more))
+        .unionByName(change(paid.filter("transaction_id % 11 = 0"), "delete", last, 5))
+        .unionByName(change(raised, "alert", number.cast("int"), 2))
+        .unionByName(change(raised.filter("alert_id % 7 = 0"), "alert_gone", last, 6))
+    )
+
+
+def _incremental(spark, folder, fanout_safe):
+    t = adapters.tables(spark, folder)
+    source = adapters.in_parts(_changes(t), f"{new_folder(spark, 'changes')}/rows", 5, ("seq",))
+    totals = stateful.run_available(stateful.merchant_totals_stream(source, fanout_safe))
+    return stateful.profile_from_totals(totals, t["merchants"])
+
+
+@raw_query("r3_8_incremental")
+def _(spark, folder):
+    return _incremental(spark, folder, False)
+
+
+@raw_query("r3_8_incremental_once")
+def _(spark, folder):
+    return _incremental(spark, folder, True)
+
+
 _DETECTED = [
     "transaction_id", "transaction_status", "geo_violation", "structuring_violation", "mcc_flagged"
 ]

@@ -167,6 +167,14 @@ def arriving(
     """
     source = scan(configure(spark), folder, SOURCES[name])
     dealt = source.withColumn("__part", F.expr(order)).filter(F.col("__part").between(0, parts - 1))
+    return adapt(spark, folder, name, in_parts(dealt, place, parts, by, rows_per_file, whole_parts))
+
+
+def in_parts(
+    dealt: DataFrame, place: str, parts: int, by: tuple[str, ...], rows_per_file: int = 500_000, whole_parts: bool = False
+) -> DataFrame:
+    """Rows with their part in __part as a stream of micro-batches, part after part; see `arriving`."""
+    spark, kept = dealt.sparkSession, dealt.drop("__part")
     sizes = {r["__part"]: r["count"] for r in dealt.groupBy("__part").count().collect()}
     files_per_batch = 1
     if whole_parts:
@@ -182,7 +190,7 @@ def arriving(
         dealt.write.option("maxRecordsPerFile", rows_per_file).partitionBy("__part").parquet(place)
     for part in set(range(parts)) - set(sizes):  # a part without rows is a micro-batch, too
         rest = "/__slot=0" if whole_parts else ""
-        source.limit(0).coalesce(1).write.parquet(f"{place}/__part={part}{rest}")
+        kept.limit(0).coalesce(1).write.parquet(f"{place}/__part={part}{rest}")
     leaves = f"{place}/__part=*/__slot=*" if whole_parts else f"{place}/__part=*"
     _, files = on_store(spark, place)
     pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{leaves}/*.parquet")
@@ -190,8 +198,7 @@ def arriving(
     begin = int(time.time()) - len(paths)
     for i, path in enumerate(sorted(paths, key=lambda p: (int(re.search(r"/__part=(\d+)/", p)[1]), p))):
         files.setTimes(paths[path], (begin + i) * 1000, -1)
-    reader = spark.readStream.schema(source.schema).option("maxFilesPerTrigger", files_per_batch)
-    return adapt(spark, folder, name, reader.parquet(leaves))
+    return spark.readStream.schema(kept.schema).option("maxFilesPerTrigger", files_per_batch).parquet(leaves)
 
 
 class AdaptedTables(Mapping):

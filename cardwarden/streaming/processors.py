@@ -397,3 +397,93 @@ class LoginProcessor(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class PaymentChanges(StatefulProcessor):
+    """A payment as it stands, with its alerts; every change takes the old contribution back and gives the new one."""
+
+    def __init__(self, fanout_safe: bool):
+        self.fanout_safe = fanout_safe
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        schema = "merchant_id bigint, day int, amount decimal(38,2), alive boolean, alerts bigint"
+        self.payment = handle.getValueState("payment", schema)
+
+    def _contribution(self, state: tuple) -> tuple | None:
+        merchant, day, amount, alive, alerts = state
+        if not alive or merchant is None:
+            return None
+        weight = 1 if self.fanout_safe else max(alerts, 1)
+        return merchant, day, weight, None if amount is None else amount * weight, alerts, amount
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        before = tuple(self.payment.get()) if self.payment.exists() else (None, None, None, False, 0)
+        merchant, day, amount, alive, alerts = before
+        events = pd.concat(list(rows), ignore_index=True).sort_values("seq", kind="stable")
+        for kind, new_merchant, new_day, new_amount in events[["kind", "merchant_id", "day", "amount"]].itertuples(index=False):
+            if kind == "delete":
+                alive = False
+            elif kind == "alert":
+                alerts += 1
+            elif kind == "alert_gone":
+                alerts -= 1
+            else:
+                alive, amount = True, None if pd.isna(new_amount) else new_amount
+                merchant, day = (None if pd.isna(x) else int(x) for x in (new_merchant, new_day))
+        after = (merchant, day, amount, alive, alerts)
+        if alive or alerts:
+            self.payment.update(after)
+        elif self.payment.exists():
+            self.payment.clear()
+        old, new = self._contribution(before), self._contribution(after)
+        if old == new:
+            return
+        out = [(*old[:2], -old[2], _negative(old[3]), -old[4], old[5], -1)] if old else []
+        out += [(*new, 1)] if new else []
+        yield pd.DataFrame(out, columns=["merchant_id", "day", "n", "volume", "raised", "amount", "sign"])
+
+    def close(self) -> None:
+        pass
+
+
+def _negative(value):
+    return None if value is None else -value
+
+
+class DayTotals(StatefulProcessor):
+    """Totals of a merchant's day and its amounts; the day's largest is looked for again only if it was taken back."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.totals = handle.getValueState(
+            "totals", "n bigint, volume decimal(38,2), raised bigint, largest decimal(38,2), version bigint"
+        )
+        self.amounts = handle.getMapState("amounts", "amount decimal(38,2)", "n bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        n, volume, raised, largest, version = self.totals.get() if self.totals.exists() else (0, Decimal(0), 0, None, 0)
+        counts: Counter = Counter()
+        for frame in rows:
+            n, raised = n + int(frame["n"].sum()), raised + int(frame["raised"].sum())
+            for amount, part, sign in zip(frame["amount"], frame["volume"], frame["sign"]):
+                if amount is not None and not pd.isna(amount):
+                    volume += part
+                    counts[amount] += int(sign)
+        for amount, change in counts.items():
+            if change:
+                held = self.amounts.getValue((amount,))[0] if self.amounts.containsKey((amount,)) else 0
+                if held + change:
+                    self.amounts.updateValue((amount,), (held + change,))
+                else:
+                    self.amounts.removeKey((amount,))
+                if change > 0 and (largest is None or amount > largest):
+                    largest = amount
+        if largest is not None and not self.amounts.containsKey((largest,)):
+            largest = max((a for (a,) in self.amounts.keys()), default=None)
+        self.totals.update((n, volume, raised, largest, version + 1))
+        yield pd.DataFrame(
+            [(key[0], key[1], n, volume, raised, largest, version + 1)],
+            columns=["merchant_id", "day", "n", "volume", "raised", "largest", "version"],
+        )
+
+    def close(self) -> None:
+        pass

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 
 from cardwarden.functions import expr
-from cardwarden.operators import geo, login, structuring
+from cardwarden.operators import geo, login, merchant, structuring
 from cardwarden.session import configure_streams, new_folder
 from cardwarden.streaming import processors
 
@@ -146,6 +146,42 @@ def login_state_stream(
     )
 
 
+CHANGE = "seq bigint, kind string, transaction_id bigint, merchant_id bigint, day int, amount decimal(38,2)"
+
+
+def merchant_totals_stream(changes: DataFrame, fanout_safe: bool = False) -> DataFrame:
+    """Totals per merchant and day, kept up from changes of payments and alerts.
+
+    `changes` has the columns of CHANGE: kind `put` sets a payment's merchant, day
+    and amount, `delete` removes it, `alert` and `alert_gone` add an alert of the
+    payment and take one away, in the order of seq. A batch reads the payments it
+    names and the days they touch, nothing else. Every row that comes out
+    replaces those of the same merchant and day with a lower version.
+    """
+    moved = changes.groupBy("transaction_id").transformWithStateInPandas(
+        statefulProcessor=processors.PaymentChanges(fanout_safe),
+        outputStructType="merchant_id bigint, day int, n bigint, volume decimal(38,2), raised bigint, amount decimal(38,2), sign int",
+        outputMode="Append", timeMode="None",
+    )
+    return moved.groupBy("merchant_id", "day").transformWithStateInPandas(
+        statefulProcessor=processors.DayTotals(),
+        outputStructType="merchant_id bigint, day int, n bigint, volume decimal(38,2), raised bigint, largest decimal(38,2), version bigint",
+        outputMode="Append", timeMode="None",
+    )
+
+
+def profile_from_totals(totals: DataFrame, merchants: DataFrame) -> DataFrame:
+    """merchant_risk_profile from the totals written so far: the newest of each day, then all days of a merchant."""
+    newest = totals.groupBy("merchant_id", "day").agg(
+        F.max_by(F.struct("n", "volume", "raised", "largest"), "version").alias("t")
+    )
+    per_merchant = newest.groupBy("merchant_id").agg(
+        F.sum("t.n").alias("_n"), F.sum("t.volume").cast("decimal(25,2)").alias("_volume"),
+        F.max("t.largest").cast("decimal(15,2)").alias("_largest"), F.sum("t.raised").alias("_raised"),
+    )
+    return merchant.profile_of(merchants, per_merchant)
+
+
 def run_available(stream: DataFrame, split_by: str | None = None) -> DataFrame:
     """Run a stream over what its source holds now and return the rows it wrote.
 

@@ -505,6 +505,13 @@ def _found(table: str, source: str, key: str, value: str, where: str, name: str)
     )
 
 
+# Payments and their alerts after all changes.
+CHANGED = """SELECT CASE WHEN transaction_id % 5 = 0 THEN merchant_id + 1 ELSE merchant_id END AS mid,
+   CASE WHEN transaction_id % 5 = 0 THEN transaction_amount + 100 ELSE transaction_amount END AS amount,
+   coalesce(a.n, 0) AS raised
+ FROM transactions LEFT JOIN (SELECT transaction_id, count(*) AS n FROM alerts WHERE alert_id % 7 <> 0
+   GROUP BY transaction_id) a USING (transaction_id) WHERE transaction_id % 11 <> 0"""
+
 # The version of its merchant that each payment met.
 VERSIONS = """SELECT merchant_id, TIMESTAMP '2024-01-02 00:00:00' AS since, is_blacklisted AS bad FROM merchants
  UNION ALL SELECT merchant_id, TIMESTAMP '2024-01-15 12:00:00', 1 FROM merchants WHERE merchant_id % 6 = 2
@@ -1101,6 +1108,18 @@ def oracle() -> dict[str, str]:
             LEFT JOIN (SELECT transaction_id, count(DISTINCT alert_id) AS n FROM alerts GROUP BY transaction_id) a
               ON a.transaction_id = t.transaction_id GROUP BY ALL"""
         ),
+        **{
+            name: sql(
+                f"""SELECT {PROFILE_COLUMNS}, CAST(coalesce(sum(t.w), 0) AS BIGINT) AS total_transactions,
+                CAST(coalesce(sum(t.w * t.amount), 0) AS DECIMAL(25,2)) AS total_volume,
+                CAST(coalesce(max(t.amount), 0) AS DECIMAL(15,2)) AS largest_transaction,
+                CAST(coalesce(sum(t.w * t.amount) / nullif(sum(t.w), 0), 0) AS DECIMAL(19,6)) AS avg_transaction,
+                CAST(coalesce(sum(t.raised), 0) AS BIGINT) AS alerts_raised FROM merchants m
+                LEFT JOIN (SELECT *, {weight} AS w FROM changed) t ON t.mid = m.merchant_id GROUP BY ALL""",
+                changed=CHANGED,
+            )
+            for name, weight in (("r3_8_incremental", "greatest(raised, 1)"), ("r3_8_incremental_once", "1"))
+        },
         "r9_detect_all": sql(DETECTED, **detection()),
         "r9_alerts": sql(SNAPSHOT, **detection(), hits=HITS, **upsert(GEO_ONLY)),
         "r9_audit": sql(AUDIT, **detection()),

@@ -45,6 +45,9 @@ class Value:
     def update(self, row):
         self.row = row
 
+    def clear(self):
+        self.row = None
+
 
 class Handle:
     """State of one key; `advance` moves the watermark and runs the timers it passes."""
@@ -227,3 +230,49 @@ def test_login_counts_over_bounded_frames():
         for n in (10**6, 150)
     )
     assert whole.astype(str).values.tolist() == pieces.astype(str).values.tolist()
+
+
+@pytest.mark.parametrize("fanout_safe", [False, True])
+@pytest.mark.parametrize("seed", range(3))
+def test_merchant_days_kept_up(seed, fanout_safe):
+    """Random changes of payments and alerts over many batches against totals made anew after each."""
+    dice = random.Random(seed)
+    payments = {i: Handle(processors.PaymentChanges(fanout_safe)) for i in range(25)}
+    days, newest, truth, seq = {}, {}, {}, 0
+    for _ in range(20):
+        log = {}
+        for _ in range(30):
+            seq += 1
+            key, state = dice.randrange(25), None
+            alive, raised = truth.get(key, (None, 0))
+            kind = dice.choice(["put", "put", "delete", "alert", "alert_gone"])
+            if kind == "alert_gone" and not raised:
+                continue
+            row = (seq, kind, None, None, None)
+            if kind == "put":
+                amount = dice.choice([None, Decimal(dice.randrange(1, 9)), Decimal(dice.randrange(1, 9))])
+                state = (dice.randrange(3), dice.randrange(3), amount)
+                row = (seq, kind, *state)
+            alive = state if kind == "put" else None if kind == "delete" else alive
+            truth[key] = (alive, raised + {"alert": 1, "alert_gone": -1}.get(kind, 0))
+            log.setdefault(key, []).append(row)
+        moved = {}
+        for key, rows in log.items():
+            dice.shuffle(rows)
+            for frame in payments[key].run(_frames(rows, ["seq", "kind", "merchant_id", "day", "amount"], 3)):
+                for r in frame.itertuples(index=False):
+                    moved.setdefault((r.merchant_id, r.day), []).append(tuple(r))
+        for key, rows in moved.items():
+            columns = ["merchant_id", "day", "n", "volume", "raised", "amount", "sign"]
+            handle = days.setdefault(key, Handle(processors.DayTotals()))
+            (out,) = handle.processor.handleInputRows(key, iter(_frames(rows, columns, 4)), handle)
+            newest[key] = tuple(out.iloc[0])[2:6]
+        want = {}
+        for alive, raised in truth.values():
+            if alive is not None:
+                n, volume, alerts, largest = want.get(alive[:2], (0, Decimal(0), 0, None))
+                weight, amount = 1 if fanout_safe else max(raised, 1), alive[2]
+                paid = [a for a in (largest, amount) if a is not None]
+                want[alive[:2]] = (n + weight, volume + weight * (amount or 0), alerts + raised, max(paid, default=None))
+        empty = (0, Decimal(0), 0, None)
+        assert {k: v for k, v in newest.items() if v != empty} == want
