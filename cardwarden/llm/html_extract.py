@@ -12,8 +12,14 @@ elements, all blocks inside them are the result, with the selected blocks and
 headings that stand among them. Parts that are marked as something else
 (navigation, footer, sidebar, form, advert, notice, comments ...) are left out.
 A class or id marks a part if all its words say so (`cookie-notice`, `site-footer`,
-not `comments-open` or `no-ads`). A form, or a part marked by name alone, that holds
-most of the high-scoring text stays.
+not `comments-open` or `no-ads`). A form stays if it holds most of the high-scoring
+text. A part marked by name comes back only if all other text is marked, too, or if
+it holds most of that text within an article or main of its own and no other
+article has text; reader comments, notices and adverts never do. Elements inside a
+line that are left out do not divide its block.
+
+A page is read in time linear in its length however its tags nest: open elements
+know their path and container as numbers, containers are intervals of numbers.
 
 Work is per page inside one pass over the table; nothing is shuffled.
 
@@ -26,7 +32,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -70,7 +76,15 @@ _OTHER_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion sidebar comment comments "
     "disqus reply replies cookie cookies consent notice notices notification alert popup modal overlay newsletter "
     "subscribe signup login share sharing social related recommended menu nav navbar navigation breadcrumb breadcrumbs "
-    "pagination pager footer toolbar widget masthead topbar skip".split()
+    "pagination pager footer toolbar widget masthead topbar skip commentlist responses respond reactions".split()
+)
+# Parts with such names are never the article.
+_NEVER_NAMES = frozenset(
+    "ad ads advert adverts advertisement advertising sponsored comment comments commentlist disqus reply replies "
+    "responses respond reactions cookie cookies consent notice notices notification alert newsletter".split()
+)
+_IN_LINE = frozenset(
+    "a abbr b bdi bdo cite code data del dfn em font i ins kbd mark q s samp small span strong sub sup time tt u var".split()
 )
 _HEADER_NAMES = frozenset(("header",))
 # Words that may stand beside one of the names above without another meaning.
@@ -84,18 +98,19 @@ _PLAIN_NAMES = frozenset(
 @dataclass
 class _Open:
     tag: str
-    name: str
+    path: int
     other: bool
     parts: tuple[int, ...]  # open parts that only a name or a form (negative) marks
     main: int  # the outermost article or main, 0 if there is none
     container: int
+    heading: bool
+    linked: bool
 
 
 @dataclass
 class _Block:
-    path: str
-    containers: tuple[int, ...]
-    other: bool
+    path: int
+    container: int
     parts: tuple[int, ...]
     main: int
     heading: bool = False
@@ -104,6 +119,27 @@ class _Block:
     text: str = ""
 
 
+@dataclass
+class _Page:
+    """Blocks in order; containers in order of their begins, each with its parent and the last one inside it."""
+
+    blocks: list[_Block] = field(default_factory=list)
+    above: list[int] = field(default_factory=lambda: [0])
+    last: list[int] = field(default_factory=lambda: [0])
+    with_main: set[int] = field(default_factory=set)  # marked parts that are or hold an article or main
+    never: set[int] = field(default_factory=set)  # marked parts with a name that is never the article's
+
+    def inside(self, block: _Block, container: int) -> bool:
+        return container <= block.container <= self.last[container]
+
+    def common(self, blocks: list[_Block]) -> int:
+        """The innermost container of all the blocks."""
+        low, high = min(b.container for b in blocks), max(b.container for b in blocks)
+        while self.last[low] < high:
+            low = self.above[low]
+        return low
+
+
 def _is_other(tag: str, attributes: dict[str, str], main: int) -> bool:
     """Whether the part is something else whatever it holds."""
     if tag in _OTHER_TAGS or (tag == "header" and not main):
@@ -115,78 +151,85 @@ def _is_other(tag: str, attributes: dict[str, str], main: int) -> bool:
     return attributes.get("role", "").lower() in _OTHER_ROLES
 
 
-def _is_marked(tag: str, attributes: dict[str, str], main: int) -> bool:
-    """Whether the part is something else by its name or as a form, unless it holds most of the text."""
+def _marks_of(tag: str, attributes: dict[str, str], main: int) -> set[str]:
+    """The names that say the part is something else, `form` for a form; none if nothing does."""
     if tag == "form":
-        return True
+        return {"form"}
     if tag in ("html", "body", "main"):
-        return False
+        return set()
     names = _OTHER_NAMES if main else _OTHER_NAMES | _HEADER_NAMES
+    found: set[str] = set()
     for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".lower().split():
         words = {w for w in _NAME_PARTS.split(name) if w}
         if words & names and words <= names | _PLAIN_NAMES:
-            return True
-    return False
+            found |= words & names
+    return found
 
 
-def read_blocks(page: str) -> list[_Block]:
-    """The page's blocks with text, in order."""
-    blocks: list[_Block] = []
-    root = _Open("", "", False, (), 0, 0)
-    stack = [root]
-    ids = marked = mains = 0
+def read_page(page: str) -> _Page:
+    """The page's blocks with text outside of parts that are something else, in order."""
+    found = _Page()
+    stack = [_Open("", 0, False, (), 0, 0, False, False)]
+    opened: Counter = Counter()
+    paths: dict[tuple[int, str], int] = {}
+    marked = mains = 0
     current: _Block | None = None
 
     def text(raw: str) -> None:
         nonlocal current
-        if not raw:
+        top = stack[-1]
+        if not raw or top.other:
             return
         if current is None:
             if raw.isspace():
                 return
-            path = "/".join(x.name for x in stack[1:] if x.tag in _BLOCKS)
-            containers = tuple(dict.fromkeys(x.container for x in stack))
-            heading = any(x.tag in _HEADINGS for x in stack)
-            current = _Block(path, containers, stack[-1].other, stack[-1].parts, stack[-1].main, heading)
-            blocks.append(current)
+            current = _Block(top.path, top.container, top.parts, top.main, top.heading)
+            found.blocks.append(current)
         decoded = html.unescape(raw) if "&" in raw else raw
         current.pieces.append(decoded)
-        if any(x.tag == "a" for x in stack):
+        if top.linked:
             current.linked += len(decoded)
 
     def close_from(at: int) -> None:
         nonlocal current
-        kinds = {(x.other, x.parts) for x in stack[at - 1 :]}
-        if len(kinds) > 1 or any(x.tag in _BLOCKS for x in stack[at:]):
+        gone = stack[at:]
+        if any(x.tag in _BLOCKS or x.parts != stack[at - 1].parts for x in gone):
             current = None
+        for x in gone:
+            opened[x.tag] -= 1
+            if x.tag in _CONTAINERS:
+                found.last[x.container] = len(found.last) - 1
         del stack[at:]
 
     at = 0
-    find = _TOKEN.finditer
+    end_of_tags = page.rfind(">") + 1
     resume = True
     while resume:
         resume = False
-        for m in find(page, at):
+        for m in _TOKEN.finditer(page, at, end_of_tags):
             text(page[at : m.start()])
             at = m.end()
             closing, tag, rest = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
             if tag is None:
                 if m[0].startswith("<![CDATA["):
-                    text(html.escape(m[0][9:].removesuffix("]]>"), quote=False))
+                    whole = m[0].endswith("]]>")
+                    at = at if whole else len(page)
+                    inner = page[m.start() + 9 : at]
+                    text(html.escape(inner.removesuffix("]]>") if whole else inner, quote=False))
+                elif m[0].startswith("<!--") and not m[0].endswith("-->"):
+                    at = len(page)
                 continue
             tag = tag.lower()
             if closing:
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i].tag == tag:
-                        close_from(i)
-                        break
+                if opened[tag]:
+                    close_from(next(i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag))
                 continue
             if tag == "br":
                 text(" ") if current is not None else None
                 continue
             if tag in _BLOCKS:
                 current = None
-                for i in range(len(stack) - 1, 0, -1):  # an open paragraph ends here
+                for i in range(len(stack) - 1, 0, -1) if opened["p"] else ():  # an open paragraph ends here
                     if stack[i].tag == "p":
                         close_from(i)
                         break
@@ -195,8 +238,8 @@ def read_blocks(page: str) -> list[_Block]:
             if tag in _CLOSES:
                 ends, limits = _CLOSES[tag]
                 lowest = None
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i].tag in limits:
+                for i in range(len(stack) - 1, 0, -1) if any(opened[e] for e in ends) else ():
+                    if stack[i].tag in limits or (lowest and stack[i].tag in _CONTAINERS and stack[i].tag not in ends):
                         break
                     if stack[i].tag in ends:
                         lowest = i
@@ -212,31 +255,45 @@ def read_blocks(page: str) -> list[_Block]:
             attributes = (
                 {k.lower(): (v or "").strip("\"'") for k, v in _ATTRIBUTE.findall(rest)} if rest.strip() else {}
             )
-            above = stack[-1]
-            container = above.container
+            top = stack[-1]
+            container = top.container
             if tag in _CONTAINERS:
-                ids += 1
-                container = ids
-            other = above.other or _is_other(tag, attributes, above.main)
-            parts = above.parts
-            if not other and _is_marked(tag, attributes, above.main):
+                container = len(found.last)
+                found.above.append(top.container)
+                found.last.append(container)
+            other, parts = top.other or _is_other(tag, attributes, top.main), top.parts
+            names = set() if other else _marks_of(tag, attributes, top.main)
+            if names and tag in _IN_LINE:
+                other = True
+            elif names:
                 marked += 1
                 parts = (*parts, -marked if tag == "form" else marked)
-            if other != above.other or parts != above.parts:
                 current = None
-            label = (attributes.get("class") or attributes.get("id") or "").split(" ")[0]
-            main = above.main
+                if names & _NEVER_NAMES:
+                    found.never.add(marked)
+            main = top.main
             if not main and tag in ("article", "main"):
                 mains += 1
                 main = mains
-            stack.append(_Open(tag, f"{tag}.{label}" if label else tag, other, parts, main, container))
+                found.with_main.update(parts)
+            path = top.path
+            if tag in _BLOCKS:
+                label = (attributes.get("class") or attributes.get("id") or "").split(" ")[0]
+                path = paths.setdefault((top.path, f"{tag}.{label}"), len(paths) + 1)
+            opened[tag] += 1
+            stack.append(
+                _Open(tag, path, other, parts, main, container, top.heading or tag in _HEADINGS, top.linked or tag == "a")
+            )
     text(page[at:])
-    for block in blocks:
+    close_from(1)
+    found.last[0] = len(found.last) - 1
+    for block in found.blocks:
         block.text = " ".join("".join(block.pieces).split())
-    return [b for b in blocks if b.text]
+    found.blocks = [b for b in found.blocks if b.text]
+    return found
 
 
-def path_scores(blocks: list[_Block]) -> dict[str, float]:
+def path_scores(blocks: list[_Block]) -> dict[int, float]:
     """The fused, smoothed score of each path."""
     chars, marks, linked, nodes = (defaultdict(float) for _ in range(4))
     for b in blocks:
@@ -246,28 +303,25 @@ def path_scores(blocks: list[_Block]) -> dict[str, float]:
         nodes[b.path] += 1
     ratio = {p: chars[p] / nodes[p] * (1 + marks[p] / nodes[p]) * (1 - linked[p] / chars[p]) for p in nodes}
     raw = [ratio[b.path] for b in blocks]
-    total: dict[str, float] = defaultdict(float)
+    total: dict[int, float] = defaultdict(float)
     for i, b in enumerate(blocks):
         near = raw[max(0, i - 1) : i + 2]
         total[b.path] += (raw[i] + sum(near) / len(near)) / 2
     return {p: total[p] / nodes[p] for p in nodes}
 
 
-def _own_blocks(blocks: list[_Block], share: float) -> list[_Block]:
-    """Blocks outside the parts that are something else; the path scores decide about those marked by name or form.
-
-    Such a part stays if it holds most of the high-scoring text: a form that of
-    the page; a name that of the articles that have text of their own, or of the
-    page if there are none.
-    """
-    real = [b for b in blocks if not b.other]
-    if not any(b.parts for b in real):
-        return real
-    mains = {b.main for b in real if b.main and not b.parts}
-    kept = {p for p in _main_parts(real, share) if p < 0 or not mains}
-    if mains:
-        kept |= {p for p in _main_parts([b for b in real if b.main in mains], share) if p > 0}
-    return [b for b in real if kept.issuperset(b.parts)]
+def _own_blocks(page: _Page, share: float) -> list[_Block]:
+    """Blocks outside the marked parts, and those of marked parts that are the article all the same."""
+    blocks = page.blocks
+    if not any(b.parts for b in blocks):
+        return blocks
+    most = _main_parts(blocks, share)
+    kept = {p for p in most if p < 0}
+    free = [b for b in blocks if not any(p > 0 for p in b.parts)]
+    if not any(b.main and kept.issuperset(b.parts) for b in free):
+        alone = not any(kept.issuperset(b.parts) for b in free)
+        kept |= {p for p in most if p > 0 and p not in page.never and (alone or p in page.with_main)}
+    return [b for b in blocks if kept.issuperset(b.parts)]
 
 
 def _main_parts(blocks: list[_Block], share: float) -> set[int]:
@@ -282,13 +336,13 @@ def _main_parts(blocks: list[_Block], share: float) -> set[int]:
     return {p for p, n in held.items() if 2 * n > sum(len(b.text) for b in high)}
 
 
-def main_text(page: str | None, share: float = 0.5) -> str:
+def main_text(html_text: str | None, share: float = 0.5) -> str:
     """Blocks of the article, joined by blank lines.
 
     `share` of the page's text-weighted mean score is the threshold of a path.
     """
-    blocks = read_blocks(page or "")
-    own = _own_blocks(blocks, share)
+    page = read_page(html_text or "")
+    own = _own_blocks(page, share)
     if not own:
         return ""
     scores = path_scores(own)
@@ -296,14 +350,13 @@ def main_text(page: str | None, share: float = 0.5) -> str:
     mean = sum(scores[b.path] * len(b.text) for b in inner) / sum(len(b.text) for b in inner)
     chosen = [b for b in inner if scores[b.path] >= share * mean]
     marked = inner[0].main > 0
-    held = set.intersection(*(set(b.containers) for b in (inner if marked else chosen)))
-    article = max(held)
+    article = page.common(inner if marked else chosen)
 
     def belongs(b: _Block) -> bool:
         heading = b.heading and 2 * b.linked <= len(b.text)
         if marked:
-            return b.main > 0 or (article in b.containers and (heading or scores[b.path] >= share * mean))
-        return article in b.containers or heading
+            return b.main > 0 or (page.inside(b, article) and (heading or scores[b.path] >= share * mean))
+        return page.inside(b, article) or heading
 
     return "\n\n".join(b.text for b in own if belongs(b))
 
