@@ -14,8 +14,9 @@ score. A first pass over one shard per block gives every query a kth score, whic
 is shared with all shards before the second pass begins.
 
 Defined results: null vectors and vectors with null or non-finite components
-take no part, nor do rows without an id, or with a component of 2^31 or more
-after scaling; vectors are compared with those of their own length; all rows
+take no part, nor do rows without an id, or with a component that is no 64-bit
+integer after scaling; scores are exact, and stand at the limit of 64 bits where
+they pass it; vectors are compared with those of their own length; all rows
 with the query's id are its own; an id that is repeated among the queries is
 asked once, with the smallest of its vectors; repeated candidates each count.
 """
@@ -32,15 +33,16 @@ from pyspark.sql import functions as F
 from cardwarden.session import stored
 
 _SAFE = float(1 << 53)
+_LIMIT = (1 << 63) - 1
 
 
 def quantised(vector: Column, scale: int) -> Column:
-    """floor(scale * x) of each component as integers; null unless all are finite and small enough."""
-    wide = F.transform(vector, lambda x: F.floor(x.cast("double") * scale))
+    """floor(scale * x) of each component as 64-bit integers; null unless all are finite and fit."""
+    wide = F.transform(vector, lambda x: F.floor(x.cast("double") * scale).cast("long"))
     whole = F.forall(
-        vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) * scale < float(1 << 31))
+        vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) * scale < float(1 << 63))
     )
-    return F.when(vector.isNotNull() & whole, wide.cast("array<int>"))
+    return F.when(vector.isNotNull() & whole, wide)
 
 
 def build_tree(points: np.ndarray, leaf: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -76,20 +78,22 @@ class Shard:
     def __init__(self, ids: np.ndarray, points: np.ndarray, leaf: int):
         order, self.nodes, self.centres, self.radii = build_tree(points.astype(float), leaf)
         self.ids, self.points = ids[order], points[order]
-        self.reach = float(np.abs(points).max(initial=0))
+        self.reach = float(np.abs(points.astype(float)).max(initial=0))
+        self.far = np.sqrt((self.centres**2).sum(1))
 
     def search(self, query_ids: np.ndarray, queries: np.ndarray, floors: np.ndarray, k: int):
         """Best scores and ids per query, best first; -1 stands for no candidate's place, see `found`."""
         q = queries.astype(float)
-        exact = self.reach * np.abs(queries).max(initial=0) * max(1, q.shape[1]) < _SAFE
-        points = self.points.astype(float) if exact else self.points.astype(np.int64)
-        asked = q if exact else queries.astype(np.int64)
+        most = self.reach * np.abs(q).max(initial=0) * max(1, q.shape[1])
+        exact = most < _SAFE
+        kind = float if exact else np.int64 if most < _SAFE * 512 else object
+        points, asked = self.points.astype(kind), queries.astype(kind)
         length = np.sqrt((q * q).sum(1))
         n = len(q)
         low = np.iinfo(np.int64).min
         scores = np.full((n, k), low)
         ids = np.full((n, k), np.iinfo(np.int64).max)
-        kth = floors.copy()
+        kth = floors.copy() if exact else np.nextafter(floors, -np.inf)
         bounds = np.full((n, len(self.nodes)), -np.inf)
         alive = {0: np.arange(n)}
         for node, (start, stop, left, right) in enumerate(self.nodes):  # parents come before children
@@ -98,6 +102,7 @@ class Shard:
                 continue
             bound = q[rows] @ self.centres[node] + length[rows] * self.radii[node]
             bound += 1e-9 * (np.abs(bound) + length[rows] * (self.radii[node] + 1)) + 1e-6
+            bound += 1e-12 * length[rows] * self.far[node]
             near = bound >= kth[rows]
             rows = rows[near]
             if left < 0:
@@ -118,7 +123,8 @@ class Shard:
             for leaf in np.unique(choice):
                 rows = active[choice == leaf]
                 start, stop = self.nodes[leaves[leaf], :2]
-                got = (asked[rows] @ points[start:stop].T).astype(np.int64)
+                got = asked[rows] @ points[start:stop].T
+                got = (np.clip(got, -_LIMIT, _LIMIT) if kind is object else got).astype(np.int64)
                 there = np.broadcast_to(self.ids[start:stop], got.shape)
                 own = there == query_ids[rows, None]
                 got = np.where(own, low, got)
@@ -131,10 +137,17 @@ class Shard:
                 scores[rows] = np.take_along_axis(all_scores, best, 1)
                 ids[rows] = np.take_along_axis(all_ids, best, 1)
                 worst = scores[rows, -1].astype(float)
+                worst = worst if exact else np.nextafter(worst, -np.inf)
                 kth[rows] = np.maximum(kth[rows], np.where(scores[rows, -1] == low, -np.inf, worst))
         return scores, ids, scores != low
 
 
+def _small(values: np.ndarray) -> np.ndarray:
+    """Four bytes a component where they do, else eight."""
+    fits = len(values) == 0 or (values.min() >= -(1 << 31) and values.max() < 1 << 31)
+    return values.astype(np.int32 if fits else np.int64)
+
+
 def _packed(rows: DataFrame, place: str, parts: int) -> DataFrame:
     """One row per (place, dimension): ids and vectors of its rows, and floors if there are any."""
     schema = pa.schema(
@@ -150,7 +163,7 @@ def _packed(rows: DataFrame, place: str, parts: int) -> DataFrame:
                 place: table[place][:1],
                 "dim": table["dim"][:1],
                 "ids": [ids.astype(np.int64).tobytes()],
-                "vectors": [vectors.flatten().to_numpy().astype(np.int32).tobytes()],
+                "vectors": [_small(vectors.flatten().to_numpy()).tobytes()],
                 "floors": [floors.astype(float).tobytes()],
             },
             schema,
@@ -173,7 +186,9 @@ def _search(shards: DataFrame, blocks: DataFrame, k: int, leaf: int) -> DataFram
                     at, trees = shard.as_py(), {}
                 own_ids = np.frombuffer(ids.as_buffer(), np.int64)
                 size = dim.as_py()
-                own = np.frombuffer(vectors.as_buffer(), np.int32).reshape(len(own_ids), size)
+                raw = vectors.as_buffer()
+                own = np.frombuffer(raw, np.int32 if len(raw) == 4 * len(own_ids) * size else np.int64)
+                own = own.reshape(len(own_ids), size)
                 if kind.as_py() == 0:
                     trees[size] = Shard(own_ids, own, leaf)
                 elif size in trees:
@@ -213,7 +228,9 @@ def top_k(
     )
     count = points.count()
     n_shards = max(1, -(-count // shard_rows))
-    dealt = points.withColumn("shard", F.pmod(F.xxhash64("vec_id", "v"), F.lit(n_shards)).cast("int"))
+    # Equal rows go to shards of their own choice, too.
+    seat = F.monotonically_increasing_id()
+    dealt = points.withColumn("shard", F.pmod(F.xxhash64("vec_id", "v", seat), F.lit(n_shards)).cast("int"))
     shards = stored(_packed(dealt.withColumn("floor", F.lit(0.0)), "shard", n_shards))
     asked = points.filter("asked").groupBy("vec_id").agg(F.min(F.struct("dim", "v")).alias("q"))
     asked = stored(asked.select("vec_id", F.col("q.dim").alias("dim"), F.col("q.v").alias("v")))
