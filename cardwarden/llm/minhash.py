@@ -168,24 +168,36 @@ def signatures(docs: DataFrame, key: str, text: str, policy: MinHashPolicy) -> D
     )
 
 
-def linked(ids: list, sets: list[np.ndarray], packed: np.ndarray, policy: MinHashPolicy) -> list[tuple]:
-    """Confirmed links that connect everything that is connected among these documents."""
+def linked(
+    ids: list, sets: list[np.ndarray], packed: np.ndarray, policy: MinHashPolicy, block: int = 256
+) -> list[tuple]:
+    """Confirmed links that connect everything that is connected among these sets; equal ids are connected.
+
+    Sets go by size, so those that may reach a set are a stretch before it. The
+    stretch is compared a block at a time, the nearest sizes first, and what a link
+    has connected drops out.
+    """
     found = []
-    label = np.arange(len(ids))
-    sizes = np.array([len(s) for s in sets])
+    order = sorted(range(len(ids)), key=lambda i: len(sets[i]))
+    sizes = np.array([len(sets[i]) for i in order])
+    packed = packed[order]
+    label = np.unique([ids[i] for i in order], return_inverse=True)[1]
     floor = policy.percent / 100 - policy.likely
-    for i in range(1, len(ids)):
-        fit = 100 * np.minimum(sizes[:i], sizes[i]) >= policy.percent * np.maximum(sizes[:i], sizes[i])
-        near = np.flatnonzero(fit & (label[:i] != label[i]))
-        likeness = estimated(packed[near], packed[i], policy.hashes)
-        near = near[np.argsort(-likeness, kind="stable")][: int((likeness >= floor).sum())]
+    for i in range(1, len(order)):
+        low = np.searchsorted(100 * sizes[:i], policy.percent * sizes[i])
+        near = low + np.flatnonzero(label[low:i] != label[i])
         while len(near):
-            j, near = near[0], near[1:]
-            both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-            if 100 * both >= policy.percent * (sizes[i] + sizes[j] - both):
-                found.append((ids[j], ids[i]))
-                label[label == label[i]] = label[j]
-                near = near[label[near] != label[i]]
+            some, near = near[-block:], near[:-block]
+            likeness = estimated(packed[some], packed[i], policy.hashes)
+            likely = some[np.argsort(-likeness, kind="stable")][: int((likeness >= floor).sum())]
+            for j in likely.tolist():
+                if label[j] == label[i]:
+                    continue
+                both = len(np.intersect1d(sets[order[i]], sets[order[j]], assume_unique=True))
+                if 100 * both >= policy.percent * (sizes[i] + sizes[j] - both):
+                    found.append((ids[order[j]], ids[order[i]]))
+                    label[label == label[i]] = label[j]
+                    near = near[label[near] != label[i]]
     return found
 
 
@@ -237,11 +249,10 @@ def confirmed_links(members: DataFrame, docs: DataFrame, key: str, text: str, po
         last, group = None, []
 
         def solve() -> pa.RecordBatch:
-            rows = dict(group)  # rows with the same id and text are one
-            ids = sorted(rows)
-            sets = [np.frombuffer(rows[i][0], np.uint64) for i in ids]
-            packed = np.stack([np.frombuffer(rows[i][1], np.uint64) for i in ids])
-            found = linked(ids, sets, packed, policy)
+            rows = sorted(set(group))  # rows with the same id and set are one; an id may have several sets
+            sets = [np.frombuffer(r[1], np.uint64) for r in rows]
+            packed = np.stack([np.frombuffer(r[2], np.uint64) for r in rows])
+            found = linked([r[0] for r in rows], sets, packed, policy)
             return pa.RecordBatch.from_arrays(
                 [pa.array([f[0] for f in found], schema.types[0]), pa.array([f[1] for f in found], schema.types[1])],
                 schema=schema,
@@ -254,7 +265,7 @@ def confirmed_links(members: DataFrame, docs: DataFrame, key: str, text: str, po
                     if len(group) > 1:
                         yield solve()
                     last, group = place, []
-                group.append((rows["id"][at], (rows["hashes"][at], rows["signature"][at])))
+                group.append((rows["id"][at], rows["hashes"][at], rows["signature"][at]))
         if len(group) > 1:
             yield solve()
 
@@ -282,8 +293,17 @@ def near_duplicates(
             "id", F.col("component").alias("cluster"), "n_shingles", "digest"
         )
     )
-    found = components(confirmed_links(members, docs, key, text, policy))
     named = classes.select(F.col("digest").alias("__digest"), F.col("id").alias("__class"))
+    links = confirmed_links(members, docs, key, text, policy)
+    # An id with several sets is one node: it links the classes of its sets.
+    several = (
+        marked.filter("digest IS NOT NULL AND id IS NOT NULL")
+        .groupBy("id").agg(F.min("digest").alias("least"), F.max("digest").alias("most")).filter("least != most")
+    )
+    if not several.isEmpty():
+        own = marked.join(several, "id", "left_semi").join(named, F.col("digest") == F.col("__digest"))
+        links = links.unionByName(own.select(F.col("id").alias("a"), F.col("__class").alias("b")))
+    found = components(links)
     return (
         marked.join(named, F.col("digest") == F.col("__digest"), "left")
         .join(found, F.col("__class") == F.col("node"), "left")
