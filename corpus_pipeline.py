@@ -35,11 +35,11 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each group of near-duplicates."""
+    """One document, that with the smallest id, of each group of near-duplicates; other texts of its id stay, too."""
     docs = _documents(docs)
     found = minhash.near_duplicates(docs, policy=DEDUP_POLICY)
     kept = found.filter("id = component_id").select(F.col("id").alias("__id")).distinct()
-    named = docs.join(kept, docs["doc_id"] == kept["__id"], "left_semi").dropDuplicates(["doc_id"])
+    named = docs.join(kept, docs["doc_id"] == kept["__id"], "left_semi").dropDuplicates(["doc_id", "text"])
     return _documents(named.unionByName(docs.filter("doc_id IS NULL")))
 
 
