@@ -11,12 +11,14 @@ rule's expression; rules without a mandatory trigram scan every text.
 
 Defined results: a null or empty text has no spans; documents with the same key
 share their postings, and each row is verified on its own text; a null key is a
-key like any other; other columns pass through untouched.
+key like any other; other columns pass through untouched, but for one with the
+name of the result, which is replaced.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 from itertools import product
@@ -31,6 +33,7 @@ SPANS_TYPE = "array<struct<start:bigint,kind:int,stop:bigint>>"
 _WORD_BITS = 62
 _MOST_ALTERNATIVES = 64
 _MOST_CLASS = 4
+_BLOCK = 512
 
 
 @dataclass(frozen=True)
@@ -160,6 +163,38 @@ def candidates(docs: DataFrame, key: str, text: str, rules: tuple[Rule, ...]) ->
     return found.filter(reduce(or_, [F.col(f"r{i}") for i in asked]))
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use` of a value that is computed once, however often `use` names it."""
+    return F.transform(F.array(value), use)[0]
+
+
+def running(values: Column, plus: Callable[[Column, Column], Column], part: int = 64) -> Column:
+    """For every value the total of those before it, from 0 on, by any associative `plus`.
+
+    Totals run within parts of the array and over the parts, so a value is copied
+    about `part` times and not once for every value after it.
+    """
+
+    def totals(array: Column) -> Column:
+        zero = F.array(F.lit(0).cast("long"))
+        return F.aggregate(array, zero, lambda acc, x: F.concat(acc, F.array(plus(F.element_at(acc, -1), x))))
+
+    def cut(array: Column) -> Column:
+        last = F.floor(F.greatest(F.size(array) - 1, F.lit(0)) / part).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda i: totals(F.slice(array, i * part + 1, F.lit(part))))
+
+    def joined(parts: Column) -> Column:
+        carried = totals(F.transform(parts, lambda a: F.element_at(a, -1)))
+        own = F.zip_with(
+            parts,
+            F.slice(carried, F.lit(1), F.size(parts)),
+            lambda a, c: F.transform(F.slice(a, F.lit(1), F.size(a) - 1), lambda x: plus(c, x)),
+        )
+        return F.flatten(own)
+
+    return _bound(values, lambda array: _bound(cut(array), joined))
+
+
 def _spans(text: Column, number: int, rule: Rule) -> Column:
     """Kept matches of one rule: leftmost, not overlapping, in code points."""
     pieces = F.arrays_zip(
@@ -168,18 +203,19 @@ def _spans(text: Column, number: int, rule: Rule) -> Column:
         F.regexp_extract_all(text, F.lit(rule.java), F.lit(rule.group)),
     )
 
-    def step(acc: Column, piece: Column) -> Column:
-        start = acc["pos"] + F.length(piece["0"])
-        stop = start + F.coalesce(F.length(piece["1"]), F.lit(0))
-        span = F.struct(start.alias("start"), F.lit(number).alias("kind"), stop.alias("stop"))
-        kept = F.when(
-            F.length(piece["2"]) >= rule.min_chars, F.concat(acc["spans"], F.array(span))
-        ).otherwise(acc["spans"])
-        return F.struct(stop.cast("long").alias("pos"), kept.cast(SPANS_TYPE).alias("spans"))
+    def spans(piece: Column) -> Column:
+        wide = F.transform(piece, lambda p: (F.length(p["0"]) + F.coalesce(F.length(p["1"]), F.lit(0))).cast("long"))
+        placed = F.arrays_zip(piece.alias("piece"), running(wide, lambda a, b: a + b).alias("before"))
+        kept = F.filter(placed, lambda p: F.length(p["piece"]["2"]) >= rule.min_chars)
 
-    empty = F.array().cast(SPANS_TYPE)
-    begin = F.struct(F.lit(0).cast("long").alias("pos"), empty.alias("spans"))
-    return F.aggregate(pieces, begin, step, lambda acc: acc["spans"])
+        def span(p: Column) -> Column:
+            start = p["before"] + F.length(p["piece"]["0"])
+            stop = start + F.length(p["piece"]["1"])
+            return F.struct(start.alias("start"), F.lit(number).alias("kind"), stop.alias("stop"))
+
+        return F.transform(kept, span)
+
+    return _bound(pieces, spans).cast(SPANS_TYPE)
 
 
 def find_secrets(
@@ -199,12 +235,12 @@ def find_secrets(
         joined = docs.join(told, docs[key].eqNullSafe(told["__key"]), "left")
     parts = []
     for i, rule in enumerate(rules):
-        test = F.col(f"__r{i}") if told is not None and f"__r{i}" in told.columns else F.lit(True)
+        test = told[f"__r{i}"] if told is not None and f"__r{i}" in told.columns else F.lit(True)
         if rule.likely:
-            test = test & F.col(text).rlike(rule.likely)
-        parts.append(F.when(test, _spans(F.col(text), i, rule)).otherwise(empty))
+            test = test & docs[text].rlike(rule.likely)
+        parts.append(F.when(test, _spans(docs[text], i, rule)).otherwise(empty))
     found = F.array_sort(F.coalesce(F.concat(*parts), empty))
-    return joined.select(*[docs[c] for c in docs.columns], found.alias(out))
+    return joined.select(*[docs[c] for c in docs.columns if c != out], found.alias(out))
 
 
 def spans_text(spans: Column, rules: tuple[Rule, ...] = RULES) -> Column:
@@ -216,26 +252,30 @@ def spans_text(spans: Column, rules: tuple[Rule, ...] = RULES) -> Column:
 
 
 def redact(docs: DataFrame, text: str, spans: str, mark: str = "[SECRET]") -> DataFrame:
-    """Replace every span (overlapping ones as one) by a mark; the spans column goes."""
+    """Replace every span (overlapping ones as one) by a mark; the spans column goes.
+
+    The text is cut into blocks once and what stays is joined from the blocks it
+    lies in, so the work grows with the text and the spans, not with their product.
+    """
     body = F.col(text)
 
-    def step(acc: Column, span: Column) -> Column:
-        apart = span["start"] >= acc["pos"]
-        gap = F.substr(acc["body"], (acc["pos"] + 1).cast("int"), (span["start"] - acc["pos"]).cast("int"))
-        return F.struct(
-            F.greatest(acc["pos"], span["stop"]).alias("pos"),
-            F.when(apart, F.concat(acc["out"], gap, F.lit(mark))).otherwise(acc["out"]).alias("out"),
-            acc["body"].alias("body"),
+    def masked(blocks: Column) -> Column:
+        def cut(low: Column, high: Column) -> Column:
+            first, last = (F.floor(x / _BLOCK).cast("int") for x in (low, high - 1))
+            within = F.array_join(F.slice(blocks, first + 1, last - first + 1), "")
+            there = F.substr(within, (low % _BLOCK + 1).cast("int"), (high - low).cast("int"))
+            return F.when(high > low, there).otherwise("")
+
+        ends = F.transform(F.col(spans), lambda s: s["stop"])
+        pieces = F.zip_with(
+            F.col(spans),
+            running(ends, lambda a, b: F.greatest(a, b)),
+            lambda s, done: F.when(s["start"] >= done, F.concat(cut(done, s["start"]), F.lit(mark))).otherwise(""),
         )
+        return F.concat(F.array_join(pieces, ""), cut(F.array_max(ends), F.length(body).cast("long")))
 
-    begin = F.struct(F.lit(0).cast("long").alias("pos"), F.lit("").alias("out"), body.alias("body"))
-    masked = F.aggregate(
-        F.col(spans),
-        begin,
-        step,
-        lambda acc: F.concat(acc["out"], F.substr(acc["body"], (acc["pos"] + 1).cast("int"))),
-    )
-    return docs.withColumn(text, F.when(F.size(spans) > 0, masked).otherwise(body)).drop(spans)
+    blocks = F.regexp_extract_all(body, F.lit(f"(?s).{{1,{_BLOCK}}}"), F.lit(0))
+    return docs.withColumn(text, F.when(F.size(spans) > 0, _bound(blocks, masked)).otherwise(body)).drop(spans)
 
 
 def brute_force(text: str | None, rules: tuple[Rule, ...] = RULES) -> list[tuple[int, int, int]]:
