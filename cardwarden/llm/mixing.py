@@ -17,7 +17,8 @@ third of all rows is spread over its shards.
 Defined results: a null text has no words; a null source is a source of its
 own, ordered last; a source without words has target 0; repeated rows count as
 rows, and since equal rows are interchangeable, reruns give the same rows; a
-null doc_id is an id like any other.
+null doc_id is an id like any other; extra columns pass through, but for those
+with the name of a result, which are replaced.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 
 from cardwarden.session import stored
 
+ADDED = ("size", "source_size", "target", "taken")
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -127,12 +129,17 @@ def mix(
     least one word and at most `most_block`, so that every source has enough
     blocks to come near its target.
     """
-    own = [c for c in docs.columns if keep_text or c != text]
+    own = [c for c in docs.columns if (keep_text or c != text) and c not in ADDED]
     id_hash = F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce(text, F.lit("")))
+    # The document's own columns travel in one struct, so that no name of theirs meets one used here.
     sized = stored(
-        docs.withColumn("__size", F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long"))
-        .withColumn("__hash", id_hash)
-        .select(*own, "__size", "__hash")
+        docs.select(
+            F.struct(*[F.col(f"`{c}`") for c in own]).alias("__doc"),
+            "source",
+            "doc_id",
+            F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("__size"),
+            id_hash.alias("__hash"),
+        )
     )
     sizes = sized.groupBy("source").agg(F.sum("__size").alias("source_size"))
     targets = source_targets(sizes, weights, amount, most_passes)
@@ -192,7 +199,7 @@ def mix(
     around = overlap(F.lit(0), edge(F.greatest(F.lit(0), last - F.col("__blocks"))))
     taken = F.col("__passes") * F.col("__size") + ahead + around
     return there.select(
-        *own,
+        *[F.col(f"__doc.`{c}`").alias(c) for c in own],
         F.col("__size").alias("size"),
         "source_size",
         "target",
