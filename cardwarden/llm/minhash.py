@@ -14,7 +14,8 @@
    similarity of pairs, and pairs that could reach the threshold (five standard
    deviations below it still count) are confirmed on the full sets, best
    estimates first; pairs that are connected already need no test. Links are
-   confirmed until no likely pair is left between different components.
+   confirmed until no likely pair is left between different components, and go
+   on as stars, so that step 5 has no long chains to follow.
 5. Confirmed links make components.
 
 No bucket, cluster or list of partners is capped. Sets are held as 64-bit hashes
@@ -201,8 +202,23 @@ def linked(
     return found
 
 
+def stars(links: list[tuple]) -> list[tuple]:
+    """The same components as links from each one's smallest id."""
+    root = {}
+
+    def top(x):
+        while root.setdefault(x, x) != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    for a, b in links:
+        a, b = top(a), top(b)
+        root[max(a, b)] = min(a, b)
+    return [(top(x), x) for x in list(root) if top(x) != x]
+
+
 def confirmed_links(members: DataFrame, docs: DataFrame, key: str, text: str, policy: MinHashPolicy) -> DataFrame:
-    """Links (a, b) within clusters; `members` has rows (id, cluster, n_shingles, digest)."""
+    """Links (a, b) within clusters, as stars; `members` has rows (id, cluster, n_shingles, digest)."""
     kind = members.schema["id"].dataType.simpleString()
     chunks = members.groupBy("cluster").agg(
         F.ceil(F.sum("n_shingles") / policy.chunk_shingles).cast("int").alias("chunks")
@@ -252,7 +268,7 @@ def confirmed_links(members: DataFrame, docs: DataFrame, key: str, text: str, po
             rows = sorted(set(group))  # rows with the same id and set are one; an id may have several sets
             sets = [np.frombuffer(r[1], np.uint64) for r in rows]
             packed = np.stack([np.frombuffer(r[2], np.uint64) for r in rows])
-            found = linked([r[0] for r in rows], sets, packed, policy)
+            found = stars(linked([r[0] for r in rows], sets, packed, policy))
             return pa.RecordBatch.from_arrays(
                 [pa.array([f[0] for f in found], schema.types[0]), pa.array([f[1] for f in found], schema.types[1])],
                 schema=schema,
