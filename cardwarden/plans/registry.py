@@ -16,7 +16,7 @@ from cardwarden.operators import (
 from cardwarden.operators.slices import SlicePolicy
 from cardwarden.plans import reports
 from cardwarden.session import new_folder, stored
-from cardwarden.sources import adapters, tables
+from cardwarden.sources import adapters, clustered, tables
 from cardwarden.sources.adapters import AS_OF
 from cardwarden.sources.schemas import TABLES
 from cardwarden.streaming import detect, stateful
@@ -350,6 +350,23 @@ def _(t):
     ).select("transaction_id", "transaction_status", "merchant_country")
 
 
+@raw_query("p13_clustered")
+def _(spark, folder):
+    """Payments of a customer, of a card and of some hours, from a table laid out for all three."""
+    place = new_folder(spark, "clustered")
+    payments = adapters.tables(spark, folder)["transactions"].select(
+        "transaction_id", "user_id", "card_id", "transaction_amount", _TS
+    )
+    clustered.write_clustered(payments, place, ["user_id", "card_id", _TS], ["transaction_id"], least_files=16)
+    found = {
+        "user": clustered.by_value(spark, place, "user_id", 11),
+        "card": clustered.by_value(spark, place, "card_id", 24),
+        "time": clustered.between(spark, place, _TS, "2024-01-15 00:00:00", "2024-01-15 06:00:00"),
+    }
+    user, card, time = (rows.withColumn("looked_up", F.lit(name)) for name, rows in found.items())
+    return user.unionByName(card).unionByName(time)
+
+
 @query("p12_optional_eq")
 def _(t):
     merchants = joins.optional_eq(t["merchants"], "country_iso_code", "RU")

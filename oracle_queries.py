@@ -1288,6 +1288,17 @@ def oracle() -> dict[str, str]:
         "rp_g_dump_transactions": sql("SELECT * FROM transactions"),
         "rp_g_dump_alerts": sql("SELECT * FROM alerts"),
         "rp_g_dump_authentication": sql("SELECT * FROM authentication"),
+        "p13_clustered": sql(
+            """SELECT transaction_id, user_id, card_id, transaction_amount, transaction_timestamp, 'user' AS looked_up
+            FROM transactions WHERE user_id = 11
+            UNION ALL
+            SELECT transaction_id, user_id, card_id, transaction_amount, transaction_timestamp, 'card'
+            FROM transactions WHERE card_id = 24
+            UNION ALL
+            SELECT transaction_id, user_id, card_id, transaction_amount, transaction_timestamp, 'time'
+            FROM transactions WHERE transaction_timestamp BETWEEN TIMESTAMP '2024-01-15 00:00:00'
+                AND TIMESTAMP '2024-01-15 06:00:00'"""
+        ),
         "rp_r1_located_transactions": sql(
             """SELECT transaction_id, user_id, card_id, merchant_id, transaction_amount, merchant_country, ip_address,
             CAST(latitude AS VARCHAR) || ', ' || CAST(longitude AS VARCHAR) AS coordinates, transaction_status,
