@@ -272,9 +272,11 @@ def merchant_risk_profile(
     """Every merchant with its payments, alerts and risk flag.
 
     A payment with several alerts counts once per alert, as a plain join of
-    the three tables gives; fanout_safe=True counts it once. Alerts are counted
-    per payment and payments per merchant before any join, so neither a busy
-    payment nor a busy merchant is gathered.
+    the three tables gives; fanout_safe=True counts it once. All payments are
+    totalled straight by merchant; only those with alerts meet their alerts,
+    counted per payment before, and what these add is totalled apart. So payments
+    without an alert need not be shuffled one by one, and neither a busy payment
+    nor a busy merchant is gathered.
     """
     per_payment = (
         alerts.filter(F.col("transaction_id").isNotNull())
@@ -284,19 +286,28 @@ def merchant_risk_profile(
     paid = joins.optional_eq(txns, "merchant_id", merchant_id).select(
         "transaction_id", "merchant_id", "transaction_amount"
     )
-    raised = F.coalesce("_alerts", F.lit(0))
-    weight = F.lit(1) if fanout_safe else F.greatest(raised, F.lit(1))
-    weighted = paid.join(per_payment, "transaction_id", "left").select(
-        "merchant_id", "transaction_amount", raised.alias("_alerts"), weight.cast("bigint").alias("_weight")
+    once = paid.groupBy("merchant_id").agg(
+        F.count(F.lit(1)).alias("_once"),
+        F.sum("transaction_amount").alias("_sum"),
+        F.max("transaction_amount").alias("_largest"),
     )
+    # Beyond the one time that `once` has counted; an alert whose id is null raises nothing.
+    again = F.lit(0) if fanout_safe else F.greatest(F.col("_alerts") - 1, F.lit(0))
     # bigint times decimal(15,2) keeps two digits; the cast keeps the sum exact.
-    volume = F.col("transaction_amount") * F.col("_weight").cast("decimal(10,0)")
-    per_merchant = weighted.groupBy("merchant_id").agg(
-        F.sum("_weight").alias("_n"),
-        F.sum(volume).cast("decimal(25,2)").alias("_volume"),
-        F.max("transaction_amount").alias("_largest"),
+    volume = F.col("transaction_amount") * again.cast("decimal(10,0)")
+    more = paid.join(per_payment, "transaction_id").groupBy("merchant_id").agg(
+        F.sum(again.cast("bigint")).alias("_again"),
+        F.sum(volume).alias("_added"),
         F.sum("_alerts").alias("_raised"),
     )
+    none = F.lit(0)
+    per_merchant = once.join(more, "merchant_id", "left").select(
+        "merchant_id",
+        (F.col("_once") + F.coalesce("_again", none)).alias("_n"),
+        (F.col("_sum") + F.coalesce("_added", none.cast("decimal(25,2)"))).cast("decimal(25,2)").alias("_volume"),
+        "_largest",
+        F.coalesce("_raised", none).alias("_raised"),
+    )
     return profile_of(joins.optional_eq(merchants, "merchant_id", merchant_id), per_merchant)
 
 
