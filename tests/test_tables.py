@@ -37,6 +37,22 @@ def test_numbers_are_dense_and_ordered(spark, rows_per_slice, store):
     assert [n for _, n in rows] == list(range(12, 162))
 
 
+@pytest.mark.parametrize("most, default, want", [(8, 2_000_000, 8), (8, 40, 50), (500, 2_000_000, 500)])
+def test_small_slices_make_no_task_each(spark, monkeypatch, most, default, want):
+    """A thousand rows in slices of two: as many ranges as allowed, more only where the default limit needs them."""
+    monkeypatch.setattr(tables, "MOST_RANGES", most)
+    monkeypatch.setattr(tables, "ROWS_PER_SLICE", default)
+    made = []
+    original = tables.stored
+    monkeypatch.setattr(tables, "stored", lambda df: made.append(original(df)) or made[-1])
+    frame = spark.range(1000).select((F.col("id") % 7).alias("k"), "id")
+    got = tables.number_rows(frame, "k", ["id"], rows_per_slice=2)
+    assert 0.8 * want <= made[-1].select("_part").distinct().count() <= want
+    rows = sorted((r.row_id, r.k, r.id) for r in got.collect())
+    assert [(i, k) for k, i in sorted((i % 7, i) for i in range(1000))] == [(r[2], r[1]) for r in rows]
+    assert [r[0] for r in rows] == list(range(1, 1001))
+
+
 def test_formats_round_trip(spark, tmp_path):
     users = tables.ingest(s.tables(spark)["users"], "users")
     users.write.parquet(f"{tmp_path}/users.parquet")
