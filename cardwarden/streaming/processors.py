@@ -429,6 +429,127 @@ class WindowProcessor(StatefulProcessor):
         pass
 
 
+SWEEP = 86_400_000_000
+
+
+class SharedWindows(WindowProcessor):
+    """The same totals for a shard of customers that the column `owner` tells apart.
+
+    A customer's ring lies in a cell of the shard's state: clock, edge, the totals
+    inside, and per bucket count, sum (in hundredths), largest card and the rows. A
+    batch reads and writes the cells of its own customers; a sweep at the end of
+    each day takes out what has left the window of every payment still to come.
+    """
+
+    def __init__(self, *args, owner: str = "owner", **options):
+        super().__init__(*args, **options)
+        self.owner = owner
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.rings = _Cells(handle, "rings")
+        self.judged = handle.getMapState("judged", "part bigint", "rows binary")
+        self.spool = _Spool(handle, self.bucket_s, self.frame_rows)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        low, opened, touched, sweeps = _watermark(timerValues), {}, set(), set()
+        waiting, frames = 0, []
+        for frame in self.spool.in_order(rows, "id"):
+            before = frame["at"].to_numpy() < low
+            if before.any():
+                yield self._shaped(frame[before], None)
+                frame = frame[~before]
+            if not len(frame):
+                continue
+            touched |= self._land(frame, opened, sweeps)
+            # The rows wait for the window's totals; all but the latest frame in the state.
+            frames.append(frame)
+            if len(frames) > 1:
+                self.judged.updateValue((waiting,), (pickle.dumps(frames.pop(0)),))
+                waiting += 1
+        if not frames:
+            return
+        windows = {}
+        for own in touched:
+            cell = self.rings.cell(opened, (own,))
+            clock, edge, inside, ring = cell[own]
+            begin = clock - self.window
+            inside = self._leave(ring, edge, begin // self.width, inside)
+            cell[own] = (clock, begin // self.width, inside, ring)
+            inner = [r for r in ring.get(begin // self.width, (0, 0, None, []))[3] if r[0] >= begin]
+            part = (len(inner), sum(r[1] for r in inner), _largest(r[2] for r in inner))
+            n, total, card = _plus(inside, part)
+            windows[own] = (n, Decimal(total).scaleb(-2), card)
+        self.rings.save(opened)
+        for at in sweeps:
+            self.handle.registerTimer(at)
+        for part in range(waiting):
+            yield self._of_owners(pickle.loads(bytes(self.judged.getValue((part,))[0])), windows)
+            self.judged.removeKey((part,))
+        yield self._of_owners(frames[0], windows)
+
+    def _land(self, frame: pd.DataFrame, opened: dict, sweeps: set[int]) -> set[int]:
+        """Payments enter their buckets; returns whose they are."""
+        touched = set()
+        values = zip(
+            _owners(frame, self.owner).tolist(), frame["at"].tolist(), frame["eligible"].tolist(), frame["amount"], frame["card"]
+        )
+        for own, at, eligible, amount, card in values:
+            touched.add(own)
+            cell = self.rings.cell(opened, (own,))
+            if own not in cell:
+                cell[own] = (at, (at - self.window) // self.width, (0, 0, None), {})
+            clock, edge, inside, ring = cell[own]
+            if eligible:
+                row = (at, int(amount.scaleb(2)), _whole(card))
+                number, added = at // self.width, (1, *row[1:])
+                if number not in ring:
+                    ring[number] = (0, 0, None, [])
+                    end = (number + 1) * self.width + self.window
+                    sweeps.add(-(-end // SWEEP) * SWEEP // 1000 + 1)
+                *totals, rows = ring[number]
+                rows.append(row)
+                ring[number] = (*_plus(totals, added), rows)
+                if number > edge:
+                    inside = _plus(inside, added)
+            cell[own] = (max(clock, at), edge, inside, ring)
+        return touched
+
+    @staticmethod
+    def _leave(ring: dict, edge: int, new_edge: int, inside: tuple) -> tuple:
+        """_slide on a ring in memory."""
+        if new_edge <= edge:
+            return inside
+        n, total, card = inside
+        for number in [k for k in ring if k <= new_edge]:
+            if number > edge:
+                n, total = n - ring[number][0], total - ring[number][1]
+            if number < new_edge:
+                del ring[number]
+        return n, total, _largest(b[2] for k, b in ring.items() if k > new_edge)
+
+    def _of_owners(self, frame: pd.DataFrame, windows: dict) -> pd.DataFrame:
+        own = [windows[o] for o in _owners(frame, self.owner).tolist()]
+        out = self._shaped(frame, (0, Decimal(0), None))
+        out["txn_count"] = pd.array([w[0] for w in own], dtype="Int64")
+        out["aggregate_total"] = [w[1] for w in own]
+        out["max_card_id"] = pd.array([w[2] for w in own], dtype="Int64")
+        return out
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now = _watermark(timerValues)
+        new_edge, opened = (now - self.window) // self.width, {}
+        for (number,) in list(self.rings.state.keys()):
+            cell = opened[number] = pickle.loads(bytes(self.rings.state.getValue((number,))[0]))
+            for own, (clock, edge, inside, ring) in list(cell.items()):
+                if new_edge > edge:
+                    cell[own] = (clock, new_edge, self._leave(ring, edge, new_edge, inside), ring)
+                if not ring and clock <= now:
+                    del cell[own]
+        self.rings.save(opened)
+        return iter(())
+
+
 def _largest(cards) -> int | None:
     return max((c for c in cards if c is not None), default=None)
 

@@ -93,12 +93,13 @@ def structuring_window_stream(
     window_hours: int = 48,
     bucket_s: int = 600,
     frame_rows: int = processors.FRAME_ROWS,
+    shards: int = SHARDS,
 ) -> DataFrame:
     """The structuring test on every arriving payment, from totals that are kept up per customer.
 
     The window ends at the customer's latest payment, after all of the customer's
     rows of the micro-batch landed. A micro-batch reads the state of its own
-    customers only. Payments behind the watermark are not judged and do not count;
+    customers only, which lie in cells of one of `shards` shards. Payments behind the watermark are not judged and do not count;
     they come out marked `too_late`.
     """
     marked = _marked(payments, watermark)
@@ -112,8 +113,8 @@ def structuring_window_stream(
         count.alias("eligible"),
     )
     kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in payments.select(*structuring.JUDGED).schema)
-    totalled = rows.groupBy("user_id").transformWithStateInPandas(
-        statefulProcessor=processors.WindowProcessor(structuring.JUDGED, window_hours * 3600, bucket_s, frame_rows),
+    totalled = _sharded(rows, "user_id", shards).groupBy("shard").transformWithStateInPandas(
+        statefulProcessor=processors.SharedWindows(structuring.JUDGED, window_hours * 3600, bucket_s, frame_rows),
         outputStructType=(
             f"{kept}, txn_count bigint, aggregate_total decimal(38,2), max_card_id bigint, too_late boolean"
         ),

@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 
 from cardwarden.streaming import processors
-from test_keyed_state import HOUR, TRAVEL, Handle, _frames, _travel
+from test_keyed_state import HOUR, TRAVEL, WINDOW, Handle, _frames, _travel
 
 OWNERS = [-(2**63), 3, 4, 11, 12]
 
@@ -117,3 +117,28 @@ def test_payments_and_days_of_a_shard(fanout_safe, monkeypatch):
             totals[key] = list(map(str, own.iloc[0, 2:]))
         found = {tuple(None if pd.isna(x) else int(x) for x in r[:2]): list(map(str, r[2:])) for r in out.itertuples(index=False, name=None)}
         assert found == totals
+
+
+@pytest.mark.parametrize("frame_rows", [6, 100_000])
+@pytest.mark.parametrize("seed", range(4))
+def test_windows_of_a_shard(seed, frame_rows, monkeypatch):
+    monkeypatch.setattr(processors, "CELLS", 2)
+    dice = random.Random(seed)
+
+    def money():
+        return Decimal(dice.randrange(1, 9999)) / 100
+
+    batches = [
+        [(r[0], r[1], money(), dice.choice([None, 1, 2, 3]), r[4], r[5]) for r in rows] for rows in _payments(seed, 14, 9)
+    ]
+    shared = Handle(processors.SharedWindows(["id"], 9 * 3600, 1800, frame_rows))
+    alone = {o: Handle(processors.WindowProcessor(["id"], 9 * 3600, 1800, frame_rows)) for o in OWNERS}
+    # The shard's clock drives all, as the stream's does.
+    latest = []
+    def clock(rows):
+        latest.append(max(r[1] for r in rows))
+        return max(latest) // 1000 - 6 * 3600 * 1000
+
+    _together(shared, alone, WINDOW, batches, "id", clock)
+    shared.advance(max(latest) // 1000 + 100 * 3600 * 1000)
+    assert shared.size() == 0
