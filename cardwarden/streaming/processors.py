@@ -90,6 +90,12 @@ def _owners(frame: pd.DataFrame, owner: str | None) -> np.ndarray:
     return np.zeros(len(frame), np.int64) if owner is None else frame[owner].to_numpy(np.int64)
 
 
+def _all_timed(frame: pd.DataFrame) -> None:
+    """A row without a time has no place among the others; rows come sorted, such ones last."""
+    if pd.isna(frame["at"].iloc[-1]):
+        raise ValueError("a row without a time")
+
+
 def _ends(owner: np.ndarray) -> np.ndarray:
     """Places of the last row of each owner in rows sorted by owner."""
     return np.flatnonzero(np.append(owner[1:] != owner[:-1], True)) if len(owner) else np.zeros(0, np.int64)
@@ -216,6 +222,7 @@ class TravelProcessor(StatefulProcessor):
         return found
 
     def _judge(self, new: pd.DataFrame, buckets: list[int], before: _Reach, reach: _Reach) -> pd.DataFrame:
+        _all_timed(new)
         arrived = np.zeros(len(new), POINT)
         arrived["owner"] = _owners(new, self.owner)
         for f in POINT_FIELDS:
@@ -490,6 +497,7 @@ class SharedWindows(WindowProcessor):
 
     def _land(self, frame: pd.DataFrame, opened: dict, sweeps: set[int]) -> set[int]:
         """Payments enter their buckets; returns whose they are."""
+        _all_timed(frame)
         touched = set()
         values = zip(
             _owners(frame, self.owner).tolist(), frame["at"].tolist(), frame["eligible"].tolist(), frame["amount"], frame["card"]

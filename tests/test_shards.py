@@ -142,3 +142,11 @@ def test_windows_of_a_shard(seed, frame_rows, monkeypatch):
     _together(shared, alone, WINDOW, batches, "id", clock)
     shared.advance(max(latest) // 1000 + 100 * 3600 * 1000)
     assert shared.size() == 0
+
+
+@pytest.mark.parametrize("make", [lambda: _travel(owner="owner"), lambda: processors.SharedWindows(["id"], 9 * 3600)])
+def test_a_payment_without_time_is_refused(make):
+    columns = ["id", "at", "lat", "lon", "eligible", "amount", "card", "owner"]
+    rows = [(i, HOUR if i else None, 0.0, 0.0, True, Decimal(1), 1, 3) for i in range(3)]
+    with pytest.raises(ValueError):
+        Handle(make()).run(_frames(rows, columns, 9))
