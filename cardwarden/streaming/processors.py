@@ -19,9 +19,12 @@ from decimal import Decimal
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from cardwarden.operators.travel_fold import POINT_FIELDS, judge_one
+from cardwarden.streaming.packed import Cells, decimals, frame_of, hundredths, narrow, nullable, room, tables, whole
 
 FRAME_ROWS = 200_000
 CHUNK_ROWS = 5_000
@@ -675,111 +678,267 @@ def _whole(value) -> int | None:
     return None if pd.isna(value) else int(value)
 
 
+# Payments with neighbouring numbers lie in one cell: what arrives together is mostly numbered together.
+BLOCK = 4096
+PAYMENT_CELLS = 64
+ALIVE, MERCHANT, DAY, AMOUNT = 1, 2, 4, 8
+PUT = 3
+
+
+def _columns(frame: pd.DataFrame, **kinds: pa.DataType) -> pa.Table:
+    """Columns of a frame as a table; those that it lacks are not there."""
+
+    def column(name, kind):
+        convert = _whole if pa.types.is_integer(kind) else lambda x: None if pd.isna(x) else x
+        return pa.array([convert(x) for x in frame[name]] if name in frame else [None] * len(frame), kind)
+
+    return pa.table({name: column(name, kind) for name, kind in kinds.items()})
+
+
+def _as_frame(table: pa.Table) -> pd.DataFrame:
+    return table.to_pandas(integer_object_nulls=True)
+
+
+def _gathered(blocks: list[dict], empty: dict) -> dict[str, np.ndarray]:
+    return {c: np.concatenate([empty[c], *(b[c] for b in blocks)]) for c in empty}
+
+
 class PaymentChanges(StatefulProcessor):
     """Payments as they stand, with their alerts; every change takes the old contribution back and gives the new one.
 
-    A key is one payment or, with `owner`, a shard of payments that this column tells apart.
+    A key is one payment or, with `owner`, a shard of payments that this column tells apart: all its
+    changes of a micro-batch are taken at once, as columns. `packed` rows come and go as tables.
     """
 
-    def __init__(self, fanout_safe: bool, owner: str | None = None):
-        self.fanout_safe, self.owner = fanout_safe, owner
+    EMPTY = {c: np.zeros(0, np.int64) for c in ("owner", "merchant", "day", "amount", "alerts", "has")}
+    OUT = ("merchant_id", "day", "n", "volume", "raised", "amount", "sign")
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        # Per payment: merchant, day, amount, whether it is there, alerts.
-        self.payments = _Cells(handle, "payments")
+    def __init__(self, fanout_safe: bool, owner: str | None = None, packed: bool = False):
+        self.fanout_safe, self.owner, self.packed = fanout_safe, owner, packed
 
-    def _contribution(self, state: tuple) -> tuple | None:
-        merchant, day, amount, alive, alerts = state
-        if not alive or merchant is None:
-            return None
-        weight = 1 if self.fanout_safe else max(alerts, 1)
-        return merchant, day, weight, None if amount is None else amount * weight, alerts, amount
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.payments = Cells(handle, "payments")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        events = pd.concat(list(rows), ignore_index=True).sort_values("seq", kind="stable")
-        opened, first = {}, {}
-        values = events[["kind", "merchant_id", "day", "amount"]].itertuples(index=False, name=None)
-        for own, (kind, *put) in zip(_owners(events, self.owner).tolist(), values):
-            cell = self.payments.cell(opened, (own,))
-            state = cell.get(own, (None, None, None, False, 0))
-            first.setdefault(own, state)
-            merchant, day, amount, alive, alerts = state
-            if kind == "delete":
-                alive = False
-            elif kind == "alert":
-                alerts += 1
-            elif kind == "alert_gone":
-                alerts -= 1
-            else:
-                alive, amount = True, None if pd.isna(put[2]) else put[2]
-                merchant, day = _whole(put[0]), _whole(put[1])
-            cell[own] = (merchant, day, amount, alive, alerts)
-        out = []
-        for own, before in first.items():
-            cell = self.payments.cell(opened, (own,))
-            old, new = self._contribution(before), self._contribution(cell[own])
-            if not (cell[own][3] or cell[own][4]):
-                del cell[own]
-            if old != new:
-                out += [(*old[:2], -old[2], _negative(old[3]), -old[4], old[5], -1)] if old else []
-                out += [(*new, 1)] if new else []
-        self.payments.save(opened)
-        if out:
-            moved = pd.DataFrame(out, columns=["merchant_id", "day", "n", "volume", "raised", "amount", "sign"])
+        if self.packed:
+            out = self._changed(pa.concat_tables(tables(rows)))
+            if out is not None:
+                yield frame_of(out)
+            return
+        whole_, money = pa.int64(), pa.decimal128(38, 2)
+        events = _columns(
+            pd.concat(list(rows), ignore_index=True), seq=whole_, kind=pa.string(), merchant_id=whole_, day=whole_,
+            amount=money, owner=whole_,
+        )
+        out = self._changed(events)
+        if out is not None:
+            moved = _as_frame(out)
             yield moved.astype({"merchant_id": "Int64", "day": "Int64"}) if self.owner else moved
 
+    @staticmethod
+    def _cell(owner: np.ndarray) -> np.ndarray:
+        return owner // BLOCK % PAYMENT_CELLS
+
+    def _contribution(self, p: dict) -> tuple[np.ndarray, np.ndarray]:
+        """Whether a payment counts, and how often."""
+        counts = (p["has"] & (ALIVE | MERCHANT)) == ALIVE | MERCHANT
+        return counts, np.ones(len(counts), np.int64) if self.fanout_safe else np.maximum(p["alerts"], 1)
+
+    def _changed(self, events: pa.Table) -> pa.Table | None:
+        seq = whole(events["seq"], np.iinfo(np.int64).max)[0]
+        own = whole(events["owner"])[0]
+        order = np.lexsort((seq, own))
+        own, kind = own[order], pc.index_in(events["kind"], value_set=pa.array(["delete", "alert", "alert_gone"]))
+        kind = kind.fill_null(PUT).to_numpy()[order]
+        starts = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+        owners, place = own[starts], np.arange(len(own))
+        put = np.maximum.reduceat(np.where(kind == PUT, place, -1), starts)
+        live = np.maximum.reduceat(np.where((kind == PUT) | (kind == 0), place, -1), starts)
+        alerts = np.add.reduceat((kind == 1).astype(np.int64) - (kind == 2), starts)
+
+        touched = np.unique(self._cell(owners)).tolist()
+        cells = {number: self.payments.read(number) for number in touched}
+        held = _gathered([c for c in cells.values() if c], self.EMPTY)
+        by_owner = np.argsort(held["owner"], kind="stable")
+        at = np.searchsorted(held["owner"][by_owner], owners)
+        found = at < len(by_owner)
+        found[found] = held["owner"][by_owner[at[found]]] == owners[found]
+        was = by_owner[at[found]]
+        old = {c: np.zeros(len(owners), held[c].dtype) for c in self.EMPTY}
+        for c in old:
+            old[c][found] = held[c][was]
+
+        new = dict(old, owner=owners, alerts=old["alerts"] + alerts)
+        have = np.zeros(len(owners), np.int64)
+        last = order[np.maximum(put, 0)]
+        for c, bit, values in (
+            ("merchant", MERCHANT, whole(events["merchant_id"])), ("day", DAY, whole(events["day"])),
+            ("amount", AMOUNT, hundredths(events["amount"])),
+        ):
+            new[c] = np.where(put >= 0, values[0][last], old[c])
+            have |= np.where(values[1][last], bit, 0)
+        have = np.where(put >= 0, have, old["has"] & ~ALIVE)
+        alive = np.where(live >= 0, kind[np.maximum(live, 0)] == PUT, (old["has"] & ALIVE) > 0)
+        new["has"] = have | np.where(alive, ALIVE, 0)
+
+        (counted, before), (counts, weight) = self._contribution(old), self._contribution(new)
+        differs = np.any([old[c] != new[c] for c in ("merchant", "day", "amount", "alerts", "has")], axis=0)
+        back, given = counted & (differs | ~counts), counts & (differs | ~counted)
+        self._keep(held, was, new, cells)
+        if not (back.any() or given.any()):
+            return None
+
+        def both(a, b):
+            return np.concatenate([a[back], b[given]])
+
+        n, has = both(-before, weight), both(old["has"], new["has"])
+        amount, paid = both(old["amount"], new["amount"]), has & AMOUNT > 0
+        volume = room(amount, max(abs(int(n.min())), int(n.max()))) * n
+        sign = both(np.full(len(owners), -1), np.ones(len(owners), np.int64))
+        columns = [
+            pa.array(both(old["merchant"], new["merchant"])), nullable(both(old["day"], new["day"]), has & DAY > 0, pa.int32()),
+            pa.array(n), decimals(volume, paid), pa.array(both(-old["alerts"], new["alerts"])), decimals(amount, paid),
+            pa.array(sign, pa.int32()),
+        ]
+        return pa.table(dict(zip(self.OUT, columns)))
+
+    def _keep(self, held: dict, was: np.ndarray, new: dict, cells: dict) -> None:
+        """The touched cells without the old state of these payments and with the new one."""
+        rest = np.ones(len(held["owner"]), bool)
+        rest[was] = False
+        kept = (new["has"] & ALIVE > 0) | (new["alerts"] != 0)
+        both = {c: narrow(np.concatenate([held[c][rest], new[c][kept]])) for c in self.EMPTY}
+        number = self._cell(both["owner"])
+        order = np.argsort(number, kind="stable")
+        bounds = np.searchsorted(number[order], [*cells, np.iinfo(np.int64).max])
+        for (cell, before), start, stop in zip(cells.items(), bounds, bounds[1:]):
+            some = order[start:stop]
+            self.payments.write(cell, {c: both[c][some] for c in both} if len(some) else None, before is not None)
+
     def close(self) -> None:
         pass
 
 
-def _negative(value):
-    return None if value is None else -value
+# So many neighbouring days lie in one cell.
+DAYS = 4
+DAY_CELLS = 32
+NO_DAY = np.iinfo(np.int64).min
+
+
+def _pairs(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Two whole numbers as one value that sorts and compares as they do."""
+    both = np.stack([first, second], axis=1).view(np.uint64) ^ np.uint64(1 << 63)
+    return np.ascontiguousarray(both.astype(">u8")).view("S16").reshape(-1)
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """starts[0], starts[0] + 1, ... of each range, one after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
 
 
 class DayTotals(StatefulProcessor):
-    """Totals of merchants' days and their amounts; a day's largest is looked for again only if it was taken back.
+    """Totals of merchants' days and how often each amount is there, from which the largest is taken.
 
     A key is one merchant's day or, with `shared`, a shard of them; their rows name merchant and day.
+    `packed` rows come and go as tables. A cell holds the totals of its days, in order, and the
+    amounts of each, one after the other.
     """
 
-    def __init__(self, shared: bool = False):
-        self.shared = shared
+    KEYS = {c: np.zeros(0, np.int64) for c in ("merchant", "day", "n", "volume", "raised", "version", "size")}
+    AMOUNTS = {c: np.zeros(0, np.int64) for c in ("amount", "count")}
+
+    def __init__(self, shared: bool = False, packed: bool = False):
+        self.shared, self.packed = shared, packed
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        # Per day: number, volume, alerts, largest amount, version, and how often each amount is there.
-        self.days = _Cells(handle, "days")
+        self.days = Cells(handle, "days")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        opened, changes = {}, {}
-        for frame in rows:
-            given = (frame[c] for c in ("n", "raised", "amount", "volume", "sign"))
-            days = zip(map(_whole, frame["merchant_id"]), map(_whole, frame["day"])) if self.shared else [tuple(key)] * len(frame)
-            for own, *row in zip(days, *given):
-                changes.setdefault(own, []).append(row)
-        out = []
-        for own, moved in changes.items():
-            cell = self.days.cell(opened, tuple(-1 if k is None else k for k in own))
-            n, volume, raised, largest, version, amounts = cell.get(own, (0, Decimal(0), 0, None, 0, {}))
-            counts: Counter = Counter()
-            for dn, alerts, amount, part, sign in moved:
-                n, raised = n + int(dn), raised + int(alerts)
-                if amount is not None and not pd.isna(amount):
-                    volume += part
-                    counts[amount] += int(sign)
-            for amount, change in counts.items():
-                if change:
-                    amounts[amount] = amounts.get(amount, 0) + change
-                    if not amounts[amount]:
-                        del amounts[amount]
-                    if change > 0 and (largest is None or amount > largest):
-                        largest = amount
-            if largest is not None and largest not in amounts:
-                largest = max(amounts, default=None)
-            cell[own] = (n, volume, raised, largest, version + 1, amounts)
-            out.append((*own, n, volume, raised, largest, version + 1))
-        self.days.save(opened)
-        done = pd.DataFrame(out, columns=["merchant_id", "day", "n", "volume", "raised", "largest", "version"])
+        if self.packed:
+            yield frame_of(self._totals(pa.concat_tables(tables(rows))))
+            return
+        whole_, money = pa.int64(), pa.decimal128(38, 2)
+        frame = pd.concat(list(rows), ignore_index=True)
+        if not self.shared:
+            frame = frame.assign(merchant_id=key[0], day=key[1])
+        moved = _columns(frame, merchant_id=whole_, day=whole_, n=whole_, raised=whole_, amount=money, sign=whole_)
+        done = _as_frame(self._totals(moved))
         yield done.astype({"day": "Int64"}) if self.shared else done
 
+    @staticmethod
+    def _cell(day: np.ndarray) -> np.ndarray:
+        return day // DAYS % DAY_CELLS
+
+    def _totals(self, moved: pa.Table) -> pa.Table:
+        merchant, day = whole(moved["merchant_id"])[0], whole(moved["day"], NO_DAY)[0]
+        n, raised, sign = (whole(moved[c])[0] for c in ("n", "raised", "sign"))
+        amount, paid = hundredths(moved["amount"])
+        volume = room(amount, len(n) * max(1, int(np.abs(n).max()))) * np.where(paid, n, 0)
+        key = _pairs(merchant, day)
+        own, first, of = np.unique(key, return_index=True, return_inverse=True)
+        order = np.argsort(of, kind="stable")
+        starts = np.searchsorted(of[order], np.arange(len(own)))
+
+        cells = {number: self.days.read(number) for number in np.unique(self._cell(day[first])).tolist()}
+        known = [c for c in cells.values() if c]
+        keys, amounts = _gathered([k for k, _ in known], self.KEYS), _gathered([a for _, a in known], self.AMOUNTS)
+        begins = np.cumsum(keys["size"]) - keys["size"]
+        by_key = np.argsort(held := _pairs(keys["merchant"], keys["day"]), kind="stable")
+        at = np.searchsorted(held, own, sorter=by_key)
+        found = at < len(by_key)
+        found[found] = held[by_key[at[found]]] == own[found]
+        was = by_key[at[found]]
+
+        new = {c: np.zeros(len(own), keys[c].dtype) for c in keys}
+        for c in new:
+            new[c][found] = keys[c][was]
+        new["merchant"], new["day"] = merchant[first], day[first]
+        new["n"] += np.add.reduceat(n[order], starts)
+        new["raised"] += np.add.reduceat(raised[order], starts)
+        new["volume"] = room(new["volume"], 2) + room(np.add.reduceat(volume[order], starts), 2)
+        new["version"] += 1
+        # The amounts of these days, with what came and went.
+        sizes = keys["size"][was]
+        theirs = _ranges(begins[was], sizes)
+        whose = np.concatenate([np.repeat(np.flatnonzero(found), sizes), of[paid]])
+        value = np.concatenate([amounts["amount"][theirs], amount[paid]])
+        count = np.concatenate([amounts["count"][theirs], sign[paid]])
+        rank = value if value.dtype != object else np.unique(value, return_inverse=True)[1]
+        order = np.lexsort((rank, whose))
+        whose, value, count = whose[order], value[order], count[order]
+        if len(whose):
+            starts = np.flatnonzero(np.append(True, (whose[1:] != whose[:-1]) | (value[1:] != value[:-1])))
+            whose, value, count = whose[starts], value[starts], np.add.reduceat(count, starts)
+            whose, value, count = whose[count != 0], value[count != 0], count[count != 0]
+        new["size"] = np.bincount(whose, minlength=len(own))
+        ends = np.cumsum(new["size"])
+        there = new["size"] > 0
+        largest = np.zeros(len(own), value.dtype)
+        largest[there] = value[ends[there] - 1]
+        self._keep(keys, amounts, was, theirs, new, value, count, cells)
+        columns = {
+            "merchant_id": pa.array(new["merchant"]), "day": nullable(new["day"], new["day"] != NO_DAY, pa.int64()).cast(pa.int32()),
+            "n": pa.array(new["n"]), "volume": decimals(new["volume"]), "raised": pa.array(new["raised"]),
+            "largest": decimals(largest, there), "version": pa.array(new["version"]),
+        }
+        return pa.table(columns)
+
+    def _keep(self, keys, amounts, was, theirs, new, value, count, cells: dict) -> None:
+        """The touched cells with the new totals and amounts of these days instead of the old ones."""
+        rest, others = np.ones(len(keys["size"]), bool), np.ones(len(amounts["count"]), bool)
+        rest[was], others[theirs] = False, False
+        both = {c: narrow(np.concatenate([keys[c][rest], new[c]])) for c in keys}
+        value = narrow(np.concatenate([amounts["amount"][others], value]))
+        count = np.concatenate([amounts["count"][others], count])
+        begins = np.cumsum(both["size"]) - both["size"]
+        number = self._cell(both["day"])
+        order = np.argsort(number, kind="stable")
+        bounds = np.searchsorted(number[order], [*cells, DAY_CELLS])
+        for (cell, before), start, stop in zip(cells.items(), bounds, bounds[1:]):
+            some = order[start:stop]
+            spots = _ranges(begins[some], both["size"][some])
+            self.days.write(cell, ({c: both[c][some] for c in both}, {"amount": value[spots], "count": count[spots]}), before is not None)
+
     def close(self) -> None:
         pass

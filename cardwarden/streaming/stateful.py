@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from cardwarden.functions import expr
 from cardwarden.operators import geo, login, merchant, structuring
-from cardwarden.session import configure_streams, new_folder
-from cardwarden.streaming import processors
+from cardwarden.session import configure_streams, new_folder, starting_stream
+from cardwarden.streaming import packed, processors
 
 cloudpickle.register_pickle_by_value(processors)
+cloudpickle.register_pickle_by_value(packed)
 
 
 def _marked(payments: DataFrame, delay: str | None) -> DataFrame:
@@ -39,10 +40,14 @@ SHARDS = 256
 DAY_S = 86_400
 
 
-def _sharded(rows: DataFrame, owner: str, shards: int) -> DataFrame:
-    """Rows with their owner as a number and the shard it falls into; a missing owner is one of its own."""
+def _sharded(rows: DataFrame, owner: str, shards: int, block: int = 1) -> DataFrame:
+    """Rows with their owner as a number and the shard it falls into; a missing owner is one of its own.
+
+    Owners of one block, so many neighbouring numbers, fall into one shard.
+    """
     whose = F.coalesce(F.col(owner).cast("bigint"), F.lit(-(2**63)))
-    return rows.withColumns({"owner": whose, "shard": F.pmod(F.xxhash64(whose), F.lit(shards)).cast("int")})
+    dealt = whose if block == 1 else F.floor(whose / block)
+    return rows.withColumns({"owner": whose, "shard": F.pmod(F.xxhash64(dealt), F.lit(shards)).cast("int")})
 
 
 def geo_velocity_stream(
@@ -186,17 +191,16 @@ def merchant_totals_stream(changes: DataFrame, fanout_safe: bool = False, shards
     the payments it names and of the days they touch, nothing else. Every row that
     comes out replaces those of the same merchant and day with a lower version.
     """
-    named = _sharded(changes, "transaction_id", shards)
-    moved = named.groupBy("shard").transformWithStateInPandas(
-        statefulProcessor=processors.PaymentChanges(fanout_safe, "owner"),
-        outputStructType="merchant_id bigint, day int, n bigint, volume decimal(38,2), raised bigint, amount decimal(38,2), sign int",
-        outputMode="Append", timeMode="None",
+    named = _sharded(changes, "transaction_id", shards, processors.BLOCK)
+    moved = packed.through_state(
+        named.select("seq", "kind", "merchant_id", "day", "amount", "owner", "shard"),
+        processors.PaymentChanges(fanout_safe, "owner", packed=True),
+        "merchant_id bigint, day int, n bigint, volume decimal(38,2), raised bigint, amount decimal(38,2), sign int", "None",
     )
     days = moved.withColumn("shard", F.pmod(F.xxhash64("merchant_id", "day"), F.lit(shards)).cast("int"))
-    return days.groupBy("shard").transformWithStateInPandas(
-        statefulProcessor=processors.DayTotals(shared=True),
-        outputStructType="merchant_id bigint, day int, n bigint, volume decimal(38,2), raised bigint, largest decimal(38,2), version bigint",
-        outputMode="Append", timeMode="None",
+    return packed.through_state(
+        days, processors.DayTotals(shared=True, packed=True),
+        "merchant_id bigint, day int, n bigint, volume decimal(38,2), raised bigint, largest decimal(38,2), version bigint", "None",
     )
 
 
@@ -222,6 +226,8 @@ def run_available(stream: DataFrame, split_by: str | None = None) -> DataFrame:
     writer = stream.writeStream.format("parquet").option("path", f"{folder}/rows")
     if split_by is not None:
         writer = writer.partitionBy(split_by)
-    query = writer.option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
+    writer = writer.option("checkpointLocation", f"{folder}/state").trigger(availableNow=True)
+    with starting_stream(spark):
+        query = writer.start()
     query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{folder}/rows")
