@@ -7,8 +7,11 @@ import pyarrow as pa
 import pytest
 
 from cardwarden import session
+from cardwarden.operators import travel_fold
+from cardwarden.sources import adapters
 from cardwarden.streaming import packed, processors
-from test_keyed_state import Handle, Map
+from test_keyed_state import HOUR, Handle, Map, _frames, _travel
+from test_shards import _payments
 
 MONEY = pa.decimal128(38, 2)
 LOG = pa.schema(
@@ -88,3 +91,48 @@ def test_a_stream_starts_with_as_many_partitions_as_run_at_once(spark):
             assert spark.conf.get(key) == given
     finally:
         spark.conf.set(key, before)
+
+
+POINTS = pa.schema(
+    [("id", pa.int64()), ("at", pa.int64()), ("lat", pa.float64()), ("lon", pa.float64()), ("eligible", pa.bool_()), ("owner", pa.int64()), ("name", pa.string())]
+)
+
+
+@pytest.mark.parametrize("frame_rows", [7, 100_000])
+@pytest.mark.parametrize("options", [{"watermark": True}, {"look_back_s": 20 * 3600}, {"look_back_s": 6 * 3600}])
+def test_packed_travel_is_that_of_frames(options, frame_rows):
+    plain, tables = (
+        Handle(_travel(**options, frame_rows=frame_rows, owner="owner", packed=p)) for p in (False, True)
+    )
+    for rows in _payments(1):
+        rows = [(*r, f"p{r[0]}") for r in rows]
+        want = pd.concat(plain.run(_frames(rows, POINTS.names, 9)))
+        got = pd.concat([t.to_pandas() for t in packed.tables(iter(tables.run([_packed(rows[:9], POINTS), _packed(rows[9:], POINTS)])))])
+        want, got = (x.sort_values("id").reset_index(drop=True).drop(columns="name", errors="ignore").astype(float).fillna(-1) for x in (want, got))
+        pd.testing.assert_frame_equal(want, got)
+        if "watermark" in options:
+            for handle in (plain, tables):
+                handle.advance(max(r[1] for r in rows) // 1000 - 10 * 3600 * 1000)
+    assert {k for m in plain.maps for k in m.rows} == {k for m in tables.maps for k in m.rows}
+
+
+def test_a_packed_row_without_time_is_refused():
+    with pytest.raises(ValueError):
+        Handle(_travel(owner="owner", packed=True)).run([_packed([(1, None, 0.0, 0.0, True, 1, "p")], POINTS)])
+
+
+def test_only_customers_with_a_violation_are_walked(monkeypatch):
+    walked, settle = [], travel_fold._Batch.settle
+    monkeypatch.setattr(travel_fold._Batch, "settle", lambda self, *rest: walked.append(rest[0]) or settle(self, *rest))
+    rows = [(i, i * HOUR // 10, 60.0 if i == 70 else 0.0, 0.0, True, i % 40, "p") for i in range(400)]
+    Handle(_travel(look_back_s=10**6, owner="owner", packed=True)).run([_packed(rows, POINTS)])
+    assert len(walked) == 1
+
+
+def test_arriving_files_fill_their_parts(spark, tmp_path):
+    """No more files than the rows of each part need."""
+    events = spark.range(10_000).selectExpr("id AS seq", "CAST(id % 7 = 0 AS int) + CAST(id % 3 = 0 AS int) AS __part")
+    adapters.in_parts(events, str(tmp_path / "rows"), 3, ("seq",), rows_per_file=1000)
+    sizes = [spark.read.parquet(str(f)).count() for part in range(3) for f in sorted((tmp_path / f"rows/__part={part}").glob("*.parquet"))]
+    want = [r["count"] for r in events.groupBy("__part").count().orderBy("__part").collect()]
+    assert sum(sizes) == 10_000 and max(sizes) <= 1000 and len(sizes) == sum(-(-n // 1000) for n in want)
