@@ -25,7 +25,9 @@ import pyarrow.compute as pc
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from cardwarden.operators.travel_fold import POINT_FIELDS, judge_one
-from cardwarden.streaming.packed import Cells, decimals, frame_of, hundredths, narrow, nullable, room, tables, whole
+from cardwarden.streaming.packed import (
+    Cells, decimals, frame_of, from_bytes, hundredths, narrow, nullable, room, tables, to_bytes, whole,
+)
 
 FRAME_ROWS = 200_000
 CHUNK_ROWS = 5_000
@@ -631,6 +633,135 @@ class SharedWindows(WindowProcessor):
         return iter(())
 
 
+CLOCK = np.dtype([("owner", "<i8"), ("clock", "<i8")])
+
+
+class PackedWindows(StatefulProcessor):
+    """The totals of SharedWindows on packed rows, as columns.
+
+    A shard's state is each customer's clock and the eligible payments of the windows; payments leave
+    with their bucket. All rows of a micro-batch land before any is judged; of more than frame_rows
+    rows the tables wait in the state.
+    """
+
+    ROWS = ("owner", "at", "amount", "card", "known")
+
+    def __init__(self, payload: list[str], window_s: int, bucket_s: int = 600, frame_rows: int = FRAME_ROWS, owner: str = "owner"):
+        self.payload, self.window, self.width = payload, window_s * 1_000_000, bucket_s * 1_000_000
+        self.frame_rows, self.owner = frame_rows, owner
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.windows = handle.getValueState("windows", "rows binary")
+        self.judged = handle.getMapState("judged", "part bigint", "rows binary")
+
+    def _held(self) -> tuple[np.ndarray, dict, int]:
+        """Clocks by owner, payments, and the time of the last sweep that is due."""
+        state = self.windows.get()
+        empty = {c: np.zeros(0, np.int64) for c in self.ROWS}
+        return (np.zeros(0, CLOCK), empty, 0) if state is None else pickle.loads(bytes(state[0]))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        low, parts, size, held = _watermark(timerValues), [], 0, []
+        for part, table in enumerate(map(_timed, tables(rows))):
+            size += len(table)
+            parts.append(self._work(table))
+            held.append(table.select([*dict.fromkeys([*self.payload, "at", self.owner])]))
+            if size > self.frame_rows:
+                self.judged.updateValue((part,), (to_bytes(held[part].combine_chunks()),))
+                held[part] = None
+        work = _gathered(parts, {c: np.zeros(0, np.int64) for c in parts[0]})
+        totals = self._land({c: v[work["at"] >= low] for c, v in work.items()}, low)
+        for part, table in enumerate(held):
+            if table is None:
+                table = from_bytes(bytes(self.judged.getValue((part,))[0]))
+                self.judged.removeKey((part,))
+            yield frame_of(self._with_totals(table, totals, low))
+
+    def _work(self, table: pa.Table) -> dict[str, np.ndarray]:
+        card, known = whole(table["card"])
+        return {
+            "owner": table[self.owner].to_numpy(), "at": table["at"].to_numpy(), "amount": hundredths(table["amount"])[0],
+            "card": card, "known": known.astype(np.int64), "eligible": table["eligible"].to_numpy().astype(np.int64),
+        }
+
+    def _land(self, new: dict, low: int) -> dict[str, np.ndarray]:
+        """Payments enter the windows; returns the totals of their owners, in the owners' order."""
+        if not len(new["at"]):
+            return {}
+        clocks, rows, sweep = self._held()
+        owners, of = np.unique(new["owner"], return_inverse=True)
+        latest = np.full(len(owners), np.iinfo(np.int64).min)
+        np.maximum.at(latest, of, new["at"])
+        at = np.minimum(np.searchsorted(clocks["owner"], owners), max(len(clocks) - 1, 0))
+        if len(clocks):
+            known = clocks["owner"][at] == owners
+            latest[known] = np.maximum(latest[known], clocks["clock"][at[known]])
+        own = np.zeros(len(owners), CLOCK)
+        own["owner"], own["clock"] = owners, latest
+        clocks = np.concatenate([clocks[~np.isin(clocks["owner"], owners)], own])
+        clocks = clocks[np.argsort(clocks["owner"], kind="stable")]
+        counts = new["eligible"] > 0
+        rows = {c: np.concatenate([rows[c], new[c][counts]]) for c in self.ROWS}
+        due = -(-(int(latest.max()) // self.width * self.width + self.width + self.window) // SWEEP) * SWEEP
+        if due > sweep:
+            self.handle.registerTimer(due // 1000 + 1)
+        self._save(clocks, rows, max(due, sweep), low)
+
+        place = np.minimum(np.searchsorted(owners, rows["owner"]), len(owners) - 1)
+        inside = (owners[place] == rows["owner"]) & (rows["at"] >= latest[place] - self.window)
+        place, rows = place[inside], {c: v[inside] for c, v in rows.items()}
+        order = np.argsort(place, kind="stable")
+        n = np.bincount(place, minlength=len(owners))
+        there = n > 0
+        starts = (np.cumsum(n) - n)[there]
+        amount = room(rows["amount"], len(order))
+        total, card = np.zeros(len(owners), amount.dtype), np.zeros(len(owners), np.int64)
+        known = np.zeros(len(owners), bool)
+        if len(order):
+            total[there] = np.add.reduceat(amount[order], starts)
+            cards = np.where(rows["known"] > 0, rows["card"], np.iinfo(np.int64).min)
+            card[there] = np.maximum.reduceat(cards[order], starts)
+            known[there] = np.maximum.reduceat(rows["known"][order], starts) > 0
+        return {"owner": owners, "n": n, "total": total, "card": card, "known": known}
+
+    def _save(self, clocks: np.ndarray, rows: dict, sweep: int, low: int) -> None:
+        """Keep what a payment not before the watermark can ask for: what its owner's window holds now."""
+        begin = np.maximum(clocks["clock"], low) - self.window
+        place = np.searchsorted(clocks["owner"], rows["owner"])
+        kept = rows["at"] >= begin[place] // self.width * self.width
+        rows = {c: narrow(v[kept]) for c, v in rows.items()}
+        clocks = clocks[(clocks["clock"] > low) | np.isin(clocks["owner"], rows["owner"])]
+        if len(clocks):
+            self.windows.update((pickle.dumps((clocks, rows, sweep), 5),))
+        else:
+            self.windows.clear()
+
+    def _with_totals(self, table: pa.Table, totals: dict, low: int) -> pa.Table:
+        late = table["at"].to_numpy() < low
+        own = table[self.owner].to_numpy()
+        out = table.select(self.payload)
+        if not totals:
+            found = (pa.nulls(len(out), pa.int64()), pa.nulls(len(out), pa.decimal128(38, 2)), pa.nulls(len(out), pa.int64()))
+        else:
+            place = np.minimum(np.searchsorted(totals["owner"], own), len(totals["owner"]) - 1)
+            found = (
+                nullable(totals["n"][place], ~late, pa.int64()), decimals(totals["total"][place], ~late),
+                nullable(totals["card"][place], ~late & totals["known"][place], pa.int64()),
+            )
+        for name, values in zip(("txn_count", "aggregate_total", "max_card_id", "too_late"), (*found, pa.array(late))):
+            out = out.append_column(name, values)
+        return out
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.windows.exists():
+            self._save(*self._held(), _watermark(timerValues))
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
 def _largest(cards) -> int | None:
     return max((c for c in cards if c is not None), default=None)
 

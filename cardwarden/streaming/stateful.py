@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cardwarden.functions import expr
 from cardwarden.operators import geo, login, merchant, structuring
-from cardwarden.session import configure_streams, new_folder, starting_stream
+from cardwarden.session import configure_streams, new_folder, running_stream
 from cardwarden.streaming import packed, processors
 
 cloudpickle.register_pickle_by_value(processors)
@@ -121,13 +121,10 @@ def structuring_window_stream(
         count.alias("eligible"),
     )
     kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in payments.select(*structuring.JUDGED).schema)
-    totalled = _sharded(rows, "user_id", shards).groupBy("shard").transformWithStateInPandas(
-        statefulProcessor=processors.SharedWindows(structuring.JUDGED, window_hours * 3600, bucket_s, frame_rows),
-        outputStructType=(
-            f"{kept}, txn_count bigint, aggregate_total decimal(38,2), max_card_id bigint, too_late boolean"
-        ),
-        outputMode="Append",
-        timeMode="EventTime",
+    totalled = packed.through_state(
+        _sharded(rows, "user_id", shards),
+        processors.PackedWindows(structuring.JUDGED, window_hours * 3600, bucket_s, frame_rows),
+        f"{kept}, txn_count bigint, aggregate_total decimal(38,2), max_card_id bigint, too_late boolean", "EventTime",
     )
     return structuring.judged_by_totals(totalled, threshold, min_count)
 
@@ -230,7 +227,6 @@ def run_available(stream: DataFrame, split_by: str | None = None) -> DataFrame:
     if split_by is not None:
         writer = writer.partitionBy(split_by)
     writer = writer.option("checkpointLocation", f"{folder}/state").trigger(availableNow=True)
-    with starting_stream(spark):
-        query = writer.start()
-    query.awaitTermination()
+    with running_stream(spark):
+        writer.start().awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{folder}/rows")

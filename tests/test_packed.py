@@ -1,5 +1,6 @@
-"""Handlers that take rows as tables: how much state they read, large amounts, settings of a started stream."""
+"""Handlers that take rows as tables: how much state they read, large amounts, settings of a running stream."""
 
+import random
 from decimal import Decimal
 
 import pandas as pd
@@ -11,7 +12,7 @@ from cardwarden.operators import travel_fold
 from cardwarden.sources import adapters
 from cardwarden.streaming import packed, processors
 from test_keyed_state import HOUR, Handle, Map, _frames, _travel
-from test_shards import _payments
+from test_shards import OWNERS, _payments
 
 MONEY = pa.decimal128(38, 2)
 LOG = pa.schema(
@@ -80,13 +81,13 @@ def test_ids_beyond_the_whole_numbers_of_a_double():
     assert out == [(big, None, 1, None, 0, None, 1)]
 
 
-def test_a_stream_starts_with_as_many_partitions_as_run_at_once(spark):
+def test_a_stream_runs_with_as_many_partitions_as_tasks_at_once(spark):
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
     try:
         for given, wanted in (("200", spark.sparkContext.defaultParallelism), ("3", 3)):
             spark.conf.set(key, given)
-            with session.starting_stream(spark):
+            with session.running_stream(spark):
                 assert int(spark.conf.get(key)) == wanted
             assert spark.conf.get(key) == given
     finally:
@@ -136,3 +137,41 @@ def test_arriving_files_fill_their_parts(spark, tmp_path):
     sizes = [spark.read.parquet(str(f)).count() for part in range(3) for f in sorted((tmp_path / f"rows/__part={part}").glob("*.parquet"))]
     want = [r["count"] for r in events.groupBy("__part").count().orderBy("__part").collect()]
     assert sum(sizes) == 10_000 and max(sizes) <= 1000 and len(sizes) == sum(-(-n // 1000) for n in want)
+
+
+WINDOW_ROWS = pa.schema(
+    [("id", pa.int64()), ("at", pa.int64()), ("amount", MONEY), ("card", pa.int64()), ("eligible", pa.bool_()), ("owner", pa.int64())]
+)
+
+
+@pytest.mark.parametrize("frame_rows", [7, 100_000])
+@pytest.mark.parametrize("seed", range(4))
+def test_packed_windows_are_those_of_each_customer(seed, frame_rows):
+    dice, latest = random.Random(seed), []
+    one = Handle(processors.PackedWindows(["id"], 9 * 3600, 1800, frame_rows))
+    alone = {o: Handle(processors.WindowProcessor(["id"], 9 * 3600, 1800)) for o in OWNERS}
+    for rows in _payments(seed, 14, 9):
+        rows = [(r[0], r[1], Decimal(dice.randrange(1, 9999)) / 100, dice.choice([None, 1, 2, 3]), r[4], r[5]) for r in rows]
+        got = _run(one, _packed(rows[:5], WINDOW_ROWS), _packed(rows[5:], WINDOW_ROWS))
+        want = []
+        for owner, handle in alone.items():
+            for frame in handle.run(_frames([r[:5] for r in rows if r[5] == owner], WINDOW_ROWS.names[:5], 9)):
+                want += [tuple(None if pd.isna(x) else x for x in r) for r in frame.itertuples(index=False, name=None)]
+        assert sorted(got) == sorted(want)
+        latest.append(max(r[1] for r in rows))
+        for handle in (one, *alone.values()):
+            handle.advance(max(latest) // 1000 - 6 * 3600 * 1000)
+    one.advance(max(latest) // 1000 + 100 * 3600 * 1000)
+    assert one.processor.windows.row is None and one.size() == 0
+
+
+def test_a_shard_of_windows_asks_its_state_as_often_for_any_number_of_customers():
+    """Before, a shard read and wrote 16 cells."""
+    calls = []
+    for customers in (1, 300):
+        handle = Handle(processors.PackedWindows(["id"], 48 * 3600))
+        state = handle.processor.windows
+        for name in ("get", "update", "exists"):
+            setattr(state, name, lambda *a, call=getattr(state, name): calls.append(customers) or call(*a))
+        _run(handle, _packed([(i, i % 40 * HOUR, Decimal(1), 1, True, i % customers) for i in range(3000)], WINDOW_ROWS))
+    assert calls.count(300) == calls.count(1) <= 3
