@@ -175,3 +175,32 @@ def test_a_shard_of_windows_asks_its_state_as_often_for_any_number_of_customers(
             setattr(state, name, lambda *a, call=getattr(state, name): calls.append(customers) or call(*a))
         _run(handle, _packed([(i, i % 40 * HOUR, Decimal(1), 1, True, i % customers) for i in range(3000)], WINDOW_ROWS))
     assert calls.count(300) == calls.count(1) <= 3
+
+
+def test_customers_whose_slices_fit_are_not_followed(monkeypatch):
+    """Slices that were run with the point before them stay; the other customer is followed; batches cut customers."""
+    followed, follow = [], travel_fold._follow
+    monkeypatch.setattr(travel_fold, "_follow", lambda user, piece, rows: followed.append(rows[0]["user_id"]) or follow(user, piece, rows))
+    point, rows = (lambda i: {"at": i, "id": i, "lat": 0.0, "lon": 0.0}), []
+    for user, wrong in ((1, None), (2, 3), (3, None)):
+        for piece in range(6):
+            entry, out = point(user * 100 + piece - (piece == wrong)), point(user * 100 + piece + 1)
+            rows.append({"user_id": user, "piece": piece, "_round": 0} | {f"_in_{f}": v if piece else None for f, v in entry.items()} | {f"_out_{f}": v for f, v in out.items()})
+    batches = [pa.RecordBatch.from_pylist(rows[i : i + 4], pa.Table.from_pylist(rows).schema) for i in range(0, 18, 4)]
+    got = pa.Table.from_batches(travel_fold.chain(("user_id", "piece"))(iter(batches))).to_pylist()
+    want = [r for user in (1, 2, 3) for r in follow("user_id", "piece", [x for x in rows if x["user_id"] == user])]
+    key = lambda r: (r["user_id"], r["piece"])
+    assert sorted(got, key=key) == sorted(want, key=key) and followed == [2]
+    assert [key(r) for r in got if r["_missing"]] == [(2, 3)]
+
+
+def test_slices_without_a_violation_are_not_walked(monkeypatch):
+    walked, settle = [], travel_fold._Batch.settle
+    monkeypatch.setattr(travel_fold._Batch, "settle", lambda self, *rest: walked.append(rest[0]) or settle(self, *rest))
+    names = ["user", *(f"_{f}" for f in travel_fold.POINT_FIELDS), "_eligible", *(f"_in_{f}" for f in travel_fold.POINT_FIELDS)]
+    rows = [(u, 100 * HOUR + u * HOUR, u, 0.0, 0.0, u % 2 == 0, HOUR, -u, 1.0, 0.0) for u in range(50)]
+    batch = pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows])
+    (out,) = travel_fold.judge_batches(["user"], 9_000_000, ["_id"])(iter([batch]))
+    assert out.column("_ref_id").to_pylist() == [-u for u in range(50)] and len(walked) == 1
+    ends = pa.Table.from_batches(travel_fold.last_points(["user"], 9_000_000)(iter([batch]))).to_pylist()
+    assert [r["_out_id"] for r in ends] == [u if u % 2 == 0 else -u for u in range(50)]
